@@ -138,6 +138,34 @@ def fact_sales(t: Tables) -> DataFrame:
                     (F.col("price") + F.col("freight")).alias("revenue")))
 
 
+def deliveries(t: Tables) -> DataFrame:
+    """Order delivery facts: delivered = last ship time of a non-P order,
+    estimated = purchase + 60 days. Lines are aggregated per order before the
+    join (aggregate-then-join: the join is one-to-one, no fan-out)."""
+    last_ship = t.lineitem.groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        F.max("l_shipdate").alias("last_ship_ts"))
+    return (orders(t).join(last_ship, "order_id", "left")
+            .select("order_id", "customer_id", "status", "purchase_ts",
+                    (F.col("purchase_ts") + F.expr("INTERVAL 60 DAYS")).alias("estimated_ts"),
+                    F.when(F.col("status") != "P", F.col("last_ship_ts")).alias("delivered_ts")))
+
+
+def retail(t: Tables) -> DataFrame:
+    """transacciones_retail: one sale line per row (store, product, category,
+    quantity, unit price, payment method). Stores are suppliers, the unit
+    price is the part's retail price, the method is the line's return flag."""
+    p = t.part.select("p_partkey", "p_type", "p_retailprice")
+    return (t.lineitem.join(p, F.col("l_partkey") == F.col("p_partkey"))
+            .select(F.col("l_orderkey").alias("transaccion_id"),
+                    F.col("l_shipdate").alias("ts"),
+                    F.col("l_suppkey").alias("tienda_id"),
+                    F.col("l_partkey").alias("producto_id"),
+                    F.col("p_type").alias("categoria"),
+                    F.col("l_quantity").cast("int").alias("cantidad"),
+                    money("p_retailprice").alias("precio_unitario"),
+                    F.col("l_returnflag").alias("metodo_pago")))
+
+
 # ---------------------------------------------------------------------------
 # SQL twins of the entities above, for the DuckDB oracle.
 # ---------------------------------------------------------------------------
@@ -180,6 +208,19 @@ CTE = {
                CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 + 1 AS score,
                ts AS review_ts, event_type AS review_kind
         FROM events""",
+    "e_retail": """
+        SELECT l_orderkey AS transaccion_id, l_shipdate AS ts, l_suppkey AS tienda_id,
+               l_partkey AS producto_id, p_type AS categoria,
+               CAST(l_quantity AS INTEGER) AS cantidad,
+               CAST(p_retailprice AS DECIMAL(12,2)) AS precio_unitario,
+               l_returnflag AS metodo_pago
+        FROM lineitem JOIN part ON l_partkey = p_partkey""",
+    "e_deliveries": """
+        SELECT o.order_id, o.customer_id, o.status, o.purchase_ts,
+               o.purchase_ts + INTERVAL 60 DAY AS estimated_ts,
+               CASE WHEN o.status <> 'P' THEN s.last_ship_ts END AS delivered_ts
+        FROM e_orders o LEFT JOIN (SELECT l_orderkey AS order_id, max(l_shipdate) AS last_ship_ts
+                                   FROM lineitem GROUP BY 1) s ON s.order_id = o.order_id""",
     "fact": """
         SELECT i.order_id, i.item_id, o.customer_id, i.product_id, i.seller_id,
                o.status, o.purchase_ts, o.purchase_date, o.payment_type,
@@ -191,7 +232,8 @@ CTE = {
 }
 
 # Which CTEs each CTE needs (emitted first).
-_DEPS = {"fact": ["e_items", "e_orders", "e_products", "e_customers"]}
+_DEPS = {"fact": ["e_items", "e_orders", "e_products", "e_customers"],
+         "e_deliveries": ["e_orders"]}
 
 
 def with_ctes(names, body: str) -> str:
