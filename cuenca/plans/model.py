@@ -28,6 +28,20 @@ def msum(c) -> "F.Column":
     return F.sum(c).cast("decimal(38,2)")
 
 
+def avg_money(c: str, denominator: str | None = None) -> "F.Column":
+    """Average of a money column rounded half-up to cents, computed in exact
+    integer cents: (2·Σcents + n) div (2n) / 100. Double averages round
+    differently in different engines at exact half cents; this does not.
+    ``denominator`` replaces count(c) (e.g. ``count(DISTINCT order_id)``)."""
+    n = denominator or f"count({c})"
+    return F.expr(f"CAST((sum(CAST({c} * 100 AS BIGINT)) * 2 + {n}) div ({n} * 2) AS DOUBLE) / 100")
+
+
+def avg_money_sql(c: str, denominator: str | None = None) -> str:
+    n = denominator or f"count({c})"
+    return f"CAST((sum(CAST({c} * 100 AS BIGINT)) * 2 + {n}) // ({n} * 2) AS DOUBLE) / 100"
+
+
 def nation_b(t: Tables) -> DataFrame:
     """Nation table, broadcast: 25 rows by definition."""
     return F.broadcast(t.nation)

@@ -98,7 +98,7 @@ def main():
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     prefixes = [a for a in args if not a.startswith("/")]
     spark = get_session("local[8]", shuffle_partitions=8,
-                        extra={"spark.driver.memory": "8g"})
+                        extra={"spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLE_NAMES:
