@@ -266,6 +266,8 @@ def with_ctes(names, body: str) -> str:
         return body
     body = body.strip()
     parts = ",\n".join(f"{n} AS ({CTE[n]})" for n in order)
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {parts},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {parts},\n{body[5:]}"
     return f"WITH {parts}\n{body}"
