@@ -49,7 +49,7 @@ def query(key: str, sql: str | None = None, ctes=()):
 
 PLAN_MODULES = (
     "projections", "filters", "joins", "subqueries", "aggregates", "cubes",
-    "windows", "sorting", "sets", "scalars", "udfs", "documents", "sources",
+    "windows", "sorting", "scalars", "udfs", "documents", "sources",
     "sinks", "quality", "warehouse", "balancing", "domain", "streams", "session_ops",
 )
 
