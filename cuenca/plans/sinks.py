@@ -8,7 +8,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from cuenca.operators.analytics import latest_per_key
 from cuenca.plans import model as m
 from cuenca.plans.registry import query
 from cuenca.plans.sources import fresh, raw_orders_entity
@@ -150,16 +149,18 @@ def _(spark, sf):
 
 
 @query("snk12_upsert_by_key", ctes=("e_orders",), sql="""
-    WITH tgt AS (SELECT order_id, status, order_total FROM e_orders WHERE order_id < 10000),
-    src AS (SELECT order_id, 'F' AS status, order_total FROM e_orders WHERE order_id >= 5000)
+    WITH tgt AS (SELECT order_id, status, order_total FROM e_orders WHERE purchase_date < DATE '1999-01-01'),
+    src AS (SELECT order_id, 'F' AS status, order_total FROM e_orders WHERE purchase_date >= DATE '1998-01-01')
     SELECT * FROM tgt WHERE order_id NOT IN (SELECT order_id FROM src)
     UNION ALL SELECT * FROM src""")
 def _(spark, sf):
-    """Merge: matched keys replaced by the source, new keys inserted, the
-    result written to a new version folder."""
-    o = m.orders(Tables(spark, sf)).select("order_id", "status", "order_total")
-    target = o.where(F.col("order_id") < 10000)
-    source = o.where(F.col("order_id") >= 5000).withColumn("status", F.lit("F"))
+    """Merge: the target holds orders up to 1998, the delivery brings orders
+    from 1998 on (1998 overlaps, with a new status). Matched keys are
+    replaced, new keys inserted; the result goes to a new version folder."""
+    o = m.orders(Tables(spark, sf)).select("order_id", "status", "order_total", "purchase_date")
+    target = o.where(F.col("purchase_date") < F.lit("1999-01-01").cast("date")).drop("purchase_date")
+    source = (o.where(F.col("purchase_date") >= F.lit("1998-01-01").cast("date")).drop("purchase_date")
+              .withColumn("status", F.lit("F")))
     path = fresh(spark, "snk12")
     W.upsert(target, source, ["order_id"]).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
