@@ -76,4 +76,7 @@ def pseudonymise(c, salt: str) -> Column:
 
 
 def zero_pad(c, width: int) -> Column:
-    return F.lpad(_c(c).cast("string"), width, "0")
+    """Left-pad with zeros to ``width``; longer values are kept whole
+    (``lpad`` alone would cut them and make ids collide)."""
+    s = _c(c).cast("string")
+    return F.when(F.length(s) >= width, s).otherwise(F.lpad(s, width, "0"))
