@@ -241,7 +241,8 @@ def _(spark, sf):
             .where(F.col("n") > 1))
 
 
-_DAYS_SPARK = F.datediff(F.col("delivered_ts"), F.col("purchase_ts"))
+def _days():
+    return F.datediff(F.col("delivered_ts"), F.col("purchase_ts"))
 _DAYS_SQL = "date_diff('day', CAST(purchase_ts AS DATE), CAST(delivered_ts AS DATE))"
 
 
@@ -261,7 +262,7 @@ def _(spark, sf):
     t = Tables(spark, sf)
     d = (m.deliveries(t).where(F.col("delivered_ts").isNotNull())
          .join(m.customers(t).select("customer_id", "state"), "customer_id")
-         .withColumn("days", _DAYS_SPARK))
+         .withColumn("days", _days()))
     return d.groupBy("state").agg(
         F.round(F.percentile("days", 0.5), 4).alias("p50"),
         F.round(F.percentile("days", 0.9), 4).alias("p90"),
@@ -504,7 +505,7 @@ def _(spark, sf):
          .join(m.customers(t).select("customer_id", F.col("state").alias("zona")), "customer_id"))
     ok = F.when(F.col("delivered_ts") <= F.col("estimated_ts"), 1.0).otherwise(0.0)
     return d.groupBy("zona").agg(F.round(F.avg(ok), 6).alias("on_time_rate"),
-                                 F.round(F.avg(_DAYS_SPARK), 4).alias("avg_days"))
+                                 F.round(F.avg(_days()), 4).alias("avg_days"))
 
 
 @query("agg39_time_hierarchy_rollup", ctes=("e_orders",), sql="""
@@ -592,7 +593,7 @@ def _(spark, sf):
         F.count(F.lit(1)).alias("n_orders"), m.msum("order_total").alias("spend"),
         F.max("purchase_date").alias("last_purchase"))
     d = (m.deliveries(t).where(F.col("delivered_ts").isNotNull()).groupBy("customer_id").agg(
-        F.round(F.avg(_DAYS_SPARK), 4).alias("avg_delivery_days"),
+        F.round(F.avg(_days()), 4).alias("avg_delivery_days"),
         F.count_if(F.col("delivered_ts") > F.col("estimated_ts")).alias("late_orders")))
     p = m.fact_sales(t).groupBy("customer_id").agg(
         F.countDistinct("category").alias("n_categories"))

@@ -10,7 +10,8 @@ from cuenca.plans import model as m
 from cuenca.plans.registry import query
 from cuenca.sources.tables import Tables
 
-REV = {"total_revenue": m.msum("revenue")}
+def rev():
+    return {"total_revenue": m.msum("revenue")}
 
 
 def month(c="purchase_date"):
@@ -88,7 +89,7 @@ def _(spark, sf):
     customer dimensions (state, segment). Both cubes are aggregated before the
     join, so it is key-unique on each side."""
     t = Tables(spark, sf)
-    sales = olap.roll_up(m.fact_sales(t), ["state", "segment"], REV)
+    sales = olap.roll_up(m.fact_sales(t), ["state", "segment"], rev())
     rv = m.reviews(t).join(m.customers(t), "customer_id")
     revs = olap.roll_up(rv, ["state", "segment"],
                         {"avg_review_score": F.round(F.avg("score"), 4),
@@ -101,7 +102,7 @@ def _(spark, sf):
     FROM fact GROUP BY 1""")
 def _(spark, sf):
     f = m.fact_sales(Tables(spark, sf))
-    return olap.drill_down(f, [F.year("purchase_date").alias("year")], [], REV)[0]
+    return olap.drill_down(f, [F.year("purchase_date").alias("year")], [], rev())[0]
 
 
 @query("agg22_drill_down_year_month", ctes=("fact",), sql="""
@@ -112,7 +113,7 @@ def _(spark, sf):
 def _(spark, sf):
     f = m.fact_sales(Tables(spark, sf))
     return olap.drill_down(f, [F.year("purchase_date").alias("year")],
-                           [F.month("purchase_date").alias("month")], REV)[1]
+                           [F.month("purchase_date").alias("month")], rev())[1]
 
 
 @query("prj04_drop_measure", ctes=("fact",), sql="""
@@ -175,7 +176,7 @@ def _(spark, sf):
     FROM fact GROUP BY ROLLUP (state, CAST(date_trunc('month', purchase_date) AS DATE))""")
 def _(spark, sf):
     f = m.fact_sales(Tables(spark, sf)).withColumn("order_month", month())
-    return olap.rollup_levels(f, ["state", "order_month"], REV)
+    return olap.rollup_levels(f, ["state", "order_month"], rev())
 
 
 @query("agg17_rollup_year_month_day", ctes=("fact",), sql="""
@@ -189,7 +190,7 @@ def _(spark, sf):
     f = m.fact_sales(Tables(spark, sf)).select(
         F.year("purchase_date").alias("year"), F.month("purchase_date").alias("month"),
         F.dayofmonth("purchase_date").alias("day"), "revenue")
-    return olap.rollup_levels(f, ["year", "month", "day"], REV)
+    return olap.rollup_levels(f, ["year", "month", "day"], rev())
 
 
 @query("flt08_slice_year", ctes=("fact",), sql="""
@@ -199,7 +200,7 @@ def _(spark, sf):
     """Slice: fix year = 1997 and drop the time dimension."""
     f = m.fact_sales(Tables(spark, sf))
     return olap.roll_up(olap.slice_(f, F.year("purchase_date") == 1997),
-                        ["category", "state"], REV)
+                        ["category", "state"], rev())
 
 
 @query("srt01_top_categories", ctes=("fact",), sql="""
@@ -208,7 +209,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Top-k by an aggregate: TakeOrderedAndProject, no global sort."""
     f = m.fact_sales(Tables(spark, sf))
-    return olap.sort_members(olap.roll_up(f, ["category"], REV),
+    return olap.sort_members(olap.roll_up(f, ["category"], rev()),
                              F.desc("total_revenue"), "category").limit(10)
 
 
@@ -222,6 +223,6 @@ def _(spark, sf):
     f = m.fact_sales(Tables(spark, sf))
 
     def cube(y):
-        return (olap.roll_up(olap.slice_(f, F.year("purchase_date") == y), ["category"], REV)
+        return (olap.roll_up(olap.slice_(f, F.year("purchase_date") == y), ["category"], rev())
                 .select(F.lit(y).alias("year"), "category", "total_revenue"))
     return olap.union_cubes(cube(1997), cube(1998))
