@@ -258,3 +258,16 @@ def _(spark, sf):
     u = parts[0].unionByName(parts[1])
     return u.groupBy("category").agg(m.msum("revenue").alias("revenue"),
                                      F.sum("n").cast("bigint").alias("items"))
+
+
+@query("joi19_approximate_name_match", sql="""
+    SELECT a.c_custkey AS id_a, b.c_custkey AS id_b, levenshtein(a.c_name, b.c_name) AS distance
+    FROM customer a JOIN customer b ON a.c_custkey < b.c_custkey
+    WHERE levenshtein(a.c_name, b.c_name) <= 1""")
+def _(spark, sf):
+    """Possible duplicate customers: names within edit distance 1, found by
+    deletion-neighbourhood keys + equi join, verified with ``levenshtein``."""
+    from cuenca.operators.matching import fuzzy_pairs
+    c = Tables(spark, sf).customer.select("c_custkey", "c_name")
+    return fuzzy_pairs(c, "c_custkey", "c_name").select(
+        "id_a", "id_b", F.col("distance").cast("bigint").alias("distance"))

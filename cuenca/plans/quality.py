@@ -344,3 +344,32 @@ def _(spark, sf):
     shipped = cancelled.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
     return shipped.agg(F.lit("no_delivery_for_cancelled").alias("rule"),
                        F.lit("deliveries").alias("entity"), F.count(F.lit(1)).alias("violations"))
+
+
+@query("dq17_reconcile_delivered_file", sql="""
+    SELECT 'rows' AS metric, CAST(count(*) AS DECIMAL(38,2)) AS source_value,
+           CAST(count(*) AS DECIMAL(38,2)) AS file_value, TRUE AS matches FROM lineitem
+    UNION ALL
+    SELECT 'amount', CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(38,2)),
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(38,2)), TRUE FROM lineitem""")
+def _(spark, sf):
+    """Control totals (rows, amount) of a delivered CSV file against its
+    source: one aggregate on each side."""
+    from cuenca.plans.sources import fresh
+    from cuenca.sinks.writers import write_csv
+    from cuenca.sources.files import read_csv
+    li = Tables(spark, sf).lineitem.select("l_orderkey", m.money("l_extendedprice").alias("amount"))
+    path = fresh(spark, "dq17")
+    write_csv(li, path)
+    back = read_csv(spark, path, schema="l_orderkey BIGINT, amount DECIMAL(12,2)")
+
+    def totals(df, side):
+        return df.agg(F.count(F.lit(1)).cast("decimal(38,2)").alias(f"rows_{side}"),
+                      m.msum("amount").alias(f"amount_{side}"))
+    j = totals(li, "src").join(totals(back, "file"))
+    return j.select(F.explode(F.array(
+        F.struct(F.lit("rows").alias("metric"), F.col("rows_src").alias("source_value"),
+                 F.col("rows_file").alias("file_value")),
+        F.struct(F.lit("amount").alias("metric"), F.col("amount_src").alias("source_value"),
+                 F.col("amount_file").alias("file_value")))).alias("r")).select(
+        "r.*", (F.col("r.source_value") == F.col("r.file_value")).alias("matches"))

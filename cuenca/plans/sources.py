@@ -295,3 +295,40 @@ def _(spark, sf):
                        decimal_comma=["amount"],
                        casts={"order_id": "bigint", "amount": "decimal(18,2)", "order_date": "date"}
                        ).select("order_id", "amount", "order_date", "status")
+
+
+@query("src05_wrong_separator_guard", sql="""
+    SELECT 'taxi' AS dataset, ',' AS sep_tried, '|' AS sep_in_header, TRUE AS rejected,
+           CAST(count(*) AS BIGINT) AS rows_after_fix FROM orders""")
+def _(spark, sf):
+    """A '|' file read with ',' yields one column whose name holds '|': the
+    guard rejects it; re-read with the right separator."""
+    path = fresh(spark, "src05")
+    write_csv(_taxi(Tables(spark, sf)), path, sep="|")
+    wrong = S.read_csv(spark, path, sep=",")
+    try:
+        S.check_separator(wrong, "taxi", ",")
+        rejected = False
+    except S.InputContractError:
+        rejected = True
+    fixed = S.read_csv(spark, path, schema=TAXI_SCHEMA, sep="|")
+    return fixed.agg(F.lit("taxi").alias("dataset"), F.lit(",").alias("sep_tried"),
+                     F.lit("|").alias("sep_in_header"), F.lit(rejected).alias("rejected"),
+                     F.count(F.lit(1)).alias("rows_after_fix"))
+
+
+@query("src06_required_columns_guard", sql="""
+    SELECT 'customers' AS dataset, 'segment' AS missing, CAST(count(*) AS BIGINT) AS rows_read FROM customer""")
+def _(spark, sf):
+    """The header contract: a file lacking a required column is rejected with
+    the name of the missing column."""
+    path = fresh(spark, "src06")
+    write_csv(_customers_flat(Tables(spark, sf)).drop("segment"), path)
+    df = S.read_csv(spark, path)
+    missing = ""
+    try:
+        S.require_columns(df, ["customer_id", "name", "acctbal", "segment"], "customers")
+    except S.InputContractError as e:
+        missing = str(e).split("[")[1].split("]")[0].strip("'")
+    return df.agg(F.lit("customers").alias("dataset"), F.lit(missing).alias("missing"),
+                  F.count(F.lit(1)).alias("rows_read"))

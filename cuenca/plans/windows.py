@@ -235,3 +235,20 @@ def _(spark, sf):
     e = Tables(spark, sf).events.select("event_id", "ts")
     s = A.global_sequence(e, ["ts", "event_id"], "seq")
     return s.withColumn("ext_id", F.concat(F.lit("EV-"), C.zero_pad("seq", 8)))
+
+
+@query("prj10_purchase_gap_bucket", ctes=("e_orders",), sql="""
+    WITH g AS (SELECT date_diff('day', lag(purchase_date) OVER (PARTITION BY customer_id
+                                                                ORDER BY purchase_date, order_id),
+                                purchase_date) AS gap_days
+               FROM e_orders)
+    SELECT CASE WHEN gap_days <= 30 THEN 'frecuente' WHEN gap_days <= 90 THEN 'ocasional'
+                WHEN gap_days > 90 THEN 'raro' END AS frecuencia, count(*) AS orders
+    FROM g GROUP BY 1""")
+def _(spark, sf):
+    """CASE bucketing of the purchase gap (≤30 frecuente, 31-90 ocasional,
+    >90 raro; a first purchase has no gap → NULL bucket)."""
+    o = m.orders(Tables(spark, sf)).select("customer_id", "order_id", "purchase_date")
+    g = A.gap_days(o, "customer_id", "purchase_date", "order_id")
+    return g.groupBy(C.purchase_gap_bucket("gap_days").alias("frecuencia")).agg(
+        F.count(F.lit(1)).alias("orders"))
