@@ -3,7 +3,9 @@
 Plain ``Window.partitionBy(key)`` puts every row of a key in one task. The
 helpers below use the plain window where the partitions are bounded (small
 aggregates, top-k with a partial limit) and a two-level form where a key can
-hold a third of the data (running totals, global sequence numbers).
+hold a third of the data: running totals, LAG, RANK/DENSE_RANK and global
+sequence numbers work per (key, bucket) plus small per-bucket offsets, and
+exact percentiles run over (key, value) counts.
 """
 
 from __future__ import annotations
@@ -113,3 +115,88 @@ def global_sequence(df: DataFrame, order: Sequence[str], out: str = "seq",
     return (s.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
             .withColumn(out, F.col("_off") + local + 1)
             .drop("_pid", "_mid", "_off"))
+
+
+def _value_buckets(df: DataFrame, keys: list, value: str, n_buckets: int) -> DataFrame:
+    """Bucket rows by value quantiles of their key: ``_b`` = number of the
+    key's approximate quantile boundaries below the value. Equal values share
+    a bucket, and a higher bucket only holds strictly greater values. The
+    boundary table (one row per key) is joined back on the key; AQE's skew
+    join splits a hot key's partition."""
+    ps = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = df.groupBy(*keys).agg(F.percentile_approx(value, ps, 10000).alias("_bounds"))
+    j = df.join(bounds, keys)
+    v = F.col(value)
+    return j.withColumn("_b", F.size(F.filter("_bounds", lambda x: x < v))).drop("_bounds")
+
+
+def rank_within(df: DataFrame, keys, value: str, out: str = "rnk", dense_out: str | None = None,
+                n_buckets: int = 16) -> DataFrame:
+    """RANK (and DENSE_RANK) by ``value`` descending within ``keys``, without
+    putting a whole key in one window partition.
+
+    Rows are split into value-quantile buckets per key; a window per
+    (key, bucket) ranks locally; per-bucket row counts (and distinct-value
+    counts) prefix-summed from the top bucket give the offset of each
+    bucket. rank = offset + local rank (ties stay in one bucket)."""
+    keys = _cols(keys)
+    d = _value_buckets(df, keys, value, n_buckets)
+    w = Window.partitionBy(*keys, "_b").orderBy(F.col(value).desc())
+    d = d.withColumn("_lr", F.rank().over(w))
+    if dense_out:
+        d = d.withColumn("_ldr", F.dense_rank().over(w))
+    cnt = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"),
+                                     F.countDistinct(value).alias("_nd"))
+    above = Window.partitionBy(*keys).orderBy(F.col("_b").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    off = cnt.select(*keys, "_b", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_off"),
+                     F.coalesce(F.sum("_nd").over(above), F.lit(0)).alias("_doff"))
+    r = d.join(off, keys + ["_b"]).withColumn(out, (F.col("_off") + F.col("_lr")).cast("int"))
+    if dense_out:
+        r = r.withColumn(dense_out, (F.col("_doff") + F.col("_ldr")).cast("int"))
+    return r.drop("_b", "_lr", "_ldr", "_off", "_doff")
+
+
+def previous_within(df: DataFrame, keys, order: Sequence[str], col: str, bucket: Column,
+                    out: str) -> DataFrame:
+    """LAG(col) within ``keys`` in ``order``, skew-proof. ``bucket`` must be
+    non-decreasing along ``order`` and ``col`` must be the first order
+    column (e.g. a date). Inside a (key, bucket) window LAG is local; the
+    first row of a bucket takes the last value of the key's previous bucket
+    (one aggregate row per bucket)."""
+    keys = _cols(keys)
+    d = df.withColumn("_bkt", bucket)
+    w = Window.partitionBy(*keys, "_bkt").orderBy(*order)
+    d = d.withColumn("_lag", F.lag(col).over(w))
+    last = d.groupBy(*keys, "_bkt").agg(F.max(col).alias("_last"))
+    prev = Window.partitionBy(*keys).orderBy("_bkt")
+    last = last.select(*keys, "_bkt", F.lag("_last").over(prev).alias("_prev_bucket_last"))
+    return (d.join(last, keys + ["_bkt"])
+            .withColumn(out, F.coalesce("_lag", "_prev_bucket_last"))
+            .drop("_bkt", "_lag", "_prev_bucket_last"))
+
+
+def percentiles_from_counts(df: DataFrame, keys, value: str, ps: dict) -> DataFrame:
+    """Exact PERCENTILE_CONT per key for a value with a bounded domain
+    (days, cents): rows are first counted per (key, value) with partial
+    aggregation, then the interpolation runs over the distinct values only.
+    Memory is bounded by the value domain, not by the rows of a key.
+    ``ps`` maps output column → fraction."""
+    keys = _cols(keys)
+    c = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*keys).orderBy(value)
+    c = (c.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+         .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
+    aggs = []
+    for name, p in ps.items():
+        h = F.lit(p) * (F.col("_n") - 1)
+        lo_i, hi_i = F.floor(h), F.ceil(h)
+        aggs += [F.min(F.when(F.col("_cum") > lo_i, F.col(value))).alias(f"_{name}_lo"),
+                 F.min(F.when(F.col("_cum") > hi_i, F.col(value))).alias(f"_{name}_hi"),
+                 F.first(h - lo_i).alias(f"_{name}_f")]
+    g = c.groupBy(*keys).agg(*aggs)
+    for name in ps:
+        lo, hi, fr = (F.col(f"_{name}_lo").cast("double"), F.col(f"_{name}_hi").cast("double"),
+                      F.col(f"_{name}_f"))
+        g = g.withColumn(name, lo + (hi - lo) * fr)
+    return g.select(*keys, *ps.keys())

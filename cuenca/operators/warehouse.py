@@ -118,8 +118,11 @@ def retain(df: DataFrame, ts_col: str, ref_date: str, days: int | None = None,
 
 
 def treat_outliers(df: DataFrame, col: str, p: float = 0.99, how: str = "flag") -> DataFrame:
-    """drop / flag / cap values above the p-th percentile (a scalar subquery)."""
-    thr = df.select(F.percentile(F.col(col).cast("double"), p)).scalar()
+    """drop / flag / cap values above the p-th percentile. The exact
+    percentile is read from counts per distinct value (bounded by the value
+    domain) and used as a scalar subquery."""
+    from cuenca.operators.analytics import percentiles_from_counts
+    thr = percentiles_from_counts(df, [], col, {"p": p}).scalar()
     v = F.col(col).cast("double")
     if how == "drop":
         return df.where(v <= thr)

@@ -82,9 +82,12 @@ def _(spark, sf):
            CAST(dense_rank() OVER (PARTITION BY category ORDER BY revenue DESC) AS INTEGER) AS dense_rnk
     FROM pr""")
 def _(spark, sf):
+    """RANK and DENSE_RANK of products inside their category. A category
+    holds a sixth of all products, so the ranking is two-level (value
+    buckets per category + bucket offsets) instead of one window per
+    category."""
     pr = _product_revenue(Tables(spark, sf))
-    w = Window.partitionBy("category").orderBy(F.desc("revenue"))
-    return pr.withColumns({"rnk": F.rank().over(w), "dense_rnk": F.dense_rank().over(w)})
+    return A.rank_within(pr, "category", "revenue", "rnk", "dense_rnk")
 
 
 def _monthly(t):
@@ -133,6 +136,16 @@ def _(spark, sf):
                     F.sum("revenue").over(w).cast("decimal(38,2)").alias("running_total"))
 
 
+def _gaps(t):
+    """Days since the customer's previous purchase. LAG runs per (customer,
+    month) with the previous month's last date as the carry, so a customer
+    with a third of all orders is spread over its months."""
+    o = m.orders(t).select("customer_id", "order_id", "purchase_date")
+    g = A.previous_within(o, "customer_id", ["purchase_date", "order_id"], "purchase_date",
+                          F.trunc("purchase_date", "month"), "prev_date")
+    return g.withColumn("gap_days", F.datediff("purchase_date", "prev_date")).drop("prev_date")
+
+
 @query("win09_gap_days_between_purchases", ctes=("e_orders",), sql="""
     WITH g AS (SELECT customer_id, order_id, purchase_date,
                       date_diff('day', lag(purchase_date) OVER (PARTITION BY customer_id
@@ -145,8 +158,7 @@ def _(spark, sf):
     FROM g""")
 def _(spark, sf):
     """LAG gap in days between a customer's purchases + CASE bucket (PRJ10)."""
-    o = m.orders(Tables(spark, sf)).select("customer_id", "order_id", "purchase_date")
-    g = A.gap_days(o, "customer_id", "purchase_date", "order_id")
+    g = _gaps(Tables(spark, sf))
     return g.withColumn("frecuencia", C.purchase_gap_bucket("gap_days"))
 
 
@@ -176,22 +188,22 @@ def _(spark, sf):
     FROM r WHERE rnk <= 20""")
 def _(spark, sf):
     """Seller rank per year with share and cumulative share, top 20.
-    Windows run over the (year, seller) aggregate."""
+
+    Only the top 20 per year are ranked in a window (partial WindowGroupLimit
+    before the shuffle); the year totals are a separate aggregate. The
+    running share of a top-20 row only involves rows ranked above it, so it
+    is computed over the ≤ 20 kept rows."""
     f = m.fact_sales(Tables(spark, sf))
     s = f.groupBy(F.year("purchase_date").alias("year"), "seller_id").agg(
         F.sum("revenue").alias("revenue"))
-    w = Window.partitionBy("year").orderBy(F.desc("revenue"), "seller_id")
-    wy = Window.partitionBy("year")
-    r = s.select("year", "seller_id", "revenue",
-                 F.rank().over(w).alias("rnk"),
-                 (F.col("revenue").cast("double") / F.sum(F.col("revenue").cast("double")).over(wy))
-                 .alias("share"),
-                 F.sum("revenue").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_rev"),
-                 F.sum("revenue").over(wy).alias("year_rev"))
-    return r.where(F.col("rnk") <= 20).select(
+    totals = s.groupBy("year").agg(F.sum("revenue").alias("year_rev"))
+    order = [F.desc("revenue"), F.col("seller_id")]
+    top = A.top_n_per_group(s, "year", order, 20, F.rank, "rnk").join(totals, "year")
+    w = Window.partitionBy("year").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return top.select(
         "year", "seller_id", F.col("revenue").cast("decimal(38,2)").alias("revenue"), "rnk",
-        F.round("share", 6).alias("share"),
-        F.round(F.col("cum_rev").cast("double") / F.col("year_rev").cast("double"), 6)
+        F.round(F.col("revenue").cast("double") / F.col("year_rev").cast("double"), 6).alias("share"),
+        F.round(F.sum("revenue").over(w).cast("double") / F.col("year_rev").cast("double"), 6)
         .alias("cum_share"))
 
 
@@ -248,7 +260,6 @@ def _(spark, sf):
 def _(spark, sf):
     """CASE bucketing of the purchase gap (≤30 frecuente, 31-90 ocasional,
     >90 raro; a first purchase has no gap → NULL bucket)."""
-    o = m.orders(Tables(spark, sf)).select("customer_id", "order_id", "purchase_date")
-    g = A.gap_days(o, "customer_id", "purchase_date", "order_id")
+    g = _gaps(Tables(spark, sf))
     return g.groupBy(C.purchase_gap_bucket("gap_days").alias("frecuencia")).agg(
         F.count(F.lit(1)).alias("orders"))

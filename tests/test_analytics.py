@@ -46,3 +46,30 @@ def test_pct_change_handles_zero_base(spark):
     df = spark.createDataFrame([(1, 0.0), (2, 5.0), (3, 10.0)], "m int, v double")
     out = {r.m: r.pct_change for r in A.pct_change(df, "m", "v").collect()}
     assert out[1] is None and out[2] is None and out[3] == 100.0
+
+
+def test_rank_within_matches_window_with_ties(spark):
+    df = _skewed(spark).withColumn("val", (F.col("eid") % 50).cast("decimal(12,2)"))
+    got = A.rank_within(df, "k", "val", "r", "dr", n_buckets=8)
+    w = Window.partitionBy("k").orderBy(F.desc("val"))
+    exp = df.withColumn("r", F.rank().over(w)).withColumn("dr", F.dense_rank().over(w))
+    assert got.select("eid", "r", "dr").exceptAll(exp.select("eid", "r", "dr")).count() == 0
+    assert got.count() == df.count()
+
+
+def test_previous_within_matches_lag(spark):
+    df = _skewed(spark).withColumn("d", F.to_date("ts"))
+    got = A.previous_within(df, "k", ["d", "eid"], "d", F.trunc("d", "month"), "prev")
+    exp = df.withColumn("prev", F.lag("d").over(Window.partitionBy("k").orderBy("d", "eid")))
+    assert got.select("eid", "prev").exceptAll(exp.select("eid", "prev")).count() == 0
+
+
+def test_percentiles_from_counts_equal_exact_percentile(spark):
+    df = _skewed(spark).withColumn("x", (F.col("eid") * 7 % 101).cast("int"))
+    got = {r.k: (r.p50, r.p90) for r in
+           A.percentiles_from_counts(df, "k", "x", {"p50": 0.5, "p90": 0.9}).collect()}
+    exp = {r.k: (r.p50, r.p90) for r in df.groupBy("k").agg(
+        F.percentile("x", 0.5).alias("p50"), F.percentile("x", 0.9).alias("p90")).collect()}
+    assert got.keys() == exp.keys()
+    for k in exp:
+        assert abs(got[k][0] - exp[k][0]) < 1e-9 and abs(got[k][1] - exp[k][1]) < 1e-9
