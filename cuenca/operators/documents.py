@@ -25,6 +25,23 @@ def embed_children(parent: DataFrame, child: DataFrame, key: str, fields: list[s
             .withColumn(name, F.coalesce(F.col(name), F.array().cast(arr.schema[name].dataType))))
 
 
+def bucket_documents(df: DataFrame, keys: list[str], order: list[str], fields: list[str],
+                     name: str, max_items: int, time_bucket: Column) -> DataFrame:
+    """Bucket pattern: documents of at most ``max_items`` children per key
+    (e.g. a sensor-day holding its readings), numbered ``chunk`` 0, 1, …
+
+    The position of each row inside its key comes from the skew-proof
+    running count (per key and ``time_bucket``, plus offsets), so no key is
+    collected whole: every document is bounded by ``max_items``."""
+    from cuenca.operators.analytics import running_sum
+    d = df.withColumn("_one", F.lit(1).cast("long"))
+    d = running_sum(d, keys, order, "_one", time_bucket, out="_pos")
+    d = d.withColumn("chunk", F.floor((F.col("_pos") - 1) / max_items).cast("int"))
+    return d.groupBy(*keys, "chunk").agg(
+        F.sort_array(F.collect_list(F.struct(*order, *[f for f in fields if f not in order])))
+        .alias(name))
+
+
 def unwind(df: DataFrame, array_col: str, alias: str | None = None, outer: bool = False,
            position: str | None = None) -> DataFrame:
     """Mongo ``$unwind``: one row per element. ``outer`` keeps empty/NULL

@@ -631,21 +631,28 @@ def _(spark, sf):
 
 
 @query("agg47_day_documents", sql="""
-    SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n_readings,
+    WITH r AS (SELECT user_id, CAST(ts AS DATE) AS day, ts, event_id, value,
+                      (row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) - 1)
+                          // 200 AS chunk
+               FROM events)
+    SELECT user_id, day, CAST(chunk AS INTEGER) AS chunk, count(*) AS n_readings,
            string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ts, event_id) AS readings,
            round(sum(value), 4) AS total_value
-    FROM events GROUP BY 1, 2""")
-def _(spark, sf):
-    """One document per (user, day) holding its readings in time order.
-    The group is one user's day, bounded by the feed rate."""
-    e = Tables(spark, sf).events
-    g = e.groupBy("user_id", F.to_date("ts").alias("day")).agg(
-        F.count(F.lit(1)).alias("n_readings"),
-        F.sort_array(F.collect_list(F.struct("ts", "event_id", "value"))).alias("arr"),
-        F.round(F.sum("value"), 4).alias("total_value"))
-    return g.select("user_id", "day", "n_readings",
-                    F.array_join(F.transform("arr", lambda x: x["event_id"].cast("string")), ",")
-                    .alias("readings"), "total_value")
+    FROM r GROUP BY 1, 2, 3""")
+def _(spark, sf):
+    """Day documents holding an array of readings (the bucket pattern): one
+    document per (device, day, chunk) with at most 200 readings in time
+    order, so a busy device never becomes one unbounded row."""
+    from cuenca.operators import documents as D
+    e = Tables(spark, sf).events.withColumn("day", F.to_date("ts"))
+    docs = D.bucket_documents(e, ["user_id", "day"], ["ts", "event_id"], ["value"], "readings_arr",
+                              200, F.date_trunc("hour", "ts"))
+    return docs.select(
+        "user_id", "day", "chunk", F.size("readings_arr").cast("bigint").alias("n_readings"),
+        F.array_join(F.transform("readings_arr", lambda x: x["event_id"].cast("string")), ",")
+        .alias("readings"),
+        F.round(F.aggregate("readings_arr", F.lit(0.0), lambda acc, x: acc + x["value"]), 4)
+        .alias("total_value"))
 
 
 @query("agg48_high_value_summary", ctes=("e_orders",), sql=f"""

@@ -104,18 +104,21 @@ JUMP_STATE = "last_ts timestamp, last_value double"
 def _jump_fn(threshold: float):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         prev = state.get if state.exists else None
-        last_ts, last_val = (prev[0], prev[1]) if prev else (None, None)
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["ts", "event_id"], kind="mergesort")
-            vals = pdf["value"].tolist()
-            prevs = [last_val] + vals[:-1]
-            out = pdf[["user_id", "event_id", "ts", "value"]].copy()
-            out["prev_value"] = prevs
-            out["jump"] = [p is not None and not pd.isna(p) and abs(v - p) > threshold
-                           for v, p in zip(vals, prevs)]
-            last_ts, last_val = pdf["ts"].iloc[-1], vals[-1]
-            yield out
-        state.update((last_ts, last_val))
+        last_val = prev[1] if prev else None
+        # one device's rows of this micro-batch (bounded by the trigger's
+        # maxFilesPerTrigger / maxOffsetsPerTrigger), in time order
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"],
+                                                                     kind="mergesort")
+        if pdf.empty:
+            return
+        vals = pdf["value"].tolist()
+        prevs = [last_val] + vals[:-1]
+        out = pdf[["user_id", "event_id", "ts", "value"]].copy()
+        out["prev_value"] = prevs
+        out["jump"] = [p is not None and not pd.isna(p) and abs(v - p) > threshold
+                       for v, p in zip(vals, prevs)]
+        state.update((pdf["ts"].iloc[-1], vals[-1]))
+        yield out
     return fn
 
 

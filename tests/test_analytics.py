@@ -73,3 +73,13 @@ def test_percentiles_from_counts_equal_exact_percentile(spark):
     assert got.keys() == exp.keys()
     for k in exp:
         assert abs(got[k][0] - exp[k][0]) < 1e-9 and abs(got[k][1] - exp[k][1]) < 1e-9
+
+
+def test_bucket_documents_bounded_and_complete(spark):
+    from cuenca.operators.documents import bucket_documents
+    df = _skewed(spark)
+    docs = bucket_documents(df, ["k"], ["ts", "eid"], ["v"], "items", 100, F.date_trunc("hour", "ts"))
+    sizes = [r[0] for r in docs.select(F.size("items")).collect()]
+    assert max(sizes) <= 100 and sum(sizes) == df.count()
+    hot = [e for r in docs.where("k = 0").orderBy("chunk").collect() for e in [x.eid for x in r["items"]]]
+    assert hot == sorted(hot) and len(hot) == df.where("k = 0").count()
