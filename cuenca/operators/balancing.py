@@ -70,37 +70,47 @@ def allocate_interval(needs: DataFrame, sources: DataFrame, keep_self: bool = Fa
     exactly one source range and one need range are active (the last one
     started). Summing the elementary segment lengths per (source, need)
     equals max(0, min(ends) − max(starts)) for every pair, without forming
-    the pairs."""
+    the pairs. Each input is read once: its ranges are exploded into start
+    and end points that carry the store attributes, and one window over the
+    points does the sweep."""
     n = _ranges(needs, ["prioridad_reposicion", "Sucursal", "Temporada"], "A_Reponer",
                 "need_idx", "need_lo", "need_hi")
     s = _ranges(sources, ["prioridad_retiro", "Sucursal"], "stock", "src_idx", "src_lo", "src_hi")
-    tot_n = n.groupBy(SKU).agg(F.max("need_hi").alias("tot_need"))
-    tot_s = s.groupBy(SKU).agg(F.max("src_hi").alias("tot_src"))
-    null_i = F.lit(None).cast("int")
-    pts = (s.select(SKU, F.col("src_lo").alias("pos"), F.col("src_idx").alias("s_i"), null_i.alias("n_i"))
-           .unionByName(s.select(SKU, F.col("src_hi").alias("pos"), null_i.alias("s_i"), null_i.alias("n_i")))
-           .unionByName(n.select(SKU, F.col("need_lo").alias("pos"), null_i.alias("s_i"),
-                                 F.col("need_idx").alias("n_i")))
-           .unionByName(n.select(SKU, F.col("need_hi").alias("pos"), null_i.alias("s_i"),
-                                 null_i.alias("n_i"))))
-    w = Window.partitionBy(SKU).orderBy("pos", F.col("s_i").asc_nulls_first(),
-                                        F.col("n_i").asc_nulls_first())
+    ns, ni = F.lit(None).cast("string"), F.lit(None).cast("int")
+
+    def point(pos, s_i, d, oc, n_i, h, tmp, dc, end_n, end_s):
+        return F.struct(pos.alias("pos"), s_i.alias("s_i"), d.alias("DESDE"), oc.alias("orig_corto"),
+                        n_i.alias("n_i"), h.alias("HACIA"), tmp.alias("Temporada"),
+                        dc.alias("dest_corto"), end_n.alias("end_n"), end_s.alias("end_s"))
+
+    zero = F.lit(None).cast("double")
+    src_pts = s.select(SKU, F.explode(F.array(
+        point(F.col("src_lo"), F.col("src_idx"), F.col("Sucursal"), F.col("orig_corto"),
+              ni, ns, ns, ns, zero, zero),
+        point(F.col("src_hi"), ni, ns, ns, ni, ns, ns, ns, zero, F.col("src_hi")))).alias("p"))
+    need_pts = n.select(SKU, F.explode(F.array(
+        point(F.col("need_lo"), ni, ns, ns, F.col("need_idx"), F.col("Sucursal"), F.col("Temporada"),
+              F.col("dest_corto"), zero, zero),
+        point(F.col("need_hi"), ni, ns, ns, ni, ns, ns, ns, F.col("need_hi"), zero))).alias("p"))
+    pts = src_pts.unionByName(need_pts).select(SKU, "p.*")
+    by_sku = Window.partitionBy(SKU)
+    w = by_sku.orderBy("pos", F.col("s_i").asc_nulls_first(), F.col("n_i").asc_nulls_first())
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seg = (pts.withColumn("cur_s", F.last("s_i", ignorenulls=True).over(upto))
-           .withColumn("cur_n", F.last("n_i", ignorenulls=True).over(upto))
+    carried = {c: F.last(c, ignorenulls=True).over(upto)
+               for c in ("s_i", "DESDE", "orig_corto", "n_i", "HACIA", "Temporada", "dest_corto")}
+    seg = (pts.withColumns(carried)
            .withColumn("nxt", F.lead("pos").over(w))
-           .join(tot_n, SKU).join(tot_s, SKU)
+           .withColumn("tot_need", F.max("end_n").over(by_sku))
+           .withColumn("tot_src", F.max("end_s").over(by_sku))
            .where((F.col("nxt") > F.col("pos")) & (F.col("pos") < F.col("tot_need"))
-                  & (F.col("pos") < F.col("tot_src")) & F.col("cur_s").isNotNull()
-                  & F.col("cur_n").isNotNull())
+                  & (F.col("pos") < F.col("tot_src")) & F.col("s_i").isNotNull()
+                  & F.col("n_i").isNotNull())
            .withColumn("len", F.least("nxt", "tot_need", "tot_src") - F.col("pos")))
-    alloc = seg.groupBy(SKU, F.col("cur_s").alias("src_idx"), F.col("cur_n").alias("need_idx")).agg(
+    alloc = seg.groupBy(SKU, F.col("s_i").alias("src_idx"), F.col("n_i").alias("need_idx"),
+                        "DESDE", "orig_corto", "HACIA", "Temporada", "dest_corto").agg(
         F.sum("len").alias("CANTIDAD"))
-    return (alloc.join(s.select(SKU, "src_idx", F.col("Sucursal").alias("DESDE"), "orig_corto"),
-                       [SKU, "src_idx"])
-            .join(n.select(SKU, "need_idx", F.col("Sucursal").alias("HACIA"), "Temporada", "dest_corto"),
-                  [SKU, "need_idx"])
-            .where((F.col("CANTIDAD") > 0) & (F.lit(keep_self) | (F.col("DESDE") != F.col("HACIA")))))
+    return alloc.where((F.col("CANTIDAD") > 0)
+                       & (F.lit(keep_self) | (F.col("DESDE") != F.col("HACIA"))))
 
 
 GREEDY_SCHEMA = ("`ID interno` string, need_rank int, src_rank int, Temporada string, HACIA string, "
