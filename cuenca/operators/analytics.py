@@ -14,7 +14,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cuenca.session import checkpoint_dir
+from cuenca.session import checkpoint_dir, materialize
 
 
 def _cols(cs) -> list:
@@ -91,19 +91,24 @@ def pct_change(df: DataFrame, order: str, value: str, out: str = "pct_change",
 
 
 def global_sequence(df: DataFrame, order: Sequence[str], out: str = "seq",
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, expensive_input: bool = False) -> DataFrame:
     """Dense 1..N sequence over a total order, without a single-partition window.
 
     The rows are range-partitioned and sorted; ``monotonically_increasing_id``
     numbers rows inside each partition; a per-partition count (one row per
     partition: a proven size bound) is prefix-summed and broadcast as the
-    partition offset. The sorted data is checkpointed to the shared
-    checkpoint folder first, so the counts and the numbering read the very
-    same partitions even if an executor is lost.
+    partition offset. The numbered rows are checkpointed once to the shared
+    checkpoint folder (reliable checkpoint, lineage cut), so the counts and
+    the numbering read the very same (partition, id) values even if an
+    executor is lost.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if expensive_input:
+        # range partitioning samples its input in a separate job; write an
+        # expensive input once so the sample and the shuffle read the table
+        df = materialize(df)
+    checkpoint_dir(spark)
     s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id())

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cuenca.plans import model as m
 from cuenca.plans.registry import query
+from cuenca.session import materialize
 from cuenca.sources.tables import Tables
 
 
@@ -80,7 +81,7 @@ def _(spark, sf):
     rewrite needs only the top-2 per customer: the max of the others is the
     runner-up for the unique top order and the top for everyone else.
     Three aggregates, no pairs."""
-    of = _order_freight(Tables(spark, sf)).select("order_id", "customer_id", "freight")
+    of = materialize(_order_freight(Tables(spark, sf)).select("order_id", "customer_id", "freight"))
     top = of.groupBy("customer_id").agg(F.max("freight").alias("max1"))
     j = of.join(top, "customer_id")
     stats = j.groupBy("customer_id").agg(

@@ -8,6 +8,7 @@ from cuenca.functions import columns as C
 from cuenca.operators import analytics as A
 from cuenca.plans import model as m
 from cuenca.plans.registry import query
+from cuenca.session import materialize
 from cuenca.sources.tables import Tables
 
 
@@ -86,7 +87,7 @@ def _(spark, sf):
     holds a sixth of all products, so the ranking is two-level (value
     buckets per category + bucket offsets) instead of one window per
     category."""
-    pr = _product_revenue(Tables(spark, sf))
+    pr = materialize(_product_revenue(Tables(spark, sf)))
     return A.rank_within(pr, "category", "revenue", "rnk", "dense_rnk")
 
 

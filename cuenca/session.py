@@ -74,3 +74,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for staged tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"
+
+
+def materialize(df):
+    """Write an intermediate that several branches of a plan consume as a
+    parquet table in the shared checkpoint folder and continue from it: the
+    expensive upstream (joins, aggregates) runs once, each branch reads only
+    its columns, and the lineage is cut, so a lost executor re-reads the
+    table instead of recomputing it."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"mat-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
