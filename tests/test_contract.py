@@ -15,5 +15,5 @@ def test_keys_and_oracles():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     for k in q:
-        assert re.match(r"^[a-z]{3}\d{2}_[a-z0-9_]+$", k), k
+        assert re.match(r"^[a-z]{2,3}\d{2}_[a-z0-9_]+$", k), k
     assert len(q) >= 200
