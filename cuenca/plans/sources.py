@@ -238,7 +238,7 @@ def _(spark, sf):
     name = "ext_events_" + uuid.uuid4().hex[:8]
     spark.sql(f"CREATE TABLE {name} (event_id BIGINT, value DOUBLE, dt DATE) "
               f"USING parquet PARTITIONED BY (dt) LOCATION '{path}'")
-    e.repartition("dt").write.mode("overwrite").partitionBy("dt").parquet(path)
+    e.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").parquet(path)
     spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name).groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
 

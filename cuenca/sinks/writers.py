@@ -2,9 +2,11 @@
 key-value items, JSON documents and upserts.
 
 Every writer is a distributed Spark write; nothing is collected. Partitioned
-writes shuffle on the partition columns first, so each task writes few
-files, and use dynamic partition overwrite so a re-run replaces only the
-partitions it produces.
+writes are shuffled on the partition columns with a REBALANCE hint: rows of
+one partition value go to few tasks (few files), and AQE splits a value that
+holds a large share of the rows (a hot day) across several tasks instead of
+one. Dynamic partition overwrite makes a re-run replace only the partitions
+it produces.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ def write_by_day(df: DataFrame, path: str, time_col: str, mode: str = "overwrite
     d = (df.where(F.col(time_col).isNotNull())
          .withColumns({"year": F.year(time_col), "month": F.month(time_col),
                        "day": F.dayofmonth(time_col)}))
-    (d.repartition("year", "month", "day").write.mode(mode)
+    (d.hint("rebalance", "year", "month", "day").write.mode(mode)
      .partitionBy("year", "month", "day").parquet(path))
 
 
@@ -28,7 +30,7 @@ def write_by_month(df: DataFrame, path: str, time_col: str, mode: str = "overwri
     """Month-partitioned, time-ordered table (files sorted by time inside
     each partition, so min/max statistics prune time ranges)."""
     d = df.withColumns({"year": F.year(time_col), "month": F.month(time_col)})
-    (d.repartition("year", "month").sortWithinPartitions(time_col).write.mode(mode)
+    (d.hint("rebalance", "year", "month").sortWithinPartitions(time_col).write.mode(mode)
      .partitionBy("year", "month").parquet(path))
 
 
@@ -37,7 +39,7 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     """Partitioned parquet, re-runnable per partition (dynamic overwrite)."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (df.repartition(*partition_cols).write.mode(mode).option("compression", compression)
+    (df.hint("rebalance", *partition_cols).write.mode(mode).option("compression", compression)
      .partitionBy(*partition_cols).parquet(path))
 
 
