@@ -72,13 +72,33 @@ def _window_cols(wcol):
             F.col(f"{wcol}.end").cast("timestamp_ntz").alias("window_end")]
 
 
+@query("str03_tumbling_window_append", sql="""
+    SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+           event_type, count(*) AS n, round(sum(value), 4) AS total
+    FROM events GROUP BY 1, 2, 3
+    HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+def _(spark, sf):
+    """The production form: append mode with a 10-minute watermark into a
+    file sink. A window is written once, when the watermark passes its end,
+    and its state is then dropped, so state stays bounded by the lateness.
+    After a replay the sink holds exactly the windows the final watermark
+    (latest event − 10 minutes) has closed."""
+    agg = ST.tumbling_counts(_events_stream(spark, sf), "event_type", "value", "1 hour", "10 minutes")
+    out, ck = fresh(spark, "str03b_out"), fresh(spark, "str03b_ck")
+    ST.run_available(agg, ck, out, mode="append")
+    r = spark.read.parquet(out)
+    return r.select(*_window_cols("w"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
 @query("str03_tumbling_window_aggregate", sql="""
     SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
            event_type, count(*) AS n, round(sum(value), 4) AS total
     FROM events GROUP BY 1, 2, 3""")
 def _(spark, sf):
-    """Hourly tumbling counts/sums per type with a 10-minute watermark
-    (complete mode → the whole result table in the sink)."""
+    """Hourly tumbling counts/sums per type with a 10-minute watermark,
+    replayed in complete mode so the sink holds every window (including the
+    still-open last ones). ``str03_tumbling_window_append`` is the form for a
+    long-running stream."""
     agg = ST.tumbling_counts(_events_stream(spark, sf), "event_type", "value", "1 hour", "10 minutes")
     out, ck = fresh(spark, "str03_out"), fresh(spark, "str03_ck")
     ST.run_available(agg, ck, mode="complete", batch_writer=ST.overwrite_to(out))
@@ -116,6 +136,25 @@ def _(spark, sf):
     return spark.read.parquet(out).select(*_window_cols("s"), "user_id", "n")
 
 
+@query("str04_session_window_append", sql="""
+    WITH g AS (SELECT user_id, ts,
+                      CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+                             OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 30 MINUTE
+                           THEN 1 ELSE 0 END AS new_s FROM events),
+    s AS (SELECT user_id, ts, sum(new_s) OVER (PARTITION BY user_id ORDER BY ts
+                                               ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+    SELECT min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, user_id, count(*) AS n
+    FROM s GROUP BY user_id, sid
+    HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+def _(spark, sf):
+    """Sessions in append mode: a session is written once the watermark
+    passes its end (last event + gap) and its state is dropped."""
+    agg = ST.session_counts(_events_stream(spark, sf), "user_id", "30 minutes", "10 minutes")
+    out, ck = fresh(spark, "str04c_out"), fresh(spark, "str04c_ck")
+    ST.run_available(agg, ck, out, mode="append")
+    return spark.read.parquet(out).select(*_window_cols("s"), "user_id", "n")
+
+
 @query("str05_critical_temperature_alert", ctes=("e_deliveries",), sql="""
     WITH drv AS (SELECT customer_id AS vehiculo, arg_max(status, (purchase_ts, order_id)) AS conductor
                  FROM e_deliveries GROUP BY 1)
