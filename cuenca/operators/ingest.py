@@ -102,3 +102,16 @@ def clean_sales(df: DataFrame, min_amount: float = 0, inclusive: bool = True,
     keep = amt >= min_amount if inclusive else amt > min_amount
     return (df.withColumn(amount_col, amt).where(keep)
             .withColumn(date_col, F.try_to_date(F.col(date_col).cast("string"))))
+
+
+def load_payload(raw: DataFrame, body_col: str, record_schema, time_col: str | None = None) -> DataFrame:
+    """API payload rows → flat typed rows: unwrap ``data`` / ``result`` /
+    bare lists, flatten nested fields to dotted names, find the time column
+    by name when not given and parse it (bad values → NULL)."""
+    from cuenca.operators.documents import flatten, unwrap_payload
+    from cuenca.sources.files import find_time_column
+    rows = flatten(unwrap_payload(raw, body_col, record_schema))
+    tc = time_col or find_time_column(rows)
+    if tc is None:
+        raise ValueError(f"no time column among {rows.columns}")
+    return rows.withColumn(tc, F.try_to_timestamp(F.col(tc).cast("string")).cast("timestamp_ntz"))

@@ -140,3 +140,8 @@ def null_counts(df: DataFrame) -> DataFrame:
     agg = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"c{i}") for i, c in enumerate(cols)])
     stack = ", ".join(f"'{c}', c{i}" for i, c in enumerate(cols))
     return agg.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, nulls)")
+
+
+def quality_report(df: DataFrame, rules: Sequence[Rule], entity: str = "dataset") -> DataFrame:
+    """``report`` with the (df, rules) argument order of the job signature."""
+    return report(df, entity, rules)

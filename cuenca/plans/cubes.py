@@ -157,8 +157,8 @@ def _(spark, sf):
     """PIVOT clause form: explicit value list (no distinct pre-pass)."""
     t = Tables(spark, sf)
     o = m.orders(t).join(m.customers(t), "customer_id")
-    return (o.groupBy("state").pivot("status", ["F", "O", "P"]).count()
-            .withColumnsRenamed({"F": "delivered", "O": "shipped", "P": "canceled"}))
+    p = olap.pivot(o, ["state"], "status", ["F", "O", "P"], F.count(F.lit(1)), fill=None)
+    return p.withColumnsRenamed({"F": "delivered", "O": "shipped", "P": "canceled"})
 
 
 @query("prj02_rename_measure", ctes=("fact",), sql="""

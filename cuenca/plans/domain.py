@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cuenca.operators import documents as D
 from cuenca.operators import ingest as I
 from cuenca.operators import quality as Q
 from cuenca.plans import model as m
@@ -193,9 +192,8 @@ def _(spark, sf):
     raw = e.select(F.concat(F.lit('{"data": '), rec, F.lit("}")).alias("body"))
     schema = StructType([StructField("fecha", StringType()), StructField("region", StringType()),
                          StructField("valor", DoubleType())])
-    rows = D.flatten(D.unwrap_payload(raw, "body", schema))
+    rows = I.load_payload(raw, "body", schema)
     tc = S.find_time_column(rows)
-    rows = rows.withColumn(tc, F.try_to_timestamp(tc).cast("timestamp_ntz"))
     path = fresh(spark, "pip14")
     W.write_by_day(rows, path, tc)
     back = spark.read.parquet(path)

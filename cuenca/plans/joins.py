@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cuenca.functions import columns as C
 from cuenca.operators import analytics as A
 from cuenca.plans import model as m
 from cuenca.plans.registry import query

@@ -9,7 +9,6 @@ from cuenca.operators import warehouse as WH
 from cuenca.plans import model as m
 from cuenca.plans.joins import dim_tiempo
 from cuenca.plans.registry import query
-from cuenca.plans.sources import fresh
 from cuenca.sources.tables import Tables
 
 

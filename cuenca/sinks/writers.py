@@ -11,9 +11,9 @@ it produces.
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def write_by_day(df: DataFrame, path: str, time_col: str, mode: str = "overwrite") -> None:
@@ -126,3 +126,8 @@ def latest_wins(df: DataFrame, keys: Sequence[str], version_col: str) -> DataFra
     other = [c for c in df.columns if c not in keys]
     g = df.groupBy(*keys).agg(F.max_by(F.struct(*other), F.col(version_col)).alias("_r"))
     return g.select(*keys, "_r.*")
+
+
+def daily_items(df: DataFrame, time_col: str, region_col: str | None = None) -> DataFrame:
+    """Key-value items per (day, region) — see ``kv_day_items``."""
+    return kv_day_items(df, time_col, region_col)

@@ -156,3 +156,8 @@ def overwrite_to(path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(path)
     return write
+
+
+def enrich(stream: DataFrame, source: str) -> DataFrame:
+    """The record transform of the delivery stream (``enrich_records``)."""
+    return enrich_records(stream, source)
