@@ -78,7 +78,6 @@ def _(spark, sf):
 def _customer_snapshots(t):
     """Snapshot v1 (customers with balance < 9000) and v2 (all customers;
     customers with a negative balance moved to the next nation)."""
-    c = t.customer.join(m.nation_b(t), F.col("c_nationkey") == F.col("n_nationkey"))
     moved = (F.col("c_nationkey") + 1) % 25
     v1 = t.customer.where(F.col("c_acctbal") < 9000).join(
         m.nation_b(t), F.col("c_nationkey") == F.col("n_nationkey")).select(

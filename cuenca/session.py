@@ -59,14 +59,15 @@ def apply_core_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    The cluster names it; only when it is unset (local tests) a scratch folder
-    is created and registered so ``DataFrame.checkpoint()`` works.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    The cluster names it; only when it is unset (local tests) a scratch
+    folder is created and registered on the SparkContext so
+    ``DataFrame.checkpoint()`` works."""
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="cuenca-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
