@@ -148,3 +148,18 @@ def cancel_orders(orders: DataFrame, payments: DataFrame, cancellations: DataFra
     audit = o.where(F.col("_cancel")).select(key, F.col("status").alias("old_status"),
                                              F.lit("canceled").alias("new_status"))
     return new_orders, new_pay, audit
+
+
+def refresh_partitions(source: DataFrame, aggregate, path: str, partition_col: str,
+                       changed: DataFrame) -> None:
+    """Incremental refresh of a partitioned aggregate table (the continuous
+    aggregate / "delete the day range and reload" of the course): only the
+    partitions listed in ``changed`` (one column ``partition_col``) are
+    recomputed from ``source`` and replaced with dynamic partition
+    overwrite; every other partition is left as it is."""
+    spark = source.sparkSession
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    part = source.join(F.broadcast(changed.select(partition_col).distinct()), partition_col, "left_semi")
+    out = aggregate(part)
+    (out.hint("rebalance", partition_col).write.mode("overwrite")
+     .partitionBy(partition_col).parquet(path))

@@ -618,6 +618,34 @@ def _(spark, sf):
         F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("demand"))
 
 
+def _hourly(df):
+    return df.groupBy("day", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("bucket"),
+                      F.col("event_type").alias("region")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("demand"))
+
+
+@query("agg45_incremental_refresh", sql="""
+    SELECT date_trunc('hour', ts) AS bucket, event_type AS region, count(*) AS n,
+           round(sum(value), 4) AS demand, CAST(ts AS DATE) AS day
+    FROM events GROUP BY 1, 2, 5""")
+def _(spark, sf):
+    """Continuous aggregate kept fresh incrementally: the hourly table is
+    built from the first half of the month, then the days touched by the
+    newly arrived events are recomputed and only those day partitions are
+    replaced (dynamic overwrite). The result equals a full rebuild."""
+    from cuenca.operators.warehouse import refresh_partitions
+    from cuenca.plans.sources import fresh
+    e = Tables(spark, sf).events.withColumn("day", F.to_date("ts"))
+    path = fresh(spark, "agg45")
+    cut = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+    early = e.where(F.col("ts") < cut)
+    refresh_partitions(early, _hourly, path, "day", early.select("day").distinct())
+    arrived = e.where(F.col("ts") >= cut)
+    refresh_partitions(e, _hourly, path, "day", arrived.select("day").distinct())
+    back = spark.read.parquet(path)
+    return back.select("bucket", "region", "n", "demand", F.col("day").cast("date"))
+
+
 @query("agg46_clickstream_counts", sql="""
     SELECT CAST(ts AS DATE) AS day, event_type AS channel,
            CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 AS campaign, count(*) AS events
