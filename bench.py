@@ -7,7 +7,7 @@ JSON line: {"metric", "value", "unit", "queries": {key: sec}, "sf"}.
 Each query is executed to completion with the ``noop`` sink (every row is
 computed, nothing is collected to the driver). A warm-up run of each query
 is excluded (JVM code generation and file listing); the time is the best of
-``$BENCH_REPEAT`` (default 1) measured runs.
+``$BENCH_REPEAT`` (default 2) measured runs.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "4"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
     from cuenca.session import get_session
     from cuenca.plans.registry import load_all
