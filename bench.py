@@ -16,7 +16,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -56,12 +55,11 @@ def main() -> None:
     from cuenca.session import get_session
     from cuenca.plans.registry import load_all
 
-    scratch = tempfile.mkdtemp(prefix="cuenca-bench-")
+    # spark.checkpoint.dir comes from the environment's Spark defaults;
+    # cuenca.session.checkpoint_dir falls back to a scratch folder if unset.
     spark = get_session(
         f"local[{cpus}]", app="cuenca-bench", shuffle_partitions=max(8, 2 * cpus),
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g"),
-               "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
-               "spark.sql.warehouse.dir": os.path.join(scratch, "wh"),
                "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     reg = load_all()
