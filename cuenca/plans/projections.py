@@ -22,15 +22,15 @@ def _(spark, sf):
 
 @query("prj05_derived_income", ctes=("e_retail",), sql="""
     SELECT transaccion_id, tienda_id, producto_id, cantidad, precio_unitario,
-           cantidad * precio_unitario AS ingreso,
-           cantidad * precio_unitario * 1.19 AS amount_with_tax
+           CAST(cantidad * precio_unitario AS DECIMAL(18,2)) AS ingreso,
+           CAST(CAST(cantidad * precio_unitario AS DECIMAL(18,2)) * 1.19 AS DECIMAL(18,4)) AS amount_with_tax
     FROM e_retail""")
 def _(spark, sf):
     """Derived income = quantity × unit price, and amount with 19% tax (decimal)."""
     r = m.retail(Tables(spark, sf))
     return (r.select("transaccion_id", "tienda_id", "producto_id", "cantidad", "precio_unitario")
-            .withColumn("ingreso", F.col("cantidad") * F.col("precio_unitario"))
-            .withColumn("amount_with_tax", F.expr("ingreso * 1.19")))
+            .withColumn("ingreso", (F.col("cantidad") * F.col("precio_unitario")).cast("decimal(18,2)"))
+            .withColumn("amount_with_tax", F.expr("ingreso * 1.19").cast("decimal(18,4)")))
 
 
 @query("prj06_high_value_flag", ctes=("e_orders",), sql="""

@@ -163,7 +163,7 @@ def _(spark, sf):
     li = Tables(spark, sf).lineitem
     price, disc, tax = m.money("l_extendedprice"), m.money("l_discount"), m.money("l_tax")
     return li.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"),
-                     (disc * 100).alias("discount_pct"),
+                     (disc * 100).cast("decimal(18,2)").alias("discount_pct"),
                      m.money(F.round(price * (1 - disc), 2)).alias("net"),
                      m.money(F.round(price * (1 - disc) * (1 + tax), 2)).alias("gross"))
 

@@ -41,8 +41,8 @@ def _(spark, sf):
 
 def _order_freight(t):
     """Per-order total and freight with the customer's state."""
-    i = m.items(t).groupBy("order_id").agg(F.sum("price").alias("items_total"),
-                                           F.sum("freight").alias("freight"))
+    i = m.items(t).groupBy("order_id").agg(m.msum("price").alias("items_total"),
+                                           m.msum("freight").alias("freight"))
     return (m.orders(t).select("order_id", "customer_id").join(i, "order_id")
             .join(m.customers(t).select("customer_id", "state"), "customer_id"))
 

@@ -39,7 +39,7 @@ def _(spark, sf):
     FROM e_items""")
 def _(spark, sf):
     i = m.items(Tables(spark, sf)).select("order_id", "item_id", "product_id", "price")
-    tot = F.sum("price").over(Window.partitionBy("order_id"))
+    tot = F.sum("price").over(Window.partitionBy("order_id")).cast("decimal(38,2)")
     return (i.withColumn("order_total", tot)
             .withColumn("share_of_order", F.round(
                 C.share(F.col("price").cast("double"), F.col("order_total").cast("double")), 6)))
