@@ -65,6 +65,18 @@ def family_duck(t: str) -> str:
     return t.lower()
 
 
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                  "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+                  "timestamp": "TIMESTAMP WITH TIME ZONE", "smallint": "SMALLINT",
+                  "tinyint": "TINYINT", "float": "FLOAT"}
+
+
+def exact_spark(t) -> str:
+    """Spark type written the way DuckDB names it (decimal(p,s) → DECIMAL(p,s))."""
+    n = t.simpleString()
+    return _SPARK_TO_DUCK.get(n, n.upper())
+
+
 def norm(v, loose):
     if v is None:
         return None
@@ -114,6 +126,7 @@ def main():
             srows = df.collect()
             scols = df.columns
             sfam = [family_spark(f.dataType) for f in df.schema.fields]
+            sexact = [exact_spark(f.dataType) for f in df.schema.fields]
         except Exception:
             bad += 1
             print(f"FAIL {k}: spark error\n{traceback.format_exc()[-1500:]}")
@@ -128,6 +141,7 @@ def main():
             drows = cur.fetchall()
             dcols = [d[0] for d in cur.description]
             dfam = [family_duck(str(d[1])) for d in cur.description]
+            dexact = [str(d[1]).upper() for d in cur.description]
         except Exception as ex:
             bad += 1
             print(f"FAIL {k}: duckdb error {ex}")
@@ -143,6 +157,12 @@ def main():
             if fs != fd:
                 diff = [(scols[i], a, b) for i, a, b in zip(order_s, fs, fd) if a != b]
                 problems.append(f"types {diff}")
+            else:
+                es = [sexact[i] for i in order_s]
+                ed = [dexact[i] for i in order_d]
+                diff = [(scols[i], a, b) for i, a, b in zip(order_s, es, ed) if a != b]
+                if diff:
+                    problems.append(f"exact types {diff}")
             if len(srows) != len(drows):
                 problems.append(f"rows spark={len(srows)} duck={len(drows)}")
             elif multiset(srows, order_s, False) != multiset(drows, order_d, False):

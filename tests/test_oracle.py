@@ -9,7 +9,7 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
-from oracle_check import family_duck, family_spark, multiset  # noqa: E402
+from oracle_check import exact_spark, family_duck, family_spark, multiset  # noqa: E402
 
 from cuenca.plans.registry import load_all  # noqa: E402
 
@@ -33,6 +33,9 @@ def test_query_matches_oracle(spark, duck, key):
     os_ = sorted(range(len(scols)), key=lambda i: scols[i])
     od = sorted(range(len(dcols)), key=lambda i: dcols[i])
     assert [sfam[i] for i in os_] == [dfam[i] for i in od]
+    sexact = [exact_spark(f.dataType) for f in df.schema.fields]
+    dexact = [str(d[1]).upper() for d in cur.description]
+    assert [sexact[i] for i in os_] == [dexact[i] for i in od]
     assert len(srows) == len(drows)
     assert multiset(srows, os_, True) == multiset(drows, od, True)
 
