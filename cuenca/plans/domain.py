@@ -226,3 +226,41 @@ def _(spark, sf):
     W.write_csv(merged, out, columns=["date", "channel", "city", "orders", "revenue"])
     return S.read_csv(spark, out, schema="date STRING, channel STRING, city STRING, orders BIGINT, "
                                           "revenue DECIMAL(38,2)")
+
+
+_DAILY_SALES_SQL = f"""
+    SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, coalesce(
+               CASE o_orderpriority WHEN '1-URGENT' THEN 'app' WHEN '2-HIGH' THEN 'store'
+                    WHEN '3-MEDIUM' THEN 'online' WHEN '4-NOT SPECIFIED' THEN 'phone' END, 'online') AS channel,
+           n_name AS city, count(*) AS orders,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS revenue,
+           {m.avg_money_sql('CAST(o_totalprice AS DECIMAL(12,2))')} AS avg_ticket
+    FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+    WHERE NOT ((CASE WHEN c_acctbal < 0 THEN TRUE WHEN c_acctbal < 1000 THEN NULL ELSE FALSE END)
+               IS NOT DISTINCT FROM TRUE)
+    GROUP BY 1, 2, 3"""
+
+
+@query("pip15_daily_sales_checks", sql=f"""
+    WITH d AS ({_DAILY_SALES_SQL})
+    SELECT 'null_date' AS rule, 'daily_sales' AS entity, count(*) FILTER (WHERE date IS NULL) AS violations FROM d
+    UNION ALL SELECT 'null_channel', 'daily_sales', count(*) FILTER (WHERE channel IS NULL) FROM d
+    UNION ALL SELECT 'null_city', 'daily_sales', count(*) FILTER (WHERE city IS NULL) FROM d
+    UNION ALL SELECT 'revenue_negative', 'daily_sales', count(*) FILTER (WHERE revenue < 0) FROM d
+    UNION ALL SELECT 'avg_ticket_out_of_range', 'daily_sales',
+                     count(*) FILTER (WHERE avg_ticket < 0 OR avg_ticket > 100000) FROM d
+    UNION ALL SELECT 'unexpected_channel', 'daily_sales',
+                     count(*) FILTER (WHERE channel IS NULL OR channel NOT IN ('online', 'store')) FROM d""")
+def _(spark, sf):
+    """The checks run on the built daily_sales table, reported (not fatal):
+    NULL dimensions, negative revenue, average ticket outside [0, 100000],
+    channel outside the expected list (online, store) — one aggregate pass."""
+    t = Tables(spark, sf)
+    d = daily_sales(order_documents(t), _test_user(t))
+    return Q.evaluate(d, "daily_sales", [
+        Q.Rule("null_date", "not_null", ["date"]),
+        Q.Rule("null_channel", "not_null", ["channel"]),
+        Q.Rule("null_city", "not_null", ["city"]),
+        Q.Rule("revenue_negative", "range", ["revenue"], low=0),
+        Q.Rule("avg_ticket_out_of_range", "range", ["avg_ticket"], low=0, high=100000),
+        Q.Rule("unexpected_channel", "accepted", ["channel"], values=["online", "store"])])
