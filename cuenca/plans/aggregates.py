@@ -131,14 +131,15 @@ def _(spark, sf):
 
 @query("agg10_revenue_per_order_by_category", ctes=("fact",), sql=f"""
     SELECT category, count(DISTINCT order_id) AS orders,
-           CAST(sum(revenue) AS DECIMAL(38,2)) AS revenue,
-           {AVG('revenue', 'count(DISTINCT order_id)')} AS revenue_per_order
+           CAST(sum(price) AS DECIMAL(38,2)) AS revenue,
+           {AVG('price', 'count(DISTINCT order_id)')} AS revenue_per_order
     FROM fact GROUP BY category""")
 def _(spark, sf):
+    """Orders, revenue (sum of item prices) and revenue per order by category."""
     f = m.fact_sales(Tables(spark, sf))
     return f.groupBy("category").agg(
-        F.countDistinct("order_id").alias("orders"), m.msum("revenue").alias("revenue"),
-        m.avg_money("revenue", "count(DISTINCT order_id)").alias("revenue_per_order"))
+        F.countDistinct("order_id").alias("orders"), m.msum("price").alias("revenue"),
+        m.avg_money("price", "count(DISTINCT order_id)").alias("revenue_per_order"))
 
 
 @query("agg11_avg_ticket_by_state", ctes=("fact",), sql=f"""

@@ -41,14 +41,16 @@ def _(spark, sf):
 
 def _order_freight(t):
     """Per-order total and freight with the customer's state."""
-    i = m.items(t).groupBy("order_id").agg(m.msum("price").alias("items_total"),
-                                           m.msum("freight").alias("freight"))
+    i = m.items(t).groupBy("order_id").agg(
+        m.msum(F.col("price") + F.col("freight")).alias("order_total"),
+        m.msum("freight").alias("freight"))
     return (m.orders(t).select("order_id", "customer_id").join(i, "order_id")
             .join(m.customers(t).select("customer_id", "state"), "customer_id"))
 
 
-_OF_SQL = """of AS (SELECT o.order_id, o.customer_id, c.state, sum(i.price) AS items_total,
-                           sum(i.freight) AS freight
+_OF_SQL = """of AS (SELECT o.order_id, o.customer_id, c.state,
+                           CAST(sum(i.price + i.freight) AS DECIMAL(38,2)) AS order_total,
+                           CAST(sum(i.freight) AS DECIMAL(38,2)) AS freight
                     FROM e_orders o JOIN e_items i ON i.order_id = o.order_id
                     JOIN e_customers c ON c.customer_id = o.customer_id
                     GROUP BY 1, 2, 3)"""
@@ -56,17 +58,18 @@ _OF_SQL = """of AS (SELECT o.order_id, o.customer_id, c.state, sum(i.price) AS i
 
 @query("sub03_correlated_state_average", ctes=("e_orders", "e_items", "e_customers"), sql=f"""
     WITH {_OF_SQL}
-    SELECT o.order_id, o.state, o.items_total FROM of o
-    WHERE o.items_total > 60 * (SELECT avg(o2.freight) FROM of o2 WHERE o2.state = o.state)""")
+    SELECT o.order_id, o.state, o.order_total FROM of o
+    WHERE o.order_total > (SELECT avg(o2.freight) FROM of o2 WHERE o2.state = o.state)""")
 def _(spark, sf):
-    """Orders whose item total exceeds 60× the average freight of their state
-    (correlated scalar subquery; Catalyst rewrites it to aggregate + join)."""
+    """Orders whose total (price + freight) exceeds the average freight of
+    their state (correlated scalar subquery; Catalyst rewrites it to
+    aggregate + join)."""
     of = _order_freight(Tables(spark, sf)).alias("o")
     inner = of.alias("o2")
     avg_state = (inner.where(F.col("o2.state") == F.col("o.state").outer())
                  .select(F.avg("o2.freight")).scalar())
-    return of.where(F.col("o.items_total") > 60 * avg_state).select(
-        "o.order_id", "o.state", "o.items_total")
+    return of.where(F.col("o.order_total") > avg_state).select(
+        "o.order_id", "o.state", "o.order_total")
 
 
 @query("sub04_freight_above_other_orders", ctes=("e_orders", "e_items", "e_customers"), sql=f"""
@@ -95,14 +98,14 @@ def _(spark, sf):
 
 @query("sub05_join_rewrite_of_correlated", ctes=("e_orders", "e_items", "e_customers"), sql=f"""
     WITH {_OF_SQL}
-    SELECT o.order_id, o.state, o.items_total FROM of o
-    WHERE o.items_total > 60 * (SELECT avg(o2.freight) FROM of o2 WHERE o2.state = o.state)""")
+    SELECT o.order_id, o.state, o.order_total FROM of o
+    WHERE o.order_total > (SELECT avg(o2.freight) FROM of o2 WHERE o2.state = o.state)""")
 def _(spark, sf):
     """SUB03 written by hand as groupBy + join: same rows."""
     of = _order_freight(Tables(spark, sf))
     avg_state = of.groupBy("state").agg(F.avg("freight").alias("avg_freight"))
-    return (of.join(avg_state, "state").where(F.col("items_total") > 60 * F.col("avg_freight"))
-            .select("order_id", "state", "items_total"))
+    return (of.join(avg_state, "state").where(F.col("order_total") > F.col("avg_freight"))
+            .select("order_id", "state", "order_total"))
 
 
 def _order_totals(t):
