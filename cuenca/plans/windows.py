@@ -165,12 +165,16 @@ def _(spark, sf):
 
 @query("win10_month_over_month", ctes=("fact",), sql=f"""
     WITH {_MONTHLY_SQL}
-    SELECT month, revenue,
+    SELECT month, revenue, lag(revenue) OVER (ORDER BY month) AS prev_revenue,
            round((CAST(revenue AS DOUBLE) - lag(CAST(revenue AS DOUBLE)) OVER (ORDER BY month)) * 100.0
                  / NULLIF(lag(CAST(revenue AS DOUBLE)) OVER (ORDER BY month), 0), 4) AS pct_change
     FROM mr""")
 def _(spark, sf):
-    return A.pct_change(_monthly(Tables(spark, sf)), "month", "revenue")
+    """Monthly revenue, previous month (LAG) and % change; the window runs
+    over the monthly aggregate."""
+    mr = _monthly(Tables(spark, sf))
+    mr = mr.withColumn("prev_revenue", F.lag("revenue").over(Window.orderBy("month")))
+    return A.pct_change(mr, "month", "revenue")
 
 
 @query("win11_seller_ranking_per_year", ctes=("fact",), sql="""
