@@ -25,9 +25,11 @@ def silver_inputs(t: Tables):
     supp = t.supplier.join(F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey")).select(
         "s_suppkey", F.col("r_name").alias("Sucursal"))
     li = t.lineitem
+    order_store = (t.orders.select("o_orderkey", "o_custkey")
+                   .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+                   .select("o_orderkey", "Sucursal"))          # order grain first
     ventas = (li.where(F.col("l_linestatus") == "O")
-              .join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+              .join(order_store, F.col("l_orderkey") == F.col("o_orderkey"))
               .select(F.to_date("l_shipdate").alias("Fecha"), "Sucursal",
                       F.col("l_partkey").cast("string").alias(B.SKU),
                       F.col("l_returnflag").alias("Temporada"),
