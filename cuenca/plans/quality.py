@@ -364,9 +364,11 @@ def _(spark, sf):
     back = read_csv(spark, path, schema="l_orderkey BIGINT, amount DECIMAL(12,2)")
 
     def totals(df, side):
-        return df.agg(F.count(F.lit(1)).cast("decimal(38,2)").alias(f"rows_{side}"),
-                      m.msum("amount").alias(f"amount_{side}"))
-    j = totals(li, "src").join(totals(back, "file"))
+        return df.agg(F.lit(side).alias("side"), F.count(F.lit(1)).cast("decimal(38,2)").alias("rows"),
+                      m.msum("amount").alias("amount"))
+    both = totals(li, "src").unionByName(totals(back, "file"))
+    j = both.agg(*[F.max(F.when(F.col("side") == s, F.col(c))).alias(f"{c}_{s}")
+                   for s in ("src", "file") for c in ("rows", "amount")])
     return j.select(F.explode(F.array(
         F.struct(F.lit("rows").alias("metric"), F.col("rows_src").alias("source_value"),
                  F.col("rows_file").alias("file_value")),
