@@ -46,3 +46,27 @@ def test_surrogate_keys_with_unknown_member(spark):
     d = spark.createDataFrame([("b",), ("a",)], "code string")
     out = sorted((r.sk, r.code) for r in WH.with_surrogate_key(d, "code", "sk", {"code": None}).collect())
     assert out == [(-1, None), (1, "a"), (2, "b")]
+
+
+def test_documents_are_sent_in_bounded_batches(spark, tmp_path):
+    """Rows → JSON documents → per-partition batched bulk calls from the
+    executors (the sink writes one file per call here)."""
+    import json
+    import os
+    import uuid
+
+    from cuenca.sinks.writers import to_json_documents, write_documents
+    out = str(tmp_path)
+    df = spark.range(2500).selectExpr("id AS customer_id", "id % 7 AS segment").repartition(3)
+
+    def sink(batch):
+        with open(os.path.join(out, uuid.uuid4().hex + ".json"), "w") as f:
+            f.write("\n".join(batch))
+
+    write_documents(to_json_documents(df, "customer_id"), sink, batch_size=400)
+    sizes, ids = [], set()
+    for name in os.listdir(out):
+        lines = open(os.path.join(out, name)).read().splitlines()
+        sizes.append(len(lines))
+        ids.update(json.loads(x)["_id"] for x in lines)
+    assert max(sizes) <= 400 and sum(sizes) == 2500 and len(ids) == 2500
