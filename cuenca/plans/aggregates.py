@@ -435,6 +435,57 @@ def _(spark, sf):
             .orderBy(F.desc("late_rate"), "category").limit(5))
 
 
+@query("agg31_delivery_days_by_score", ctes=("e_deliveries", "e_reviews"), sql=f"""
+    WITH cs AS (SELECT customer_id, arg_max(score, (review_ts, review_id)) AS review_score
+                FROM e_reviews GROUP BY 1)
+    SELECT cs.review_score, count(*) AS orders, round(avg({_DAYS_SQL}), 4) AS avg_delivery_days
+    FROM e_deliveries d JOIN cs USING (customer_id)
+    WHERE d.delivered_ts IS NOT NULL GROUP BY 1""")
+def _(spark, sf):
+    """Average delivery time per review score. A review belongs to a
+    customer here, so each customer is reduced to one score (the latest
+    review, ``max_by``) before meeting the orders: one partner per order."""
+    t = Tables(spark, sf)
+    cs = m.reviews(t).groupBy("customer_id").agg(
+        F.max_by("score", F.struct("review_ts", "review_id")).alias("review_score"))
+    d = m.deliveries(t).where(F.col("delivered_ts").isNotNull()).join(cs, "customer_id")
+    return d.groupBy("review_score").agg(F.count(F.lit(1)).alias("orders"),
+                                         F.round(F.avg(_days()), 4).alias("avg_delivery_days"))
+
+
+@query("agg31_worst_categories_composite", ctes=("fact", "e_deliveries", "e_reviews"), sql="""
+    WITH cs AS (SELECT customer_id, avg(score) AS cust_score FROM e_reviews GROUP BY 1),
+    c AS (SELECT f.category, avg(cs.cust_score) AS avg_score,
+                 avg(CASE WHEN d.delivered_ts > d.estimated_ts THEN 1.0 ELSE 0.0 END) AS late_rate
+          FROM fact f JOIN e_deliveries d ON d.order_id = f.order_id
+          JOIN cs ON cs.customer_id = f.customer_id
+          WHERE d.delivered_ts IS NOT NULL GROUP BY 1),
+    r AS (SELECT category, avg_score, late_rate,
+                 rank() OVER (ORDER BY avg_score) + rank() OVER (ORDER BY late_rate DESC) AS badness
+          FROM c)
+    SELECT category, round(avg_score, 4) AS avg_score, round(late_rate, 6) AS late_rate,
+           CAST(badness AS INTEGER) AS badness
+    FROM r ORDER BY badness, category LIMIT 5""")
+def _(spark, sf):
+    """Five worst categories by a documented composite: rank by low average
+    review score + rank by high late-delivery rate (lower sum = worse). The
+    per-customer score and the per-order delivery are aggregated before the
+    joins; the ranking runs over the per-category aggregate."""
+    from pyspark.sql import Window
+    t = Tables(spark, sf)
+    cs = m.reviews(t).groupBy("customer_id").agg(F.avg("score").alias("cust_score"))
+    d = m.deliveries(t).where(F.col("delivered_ts").isNotNull()).select(
+        "order_id", "delivered_ts", "estimated_ts")
+    j = (m.fact_sales(t).select("order_id", "customer_id", "category").join(d, "order_id")
+         .join(cs, "customer_id"))
+    late = F.when(F.col("delivered_ts") > F.col("estimated_ts"), 1.0).otherwise(0.0)
+    c = j.groupBy("category").agg(F.avg("cust_score").alias("avg_score"), F.avg(late).alias("late_rate"))
+    badness = F.rank().over(Window.orderBy("avg_score")) + F.rank().over(Window.orderBy(F.desc("late_rate")))
+    return (c.select("category", F.round("avg_score", 4).alias("avg_score"),
+                     F.round("late_rate", 6).alias("late_rate"), badness.cast("int").alias("badness"))
+            .orderBy("badness", "category").limit(5))
+
+
 @query("agg32_review_labels_by_state", ctes=("e_reviews", "e_customers"), sql="""
     SELECT c.state, CASE WHEN score BETWEEN 1 AND 2 THEN 'mala' WHEN score = 3 THEN 'neutral'
                          WHEN score BETWEEN 4 AND 5 THEN 'buena' END AS review_label,
