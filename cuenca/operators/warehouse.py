@@ -108,6 +108,17 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, cols: Sequence[str])
     return out
 
 
+def audit_changes(old: DataFrame, new: DataFrame, key: str, col: str, changed_at,
+                  carry: Sequence[str] = ()) -> DataFrame:
+    """Audit rows ``(key, carry…, old_<col>, new_<col>, changed_at)`` for the
+    rows whose ``col`` changed between two snapshots (NULL-safe) — what an
+    update trigger would have logged."""
+    j = old.alias("a").join(new.alias("b"), key)
+    return j.where(~F.col(f"a.{col}").eqNullSafe(F.col(f"b.{col}"))).select(
+        key, *[F.col(f"a.{c}").alias(c) for c in carry], F.col(f"a.{col}").alias(f"old_{col}"),
+        F.col(f"b.{col}").alias(f"new_{col}"), F.lit(changed_at).cast("timestamp_ntz").alias("changed_at"))
+
+
 def retain(df: DataFrame, ts_col: str, ref_date: str, days: int | None = None,
            months: int | None = None) -> DataFrame:
     """Keep rows newer than ``ref_date`` minus the retention period (a

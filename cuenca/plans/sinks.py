@@ -211,14 +211,20 @@ _DAILY_SQL = """
     FROM e_payments p JOIN e_orders o ON o.order_id = p.order_id GROUP BY 1"""
 
 
-@query("snk15_full_refresh_aggregate", ctes=("e_payments", "e_orders"), sql=_DAILY_SQL)
+@query("snk15_full_refresh_aggregate", ctes=("fact",), sql="""
+    SELECT purchase_date AS order_date, CAST(sum(price + freight) AS DECIMAL(38,2)) AS revenue
+    FROM fact GROUP BY 1""")
 def _(spark, sf):
-    """``refresh_daily_revenue``: the table is created empty, then refreshed."""
+    """``refresh_daily_revenue``: daily revenue (price + freight by purchase
+    date) replaces the content of ``agg_daily_revenue`` (INSERT OVERWRITE).
+    The table is created empty, then refreshed."""
     t = Tables(spark, sf)
-    name = _tname("daily_revenue")
-    spark.sql(f"CREATE TABLE {name} (order_date DATE, revenue DECIMAL(38,2), orders BIGINT) "
+    name = _tname("agg_daily_revenue")
+    spark.sql(f"CREATE TABLE {name} (order_date DATE, revenue DECIMAL(38,2)) "
               f"USING parquet LOCATION '{fresh(spark, 'snk15')}'")
-    refresh_table(spark, name, _daily_revenue(t))
+    daily = m.fact_sales(t).groupBy(F.col("purchase_date").alias("order_date")).agg(
+        m.msum(F.col("price") + F.col("freight")).alias("revenue"))
+    refresh_table(spark, name, daily)
     return spark.table(name)
 
 

@@ -210,20 +210,21 @@ def _(spark, sf):
 
 
 @query("pip17_change_audit", ctes=("e_reviews",), sql="""
-    WITH old AS (SELECT review_id, score FROM e_reviews),
+    WITH old AS (SELECT review_id, customer_id, score FROM e_reviews),
     new AS (SELECT review_id, CASE WHEN review_kind = 'error' THEN score % 5 + 1 ELSE score END AS score
             FROM e_reviews)
-    SELECT o.review_id, 'score' AS "column", CAST(o.score AS VARCHAR) AS old_value,
-           CAST(n.score AS VARCHAR) AS new_value
+    SELECT o.review_id, o.customer_id, o.score AS old_score, n.score AS new_score,
+           TIMESTAMP '2024-02-01 00:00:00' AS changed_at
     FROM old o JOIN new n USING (review_id) WHERE o.score IS DISTINCT FROM n.score""")
 def _(spark, sf):
     """Audit ``old_score → new_score`` between two review snapshots (the
     trigger's effect, computed as a snapshot diff)."""
     r = m.reviews(Tables(spark, sf))
-    old = r.select("review_id", "score")
+    old = r.select("review_id", "customer_id", "score")
     new = r.select("review_id", F.when(F.col("review_kind") == "error", F.col("score") % 5 + 1)
                    .otherwise(F.col("score")).alias("score"))
-    return WH.snapshot_diff(old, new, "review_id", ["score"])
+    return WH.audit_changes(old, new, "review_id", "score", "2024-02-01 00:00:00",
+                            carry=["customer_id"])
 
 
 @query("pip18_outliers_flag_and_cap", ctes=("e_items",), sql="""
