@@ -88,3 +88,24 @@ def materialize(df):
     path = scratch_path(spark, f"mat-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of input.
+
+    Shuffles start with enough partitions that each holds about
+    ``target_partition_bytes`` of the largest shuffled input (never fewer than
+    two waves of cores); AQE then coalesces small ones and splits skewed
+    ones. Scans use the same split size, so a task's input fits in executor
+    memory and spills stay local. At 100 TB this gives ~400k initial shuffle
+    partitions, which AQE reduces to what the data really needs."""
+    slots = max(1, executor_cores * executors)
+    parts = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
