@@ -91,17 +91,20 @@ def materialize(df):
 
 
 def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
-                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+                 target_partition_bytes: int = 256 << 20, shuffle_fraction: float = 0.25,
+                 max_shuffle_partitions: int = 100_000) -> dict[str, str]:
     """Partition sizing for a run over ``input_bytes`` of input.
 
-    Shuffles start with enough partitions that each holds about
-    ``target_partition_bytes`` of the largest shuffled input (never fewer than
-    two waves of cores); AQE then coalesces small ones and splits skewed
-    ones. Scans use the same split size, so a task's input fits in executor
-    memory and spills stay local. At 100 TB this gives ~400k initial shuffle
-    partitions, which AQE reduces to what the data really needs."""
+    Scans split input into ``target_partition_bytes`` pieces. Shuffles start
+    with enough partitions for the shuffled share of the input
+    (``shuffle_fraction``: projections and partial aggregates shrink it) at
+    about ``target_partition_bytes`` each, never fewer than two waves of
+    cores and capped to keep shuffle metadata manageable; AQE then coalesces
+    small partitions and splits skewed ones. At 100 TB on 1000 × 8 cores
+    this starts shuffles at ~100k partitions."""
     slots = max(1, executor_cores * executors)
-    parts = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    parts = -(-int(input_bytes * shuffle_fraction) // target_partition_bytes)
+    parts = min(max(2 * slots, parts), max(max_shuffle_partitions, 2 * slots))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
