@@ -200,29 +200,42 @@ def dim_tiempo(spark, df, date_col: str):
 
 @query("joi16_role_playing_date_dimension", ctes=("e_deliveries",), sql="""
     WITH d AS (SELECT order_id, CAST(purchase_ts AS DATE) AS purchase_date,
-                      CAST(estimated_ts AS DATE) AS promised_date FROM e_deliveries),
+                      CAST(estimated_ts AS DATE) AS promised_date,
+                      CAST(delivered_ts AS DATE) AS actual_date FROM e_deliveries),
+    span AS (SELECT purchase_date AS x FROM d UNION ALL SELECT promised_date FROM d
+             UNION ALL SELECT actual_date FROM d WHERE actual_date IS NOT NULL),
     cal AS (SELECT CAST(x AS DATE) AS fecha FROM (SELECT unnest(generate_series(
-                (SELECT min(purchase_date) FROM d), (SELECT max(promised_date) FROM d), INTERVAL 1 DAY)) AS x)),
+                (SELECT min(x) FROM span), (SELECT max(x) FROM span), INTERVAL 1 DAY)) AS x)),
     dim AS (SELECT fecha, CAST(year(fecha) AS INTEGER) AS anio, CAST(month(fecha) AS INTEGER) AS mes,
                    CAST(dayofweek(fecha) + 1 AS INTEGER) AS dia_semana FROM cal)
     SELECT d.order_id, p.anio AS purchase_year, p.mes AS purchase_month,
-           e.anio AS promised_year, e.mes AS promised_month, e.dia_semana AS promised_weekday
-    FROM d JOIN dim p ON p.fecha = d.purchase_date JOIN dim e ON e.fecha = d.promised_date""")
+           e.anio AS promised_year, e.mes AS promised_month, e.dia_semana AS promised_weekday,
+           a.anio AS actual_year, a.mes AS actual_month
+    FROM d JOIN dim p ON p.fecha = d.purchase_date JOIN dim e ON e.fecha = d.promised_date
+    LEFT JOIN dim a ON a.fecha = d.actual_date""")
 def _(spark, sf):
-    """One date dimension joined twice under two roles (purchase, promised)."""
+    """One date dimension joined under three roles: purchase, promised and
+    actual delivery (left join: undelivered orders keep NULLs). The
+    dimension is a calendar, one row per day of the span, so it is broadcast."""
     d = m.deliveries(Tables(spark, sf)).select(
         "order_id", F.to_date("purchase_ts").alias("purchase_date"),
-        F.to_date("estimated_ts").alias("promised_date"))
-    span = d.select(F.col("purchase_date").alias("x")).unionByName(
-        d.select(F.col("promised_date").alias("x")))
-    dim = dim_tiempo(spark, span, "x")
-    p = dim.select(F.col("fecha").alias("purchase_date"), F.col("anio").alias("purchase_year"),
-                   F.col("mes").alias("purchase_month"))
-    e = dim.select(F.col("fecha").alias("promised_date"), F.col("anio").alias("promised_year"),
-                   F.col("mes").alias("promised_month"), F.col("dia_semana").alias("promised_weekday"))
-    return (d.join(p, "purchase_date").join(e, "promised_date")
+        F.to_date("estimated_ts").alias("promised_date"),
+        F.to_date("delivered_ts").alias("actual_date"))
+    span = (d.select(F.col("purchase_date").alias("x"))
+            .unionByName(d.select(F.col("promised_date").alias("x")))
+            .unionByName(d.where(F.col("actual_date").isNotNull()).select(F.col("actual_date").alias("x"))))
+    dim = F.broadcast(dim_tiempo(spark, span, "x"))
+
+    def role(name, weekday=False):
+        cols = [F.col("fecha").alias(f"{name}_date"), F.col("anio").alias(f"{name}_year"),
+                F.col("mes").alias(f"{name}_month")]
+        if weekday:
+            cols.append(F.col("dia_semana").alias(f"{name}_weekday"))
+        return dim.select(*cols)
+    return (d.join(role("purchase"), "purchase_date").join(role("promised", True), "promised_date")
+            .join(role("actual"), "actual_date", "left")
             .select("order_id", "purchase_year", "purchase_month", "promised_year",
-                    "promised_month", "promised_weekday"))
+                    "promised_month", "promised_weekday", "actual_year", "actual_month"))
 
 
 @query("joi17_orders_item_counts_first20", ctes=("e_orders", "e_items"), sql="""

@@ -160,7 +160,7 @@ def _(spark, sf):
     f = (m.items(t).join(o.select("order_id", "customer_id", "purchase_date"), "order_id")
          .join(m.customers(t).select("customer_id", "state"), "customer_id"))
     f = WH.lookup_sk(f, zona, "state", "state", "zona_sk")
-    f = f.join(tiempo.select(F.col("fecha").alias("purchase_date"), "date_sk"), "purchase_date")
+    f = f.join(F.broadcast(tiempo.select(F.col("fecha").alias("purchase_date"), "date_sk")), "purchase_date")
     return f.select("order_id", "item_id", "date_sk", "zona_sk", "product_id", "price", "freight")
 
 
