@@ -12,6 +12,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from typing import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cuenca.operators import quality as Q
@@ -78,10 +79,18 @@ def raw_to_silver(spark: SparkSession, entity: str, in_path: str, out_path: str,
     failure), then write parquet partitioned by (source, dt) with dynamic
     overwrite so a re-run replaces only that partition."""
     silver = to_silver(read_raw(spark, entity, in_path), entity)
-    if quality_path is not None:
-        Q.gate(Q.report(silver, entity, entity_rules(entity)), quality_path)
     out = silver.withColumns({"source": F.lit(source), "dt": F.lit(dt)})
-    write_partitioned(out, out_path, ["source", "dt"])
+    if quality_path is None:
+        write_partitioned(out, out_path, ["source", "dt"])
+        return out
+    # the gate and the write read the typed rows once from the cache (a lost
+    # executor recomputes its part from the raw files)
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        Q.gate(Q.report(out, entity, entity_rules(entity)), quality_path)
+        write_partitioned(out, out_path, ["source", "dt"])
+    finally:
+        out.unpersist()
     return out
 
 

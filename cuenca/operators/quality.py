@@ -63,19 +63,25 @@ def _violation(rule: Rule) -> Column:
 ROW_KINDS = {"not_null", "not_null_or_empty", "range", "accepted", "date_format", "check"}
 
 
-def evaluate(df: DataFrame, entity: str, rules: Sequence[Rule]) -> DataFrame:
+def evaluate(df: DataFrame, entity: str, rules: Sequence[Rule],
+             row_count_rule: str | None = None) -> DataFrame:
     """Report of ``(rule, entity, violations)`` for every rule.
 
-    Row rules: one pass, one partial aggregate per task. ``unique``: keys
+    Row rules: one pass, one partial aggregate per task (``row_count_rule``
+    adds the row count as one more row of the same pass). ``unique``: keys
     with count > 1 (NULL keys ignored). ``foreign_key``: child rows whose
     non-NULL key has no parent (left anti join)."""
-    spark = df.sparkSession
     parts: list[DataFrame] = []
     row_rules = [r for r in rules if r.kind in ROW_KINDS]
-    if row_rules:
-        agg = df.agg(*[F.count_if(_violation(r)).alias(f"r{i}") for i, r in enumerate(row_rules)])
-        stack = ", ".join(f"'{r.name}', r{i}" for i, r in enumerate(row_rules))
-        parts.append(agg.selectExpr(f"stack({len(row_rules)}, {stack}) AS (rule, violations)"))
+    if row_rules or row_count_rule:
+        aggs = [F.count_if(_violation(r)).alias(f"r{i}") for i, r in enumerate(row_rules)]
+        names = [r.name for r in row_rules]
+        if row_count_rule:
+            aggs.append(F.count(F.lit(1)).alias(f"r{len(row_rules)}"))
+            names.append(row_count_rule)
+        agg = df.agg(*aggs)
+        stack = ", ".join(f"'{n}', r{i}" for i, n in enumerate(names))
+        parts.append(agg.selectExpr(f"stack({len(names)}, {stack}) AS (rule, violations)"))
     for r in rules:
         if r.kind == "unique":
             keyed = df.where(F.greatest(*[F.col(c).isNotNull() for c in r.columns])
@@ -100,11 +106,12 @@ def report(df: DataFrame, entity: str, rules: Sequence[Rule]) -> DataFrame:
     """One-row report: row_count, total violations and the number of failed
     rules (written as JSON before the gate decides; per-rule counts are
     ``evaluate``)."""
-    ev = evaluate(df, entity, rules)
-    row_count = df.select(F.count(F.lit(1))).scalar()
-    return ev.agg(F.lit(entity).alias("entity"), F.first(row_count).alias("row_count"),
-                  F.sum("violations").cast("bigint").alias("violations_total"),
-                  F.count_if(F.col("violations") > 0).alias("rules_failed"))
+    ev = evaluate(df, entity, rules, row_count_rule="__rows__")
+    is_rows = F.col("rule") == "__rows__"
+    return ev.agg(F.lit(entity).alias("entity"),
+                  F.max(F.when(is_rows, F.col("violations"))).alias("row_count"),
+                  F.sum(F.when(~is_rows, F.col("violations"))).cast("bigint").alias("violations_total"),
+                  F.count_if(~is_rows & (F.col("violations") > 0)).alias("rules_failed"))
 
 
 class QualityGateError(RuntimeError):
