@@ -113,13 +113,21 @@ def clean_sales(df: DataFrame, min_amount: float = 0, inclusive: bool = True,
             .withColumn(date_col, F.try_to_date(F.col(date_col).cast("string"))))
 
 
-def load_payload(raw: DataFrame, body_col: str, record_schema, time_col: str | None = None) -> DataFrame:
+class EmptyPayloadError(ValueError):
+    pass
+
+
+def load_payload(raw: DataFrame, body_col: str, record_schema, time_col: str | None = None,
+                 require_rows: bool = True) -> DataFrame:
     """API payload rows → flat typed rows: unwrap ``data`` / ``result`` /
     bare lists, flatten nested fields to dotted names, find the time column
-    by name when not given and parse it (bad values → NULL)."""
+    by name when not given and parse it (bad values → NULL). A payload with
+    no records is an error (``require_rows``; one row is probed)."""
     from cuenca.operators.documents import flatten, unwrap_payload
     from cuenca.sources.files import find_time_column
     rows = flatten(unwrap_payload(raw, body_col, record_schema))
+    if require_rows and rows.limit(1).count() == 0:
+        raise EmptyPayloadError("the payload holds no records")
     tc = time_col or find_time_column(rows)
     if tc is None:
         raise ValueError(f"no time column among {rows.columns}")

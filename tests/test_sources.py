@@ -126,3 +126,15 @@ def test_native_parser_equals_pandas_udf(spark):
     native = parse_lines(lines)
     norm = lambda df: sorted(tuple(str(x) for x in r) for r in df.collect())
     assert norm(native) == norm(via_udf)
+
+
+def test_empty_payload_is_an_error(spark):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from cuenca.operators.ingest import EmptyPayloadError, load_payload
+    raw = spark.createDataFrame([('{"data": []}',), ('{"result": []}',)], "body string")
+    with pytest.raises(EmptyPayloadError):
+        load_payload(raw, "body", _parse_datatype_string("fecha string, valor double"))
+    ok = spark.createDataFrame([('{"data": [{"fecha": "2024-01-01 10:00:00", "valor": 1.5}]}',)], "body string")
+    r = load_payload(ok, "body", _parse_datatype_string("fecha string, valor double")).first()
+    assert str(r.fecha) == "2024-01-01 10:00:00" and r.valor == 1.5
