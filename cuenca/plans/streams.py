@@ -250,15 +250,19 @@ def _(spark, sf):
 
 
 @query("str10_gps_jump_filter", sql="""
+    WITH g AS (SELECT * FROM events WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) <= 80)
     SELECT user_id, event_id, ts, value,
            lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_value,
            coalesce(abs(value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id)) > 300, FALSE)
                AS jump
-    FROM events""")
+    FROM g""")
 def _(spark, sf):
-    """Per-device state (last reading) flags readings that jump > 300 from
-    the previous one (custom state with applyInPandasWithState)."""
-    ev = _events_stream(spark, sf).select("user_id", "event_id", F.col("event_time").alias("ts"), "value")
+    """Low-accuracy fixes (accuracy figure ``k`` above 80) are dropped, then
+    per-device state (last accepted reading) flags readings that jump more
+    than 300 from the previous one (custom state, applyInPandasWithState)."""
+    ev = (_events_stream(spark, sf)
+          .where(F.get_json_object("props", "$.k").cast("int") <= 80)
+          .select("user_id", "event_id", F.col("event_time").alias("ts"), "value"))
     out, ck = fresh(spark, "str10_out"), fresh(spark, "str10_ck")
     ST.run_available(ST.flag_jumps(ev, 300.0), ck, out)
     r = spark.read.parquet(out)
