@@ -33,22 +33,30 @@ def scd2(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str],
     ``incoming`` is the new snapshot (``key, tracked…``). Result = history
     rows + current rows unchanged + current rows closed at ``as_of`` + new
     versions opened at ``as_of`` + brand-new keys. One full outer join of the
-    current rows with the snapshot; no MERGE needed."""
+    current rows with the snapshot; each joined row emits its one or two
+    output versions through an array + explode, so the join runs once (no
+    MERGE needed)."""
     as_of = F.lit(as_of).cast("date")
+    open_end = F.lit(OPEN_END).cast("date")
     history = dim.where(~F.col("is_current"))
     cur = dim.where(F.col("is_current")).alias("c")
     new = incoming.alias("n")
     j = cur.join(new, F.col(f"c.{key}") == F.col(f"n.{key}"), "full_outer")
-    changed = F.col(f"c.{key}").isNotNull() & F.col(f"n.{key}").isNotNull() & _differs(tracked)
+    has_c, has_n = F.col(f"c.{key}").isNotNull(), F.col(f"n.{key}").isNotNull()
+    changed = has_c & has_n & _differs(tracked)
     cols = [key] + list(tracked)
-    keep = j.where(F.col(f"c.{key}").isNotNull() & (F.col(f"n.{key}").isNull() | ~changed)).select(
-        *[F.col(f"c.{c}").alias(c) for c in cols], "c.effective_date", "c.expiration_date", "c.is_current")
-    closed = j.where(changed).select(*[F.col(f"c.{c}").alias(c) for c in cols], "c.effective_date",
-                                     as_of.alias("expiration_date"), F.lit(False).alias("is_current"))
-    opened = j.where(changed | F.col(f"c.{key}").isNull()).select(
-        *[F.col(f"n.{c}").alias(c) for c in cols], as_of.alias("effective_date"),
-        F.lit(OPEN_END).cast("date").alias("expiration_date"), F.lit(True).alias("is_current"))
-    return history.select(keep.columns).unionByName(keep).unionByName(closed).unionByName(opened)
+
+    def version(side, eff, exp, current):
+        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in cols], eff.alias("effective_date"),
+                        exp.alias("expiration_date"), current.alias("is_current"))
+
+    keep = F.when(has_c & ~changed, version("c", F.col("c.effective_date"),
+                                            F.col("c.expiration_date"), F.col("c.is_current")))
+    closed = F.when(changed, version("c", F.col("c.effective_date"), as_of, F.lit(False)))
+    opened = F.when(changed | ~has_c, version("n", as_of, open_end, F.lit(True)))
+    rows = j.select(F.explode(F.filter(F.array(keep, closed, opened), lambda v: v.isNotNull()))
+                    .alias("v")).select("v.*")
+    return history.select(rows.columns).unionByName(rows)
 
 
 def scd2_initial(snapshot: DataFrame, effective) -> DataFrame:
@@ -94,18 +102,17 @@ def cdc_apply(table: DataFrame, changes: DataFrame, key: str, op_col: str = "op"
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """Audit rows ``(key, column, old_value, new_value)`` for every changed
-    column between two snapshots (NULL-safe; inserts and deletes included)."""
+    column between two snapshots (NULL-safe; inserts and deletes included).
+    One full outer join; each joined row emits one row per changed column."""
     j = old.alias("a").join(new.alias("b"), F.col(f"a.{key}") == F.col(f"b.{key}"), "full_outer")
     k = F.coalesce(F.col(f"a.{key}"), F.col(f"b.{key}")).alias(key)
-    parts = []
-    for c in cols:
-        parts.append(j.where(~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))).select(
-            k, F.lit(c).alias("column"), F.col(f"a.{c}").cast("string").alias("old_value"),
-            F.col(f"b.{c}").cast("string").alias("new_value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    changes = [F.when(~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")),
+                      F.struct(F.lit(c).alias("column"),
+                               F.col(f"a.{c}").cast("string").alias("old_value"),
+                               F.col(f"b.{c}").cast("string").alias("new_value")))
+               for c in cols]
+    return j.select(k, F.explode(F.filter(F.array(*changes), lambda x: x.isNotNull())).alias("d")) \
+        .select(key, "d.*")
 
 
 def audit_changes(old: DataFrame, new: DataFrame, key: str, col: str, changed_at,
