@@ -88,16 +88,18 @@ def lookup_sk(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk:
 
 def cdc_apply(table: DataFrame, changes: DataFrame, key: str, op_col: str = "op",
               seq_col: str = "seq") -> DataFrame:
-    """Apply an ordered change feed (I/U/D): the last change per key wins
-    (``max_by`` aggregate, no sort window); deletes remove the key, inserts
-    and updates replace it."""
-    data_cols = [c for c in changes.columns if c not in (op_col, seq_col)]
-    last = changes.groupBy(key).agg(
-        F.max_by(F.struct(op_col, *[c for c in data_cols if c != key]), F.col(seq_col)).alias("_c"))
-    last = last.select(key, "_c.*")
-    kept = table.join(last.select(key), key, "left_anti")
-    upserts = last.where(F.col(op_col) != "D").drop(op_col)
-    return kept.unionByName(upserts.select(*table.columns))
+    """Apply an ordered change feed (I/U/D) to a table in one aggregation:
+    the current rows enter as the oldest version of their key, the changes
+    with their sequence; ``max_by`` keeps the last version per key (partial
+    aggregation, no sort window) and deleted keys are dropped."""
+    data_cols = [c for c in table.columns if c != key]
+    base = table.select(key, *data_cols, F.lit("T").alias(op_col),
+                        F.lit(None).cast("long").alias(seq_col))
+    ch = changes.select(key, *data_cols, op_col, F.col(seq_col).cast("long").alias(seq_col))
+    last = (base.unionByName(ch).groupBy(key)
+            .agg(F.max_by(F.struct(op_col, *data_cols),
+                          F.coalesce(F.col(seq_col), F.lit(-(2 ** 62)))).alias("_v")))
+    return last.where(F.col("_v")[op_col] != "D").select(key, *[F.col("_v")[c].alias(c) for c in data_cols])
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
