@@ -13,8 +13,20 @@ TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders",
                "benchmark", "labels", "conversations")
 
 
+_CACHE: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The table as a lazy DataFrame. Reading parquet infers the schema from
+    the file footers (a small Spark job); the DataFrame — a plan, no data —
+    is kept per session and path so every query reuses the inferred schema
+    and file listing."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    df = _CACHE.get(key)
+    if df is None:
+        df = _CACHE[key] = spark.read.parquet(path)
+    return df
 
 
 class Tables:
