@@ -352,3 +352,19 @@ def _(spark, sf):
         parts.append(spark.read.parquet(f"{base}/parquet_{name}").agg(
             F.lit(f"parquet_{name}").alias("target"), F.count(F.lit(1)).alias("row_count")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("src09_range_generated_rows", sql="""
+    SELECT CAST(k AS BIGINT) AS order_id
+    FROM (SELECT unnest(generate_series((SELECT min(o_orderkey) FROM orders),
+                                        (SELECT max(o_orderkey) FROM orders))) AS k)
+    WHERE k NOT IN (SELECT l_orderkey FROM lineitem)""")
+def _(spark, sf):
+    """Rows generated in the cluster with ``spark.range`` (no driver-side
+    list): every key between the smallest and largest order key, anti-joined
+    with the order lines, gives the order keys that have no lines. Only the
+    two bounds reach the driver."""
+    t = Tables(spark, sf)
+    lo, hi = t.orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    keys = spark.range(lo, hi + 1).withColumnRenamed("id", "order_id")
+    return keys.join(t.lineitem.select(F.col("l_orderkey").alias("order_id")), "order_id", "left_anti")
