@@ -31,24 +31,28 @@ def _(spark, sf):
 
 
 @query("snk02_partitioned_rerunnable", sql="""
-    WITH d AS (SELECT CAST(o_orderdate AS DATE) AS dt, count(*) AS n_all,
-                      count(*) FILTER (WHERE o_orderstatus <> 'P') AS n_open
-               FROM orders WHERE year(o_orderdate) IN (1997, 1998) GROUP BY 1)
-    SELECT 'erp' AS source, dt, CASE WHEN year(dt) = 1998 AND n_open > 0 THEN n_open ELSE n_all END AS n
-    FROM d""")
+    SELECT 'erp' AS source, DATE '2026-01-13' AS dt, count(*) AS n FROM orders WHERE year(o_orderdate) = 1997
+    UNION ALL
+    SELECT 'erp', DATE '2026-01-14', count(*) FROM orders
+    WHERE year(o_orderdate) = 1998 AND o_orderstatus <> 'P'""")
 def _(spark, sf):
-    """Partitioned by (source, dt) with dynamic overwrite: run 1 writes 1997
-    and 1998; run 2 re-writes 1998 without P orders. Only the partitions run 2
-    produces are replaced: 1997 and the 1998 days that had only P orders keep
-    their run-1 content."""
-    o = Tables(spark, sf).orders.select("o_orderkey", "o_orderstatus",
-                                        F.lit("erp").alias("source"),
-                                        F.to_date("o_orderdate").alias("dt"))
+    """Raw→silver landing partitioned by (source, dt = load date) with
+    dynamic overwrite. Load 1 writes dt 2026-01-13 (1997 orders) and
+    2026-01-14 (1998 orders); load 2 re-runs 2026-01-14 without P orders and
+    replaces only that partition."""
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("y"))
+
+    def load(df, dt):
+        return df.select("o_orderkey", "o_orderstatus", F.lit("erp").alias("source"),
+                         F.lit(dt).cast("date").alias("dt"))
     path = fresh(spark, "snk02")
-    W.write_partitioned(o.where(F.year("dt").isin(1997, 1998)), path, ["source", "dt"])
-    W.write_partitioned(o.where((F.year("dt") == 1998) & (F.col("o_orderstatus") != "P")),
-                        path, ["source", "dt"])
-    return spark.read.parquet(path).groupBy("source", "dt").agg(F.count(F.lit(1)).alias("n"))
+    first = load(o.where(F.col("y") == 1997), "2026-01-13").unionByName(
+        load(o.where(F.col("y") == 1998), "2026-01-14"))
+    W.write_partitioned(first, path, ["source", "dt"])
+    rerun = load(o.where((F.col("y") == 1998) & (F.col("o_orderstatus") != "P")), "2026-01-14")
+    W.write_partitioned(rerun, path, ["source", "dt"])
+    return spark.read.parquet(path).groupBy("source", F.col("dt").cast("date").alias("dt")).agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 @query("snk03_parquet_overwrite", ctes=("e_retail",), sql="""
