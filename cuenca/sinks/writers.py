@@ -131,3 +131,15 @@ def latest_wins(df: DataFrame, keys: Sequence[str], version_col: str) -> DataFra
 def daily_items(df: DataFrame, time_col: str, region_col: str | None = None) -> DataFrame:
     """Key-value items per (day, region) — see ``kv_day_items``."""
     return kv_day_items(df, time_col, region_col)
+
+
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str,
+                   sort: bool = True) -> None:
+    """Save a catalog table bucketed (and sorted) by ``keys`` into ``buckets``
+    files per writer. Two tables bucketed the same way on the join key are
+    joined without shuffling either side (e.g. order lines and orders on the
+    order key, the largest join of the star)."""
+    w = df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys)
+    if sort:
+        w = w.sortBy(*keys)
+    w.saveAsTable(table)

@@ -39,3 +39,22 @@ def test_window_group_limit_for_top_k(spark):
 
 def test_partition_pruning(spark):
     assert "PartitionFilters: [isnotnull(year" in _plan(spark, "snk19_range_partitioned_pruning")
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from cuenca.sinks.writers import write_bucketed
+    from cuenca.sources.tables import Tables
+    t = Tables(spark, SF_SMALL)
+    write_bucketed(t.lineitem, "li_bucketed", ["l_orderkey"], 8, str(tmp_path / "li"))
+    write_bucketed(t.orders, "o_bucketed", ["o_orderkey"], 8, str(tmp_path / "o"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("li_bucketed").join(spark.table("o_bucketed"),
+                                            F.col("l_orderkey") == F.col("o_orderkey"))
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == t.lineitem.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
