@@ -73,16 +73,20 @@ def main() -> None:
     reg = load_all()
     keys = only or HEADLINE
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for k in keys:
         build = reg[k].build
-        build(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
-        best = None
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            build(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        times[k] = round(best, 3)
+        try:
+            build(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+            best = None
+            for _ in range(repeat):
+                t0 = time.perf_counter()
+                build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                dt = time.perf_counter() - t0
+                best = dt if best is None else min(best, dt)
+            times[k] = round(best, 3)
+        except Exception as e:  # report the failure, keep measuring the others
+            failed[k] = str(e).splitlines()[0][:200]
     from cuenca.sources.tables import read_table
     throughput = {}
     for name, (q, tables) in THROUGHPUT.items():
@@ -93,6 +97,8 @@ def main() -> None:
     out = {"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus,
            "throughput": throughput}
+    if failed:
+        out["failed"] = failed
     print(json.dumps(out))
     spark.stop()
 
