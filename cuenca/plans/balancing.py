@@ -111,20 +111,73 @@ def _(spark, sf):
     return a.select(B.SKU, "src_idx", "need_idx", "DESDE", "HACIA", "CANTIDAD")
 
 
-@query("pip06_balancing_greedy")
-def _(spark, sf):
-    """Greedy skip-self allocation (the golden file's rule). Sequential per
-    SKU → no SQL oracle; checked against the course's golden file in tests
-    and against a brute-force Python replay on a small fixture."""
-    v, s, p = silver_inputs(Tables(spark, sf))
-    return B.balance(v, s, p, AS_OF, WINDOW_DAYS, mode="greedy", run_ts=RUN_TS)
-
-
-@query("udf03_grouped_allocation_per_sku")
+# The greedy rule as a recursive SQL oracle: per SKU, the remaining stock of
+# the sources (in priority order) is a list; each step takes the next need
+# and fills it from the sources in order, skipping the need's own store:
+# take_i = max(0, min(eligible_i, want - sum of eligible before i)).
+_GREEDY_SQL = f"""
+    WITH RECURSIVE {_INPUTS_SQL},
+    n3g AS (SELECT n.sku, n.sucursal, n.temporada, n.a_reponer, p.corto AS dest_corto,
+                   row_number() OVER (PARTITION BY n.sku ORDER BY coalesce(p.p_rep, 9999), n.sucursal, n.temporada)
+                       AS need_idx
+            FROM needs n LEFT JOIN prior p USING (sucursal)),
+    sl AS (SELECT s.sku,
+                  list(s.sucursal ORDER BY coalesce(p.p_ret, 9999), s.sucursal) AS stores,
+                  list(s.stock ORDER BY coalesce(p.p_ret, 9999), s.sucursal) AS stock0,
+                  list(p.corto ORDER BY coalesce(p.p_ret, 9999), s.sucursal) AS codes
+           FROM stock s LEFT JOIN prior p USING (sucursal) WHERE s.stock > 0 GROUP BY s.sku),
+    rec AS (
+        SELECT sku, 0 AS k, stock0 AS lft, stores, codes, CAST([] AS DOUBLE[]) AS takes,
+               CAST(NULL AS VARCHAR) AS hacia, CAST(NULL AS VARCHAR) AS temporada,
+               CAST(NULL AS VARCHAR) AS dest_corto
+        FROM sl
+        UNION ALL
+        SELECT sku, k, list_transform(range(1, len(lft) + 1), lambda i: lft[i] - takes[i]) AS lft,
+               stores, codes, takes, hacia, temporada, dest_corto
+        FROM (SELECT r.sku, r.k + 1 AS k, r.lft, r.stores, r.codes, n.sucursal AS hacia, n.temporada,
+                     n.dest_corto,
+                     list_transform(range(1, len(r.lft) + 1), lambda i: greatest(0.0, least(
+                         CASE WHEN r.stores[i] = n.sucursal THEN 0.0 ELSE r.lft[i] END,
+                         n.a_reponer - coalesce(list_sum(list_transform(range(1, i), lambda j:
+                             CASE WHEN r.stores[j] = n.sucursal THEN 0.0 ELSE r.lft[j] END)), 0.0))))
+                         AS takes
+              FROM rec r JOIN n3g n ON n.sku = r.sku AND n.need_idx = r.k + 1)),
+    exploded AS (SELECT sku, k, hacia, temporada, dest_corto, stores, codes, takes,
+                        unnest(range(1, len(takes) + 1)) AS i
+                 FROM rec WHERE k > 0),
+    alloc AS (SELECT sku, CAST(k - 1 AS INTEGER) AS need_rank, CAST(i - 1 AS INTEGER) AS src_rank,
+                     temporada, hacia, stores[i] AS desde, dest_corto, codes[i] AS orig_corto,
+                     takes[i] AS cantidad
+              FROM exploded WHERE takes[i] > 0)"""
+
+
+@query("udf03_grouped_allocation_per_sku", sql=_GREEDY_SQL + """
+    SELECT sku AS "ID interno", need_rank, src_rank, temporada AS "Temporada", hacia AS "HACIA",
+           desde AS "DESDE", dest_corto, orig_corto, cantidad AS "CANTIDAD"
+    FROM alloc""")
 def _(spark, sf):
     """The per-SKU sequential allocation on its own (SKUs hashed to
     partitions, each SKU's rows contiguous, processed by ``mapInPandas``);
-    raw allocations before numbering."""
+    raw allocations before numbering. The oracle replays the same greedy
+    rule as a recursive query over a list of remaining stock per SKU."""
     v, s, p = silver_inputs(Tables(spark, sf))
     needs, sources = B.needs_and_sources(v, s, p, AS_OF, WINDOW_DAYS)
     return B.allocate_greedy(needs, sources)
+
+
+@query("pip06_balancing_greedy", sql=_GREEDY_SQL + f""",
+    numbered AS (SELECT *, row_number() OVER (ORDER BY sku, need_rank, src_rank) AS seq FROM alloc)
+    SELECT temporada AS "NOTA", sku AS "ID interno", hacia AS "HACIA", desde AS "DESDE",
+           CAST(cantidad AS INTEGER) AS "CANTIDAD",
+           'OT-' || coalesce(orig_corto, 'XXX') || '-' || coalesce(dest_corto, 'YYY') || '-{RUN_TS}-'
+               || CASE WHEN length(CAST(seq AS VARCHAR)) >= 4 THEN CAST(seq AS VARCHAR)
+                       ELSE lpad(CAST(seq AS VARCHAR), 4, '0') END AS "ID EXT OT",
+           seq
+    FROM numbered""")
+def _(spark, sf):
+    """Greedy skip-self allocation (the golden file's rule), sequential per
+    SKU. Checked against the course's golden file in tests; the oracle is
+    the recursive replay above."""
+    v, s, p = silver_inputs(Tables(spark, sf))
+    return B.balance(v, s, p, AS_OF, WINDOW_DAYS, mode="greedy", run_ts=RUN_TS)
+
