@@ -58,3 +58,21 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
         assert j.count() == t.lineitem.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_two_level_windows_partition_by_key_and_bucket(spark):
+    """The skew-proof windows never partition by the key alone."""
+    import re
+
+    from pyspark.sql import functions as F
+
+    from cuenca.operators import analytics as A
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"),
+                                  F.col("id").cast("timestamp").alias("ts"))
+    for out in (A.rank_within(df, "k", "v", "r"),
+                A.running_sum(df, "k", ["ts", "v"], "v", F.to_date("ts")),
+                A.previous_within(df, "k", ["ts", "v"], "ts", F.to_date("ts"), "prev")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        specs = re.findall(r"Window \[[^\n]*?\], \[([^\]]*)\], \[", plan)
+        assert specs, plan
+        assert any(len(s.split(",")) >= 2 for s in specs)      # (key, bucket) windows exist
