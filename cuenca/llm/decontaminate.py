@@ -144,59 +144,72 @@ def blocks(benchmark: DataFrame, chars: int):
         yield block
 
 
+class _Finder:
+    """The leaks of one block of items in a text."""
+
+    def __init__(self, block, min_match, coverage):
+        import numpy as np
+        self.min_match, self.coverage, self.hashes = min_match, coverage, _Hash()
+        self.ids = [i for i, _ in block]
+        self.items = [self.hashes.of(tokens(t)) for _, t in block]
+        self.seeds = {}                  # by window length, as short items have shorter seeds
+        for k in sorted({min(min_match, len(h)) for h in self.items} - {0}):
+            w = [(windows(h, k), n) for n, h in enumerate(self.items) if min(min_match, len(h)) == k]
+            key = np.concatenate([a for a, _ in w])
+            of = np.concatenate([np.full(len(a), n) for a, n in w])
+            order = np.argsort(key, kind="stable")
+            marks = np.zeros(1 << 24, bool)
+            marks[(key >> np.uint64(40)).astype(np.int64)] = True
+            self.seeds[k] = key[order], of[order], marks
+
+    def candidates(self, doc) -> set[int]:
+        """The items that share a seed with a document."""
+        import numpy as np
+        near: set[int] = set()
+        for k, (key, of, marks) in self.seeds.items():
+            if len(doc) < k:
+                continue
+            w = windows(doc, k)
+            w = w[marks[(w >> np.uint64(40)).astype(np.int64)]]
+            if len(w):
+                a, b = np.searchsorted(key, w, "left"), np.searchsorted(key, w, "right")
+                for x, y in set(zip(a[a < b].tolist(), b[a < b].tolist())):
+                    near.update(of[x:y].tolist())
+        return near
+
+    def __call__(self, text: bytes | None) -> list[tuple]:
+        """(item_id, item tokens, tiled tokens, tiles, coverage) of each leak."""
+        doc = self.hashes.of(tokens(text)) if text else ()
+        rows = []
+        for n in sorted(self.candidates(doc)):
+            item = self.items[n]
+            tiles = tile(doc, item, self.min_match)
+            covered = sum(t[2] for t in tiles)
+            if covered >= self.coverage * len(item):
+                rows.append((self.ids[n], len(item), covered, len(tiles), covered / len(item)))
+        return rows
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
           coverage: float = COVERAGE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """A row for each (document, item) pair whose tiles cover ``coverage`` of the item."""
     spark = docs.sparkSession
     small_batches(spark)
-    found = [_leaks(docs, spark.sparkContext.broadcast(b), min_match, coverage)
-             for b in blocks(benchmark, block_chars)]
-    if not found:
-        return spark.createDataFrame([], _SCHEMA)
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    out = None
+    for b in blocks(benchmark, block_chars):
+        more = _leaks(docs, spark.sparkContext.broadcast(b), min_match, coverage)
+        out = more if out is None else out.unionByName(more)
+    return spark.createDataFrame([], _SCHEMA) if out is None else out
 
 
 def _leaks(docs, block, min_match, coverage):
     def run(batches):
-        import numpy as np
         import pyarrow as pa
-        hashes = _Hash()
-        ids = [i for i, _ in block.value]
-        items = [hashes.of(tokens(t)) for _, t in block.value]
-        seeds: dict[int, tuple] = {}     # by window length, as short items have shorter ones
-        for k in sorted({min(min_match, len(h)) for h in items} - {0}):
-            w = [(windows(h, k), n) for n, h in enumerate(items) if min(min_match, len(h)) == k]
-            key = np.concatenate([a for a, _ in w])
-            of = np.concatenate([np.full(len(a), n) for a, n in w])
-            order = np.argsort(key, kind="stable")
-            seeds[k] = key[order], of[order], np.unique(key >> np.uint64(40))
-        marks = {}
-        for k, (_, _, top) in seeds.items():
-            marks[k] = np.zeros(1 << 24, bool)
-            marks[k][top.astype(np.int64)] = True
+        find = _Finder(block.value, min_match, coverage)
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(),
-                                    batch.column("text").cast(pa.binary()).to_pylist()):
-                doc = hashes.of(tokens(text)) if text else ()
-                near: set[int] = set()
-                for k, (key, of, _) in seeds.items():
-                    if len(doc) < k:
-                        continue
-                    w = windows(doc, k)
-                    w = w[marks[k][(w >> np.uint64(40)).astype(np.int64)]]
-                    if len(w):
-                        a, b = np.searchsorted(key, w, "left"), np.searchsorted(key, w, "right")
-                        for x, y in set(zip(a[a < b].tolist(), b[a < b].tolist())):
-                            near.update(of[x:y].tolist())
-                for n in sorted(near):
-                    tiles = tile(doc, items[n], min_match)
-                    covered = sum(t[2] for t in tiles)
-                    if covered >= coverage * len(items[n]):
-                        rows.append((doc_id, ids[n], len(items[n]), covered, len(tiles), covered / len(items[n])))
+            rows = [(doc_id, *r) for doc_id, text in zip(batch.column("doc_id").to_pylist(),
+                                                         batch.column("text").cast(pa.binary()).to_pylist())
+                    for r in find(text)]
             cols = list(zip(*rows)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), pa.int64()) for c in cols[:5]] + [pa.array(list(cols[5]), pa.float64())],
@@ -205,5 +218,25 @@ def _leaks(docs, block, min_match, coverage):
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _SCHEMA)
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
+          coverage: float = COVERAGE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``docs`` without those that leak an item; all columns stay."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    for b in blocks(benchmark, block_chars):
+        docs = _clean(docs, spark.sparkContext.broadcast(b), min_match, coverage)
+    return docs
+
+
+def _clean(docs, block, min_match, coverage):
+    def run(batches):
+        import pyarrow as pa
+        find = _Finder(block.value, min_match, coverage)
+        for batch in batches:
+            yield batch.filter(pa.array([not find(t) for t in batch.column("text").cast(pa.binary()).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
