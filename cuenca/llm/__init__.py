@@ -13,7 +13,7 @@ import cuenca
 # folder and on executors that do not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules["cuenca"])
 
-MODULES = ("decontaminate", "ngram_join", "quality_llr", "token_files", "mixing")
+MODULES = ("decontaminate", "ngram_join", "quality_llr", "token_files", "licenses", "mixing")
 
 
 def load() -> tuple[dict, dict]:
