@@ -13,7 +13,8 @@ import cuenca
 # folder and on executors that do not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules["cuenca"])
 
-MODULES = ("decontaminate", "ngram_join", "quality_llr", "pii", "token_files", "licenses", "mixing")
+MODULES = ("decontaminate", "ngram_join", "quality_llr", "pii", "token_files", "toxicity",
+           "licenses", "mixing")
 
 
 def load() -> tuple[dict, dict]:
