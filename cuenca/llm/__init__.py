@@ -14,7 +14,7 @@ import cuenca
 cloudpickle.register_pickle_by_value(sys.modules["cuenca"])
 
 MODULES = ("decontaminate", "ngram_join", "quality_llr", "pii", "token_files", "toxicity",
-           "licenses", "mixing")
+           "secrets", "licenses", "mixing")
 
 
 def load() -> tuple[dict, dict]:
