@@ -13,7 +13,7 @@ import cuenca
 # folder and on executors that do not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules["cuenca"])
 
-MODULES = ("decontaminate", "ngram_join", "quality_llr", "pii", "token_files", "toxicity",
+MODULES = ("decontaminate", "ngram_join", "html_extract", "quality_llr", "pii", "token_files", "toxicity",
            "secrets", "licenses", "mixing")
 
 
