@@ -62,10 +62,9 @@ class _Hash(dict):
 def windows(h, k: int):
     """Karp-Rabin hashes of all windows of ``k`` tokens, by doubling."""
     import numpy as np
-    base = np.uint64(0x9E3779B97F4A7C15)
     if len(h) < k:
         return h[:0]
-    out, size, power = h, 1, base       # power = base ** size
+    out, size, power = h, 1, 0x9E3779B97F4A7C15      # power: the base to the power of size
     done, width = None, 0
     while True:
         if k & size:
@@ -73,13 +72,13 @@ def windows(h, k: int):
                 done, width = out, size
             else:                       # the windows done so far, then ``size`` more
                 n = len(h) - width - size + 1
-                done = done[:n] * power + out[width:width + n]
+                done = done[:n] * np.uint64(power) + out[width:width + n]
                 width += size
         size *= 2
         if size > k:
             return done
-        out = out[:len(out) - size // 2] * power + out[size // 2:]
-        power = power * power
+        out = out[:len(out) - size // 2] * np.uint64(power) + out[size // 2:]
+        power = power * power % (1 << 64)
 
 
 def tile(doc, item, min_match: int = MIN_MATCH):

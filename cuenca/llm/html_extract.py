@@ -9,8 +9,9 @@ passing, from the leaves up and back down, gives every node its marginal
 probability of being content, exactly, as the graph is a tree.
 
 The potentials are smoothed counts over labelled pages: ``LABELLED`` holds small
-hand-labelled pages (``data-y`` marks where content starts and ends), so the
-model needs no outside data. Text under a node of a marginal of ``CUT`` or more
+hand-labelled pages (``data-y`` marks where content starts and ends) and
+``composed`` puts more together from labelled parts, so the model needs no
+outside data. Text under a node of a marginal of ``CUT`` or more
 is kept, in page order, one line per block.
 
 Pages are handled alone; nothing is shuffled. Scripts, styles, templates and
@@ -237,9 +238,51 @@ LABELLED = (
 )
 
 
-def learn(pages=LABELLED) -> dict:
+#: labelled parts that ``composed`` puts together: furniture before and after the
+#: content, furniture inside it, content wrappers and content blocks
+BEFORE_PARTS = (
+    '<nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News and more</a></li></ul></nav>', '<nav><a href="/">Start</a> | <a href="/x">Shop</a></nav>',
+    '<header><a href="/">The name of it</a><p>A line about the site.</p></header>', '<div class="navbar"><ul><li><a href="/1">One</a></li><li><a href="/2">Two</a></li></ul></div>',
+    '<div class="ad">Something to buy. Cheap!</div>', '<div id="ads"><a href="/buy">Buy it now</a></div>', '<div class="cookie-consent"><p>This site uses cookies. Do you accept?</p><a href="/p">Policy</a></div>',
+    '<div role="navigation"><a href="/q">Menu</a></div>', '<form action="/s"><label>Find</label><select><option>All</option></select></form>', '<div class="breadcrumbs"><a href="/">Top</a> / <a href="/t">This</a></div>',
+    '<div class="alert"><p>We are closed on Monday. Sorry for that.</p></div>', '<ul class="menu"><li><a href="/k">K</a></li><li><a href="/l">L</a></li></ul>', '<div class="topbar"><span>Sign in</span></div>')
+AFTER_PARTS = (
+    '<footer>&copy; The owner. All rights reserved, of course.</footer>', '<footer><p>Write to us. We answer.</p><ul><li><a href="/i">Imprint</a></li></ul></footer>', '<div class="footer"><p>Made by hand in the north.</p></div>',
+    '<aside><h3>More</h3><ul><li><a href="/m">Another piece to read</a></li><li><a href="/n">And one more</a></li></ul></aside>', '<div class="sidebar"><h4>About</h4><p>We write about things, and have done so for years.</p></div>',
+    '<section id="comments"><h2>Comments</h2><div class="comment"><b>Ann</b><p>I do not agree at all. It was not like that, and everyone knows it.</p></div></section>',
+    '<div class="comments"><ul><li><p>Great, thanks.</p></li><li><p>First! And a longer remark on it, as I have the time.</p></li></ul></div>', '<div id="disqus_thread"><p>Please write a reply. Be kind.</p></div>',
+    '<div class="related-posts"><h3>Related</h3><div><a href="/r">A piece like this</a></div></div>', '<div class="newsletter-signup"><p>Join our list. It is free.</p><input></div>', '<div class="copyright">2021 the firm</div>', '<nav class="pagination"><a href="/2">Next</a></nav>',
+    '<div class="social-share"><a href="#">Share it</a></div>', '<div class="promo"><p>Get ten off your first order. Use the code at the till.</p></div>')
+WRAPPERS = ("<article{}>", "<main{}>", '<div class="content"{}>', '<div id="main"{}>', '<section class="post"{}>', "<article{}>", "<article{}>", '<div class="article-body"{}>', "<div{}>")
+CONTENT = (
+    "<h1>The title of a story</h1>", "<h2>A part of it</h2>", "<p>Short one.</p>", "<p>It was a long day, and when it ended nobody wanted to go home.</p>", "<p>The road went up the hill, past the old farm, and then down to the lake where the boats lay; the men who had come from the town stood there, "
+    "smoked, and said little. One of them, the oldest, had been there before. He knew what would come, or so he said, and the others let him talk.</p>", "<p>words and words with no stop in them at all go on and on in this one and it does not seem to end</p>",
+    "<ul><li>First, wash it.</li><li>Then cut it up</li><li>Salt</li></ul>", "<blockquote><p>I said so, she told us.</p></blockquote>", "<pre>x = 1</pre>", "<table><tr><td>north</td><td>12</td></tr><tr><td>south</td><td>7</td></tr></table>", '<p>As <a href="/e">an earlier piece</a> said, this was not new.</p>',
+    "<figure><img src=a><figcaption>The lake in winter.</figcaption></figure>", "<p><b>A bold start.</b> And <i>then</i> on, in plain words.</p>", "<div>Text in a plain block, which some pages use for paragraphs.</div>", "<p><b>Left open and long, it ran to the end.<br>", "<ol><li><p>One step.</p></li><li><p>One more step, longer than the first one was.</p></li></ol>")
+
+
+def composed(n: int = 150, seed: int = 3) -> tuple[str, ...]:
+    """Labelled pages put together from the labelled parts."""
+    import random
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n):
+        inside = [rng.choice(CONTENT) for _ in range(rng.randint(2, 9))]
+        for _ in range(rng.randint(0, 2)):
+            part = rng.choice(AFTER_PARTS[3:])
+            inside.insert(rng.randrange(len(inside) + 1), f'<div data-y="0">{part}</div>' if rng.random() < 0.2 else part.replace(">", ' data-y="0">', 1))
+        wrapper = rng.choice(WRAPPERS)
+        end = "</" + re.match("<([a-z]+)", wrapper)[1] + ">"
+        out.append('<body data-y="0">' + "".join(rng.sample(BEFORE_PARTS, rng.randint(1, 3))) + wrapper.format(' data-y="1"')
+                   + CONTENT[0] + "".join(inside) + end + "".join(f'<div data-y="0">{x}</div>' if rng.random() < 0.2 else x.replace(">", ' data-y="0">', 1)
+                                                                  for x in rng.sample(AFTER_PARTS, rng.randint(1, 3))) + "</body>")
+    return tuple(out)
+
+
+def learn(pages=None) -> dict:
     """Log potentials from labelled pages: counts with add-one smoothing."""
     from math import log
+    pages = LABELLED + composed() if pages is None else pages
     pair, seen, total = {}, {}, {}
     values: dict = {}
     for html in pages:
@@ -346,7 +389,7 @@ def main_text(html: str, model: dict, cut: float = CUT) -> str:
     return "\n".join(blocks)
 
 
-def extract(pages: DataFrame, labelled=LABELLED) -> DataFrame:
+def extract(pages: DataFrame, labelled=None) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     spark = pages.sparkSession
     small_batches(spark)

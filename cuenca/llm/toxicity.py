@@ -37,6 +37,7 @@ WINDOW, STRIDE = 48, 24
 FIT, CALIBRATE, MAX_CHARS = 900, 400, 20_000
 H, A, WORD_ROWS, WORD_DIM, CHAR_ROWS, CHAR_DIM = 8, 8, 1 << 15, 8, 1 << 17, 8
 EPOCHS, BATCH, RATE, SEED = 4, 256, 0.005, 7
+STEPS = 240              # at least: few labels make more passes
 
 
 def word_features(words: list[bytes]):
@@ -223,7 +224,8 @@ def train(fit: list[tuple], calibration: list[tuple], ratio: float):
     features = word_features(list(vocabulary))
     model, moments, step = Model(), {}, 0
     live = _telling(features, ids, doc, label, [y for _, y in fit])
-    for epoch in range(EPOCHS):
+    per_pass = -(-4 * int(live.sum()) // BATCH)
+    for epoch in range(max(EPOCHS, -(-STEPS // per_pass))):
         toxic, clean = np.flatnonzero(live & (label == 1)), np.flatnonzero(label == 0)
         clean = rng.permutation(clean)
         if epoch:   # half of them those that look most toxic
