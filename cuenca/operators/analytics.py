@@ -21,6 +21,16 @@ def _cols(cs) -> list:
     return [cs] if isinstance(cs, (str, Column)) else list(cs)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join in which NULL keys match NULL keys, so rows with a NULL key
+    find their group's offsets as a plain window would."""
+    r = right.select(*[F.col(c).alias(f"_on_{c}") if c in on else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & left[c].eqNullSafe(F.col(f"_on_{c}"))
+    return left.join(r, cond, how).drop(*[f"_on_{c}" for c in on])
+
+
 def top_n_per_group(df: DataFrame, keys, order: Sequence[Column], n: int,
                     rank_fn=F.row_number, rank_col: str = "rn") -> DataFrame:
     """Rows ranked ≤ n per group. Catalyst plans a partial WindowGroupLimit
@@ -60,7 +70,7 @@ def running_sum(df: DataFrame, keys, order: Sequence[str], value: str, bucket: C
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_btot").over(w_off),
                                                    F.lit(0).cast(totals.schema["_btot"].dataType)))
-    j = local.join(offsets.drop("_btot"), keys + ["_bkt"])
+    j = join_null_safe(local, offsets.drop("_btot"), keys + ["_bkt"])
     j = j.withColumn(out, F.col("_off") + F.col("_cum_local"))
     if prev_out:
         j = j.withColumn(prev_out, F.col(out) - F.col(value))
@@ -130,9 +140,10 @@ def _value_buckets(df: DataFrame, keys: list, value: str, n_buckets: int) -> Dat
     join splits a hot key's partition."""
     ps = [i / n_buckets for i in range(1, n_buckets)]
     bounds = df.groupBy(*keys).agg(F.percentile_approx(value, ps, 10000).alias("_bounds"))
-    j = df.join(bounds, keys)
+    j = join_null_safe(df, bounds, keys)
     v = F.col(value)
-    return j.withColumn("_b", F.size(F.filter("_bounds", lambda x: x < v))).drop("_bounds")
+    below = F.size(F.filter(F.coalesce("_bounds", F.array()), lambda x: x < v))
+    return j.withColumn("_b", below).drop("_bounds")
 
 
 def rank_within(df: DataFrame, keys, value: str, out: str = "rnk", dense_out: str | None = None,
@@ -156,7 +167,7 @@ def rank_within(df: DataFrame, keys, value: str, out: str = "rnk", dense_out: st
         Window.unboundedPreceding, -1)
     off = cnt.select(*keys, "_b", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_off"),
                      F.coalesce(F.sum("_nd").over(above), F.lit(0)).alias("_doff"))
-    r = d.join(off, keys + ["_b"]).withColumn(out, (F.col("_off") + F.col("_lr")).cast("int"))
+    r = join_null_safe(d, off, keys + ["_b"]).withColumn(out, (F.col("_off") + F.col("_lr")).cast("int"))
     if dense_out:
         r = r.withColumn(dense_out, (F.col("_doff") + F.col("_ldr")).cast("int"))
     return r.drop("_b", "_lr", "_ldr", "_off", "_doff")
@@ -176,7 +187,7 @@ def previous_within(df: DataFrame, keys, order: Sequence[str], col: str, bucket:
     last = d.groupBy(*keys, "_bkt").agg(F.max(col).alias("_last"))
     prev = Window.partitionBy(*keys).orderBy("_bkt")
     last = last.select(*keys, "_bkt", F.lag("_last").over(prev).alias("_prev_bucket_last"))
-    return (d.join(last, keys + ["_bkt"])
+    return (join_null_safe(d, last, keys + ["_bkt"])
             .withColumn(out, F.coalesce("_lag", "_prev_bucket_last"))
             .drop("_bkt", "_lag", "_prev_bucket_last"))
 

@@ -66,10 +66,22 @@ def scd2_initial(snapshot: DataFrame, effective) -> DataFrame:
 
 
 def with_surrogate_key(dim: DataFrame, natural_key: str, sk: str,
-                       unknown: dict | None = None) -> DataFrame:
-    """Dense surrogate keys 1..N in natural-key order (no single-partition
-    window), plus the unknown member ``sk = -1`` for late/missing lookups."""
-    out = global_sequence(dim, [natural_key], sk)
+                       unknown: dict | None = None, existing: DataFrame | None = None) -> DataFrame:
+    """Surrogate keys in natural-key order (no single-partition window), plus the
+    unknown member ``sk = -1`` for late/missing lookups.
+
+    ``existing`` is the dimension's last load (``natural_key``, ``sk``): its
+    members keep their keys and new ones are numbered from its highest key
+    on, so facts loaded earlier stay right. Without it keys are 1..N."""
+    if existing is None:
+        out = global_sequence(dim, [natural_key], sk)
+    else:
+        known = existing.where(F.col(sk) > 0).select(F.col(natural_key).alias("_nk"), sk)
+        kept = dim.join(known, F.col(natural_key).eqNullSafe(F.col("_nk"))).drop("_nk")
+        top = known.agg(F.coalesce(F.max(sk), F.lit(0)).cast("long").alias("m")).first()["m"]
+        new = dim.join(known, F.col(natural_key).eqNullSafe(F.col("_nk")), "left_anti")
+        new = global_sequence(new, [natural_key], sk).withColumn(sk, (F.col(sk) + F.lit(top)).cast("long"))
+        out = kept.select(*dim.columns, F.col(sk).cast("long").alias(sk)).unionByName(new)
     if unknown is not None:
         spark = dim.sparkSession
         row = spark.range(1).select(
@@ -138,18 +150,19 @@ def retain(df: DataFrame, ts_col: str, ref_date: str, days: int | None = None,
 
 
 def treat_outliers(df: DataFrame, col: str, p: float = 0.99, how: str = "flag") -> DataFrame:
-    """drop / flag / cap values above the p-th percentile. The exact
+    """drop / flag / cap values above the p-th percentile; a NULL is no outlier:
+    it is kept, its flag and cap are NULL. The exact
     percentile is read from counts per distinct value (bounded by the value
     domain) and used as a scalar subquery."""
     from cuenca.operators.analytics import percentiles_from_counts
     thr = percentiles_from_counts(df, [], col, {"p": p}).scalar()
     v = F.col(col).cast("double")
     if how == "drop":
-        return df.where(v <= thr)
+        return df.where(v.isNull() | (v <= thr))
     if how == "flag":
         return df.withColumn("is_outlier", v > thr)
     if how == "cap":
-        return df.withColumn(col + "_capped", F.least(v, thr))
+        return df.withColumn(col + "_capped", F.when(v.isNotNull(), F.least(v, thr)))
     raise ValueError(how)
 
 

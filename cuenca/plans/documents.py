@@ -152,31 +152,35 @@ def _(spark, sf):
 
 @query("agg35_sales_by_city", sql="""
     SELECT n_name AS city, CAST(sum(l_quantity) AS BIGINT) AS qty,
-           CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS amount
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS amount,
+           count(DISTINCT o_orderkey) AS n_orders
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
     JOIN nation ON n_nationkey = c_nationkey GROUP BY 1""")
 def _(spark, sf):
     d = order_documents(Tables(spark, sf))
-    u = D.unwind(d.select(F.col("shipping_address.city").alias("city"), "items"), "items", "it")
-    return u.groupBy("city").agg(F.sum("it.qty").cast("bigint").alias("qty"),
-                                 m.msum("it.amount").alias("amount"))
+    total = lambda c, t: F.aggregate(F.transform("items", lambda i: i[c].cast(t)), F.lit(0).cast(t),
+                                     lambda a, x: (a + x).cast(t))
+    o = d.where(F.size("items") > 0).select(
+        F.col("shipping_address.city").alias("city"), total("qty", "bigint").alias("q"),
+        total("amount", "decimal(38,2)").alias("a"))      # an order's items stay together
+    return o.groupBy("city").agg(F.sum("q").cast("bigint").alias("qty"), m.msum("a").alias("amount"),
+                                 F.count(F.lit(1)).alias("n_orders"))
 
 
 @query("agg35_sku_ranking", sql="""
-    SELECT sku, qty, amount, CAST(row_number() OVER (ORDER BY qty DESC, sku) AS INTEGER) AS rnk FROM (
+    SELECT sku, qty, amount, row_number() OVER (ORDER BY amount DESC, sku) AS rnk FROM (
         SELECT l_partkey AS sku, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS qty,
                CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS amount
-        FROM lineitem GROUP BY 1 ORDER BY qty DESC, sku LIMIT 20)""")
+        FROM lineitem GROUP BY 1)""")
 def _(spark, sf):
-    """Top 20 SKUs by quantity: aggregate, top-k (no global sort of all SKUs),
-    then rank the 20 rows."""
-    from pyspark.sql import Window
+    """All SKUs ranked by amount. The numbers come from a range-partitioned
+    sort plus one offset per partition, so no task holds all SKUs."""
+    from cuenca.operators.analytics import global_sequence
     d = order_documents(Tables(spark, sf)).select("items")
     u = D.unwind(d, "items", "it")
     g = (u.groupBy(F.col("it.sku").alias("sku"))
-         .agg(F.sum("it.qty").cast("bigint").alias("qty"), m.msum("it.amount").alias("amount"))
-         .orderBy(F.desc("qty"), "sku").limit(20))
-    return g.withColumn("rnk", F.row_number().over(Window.orderBy(F.desc("qty"), "sku")))
+         .agg(F.sum("it.qty").cast("bigint").alias("qty"), m.msum("it.amount").alias("amount")))
+    return global_sequence(g, [F.desc("amount"), F.col("sku")], "rnk", expensive_input=True)
 
 
 @query("win15_status_cycle_times", sql="""

@@ -29,17 +29,22 @@ def msum(c) -> "F.Column":
 
 
 def avg_money(c: str, denominator: str | None = None) -> "F.Column":
-    """Average of a money column rounded half-up to cents, computed in exact
-    integer cents: (2·Σcents + n) div (2n) / 100. Double averages round
-    differently in different engines at exact half cents; this does not.
+    """Average of a money column rounded to cents, half cents away from zero,
+    computed in exact cents: sign · ((2·|Σcents| + n) div 2n) / 100 on
+    DECIMAL(38), which no total overflows. Double averages round differently
+    in different engines at exact half cents; this does not.
     ``denominator`` replaces count(c) (e.g. ``count(DISTINCT order_id)``)."""
-    n = denominator or f"count({c})"
-    return F.expr(f"CAST((sum(CAST({c} * 100 AS BIGINT)) * 2 + {n}) div ({n} * 2) AS DOUBLE) / 100")
+    n = f"CAST({denominator or f'count({c})'} AS DECIMAL(20,0))"
+    cents = f"CAST(sum({c}) * 100 AS DECIMAL(36,0))"
+    return F.expr(f"CAST(sign({cents}) AS INT) * CAST((abs({cents}) * 2 + {n}) div ({n} * 2) AS DOUBLE) / 100")
 
 
 def avg_money_sql(c: str, denominator: str | None = None) -> str:
+    """Another road to the same figure: whole cents and their remainder."""
     n = denominator or f"count({c})"
-    return f"CAST((sum(CAST({c} * 100 AS BIGINT)) * 2 + {n}) // ({n} * 2) AS DOUBLE) / 100"
+    cents = f"CAST(sum({c}) * 100 AS HUGEINT)"
+    up = f"CASE WHEN 2 * (abs({cents}) % {n}) >= {n} THEN 1 ELSE 0 END"
+    return f"CASE WHEN sum({c}) < 0 THEN -1 ELSE 1 END * CAST(abs({cents}) // {n} + {up} AS DOUBLE) / 100"
 
 
 def nation_b(t: Tables) -> DataFrame:

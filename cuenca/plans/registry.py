@@ -49,7 +49,7 @@ def query(key: str, sql: str | None = None, ctes=()):
 
 PLAN_MODULES = (
     "projections", "filters", "joins", "subqueries", "aggregates", "cubes",
-    "windows", "sorting", "scalars", "udfs", "documents", "sources",
+    "windows", "sorting", "scalars", "documents", "sources",
     "sinks", "quality", "warehouse", "balancing", "domain", "streams", "session_ops",
 )
 
@@ -57,9 +57,5 @@ PLAN_MODULES = (
 def load_all() -> dict[str, Entry]:
     import importlib
     for m in PLAN_MODULES:
-        try:
-            importlib.import_module(f"cuenca.plans.{m}")
-        except ModuleNotFoundError as e:
-            if e.name != f"cuenca.plans.{m}":
-                raise
+        importlib.import_module(f"cuenca.plans.{m}")
     return REGISTRY

@@ -129,24 +129,24 @@ DOC_SCHEMA = StructType([StructField("customer_id", LongType()), StructField("na
                          StructField("test_user", StringType())])
 
 
+PER_ARRAY = 5_000        # documents in one array file
+
+
 @query("src10_json_array_documents", sql="""
     SELECT c_custkey AS customer_id, c_name AS name, n_name AS city, c_mktsegment AS segment,
            CASE WHEN c_acctbal < 0 THEN 'true' END AS test_user
     FROM customer JOIN nation ON n_nationkey = c_nationkey""")
 def _(spark, sf):
     """Files that each hold one JSON array of documents (``multiLine``).
-    Documents are hashed into buckets of at most ~50k; each bucket is
-    written as one array file (``[``, documents joined by ``,``, ``]``)."""
+    Every ``PER_ARRAY`` consecutive customer ids share a file (``[``, documents
+    joined by ``,``, ``]``), so an array is bounded at any table size."""
     t = Tables(spark, sf)
     c = m.customers(t).select("customer_id", F.col("customer_name").alias("name"),
                               F.col("state").alias("city"), "segment",
                               F.when(F.col("acctbal") < 0, F.lit(True)).alias("test_user"))
-    docs = c.select(F.to_json(F.struct("*")).alias("d"))
+    docs = c.select(F.to_json(F.struct("*")).alias("d"), F.floor(F.col("customer_id") / PER_ARRAY).alias("b"))
     path = fresh(spark, "src10")
-    # one array file per bucket of at most ~50k documents
-    n = max(1, -(-docs.count() // 50_000))
-    arr = (docs.withColumn("b", F.abs(F.xxhash64("d")) % n)
-           .groupBy("b").agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("d")), F.lit("]"))
+    arr = (docs.groupBy("b").agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("d")), F.lit("]"))
                              .alias("value")))
     arr.write.mode("overwrite").partitionBy("b").text(path)
     out = S.read_json_documents(spark, path, schema=DOC_SCHEMA, multiline=True)
@@ -243,25 +243,19 @@ def _(spark, sf):
     return spark.table(name).groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
 
 
-def broadcast_if_small(df, max_rows: int = 100_000):
-    """Broadcast a lookup only after checking its size (one count of the
-    lookup); above the bound the join stays a shuffle join."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 @query("src18_lookup_csv_broadcast", ctes=("e_customers",), sql="""
     SELECT c.customer_id, c.state, r.r_name AS region_name
     FROM e_customers c JOIN nation n ON n.n_name = c.state JOIN region r ON r.r_regionkey = n.n_regionkey""")
 def _(spark, sf):
-    """A code→label lookup CSV joined by broadcast after a size check."""
+    """A code→label lookup CSV; Spark broadcasts it from its measured size and
+    joins by shuffle beyond the threshold."""
     t = Tables(spark, sf)
     look = (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
             .select(F.col("n_name").alias("state"), F.col("r_name").alias("region_name")))
     path = fresh(spark, "src18")
     write_csv(look, path)
     lk = S.read_csv(spark, path, schema="state STRING, region_name STRING")
-    return m.customers(t).join(broadcast_if_small(lk), "state").select(
+    return m.customers(t).join(lk, "state").select(
         "customer_id", "state", "region_name")
 
 

@@ -8,7 +8,9 @@ partition coalescing, and a checkpoint directory taken from the cluster.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,22 +52,22 @@ def get_session(master: str | None = None, app: str = "cuenca",
 def apply_core_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of CORE_CONF to an existing session."""
     for k, v in CORE_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: keep what is there
-            pass
+        spark.conf.set(k, v)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    The cluster names it; only when it is unset (local tests) a scratch
-    folder is created and registered on the SparkContext so
-    ``DataFrame.checkpoint()`` works."""
+    The cluster names it. Only a local session (tests), whose tasks share the
+    driver's disk, gets a folder of its own when it is unset, removed at exit;
+    on a cluster that is an error, as every executor would write to its own disk."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="cuenca-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
@@ -92,19 +94,18 @@ def materialize(df):
 
 def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
                  target_partition_bytes: int = 256 << 20, shuffle_fraction: float = 0.25,
-                 max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+                 ) -> dict[str, str]:
     """Partition sizing for a run over ``input_bytes`` of input.
 
     Scans split input into ``target_partition_bytes`` pieces. Shuffles start
     with enough partitions for the shuffled share of the input
     (``shuffle_fraction``: projections and partial aggregates shrink it) at
     about ``target_partition_bytes`` each, never fewer than two waves of
-    cores and capped to keep shuffle metadata manageable; AQE then coalesces
-    small partitions and splits skewed ones. At 100 TB on 1000 × 8 cores
-    this starts shuffles at ~100k partitions."""
+    cores; AQE then coalesces small partitions and splits skewed ones. At
+    100 TB this starts shuffles at ~100k partitions."""
     slots = max(1, executor_cores * executors)
     parts = -(-int(input_bytes * shuffle_fraction) // target_partition_bytes)
-    parts = min(max(2 * slots, parts), max(max_shuffle_partitions, 2 * slots))
+    parts = max(2 * slots, parts)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),

@@ -93,7 +93,7 @@ def read_parquet_tree(spark: SparkSession, path: str, partitioned: bool = True)
 
 
 def find_time_column(df: DataFrame,
-                     candidates: Iterable[str] = ("fecha", "date", "datetime", "timestamp",
+                     candidates: Iterable[str] = ("fecha", "fechahora", "date", "datetime", "timestamp",
                                                   "ts", "time", "hora")) -> str | None:
     """First column whose lower-cased name is a known time-column name."""
     lower = {c.lower(): c for c in df.columns}
@@ -116,7 +116,10 @@ def harmonise(frames: Iterable[DataFrame], rename: Mapping[str, str],
         d = df.select(*[F.col(f"`{c}`").alias(lower_map.get(c.lower(), c)) for c in df.columns])
         for c in decimal_comma:
             if c in d.columns:
-                d = d.withColumn(c, F.regexp_replace(F.col(c).cast("string"), ",", "."))
+                s = F.trim(F.col(c).cast("string"))
+                # 1.234,56 -> 1234.56: points before a decimal comma group thousands
+                d = d.withColumn(c, F.when(s.contains(","), F.replace(F.regexp_replace(s, r"[.\x20]", ""), F.lit(","), F.lit(".")))
+                                 .otherwise(s))
         out = d if out is None else out.unionByName(d, allowMissingColumns=True)
     for c, t in (casts or {}).items():
         out = out.withColumn(c, F.col(c).cast("string").try_cast(t))
