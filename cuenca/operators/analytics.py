@@ -192,6 +192,47 @@ def previous_within(df: DataFrame, keys, order: Sequence[str], col: str, bucket:
             .drop("_bkt", "_lag", "_prev_bucket_last"))
 
 
+def exact_percentile(df: DataFrame, value: str, p: float, few: int = 10_000) -> float | None:
+    """Exact PERCENTILE_CONT of a whole column, without gathering its values.
+
+    The range that holds the wanted rank is narrowed by counts between 64
+    approximate quantiles (one aggregate each round) until at most ``few``
+    distinct values are left; their counts decide. NULL without values."""
+    d = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    r = d.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    if not r["n"]:
+        return None
+    h = p * (r["n"] - 1)
+    low, high, lo, hi, below = int(h), min(int(h) + 1, r["n"] - 1), r["lo"], r["hi"], 0
+    while True:
+        part = d.where(F.col("v").between(lo, hi))
+        if part.agg(F.count_distinct("v")).first()[0] <= few:
+            break
+        edges = sorted({lo, hi, *part.agg(F.percentile_approx("v", [k / 64 for k in range(1, 64)], 1000)).first()[0]})
+        at = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e < F.col("v")))   # values in (edge before, edge]
+        counts = {x["b"]: x["n"] for x in part.groupBy(at.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        run, first, last, before = below, None, None, below
+        for b in sorted(counts):
+            if first is None and run + counts[b] > low:
+                first, before = b, run
+            run += counts[b]
+            if last is None and run > high:
+                last = b
+        new_lo, new_hi = edges[max(first - 1, 0)], edges[min(last, len(edges) - 1)]
+        if (new_lo, new_hi) == (lo, hi):
+            break
+        # values equal to the lower edge belong to the bucket before
+        below = before - (counts.get(first - 1, 0) and part.where(F.col("v") == new_lo).count()) if first else below
+        lo, hi = new_lo, new_hi
+    run, at_low = below, None
+    for x in part.groupBy("v").agg(F.count(F.lit(1)).alias("n")).orderBy("v").collect():   # at most ``few`` rows
+        run += x["n"]
+        if at_low is None and run > low:
+            at_low = x["v"]
+        if run > high:
+            return at_low + (x["v"] - at_low) * (h - low)
+
+
 def percentiles_from_counts(df: DataFrame, keys, value: str, ps: dict) -> DataFrame:
     """Exact PERCENTILE_CONT per key for a value with a bounded domain
     (days, cents): rows are first counted per (key, value) with partial

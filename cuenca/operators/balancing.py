@@ -1,9 +1,10 @@
 """Stock balancing between stores: transfer orders from stores with stock
 to stores with demand, per SKU, by priority.
 
-Two variants, as in the course:
+Demand and supply are one table of ``entries``: (side, sku, store, season, qty,
+code, priority), ``side`` being need or source. Two rules work on it:
 
-* ``interval`` — the Spark job's formula: needs and sources get cumulative
+* ``interval`` — the Spark job's formula: the entries of a side get cumulative
   ranges per SKU in priority order; a transfer is the overlap of a source
   range and a need range; self-transfers are dropped *after* matching.
   The overlaps are found with a sweep over the range boundaries (one sort
@@ -15,100 +16,80 @@ Two variants, as in the course:
   batches over SKU-partitioned, SKU-sorted rows (SKUs in parallel; a SKU
   holds one row per store and season after aggregation, so it is bounded by
   the store count).
+
+A store without a priorities row has priority 9999 and no short code. Entries
+without a store keep their place in the cumulative ranges, as in the formula,
+but nothing is shipped to or from them.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cuenca.functions.columns import clean_id, zero_pad
 from cuenca.operators.analytics import global_sequence
 
 SKU = "ID interno"
 UNKNOWN_PRIORITY = 9999
-
-
-def needs_and_sources(ventas: DataFrame, stock: DataFrame, prior: DataFrame,
-                      as_of: str, window_days: int) -> tuple[DataFrame, DataFrame]:
-    """Demand per (store, SKU, season) inside the sales window and supply per
-    (store, SKU), both with the store priorities (missing → 9999)."""
-    v = (ventas.withColumns({SKU: clean_id(SKU),
-                             "Fecha": F.try_to_date(F.col("Fecha").cast("string")),
-                             "Cantidad Vendida": F.col("Cantidad Vendida").cast("double")})
-         .where(F.col("Fecha") >= F.date_sub(F.lit(as_of).cast("date"), window_days)))
-    needs = (v.groupBy("Sucursal", SKU, "Temporada")
-             .agg(F.sum("Cantidad Vendida").alias("A_Reponer"))
-             .where(F.col(SKU).isNotNull() & (F.col(SKU) != "") & (F.col("A_Reponer") > 0)))
-    p = F.broadcast(prior.select("Sucursal", "codigo_corto",
-                                 F.col("prioridad_reposicion").cast("int"),
-                                 F.col("prioridad_retiro").cast("int")))
-    needs = (needs.join(p.select("Sucursal", "prioridad_reposicion",
-                                 F.col("codigo_corto").alias("dest_corto")), "Sucursal", "left")
-             .withColumn("prioridad_reposicion",
-                         F.coalesce("prioridad_reposicion", F.lit(UNKNOWN_PRIORITY))))
-    s = (stock.withColumns({SKU: clean_id(SKU),
-                            "stock": F.col("Stock disponible para la venta").cast("double")})
-         .where(F.col("stock") > 0))
-    sources = (s.join(p.select("Sucursal", "prioridad_retiro",
-                               F.col("codigo_corto").alias("orig_corto")), "Sucursal", "left")
-               .withColumn("prioridad_retiro", F.coalesce("prioridad_retiro", F.lit(UNKNOWN_PRIORITY))))
-    return needs, sources
-
-
-def _ranges(df: DataFrame, order: list[str], qty: str, idx: str, lo: str, hi: str) -> DataFrame:
-    w = Window.partitionBy(SKU).orderBy(*order)
-    cum = F.sum(qty).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumns({idx: F.row_number().over(w), hi: cum, lo: cum - F.col(qty)})
-
-
-def allocate_interval(needs: DataFrame, sources: DataFrame, keep_self: bool = False) -> DataFrame:
+SIDES = {"need": "prioridad_reposicion", "source": "prioridad_retiro"}
+
+
+def entries(ventas: DataFrame, stock: DataFrame, prior: DataFrame, as_of: str, window_days: int) -> DataFrame:
+    """Demand (sales of the window, per store, SKU and season) and supply (stock
+    above zero, per store and SKU) with the priority of their side."""
+    sold = F.col("Cantidad Vendida").cast("double")
+    recent = F.try_to_date(F.col("Fecha").cast("string")) >= F.date_sub(F.lit(as_of).cast("date"), window_days)
+    need = (ventas.where(recent)
+            .groupBy(clean_id(SKU).alias("sku"), F.col("Sucursal").alias("store"), F.col("Temporada").alias("season"))
+            .agg(F.sum(sold).alias("qty")).withColumn("side", F.lit("need")))
+    source = stock.select(clean_id(SKU).alias("sku"), F.col("Sucursal").alias("store"), F.lit(None).cast("string").alias("season"),
+                          F.col("Stock disponible para la venta").cast("double").alias("qty"), F.lit("source").alias("side"))
+    both = need.unionByName(source).where((F.col("qty") > 0) & (F.length("sku") > 0))
+    # one priorities row per store and side; the join is left to Spark's measured sizes
+    ranks = prior.select(F.col("Sucursal").alias("store"), F.col("codigo_corto").alias("code"), F.explode(F.create_map(
+        *[x for side, c in SIDES.items() for x in (F.lit(side), F.col(c).cast("int"))])).alias("side", "priority"))
+    return (both.join(ranks, ["store", "side"], "left")
+            .withColumn("priority", F.coalesce("priority", F.lit(UNKNOWN_PRIORITY))))
+
+
+def _ranged(rows: DataFrame) -> DataFrame:
+    """Rank ``idx`` and cumulative range [lo, hi) of each entry on its side."""
+    w = Window.partitionBy("sku", "side").orderBy("priority", "store", "season")
+    hi = F.sum("qty").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return rows.withColumns({"idx": F.row_number().over(w), "hi": hi}).withColumn("lo", F.col("hi") - F.col("qty"))
+
+
+def allocate_interval(rows: DataFrame, keep_self: bool = False) -> DataFrame:
     """Overlap of cumulative ranges, found by a boundary sweep per SKU.
 
-    Every range start/end is a boundary; between two consecutive boundaries
-    exactly one source range and one need range are active (the last one
-    started). Summing the elementary segment lengths per (source, need)
-    equals max(0, min(ends) − max(starts)) for every pair, without forming
-    the pairs. Each input is read once: its ranges are exploded into start
-    and end points that carry the store attributes, and one window over the
-    points does the sweep."""
-    n = _ranges(needs, ["prioridad_reposicion", "Sucursal", "Temporada"], "A_Reponer",
-                "need_idx", "need_lo", "need_hi")
-    s = _ranges(sources, ["prioridad_retiro", "Sucursal"], "stock", "src_idx", "src_lo", "src_hi")
-    ns, ni = F.lit(None).cast("string"), F.lit(None).cast("int")
-
-    def point(pos, s_i, d, oc, n_i, h, tmp, dc, end_n, end_s):
-        return F.struct(pos.alias("pos"), s_i.alias("s_i"), d.alias("DESDE"), oc.alias("orig_corto"),
-                        n_i.alias("n_i"), h.alias("HACIA"), tmp.alias("Temporada"),
-                        dc.alias("dest_corto"), end_n.alias("end_n"), end_s.alias("end_s"))
-
-    zero = F.lit(None).cast("double")
-    src_pts = s.select(SKU, F.explode(F.array(
-        point(F.col("src_lo"), F.col("src_idx"), F.col("Sucursal"), F.col("orig_corto"),
-              ni, ns, ns, ns, zero, zero),
-        point(F.col("src_hi"), ni, ns, ns, ni, ns, ns, ns, zero, F.col("src_hi")))).alias("p"))
-    need_pts = n.select(SKU, F.explode(F.array(
-        point(F.col("need_lo"), ni, ns, ns, F.col("need_idx"), F.col("Sucursal"), F.col("Temporada"),
-              F.col("dest_corto"), zero, zero),
-        point(F.col("need_hi"), ni, ns, ns, ni, ns, ns, ns, F.col("need_hi"), zero))).alias("p"))
-    pts = src_pts.unionByName(need_pts).select(SKU, "p.*")
-    by_sku = Window.partitionBy(SKU)
-    w = by_sku.orderBy("pos", F.col("s_i").asc_nulls_first(), F.col("n_i").asc_nulls_first())
+    Every range starts at a boundary; between two boundaries exactly one
+    source range and one need range are active: the last ones started. Each
+    start carries its entry as ONE struct, so the sweep carries whole
+    entries and a NULL attribute stays that entry's. Summing the elementary
+    segments per (source, need) equals max(0, min(ends) − max(starts)) for
+    every pair, without forming the pairs."""
+    r = _ranged(rows)
+    entry = F.struct("idx", "store", "season", "code")
+    start = r.select("sku", F.col("lo").alias("pos"), F.when(F.col("side") == "source", entry).alias("source"),
+                     F.when(F.col("side") == "need", entry).alias("need"))
+    ends = r.groupBy("sku").agg(F.max(F.when(F.col("side") == "source", F.col("hi"))).alias("supply"),
+                                F.max(F.when(F.col("side") == "need", F.col("hi"))).alias("demand"))
+    last = ends.select("sku", F.explode(F.array(F.coalesce("supply", F.lit(0.0)), F.coalesce("demand", F.lit(0.0)))).alias("pos"))
+    points = start.unionByName(last, allowMissingColumns=True)
+    w = Window.partitionBy("sku").orderBy("pos", F.col("source.idx").asc_nulls_first(), F.col("need.idx").asc_nulls_first())
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = {c: F.last(c, ignorenulls=True).over(upto)
-               for c in ("s_i", "DESDE", "orig_corto", "n_i", "HACIA", "Temporada", "dest_corto")}
-    carried.update({"nxt": F.lead("pos").over(w), "tot_need": F.max("end_n").over(by_sku),
-                    "tot_src": F.max("end_s").over(by_sku)})
-    seg = (pts.withColumns(carried)
-           .where((F.col("nxt") > F.col("pos")) & (F.col("pos") < F.col("tot_need"))
-                  & (F.col("pos") < F.col("tot_src")) & F.col("s_i").isNotNull()
-                  & F.col("n_i").isNotNull())
-           .withColumn("len", F.least("nxt", "tot_need", "tot_src") - F.col("pos")))
-    alloc = seg.groupBy(SKU, F.col("s_i").alias("src_idx"), F.col("n_i").alias("need_idx"),
-                        "DESDE", "orig_corto", "HACIA", "Temporada", "dest_corto").agg(
-        F.sum("len").alias("CANTIDAD"))
-    return alloc.where((F.col("CANTIDAD") > 0)
-                       & (F.lit(keep_self) | (F.col("DESDE") != F.col("HACIA"))))
+    swept = (points.withColumns({"source": F.last("source", ignorenulls=True).over(upto),
+                                 "need": F.last("need", ignorenulls=True).over(upto), "next": F.lead("pos").over(w)})
+             .join(ends, "sku"))
+    length = F.least("next", "supply", "demand") - F.col("pos")
+    alloc = (swept.where(F.col("source").isNotNull() & F.col("need").isNotNull() & (length > 0))
+             .groupBy("sku", "source", "need").agg(F.sum(length).alias("CANTIDAD")))
+    out = alloc.select(F.col("sku").alias(SKU), F.col("source.idx").alias("src_idx"), F.col("need.idx").alias("need_idx"),
+                       F.col("source.store").alias("DESDE"), F.col("source.code").alias("orig_corto"),
+                       F.col("need.store").alias("HACIA"), F.col("need.season").alias("Temporada"),
+                       F.col("need.code").alias("dest_corto"), "CANTIDAD")
+    return out if keep_self else out.where(F.col("DESDE") != F.col("HACIA"))
 
 
 GREEDY_SCHEMA = ("`ID interno` string, need_rank int, src_rank int, Temporada string, HACIA string, "
@@ -169,27 +150,24 @@ def _greedy_partition(batches):
         yield _greedy_block(carry)
 
 
-def allocate_greedy(needs: DataFrame, sources: DataFrame) -> DataFrame:
+def allocate_greedy(rows: DataFrame) -> DataFrame:
     """Greedy skip-self allocation. SKUs are hash-partitioned and each
     partition is sorted so a SKU's needs and sources are contiguous and in
     priority order; ``mapInPandas`` then walks them with plain Python lists
     (no per-SKU pandas object). A SKU is bounded by stores × seasons rows."""
-    none_s = F.lit(None).cast("string")
-    n = needs.select(F.lit("need").alias("kind"), SKU, "Sucursal", "Temporada",
-                     F.col("A_Reponer").alias("qty"), F.col("dest_corto").alias("codigo_corto"),
-                     F.col("prioridad_reposicion").alias("prio"))
-    s = sources.select(F.lit("src").alias("kind"), SKU, "Sucursal", none_s.alias("Temporada"),
-                       F.col("stock").alias("qty"), F.col("orig_corto").alias("codigo_corto"),
-                       F.col("prioridad_retiro").alias("prio"))
-    rows = (n.unionByName(s).repartition(SKU)
-            .sortWithinPartitions(SKU, "kind", "prio", "Sucursal", "Temporada"))
-    return rows.mapInPandas(_greedy_partition, GREEDY_SCHEMA)
+    ordered = (rows.where(F.col("store").isNotNull())
+               .select(F.when(F.col("side") == "need", "need").otherwise("src").alias("kind"), F.col("sku").alias(SKU),
+                       F.col("store").alias("Sucursal"), F.col("season").alias("Temporada"), "qty",
+                       F.col("code").alias("codigo_corto"), F.col("priority").alias("prio"))
+               .repartition(SKU).sortWithinPartitions(SKU, "kind", "prio", "Sucursal", "Temporada"))
+    return ordered.mapInPandas(_greedy_partition, GREEDY_SCHEMA)
 
 
 def transfer_orders(alloc: DataFrame, run_ts: str, order_cols: list[str]) -> DataFrame:
     """Final file rows with ``ID EXT OT = OT-<orig>-<dest>-<run_ts>-<seq 4>``;
     the sequence is global over ``order_cols`` (no single-partition window)."""
-    seq = global_sequence(alloc, order_cols, "seq")
+    # the allocation is costly: it is written once before it is sampled and numbered
+    seq = global_sequence(alloc, order_cols, "seq", expensive_input=True)
     ext = F.concat(F.lit("OT-"), F.coalesce("orig_corto", F.lit("XXX")), F.lit("-"),
                    F.coalesce("dest_corto", F.lit("YYY")), F.lit("-"), F.lit(run_ts), F.lit("-"),
                    zero_pad("seq", 4))
@@ -201,9 +179,25 @@ def balance(ventas: DataFrame, stock: DataFrame, prior: DataFrame, as_of: str,
             window_days: int = 15, mode: str = "greedy", run_ts: str | None = None) -> DataFrame:
     """Transfer orders for the silver inputs (``mode`` = greedy | interval)."""
     run_ts = run_ts or as_of.replace("-", "") + "_000000"
-    needs, sources = needs_and_sources(ventas, stock, prior, as_of, window_days)
+    rows = entries(ventas, stock, prior, as_of, window_days)
     if mode == "greedy":
-        alloc = allocate_greedy(needs, sources)
-        return transfer_orders(alloc, run_ts, [SKU, "need_rank", "src_rank"])
-    alloc = allocate_interval(needs, sources)
-    return transfer_orders(alloc, run_ts, [SKU, "DESDE", "HACIA", "need_idx", "src_idx"])
+        return transfer_orders(allocate_greedy(rows), run_ts, [SKU, "need_rank", "src_rank"])
+    return transfer_orders(allocate_interval(rows), run_ts, [SKU, "DESDE", "HACIA", "need_idx", "src_idx"])
+
+
+def balance_files(spark: SparkSession, ventas: str, stock: str, prior: str, out_dir: str, as_of: str,
+                  run_ts: str, window_days: int = 15, mode: str = "greedy", sep: str = ",") -> str:
+    """The job: three CSV files in, checked for separator and columns, and one
+    ``;`` file of transfer orders out, named after the run. Returns its path."""
+    from cuenca.sinks.writers import write_single_csv
+    from cuenca.sources.files import check_separator, read_csv, require_columns
+    frames = []
+    for path, name, cols in ((ventas, "ventas", ["Fecha", "Sucursal", SKU, "Temporada", "Cantidad Vendida"]),
+                             (stock, "stock", ["Sucursal", SKU, "Stock disponible para la venta"]),
+                             (prior, "prioridades", ["Sucursal", "codigo_corto", *SIDES.values()])):
+        df = read_csv(spark, path, sep=sep)
+        check_separator(df, name, sep)
+        require_columns(df, cols, name)
+        frames.append(df)
+    orders = balance(*frames, as_of, window_days, mode, run_ts)
+    return write_single_csv(orders.orderBy("seq").drop("seq"), out_dir, f"ordenes_traslado_netsuite_{run_ts}.csv")

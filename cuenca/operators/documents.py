@@ -76,15 +76,24 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
 
 
 def unwrap_payload(raw: DataFrame, json_col: str, schema) -> DataFrame:
-    """API payload → rows: the records may sit under ``data``, under
-    ``result`` or be a bare list. ``schema`` is the record schema. Rows of a
-    payload with no records are dropped (the caller checks for emptiness)."""
+    """API payload → rows: the records sit under ``data``, else under
+    ``result`` (also when ``data`` is there but empty), else the payload is a
+    bare list. ``schema`` is the record schema. A payload without records
+    gives no rows: ``rejected_payloads`` has those."""
+    return raw.select(F.explode(_records(json_col, schema)).alias("r")).select("r.*")
+
+
+def rejected_payloads(raw: DataFrame, json_col: str, schema) -> DataFrame:
+    """The payloads that ``unwrap_payload`` finds no records in, as they came."""
+    return raw.where(F.size(_records(json_col, schema)) <= 0)
+
+
+def _records(json_col: str, schema) -> Column:
     rec = ArrayType(schema)
     s = F.col(json_col)
-    records = F.coalesce(F.from_json(F.get_json_object(s, "$.data"), rec),
-                         F.from_json(F.get_json_object(s, "$.result"), rec),
-                         F.from_json(s, rec))
-    return raw.select(F.explode(records).alias("r")).select("r.*")
+    found = [F.from_json(F.get_json_object(s, "$.data"), rec), F.from_json(F.get_json_object(s, "$.result"), rec),
+             F.when(F.ltrim(s).startswith("["), F.from_json(s, rec))]
+    return F.coalesce(*[F.when(F.size(f) > 0, f) for f in found], F.array().cast(rec))
 
 
 def status_durations(df: DataFrame, key: str, history_col: str,

@@ -69,7 +69,7 @@ def evaluate(df: DataFrame, entity: str, rules: Sequence[Rule],
 
     Row rules: one pass, one partial aggregate per task (``row_count_rule``
     adds the row count as one more row of the same pass). ``unique``: keys
-    with count > 1 (NULL keys ignored). ``foreign_key``: child rows whose
+    with count > 1 (keys with a NULL in any column ignored). ``foreign_key``: child rows whose
     non-NULL key has no parent (left anti join)."""
     parts: list[DataFrame] = []
     row_rules = [r for r in rules if r.kind in ROW_KINDS]
@@ -84,8 +84,7 @@ def evaluate(df: DataFrame, entity: str, rules: Sequence[Rule],
         parts.append(agg.selectExpr(f"stack({len(names)}, {stack}) AS (rule, violations)"))
     for r in rules:
         if r.kind == "unique":
-            keyed = df.where(F.greatest(*[F.col(c).isNotNull() for c in r.columns])
-                             if len(r.columns) > 1 else F.col(r.columns[0]).isNotNull())
+            keyed = df.dropna(how="any", subset=list(r.columns))
             dup = keyed.groupBy(*r.columns).count().where(F.col("count") > 1)
             parts.append(dup.agg(F.count(F.lit(1)).alias("violations"))
                          .select(F.lit(r.name).alias("rule"), "violations"))

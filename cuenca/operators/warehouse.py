@@ -12,7 +12,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cuenca.operators.analytics import global_sequence
+from cuenca.operators.analytics import exact_percentile, global_sequence
 
 OPEN_END = "9999-12-31"
 
@@ -152,10 +152,8 @@ def retain(df: DataFrame, ts_col: str, ref_date: str, days: int | None = None,
 def treat_outliers(df: DataFrame, col: str, p: float = 0.99, how: str = "flag") -> DataFrame:
     """drop / flag / cap values above the p-th percentile; a NULL is no outlier:
     it is kept, its flag and cap are NULL. The exact
-    percentile is read from counts per distinct value (bounded by the value
-    domain) and used as a scalar subquery."""
-    from cuenca.operators.analytics import percentiles_from_counts
-    thr = percentiles_from_counts(df, [], col, {"p": p}).scalar()
+    percentile is computed once, before the frame is built."""
+    thr = F.lit(exact_percentile(df, col, p)).cast("double")
     v = F.col(col).cast("double")
     if how == "drop":
         return df.where(v.isNull() | (v <= thr))

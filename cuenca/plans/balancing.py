@@ -106,8 +106,7 @@ def _(spark, sf):
     """Equi key (SKU) + overlap of cumulative ranges, self pairs kept: the
     interval join, computed by a boundary sweep instead of all pairs."""
     v, s, p = silver_inputs(Tables(spark, sf))
-    needs, sources = B.needs_and_sources(v, s, p, AS_OF, WINDOW_DAYS)
-    a = B.allocate_interval(needs, sources, keep_self=True)
+    a = B.allocate_interval(B.entries(v, s, p, AS_OF, WINDOW_DAYS), keep_self=True)
     return a.select(B.SKU, "src_idx", "need_idx", "DESDE", "HACIA", "CANTIDAD")
 
 
@@ -161,8 +160,7 @@ def _(spark, sf):
     raw allocations before numbering. The oracle replays the same greedy
     rule as a recursive query over a list of remaining stock per SKU."""
     v, s, p = silver_inputs(Tables(spark, sf))
-    needs, sources = B.needs_and_sources(v, s, p, AS_OF, WINDOW_DAYS)
-    return B.allocate_greedy(needs, sources)
+    return B.allocate_greedy(B.entries(v, s, p, AS_OF, WINDOW_DAYS))
 
 
 @query("pip06_balancing_greedy", sql=_GREEDY_SQL + f""",

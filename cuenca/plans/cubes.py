@@ -193,13 +193,19 @@ def _(spark, sf):
     return olap.rollup_levels(f, ["year", "month", "day"], rev())
 
 
+def _in_year(y: int):
+    """Half-open date range: unlike ``year(col) = y`` it reaches the scan."""
+    d = F.col("purchase_date")
+    return (d >= F.lit(f"{y}-01-01").cast("date")) & (d < F.lit(f"{y + 1}-01-01").cast("date"))
+
+
 @query("flt08_slice_year", ctes=("fact",), sql="""
     SELECT category, state, CAST(sum(revenue) AS DECIMAL(38,2)) AS total_revenue
     FROM fact WHERE year(purchase_date) = 1997 GROUP BY category, state""")
 def _(spark, sf):
     """Slice: fix year = 1997 and drop the time dimension."""
     f = m.fact_sales(Tables(spark, sf))
-    return olap.roll_up(olap.slice_(f, F.year("purchase_date") == 1997),
+    return olap.roll_up(olap.slice_(f, _in_year(1997)),
                         ["category", "state"], rev())
 
 
@@ -223,6 +229,6 @@ def _(spark, sf):
     f = m.fact_sales(Tables(spark, sf))
 
     def cube(y):
-        return (olap.roll_up(olap.slice_(f, F.year("purchase_date") == y), ["category"], rev())
+        return (olap.roll_up(olap.slice_(f, _in_year(y)), ["category"], rev())
                 .select(F.lit(y).alias("year"), "category", "total_revenue"))
     return olap.union_cubes(cube(1997), cube(1998))

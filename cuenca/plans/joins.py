@@ -134,21 +134,22 @@ def _(spark, sf):
             .select(F.col("c_custkey").alias("customer_id")))
 
 
-@query("joi12_presence_split", ctes=("e_orders", "e_payments"), sql="""
-    WITH p AS (SELECT DISTINCT order_id FROM e_payments)
-    SELECT o.customer_id, count(*) AS orders, count(p.order_id) AS with_payment,
-           count(*) - count(p.order_id) AS without_payment
-    FROM e_orders o LEFT JOIN p ON p.order_id = o.order_id
-    GROUP BY o.customer_id HAVING count(*) - count(p.order_id) >= 1""")
+@query("joi12_presence_split", ctes=("e_orders", "e_reviews"), sql="""
+    WITH r AS (SELECT DISTINCT review_id AS order_id FROM e_reviews)
+    SELECT o.customer_id, count(*) AS orders, count(r.order_id) AS with_review,
+           count(*) - count(r.order_id) AS without_review
+    FROM e_orders o LEFT JOIN r ON r.order_id = o.order_id
+    GROUP BY o.customer_id HAVING count(*) - count(r.order_id) >= 1""")
 def _(spark, sf):
-    """Orders with / without a payment per customer; customers with ≥1 missing."""
+    """Orders with / without a review per customer; customers with ≥1 missing.
+    A review is the order's of the same number."""
     t = Tables(spark, sf)
-    p = m.payments(t).select("order_id").distinct().withColumn("has", F.lit(1))
-    j = m.orders(t).select("order_id", "customer_id").join(p, "order_id", "left")
+    r = m.reviews(t).select(F.col("review_id").alias("order_id")).distinct().withColumn("has", F.lit(1))
+    j = m.orders(t).select("order_id", "customer_id").join(r, "order_id", "left")
     g = j.groupBy("customer_id").agg(F.count(F.lit(1)).alias("orders"),
-                                     F.count("has").alias("with_payment"))
-    return (g.withColumn("without_payment", F.col("orders") - F.col("with_payment"))
-            .where(F.col("without_payment") >= 1))
+                                     F.count("has").alias("with_review"))
+    return (g.withColumn("without_review", F.col("orders") - F.col("with_review"))
+            .where(F.col("without_review") >= 1))
 
 
 @query("joi13_calendar_left_join", ctes=("e_orders",), sql="""

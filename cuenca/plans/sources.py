@@ -164,17 +164,20 @@ _PAYLOAD_REC = StructType([StructField("id", LongType()), StructField("fecha", S
 def _(spark, sf):
     """API responses with records under ``data``, under ``result`` or as a
     bare list are unwrapped, then nested fields are flattened to dotted
-    columns (one payload per record: no grouping of records)."""
+    columns. A payload holds the records of 50 consecutive ids; some have
+    an empty ``data`` beside a full ``result``."""
     e = Tables(spark, sf).events
     rec = F.to_json(F.struct(F.col("event_id").alias("id"),
                              F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("fecha"),
                              F.struct(F.col("event_type").alias("region"),
                                       F.col("value").alias("valor")).alias("meta")))
-    arr = F.concat(F.lit("["), rec, F.lit("]"))
-    payload = (F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"data": '), arr, F.lit("}")))
-               .when(F.col("event_id") % 3 == 1, F.concat(F.lit('{"result": '), arr, F.lit("}")))
-               .otherwise(arr))
-    raw = e.select(payload.alias("body"))
+    page = (e.groupBy(F.floor(F.col("event_id") / 50).alias("page"))
+            .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(rec)), F.lit("]")).alias("arr")))
+    payload = (F.when(F.col("page") % 4 == 0, F.concat(F.lit('{"data": '), "arr", F.lit("}")))
+               .when(F.col("page") % 4 == 1, F.concat(F.lit('{"result": '), "arr", F.lit("}")))
+               .when(F.col("page") % 4 == 2, F.concat(F.lit('{"data": [], "result": '), "arr", F.lit("}")))
+               .otherwise(F.col("arr")))
+    raw = page.select(payload.alias("body"))
     return D.flatten(D.unwrap_payload(raw, "body", _PAYLOAD_REC))
 
 

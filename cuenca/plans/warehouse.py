@@ -132,14 +132,17 @@ def _(spark, sf):
 
 
 @query("pip11_surrogate_keys_unknown_member", sql="""
-    SELECT CAST(row_number() OVER (ORDER BY p_partkey) AS BIGINT) AS product_sk, p_partkey AS product_id,
+    SELECT CAST(row_number() OVER (ORDER BY p_partkey % 2, p_partkey) AS BIGINT) AS product_sk, p_partkey AS product_id,
            p_type AS category FROM part
     UNION ALL SELECT -1, NULL, 'UNKNOWN'""")
 def _(spark, sf):
+    """Two loads: products of even keys first, then all. The second load keeps
+    the keys of the first and numbers the new products after them."""
     p = Tables(spark, sf).part.select(F.col("p_partkey").alias("product_id"),
                                       F.col("p_type").alias("category"))
+    first = WH.with_surrogate_key(p.where(F.col("product_id") % 2 == 0), "product_id", "product_sk")
     return WH.with_surrogate_key(p, "product_id", "product_sk",
-                                 unknown={"product_id": None, "category": "UNKNOWN"})
+                                 unknown={"product_id": None, "category": "UNKNOWN"}, existing=first)
 
 
 @query("pip12_star_schema_fact", ctes=("e_items", "e_orders", "e_customers"), sql="""
@@ -247,11 +250,12 @@ def _(spark, sf):
 
 
 def _change_feed(t):
-    """CDC feed over orders: every order inserted (seq 1), open orders
-    updated to F (seq 2), low-priority pending orders deleted (seq 3)."""
+    """CDC feed over orders: orders of odd keys inserted (seq 1; those of even keys
+    are in the table), open orders updated to F (seq 2), low-priority pending
+    orders deleted (seq 3)."""
     o = t.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"),
                         F.col("o_orderpriority").alias("priority"))
-    ins = o.select("order_id", "status", F.lit("I").alias("op"), F.lit(1).alias("seq"))
+    ins = o.where(F.col("order_id") % 2 == 1).select("order_id", "status", F.lit("I").alias("op"), F.lit(1).alias("seq"))
     upd = o.where(F.col("status") == "O").select("order_id", F.lit("F").alias("status"),
                                                  F.lit("U").alias("op"), F.lit(2).alias("seq"))
     dele = o.where((F.col("status") == "P") & (F.col("priority") == "5-LOW")).select(
@@ -263,10 +267,12 @@ def _change_feed(t):
     SELECT o_orderkey AS order_id, CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS status
     FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')""")
 def _(spark, sf):
-    """Ordered I/U/D changes applied to an empty table: last change per key wins."""
+    """Ordered I/U/D changes applied to a filled table (orders of even keys): the
+    last change per key wins, untouched rows stay, deleted ones go."""
     t = Tables(spark, sf)
-    empty = spark.createDataFrame([], "order_id BIGINT, status STRING")
-    return WH.cdc_apply(empty, _change_feed(t), "order_id")
+    table = t.orders.where(F.col("o_orderkey") % 2 == 0).select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"))
+    return WH.cdc_apply(table, _change_feed(t), "order_id")
 
 
 @query("pip20_retention", ctes=("e_orders",), sql="""

@@ -56,13 +56,20 @@ def event_time(df: DataFrame, col: str = "ts", out: str = "event_time") -> DataF
 
 def enrich_records(records: DataFrame, source: str, id_col: str = "recordId",
                    data_col: str = "data") -> DataFrame:
-    """Decode the base64 JSON payload, add ``source``, re-encode; result is
-    'Ok', or 'ProcessingFailed' (payload kept as it came) when the payload
-    is not base64 JSON."""
-    text = F.decode(F.unbase64(F.col(data_col)), "UTF-8")
-    parsed = F.from_json(text, "MAP<STRING, STRING>")
-    ok = F.col(data_col).rlike("^[A-Za-z0-9+/]*={0,2}$") & parsed.isNotNull()
-    enriched = F.to_json(F.map_concat(parsed, F.create_map(F.lit("source"), F.lit(source))))
+    """Decode the base64 JSON object, set its ``source``, re-encode; result is
+    'Ok', or 'ProcessingFailed' (payload kept as it came) when the payload is
+    not base64, not UTF-8 or no JSON object. Other fields keep their JSON
+    types (numbers, booleans, nested values); a ``source`` that is there is replaced."""
+    text = F.try_to_binary(F.col(data_col), F.lit("base64")).cast("string")
+    text = F.when(F.is_valid_utf8(text) & F.try_parse_json(text).isNotNull() & text.rlike(r"^\s*\{"), text)
+    fields = F.map_filter(F.from_json(text, "MAP<STRING, VARIANT>"), lambda k, v: k != "source")
+    # variants go back to JSON one by one, so their types stay
+    parts = F.transform(F.map_entries(fields), lambda e: F.concat(
+        F.regexp_extract(F.to_json(F.create_map(e["key"], F.lit(1))), r"^\{(.*):1\}$", 1), F.lit(":"),
+        F.coalesce(F.to_json(e["value"]), F.lit("null"))))
+    own = F.regexp_extract(F.to_json(F.create_map(F.lit("source"), F.lit(source))), r"^\{(.*)\}$", 1)
+    enriched = F.concat(F.lit("{"), F.array_join(F.concat(parts, F.array(own)), ","), F.lit("}"))
+    ok = fields.isNotNull()
     return records.select(
         F.col(id_col),
         F.when(ok, F.lit("Ok")).otherwise(F.lit("ProcessingFailed")).alias("result"),

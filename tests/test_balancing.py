@@ -35,28 +35,60 @@ def test_greedy_matches_golden_file(spark):
     pd.testing.assert_frame_equal(got.reset_index(drop=True), gold.reset_index(drop=True))
 
 
+def _pairwise(rows):
+    """The all-pairs overlap formula over entries given as dicts."""
+    out = []
+    first = lambda x: (x is not None, x or "")  # noqa: E731  NULLs sort first
+    for sku in sorted({r["sku"] for r in rows}):
+        side = {k: sorted((r for r in rows if r["sku"] == sku and r["side"] == k),
+                          key=lambda r: (r["priority"], first(r["store"]), first(r["season"]))) for k in ("need", "source")}
+        spans = {}
+        for k in side:
+            hi = 0
+            for r in side[k]:
+                spans[id(r)] = (hi, hi + r["qty"])
+                hi += r["qty"]
+        for n in side["need"]:
+            for s in side["source"]:
+                q = min(spans[id(n)][1], spans[id(s)][1]) - max(spans[id(n)][0], spans[id(s)][0])
+                if q > 0:
+                    out.append((sku, s["store"], s["code"], n["store"], n["season"], n["code"], q))
+    return sorted(out, key=repr)
+
+
+def _swept(alloc):
+    return sorted(((r[B.SKU], r["DESDE"], r["orig_corto"], r["HACIA"], r["Temporada"], r["dest_corto"], r["CANTIDAD"])
+                   for r in alloc.collect()), key=repr)
+
+
 def test_interval_variant_equals_pairwise_formula(spark):
     """The sweep gives the same allocations as the all-pairs overlap formula."""
-    v, s, p = _inputs(spark)
-    needs, sources = B.needs_and_sources(v, s, p, "2026-01-14", 15)
-    sweep = B.allocate_interval(needs, sources, keep_self=True).select(
-        B.SKU, "DESDE", "HACIA", "Temporada", "CANTIDAD").toPandas()
-    n = needs.toPandas().sort_values(["prioridad_reposicion", "Sucursal", "Temporada"])
-    src = sources.toPandas().sort_values(["prioridad_retiro", "Sucursal"])
-    rows = []
-    for sku in sorted(set(n[B.SKU])):
-        ns, ss = n[n[B.SKU] == sku], src[src[B.SKU] == sku]
-        nc, sc = ns["A_Reponer"].cumsum().tolist(), ss["stock"].cumsum().tolist()
-        for i, (_, nr) in enumerate(ns.iterrows()):
-            for j, (_, sr) in enumerate(ss.iterrows()):
-                q = min(nc[i], sc[j]) - max(nc[i] - nr["A_Reponer"], sc[j] - sr["stock"])
-                if q > 0:
-                    rows.append((sku, sr["Sucursal"], nr["Sucursal"], nr["Temporada"], q))
-    brute = pd.DataFrame(rows, columns=[B.SKU, "DESDE", "HACIA", "Temporada", "CANTIDAD"])
-    key = [B.SKU, "DESDE", "HACIA", "Temporada"]
-    a = sweep.sort_values(key).reset_index(drop=True)
-    b = brute.sort_values(key).reset_index(drop=True)
-    pd.testing.assert_frame_equal(a, b, check_dtype=False)
+    rows = B.entries(*_inputs(spark), "2026-01-14", 15)
+    assert _swept(B.allocate_interval(rows, keep_self=True)) == _pairwise([r.asDict() for r in rows.collect()])
+
+
+def test_interval_keeps_each_entry_s_own_nulls(spark):
+    """Stores without a priorities row, a NULL store and a NULL season."""
+    v = spark.createDataFrame([("2026-01-10", s, "1", t, q) for s, t, q in (
+        ("S1", "A", 5.0), ("S9", "A", 4.0), ("S2", None, 3.0), (None, "B", 2.0), ("S2", "T", 6.0))],
+        "Fecha string, Sucursal string, `ID interno` string, Temporada string, `Cantidad Vendida` double")
+    st = spark.createDataFrame([("S1", "1", 4.0), ("S8", "1", 7.0), (None, "1", 3.0), ("S2", "1", 5.0)],
+                               "Sucursal string, `ID interno` string, `Stock disponible para la venta` double")
+    p = spark.createDataFrame([("S1", "AAA", 1, 2), ("S2", "BBB", 2, 1)],
+                              "Sucursal string, codigo_corto string, prioridad_reposicion int, prioridad_retiro int")
+    rows = B.entries(v, st, p, "2026-01-14", 15)
+    assert {(r["store"], r["code"]) for r in rows.collect() if r["priority"] == 9999} == {("S9", None), ("S8", None), (None, None)}
+    want = _pairwise([r.asDict() for r in rows.collect()])
+    assert _swept(B.allocate_interval(rows, keep_self=True)) == want
+    ids = [r["ID EXT OT"] for r in B.balance(v, st, p, "2026-01-14", mode="interval").collect() if r["DESDE"] == "S8" and r["HACIA"] == "S9"]
+    assert all(i.startswith("OT-XXX-YYY-") for i in ids)
+
+
+def test_job_from_files_to_one_file(spark, tmp_path):
+    out = B.balance_files(spark, f"{D}/ventas.csv", f"{D}/stock.csv", f"{D}/prioridades.csv", str(tmp_path), "2026-01-14", "20260114_000000")
+    gold = open(f"{D}/gold_ordenes_traslado.csv", encoding="utf-8-sig").read().split()
+    got = open(out.removeprefix("file:"), encoding="utf-8-sig").read().split()
+    assert got == gold
 
 
 def test_interval_drops_self_transfers_after_matching(spark):
@@ -69,12 +101,12 @@ def test_interval_drops_self_transfers_after_matching(spark):
 
 def test_greedy_never_over_allocates(spark):
     v, s, p = _inputs(spark)
-    needs, sources = B.needs_and_sources(v, s, p, "2026-01-14", 15)
-    alloc = B.allocate_greedy(needs, sources)
-    took = alloc.groupBy(B.SKU, F.col("DESDE").alias("Sucursal")).agg(F.sum("CANTIDAD").alias("t"))
-    j = took.join(sources, [B.SKU, "Sucursal"])
-    assert j.where(F.col("t") > F.col("stock")).count() == 0
-    got = alloc.groupBy(B.SKU, F.col("HACIA").alias("Sucursal"), "Temporada").agg(
+    rows = B.entries(v, s, p, "2026-01-14", 15)
+    alloc = B.allocate_greedy(rows)
+    took = alloc.groupBy(F.col(B.SKU).alias("sku"), F.col("DESDE").alias("store")).agg(F.sum("CANTIDAD").alias("t"))
+    j = took.join(rows.where("side = 'source'"), ["sku", "store"])
+    assert j.count() and j.where(F.col("t") > F.col("qty")).count() == 0
+    got = alloc.groupBy(F.col(B.SKU).alias("sku"), F.col("HACIA").alias("store"), F.col("Temporada").alias("season")).agg(
         F.sum("CANTIDAD").alias("g"))
-    j2 = got.join(needs, [B.SKU, "Sucursal", "Temporada"])
-    assert j2.where(F.col("g") > F.col("A_Reponer")).count() == 0
+    j2 = got.join(rows.where("side = 'need'"), ["sku", "store", "season"])
+    assert j2.count() and j2.where(F.col("g") > F.col("qty")).count() == 0
