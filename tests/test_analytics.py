@@ -83,3 +83,71 @@ def test_bucket_documents_bounded_and_complete(spark):
     assert max(sizes) <= 100 and sum(sizes) == df.count()
     hot = [e for r in docs.where("k = 0").orderBy("chunk").collect() for e in [x.eid for x in r["items"]]]
     assert hot == sorted(hot) and len(hot) == df.where("k = 0").count()
+
+
+def _with_nulls(spark):
+    """NULL keys, NULL days and NULL values, each among ordinary rows."""
+    rows = [(None if i % 5 == 0 else i % 3, None if i % 7 == 0 else f"2024-01-{i % 9 + 1:02d}", i, None if i % 11 == 0 else i % 13)
+            for i in range(200)]
+    return (spark.createDataFrame(rows, "k int, d string, eid int, v int")
+            .withColumn("ts", F.col("d").cast("date")).withColumn("v", F.col("v").cast("decimal(12,2)")))
+
+
+def test_two_level_windows_keep_null_keys_and_buckets(spark):
+    df = _with_nulls(spark)
+    w = Window.partitionBy("k").orderBy("ts", "eid")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    got = A.running_sum(df.withColumn("v", F.coalesce("v", F.lit(0).cast("decimal(12,2)"))), "k", ["ts", "eid"], "v", F.col("ts"), out="cum")
+    want = df.withColumn("cum", F.sum(F.coalesce("v", F.lit(0).cast("decimal(12,2)"))).over(run))
+    assert sorted((r.eid, r.cum) for r in got.collect()) == sorted((r.eid, r.cum) for r in want.collect())
+    got = A.previous_within(df, "k", ["ts", "eid"], "ts", F.col("ts"), "prev")
+    want = df.withColumn("prev", F.lag("ts").over(w))
+    assert sorted((r.eid, str(r.prev)) for r in got.collect()) == sorted((r.eid, str(r.prev)) for r in want.collect())
+    got = A.rank_within(df, "k", "v", "rnk", "dense", n_buckets=4)
+    by = Window.partitionBy("k").orderBy(F.col("v").desc())
+    want = df.withColumn("rnk", F.rank().over(by)).withColumn("dense", F.dense_rank().over(by))
+    assert sorted((r.eid, r.rnk, r.dense) for r in got.collect()) == sorted((r.eid, r.rnk, r.dense) for r in want.collect())
+
+
+def test_bucket_documents_keep_null_rows(spark):
+    from cuenca.operators.documents import bucket_documents
+    df = _with_nulls(spark)
+    docs = bucket_documents(df, ["k"], ["ts", "eid"], ["v"], "items", 7, F.col("ts")).collect()
+    assert sum(len(r["items"]) for r in docs) == 200 and max(len(r["items"]) for r in docs) <= 7
+
+
+def test_exact_percentile_narrows_to_the_value(spark):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    v = np.concatenate([rng.normal(0, 1, 3000), np.repeat(5.0, 900), rng.integers(-3, 3, 600)])
+    df = spark.createDataFrame([(float(x),) for x in v] + [(None,)] * 5, "v double")
+    for p in (0.0, 0.01, 0.5, 0.77, 0.8, 0.99, 1.0):
+        assert abs(A.exact_percentile(df, "v", p, few=50) - np.quantile(v, p)) < 1e-9, p
+    assert A.exact_percentile(df.where("v is null"), "v", 0.5) is None
+
+
+def test_no_single_partition_over_raw_values(spark):
+    from cuenca.operators.warehouse import treat_outliers
+    df = spark.createDataFrame([(1, 5.0), (2, None), (3, 100.0)], "id int, v double")
+    capped = treat_outliers(df, "v", 0.5, "cap")
+    assert {r.id: r.v_capped for r in capped.collect()} == {1: 5.0, 2: None, 3: 52.5}
+    assert {r.id for r in treat_outliers(df, "v", 0.5, "drop").collect()} == {1, 2}
+    assert {r.id: r.is_outlier for r in treat_outliers(df, "v", 0.5).collect()} == {1: False, 2: None, 3: True}
+    assert "SinglePartition" not in capped._jdf.queryExecution().toString()
+
+
+def test_money_average_rounds_half_away_from_zero(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+    import duckdb
+    from cuenca.plans.model import avg_money, avg_money_sql
+    groups = {1: ["-0.01", "-0.02", "-0.02", "-0.02"], 2: ["0.01", "0.02"], 3: ["-0.01", "-0.02"], 4: ["9999999999.99"] * 3, 5: ["0.00"],
+              6: ["1.00", "1.00", "1.01"], 7: [None, "0.05"]}
+    rows = [(g, None if x is None else Decimal(x)) for g, xs in groups.items() for x in xs]
+    got = {r.g: r.a for r in spark.createDataFrame(rows, "g int, m decimal(12,2)").groupBy("g").agg(avg_money("m").alias("a")).collect()}
+    for g, xs in groups.items():
+        ds = [Decimal(x) for x in xs if x is not None]
+        assert got[g] == float((sum(ds) / len(ds)).quantize(Decimal("0.01"), ROUND_HALF_UP)), g
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (g INT, m DECIMAL(12,2))")
+    con.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    assert dict(con.sql(f"SELECT g, {avg_money_sql('m')} FROM t GROUP BY g").fetchall()) == got

@@ -40,7 +40,5 @@ def test_query_matches_oracle(spark, duck, key):
     assert multiset(srows, os_, True) == multiset(drows, od, True)
 
 
-def test_rows_only_queries_run(spark):
-    for k, e in REG.items():
-        if e.sql is None:
-            assert e.build(spark, SF_SMALL).count() >= 0, k
+def test_every_query_has_an_oracle():
+    assert [k for k, e in REG.items() if e.sql is None] == []

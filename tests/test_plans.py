@@ -61,7 +61,8 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
 
 
 def test_two_level_windows_partition_by_key_and_bucket(spark):
-    """The skew-proof windows never partition by the key alone."""
+    """Raw rows are windowed per (key, bucket); the one window per key alone
+    sees a row per bucket."""
     import re
 
     from pyspark.sql import functions as F
@@ -75,4 +76,7 @@ def test_two_level_windows_partition_by_key_and_bucket(spark):
         plan = out._jdf.queryExecution().executedPlan().toString()
         specs = re.findall(r"Window \[[^\n]*?\], \[([^\]]*)\], \[", plan)
         assert specs, plan
-        assert any(len(s.split(",")) >= 2 for s in specs)      # (key, bucket) windows exist
+        alone = [s for s in specs if len(s.split(",")) == 1]
+        assert len(specs) > len(alone) <= 1
+        below = re.search(r"Window \[[^\n]*?\], \[[^\],]*\], \[[^\n]*\n(.*)", plan, re.S)
+        assert not alone or "HashAggregate" in below[1].split("Scan")[0].split("Range")[0]

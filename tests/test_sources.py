@@ -138,3 +138,33 @@ def test_empty_payload_is_an_error(spark):
     ok = spark.createDataFrame([('{"data": [{"fecha": "2024-01-01 10:00:00", "valor": 1.5}]}',)], "body string")
     r = load_payload(ok, "body", _parse_datatype_string("fecha string, valor double")).first()
     assert str(r.fecha) == "2024-01-01 10:00:00" and r.valor == 1.5
+
+
+def test_harmonise_thousands_points(spark):
+    from cuenca.sources.files import harmonise
+    df = spark.createDataFrame([("1.234,56",), ("12,5",), ("1.234.567,00",), ("99.5",), ("x",), (None,), (" 7 ",)], "monto string")
+    out = harmonise([df], {"monto": "amount"}, decimal_comma=["amount"], casts={"amount": "decimal(18,2)"})
+    assert [None if r.amount is None else float(r.amount) for r in out.collect()] == [1234.56, 12.5, 1234567.0, 99.5, None, None, 7.0]
+
+
+def test_month_files_are_in_time_order(spark, tmp_path):
+    import glob
+    import pyarrow.parquet as pq
+    from cuenca.sinks.writers import write_by_month
+    df = spark.range(5000).selectExpr("id", "timestamp'2024-01-01' + make_interval(0,0,0,0,0,0, pmod(id * 7919, 8000000)) AS ts")
+    write_by_month(df, str(tmp_path / "m"), "ts")
+    files = glob.glob(str(tmp_path / "m/**/*.parquet"), recursive=True)
+    assert files
+    for f in files:
+        ts = pq.ParquetFile(f).read(columns=["ts"]).column("ts").to_pylist()
+        assert ts == sorted(ts)
+
+
+def test_payloads_with_empty_data_and_rejects(spark):
+    from cuenca.operators.documents import rejected_payloads, unwrap_payload
+    df = spark.createDataFrame([('{"data": [], "result": [{"id": 1}, {"id": 2}]}',), ('{"data": [{"id": 3}], "result": [{"id": 9}]}',),
+                                ('[{"id": 4}]',), ("not json",), ('{"data": []}',), (None,)], "body string")
+    from pyspark.sql.types import LongType, StructField, StructType
+    rec = StructType([StructField("id", LongType())])
+    assert sorted(r.id for r in unwrap_payload(df, "body", rec).collect()) == [1, 2, 3, 4]
+    assert rejected_payloads(df, "body", rec).count() == 3

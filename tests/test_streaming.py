@@ -1,19 +1,42 @@
-"""Streaming: late data needs three batches to be dropped; duplicates."""
+"""Streaming: late data, duplicates, and the record transform."""
+
+import base64
+import json
+
+from pyspark.sql import functions as F
 
 from cuenca.plans.registry import load_all
+from cuenca.streaming import operators as ST
 
 from conftest import SF_SMALL
 
 REG = load_all()
 
 
-def test_late_rows_dropped_in_third_batch(spark):
-    rows = REG["str06_late_data_watermark"].build(spark, SF_SMALL).orderBy("batch_id").collect()
-    assert len(rows) >= 3
-    assert rows[0].dropped_by_watermark == 0
-    assert sum(r.dropped_by_watermark for r in rows) > 0
+def test_late_rows_are_in_no_window(spark):
+    rows = REG["str06_late_data_watermark"].build(spark, SF_SMALL).collect()
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    lo, hi = events.select(F.min("ts"), F.max("ts")).first()
+    late = events.where(F.col("ts") < F.lit(lo + (hi - lo) / 3)).count()
+    assert late > 0 and {r.late_rows for r in rows} == {late}
+    assert min(r.window_start for r in rows) >= (lo + (hi - lo) / 3).replace(minute=0, second=0, microsecond=0)
+    assert sum(r.n for r in rows) <= events.count() - late
 
 
 def test_exactly_once_rerun(spark):
     df = REG["str08_exactly_once_landing"].build(spark, SF_SMALL)
     assert df.count() == df.select("event_id").distinct().count()
+
+
+def test_records_keep_types_and_never_fail(spark):
+    b64 = lambda b: base64.b64encode(b).decode()
+    good = {"a": '{"n": 12.5, "t": true, "o": {"x": [1, "2", null]}, "z": null, "s": "q\\"uote \u00e9", "big": 12345678901234}',
+            "b": '{"source": "old", "id": 7}', "c": "{}"}
+    bad = {"d": b64(b"\xff\xfe{}"), "e": "%%not base64%%", "f": b64(b"[1,2]"), "g": b64(b"{broken"), "h": None, "i": b64(b"")}
+    rows = [(k, b64(v.encode())) for k, v in good.items()] + list(bad.items())
+    out = {r.recordId: r for r in ST.enrich_records(spark.createDataFrame(rows, "recordId string, data string"), "NEW").collect()}
+    for k, v in good.items():
+        assert out[k].result == "Ok"
+        assert json.loads(base64.b64decode(out[k].data)) == json.loads(v) | {"source": "NEW"}
+    for k, v in bad.items():
+        assert (out[k].result, out[k].data) == ("ProcessingFailed", v)

@@ -70,3 +70,23 @@ def test_documents_are_sent_in_bounded_batches(spark, tmp_path):
         sizes.append(len(lines))
         ids.update(json.loads(x)["_id"] for x in lines)
     assert max(sizes) <= 400 and sum(sizes) == 2500 and len(ids) == 2500
+
+
+def test_surrogate_keys_stay_between_loads(spark):
+    first = WH.with_surrogate_key(spark.createDataFrame([("b",), ("d",)], "code string"), "code", "sk", {"code": None})
+    second = WH.with_surrogate_key(spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "code string"), "code", "sk", {"code": None}, existing=first)
+    old = {r.code: r.sk for r in first.collect()}
+    new = {r.code: r.sk for r in second.collect()}
+    assert old == {"b": 1, "d": 2, None: -1} and new == old | {"a": 3, "c": 4}
+
+
+def test_names_and_documents_match_without_all_pairs(spark):
+    from cuenca.operators.matching import fuzzy_pairs, same_document
+    rows = [(i, "same name") for i in range(50)] + [(60, "samename"), (61, "sam name"), (62, "smename"), (63, None), (64, "")]
+    df = spark.createDataFrame(rows, "id int, name string")
+    one = {(r.id_a, r.id_b, r.distance) for r in fuzzy_pairs(df, "id", "name").collect()}
+    assert one == {(0, i, 0) for i in range(1, 50)} | {(0, 60, 1), (0, 61, 1), (60, 61, 1), (60, 62, 1)}
+    two = {(r.id_a, r.id_b) for r in fuzzy_pairs(df, "id", "name", 2).collect()}
+    assert two == {(a, b) for a, b, _ in one} | {(0, 62), (61, 62)}
+    docs = spark.createDataFrame([(1, "CC 0012.345-6"), (2, "cc0012345 6"), (3, "99"), (4, None), (5, "0099")], "id int, doc string")
+    assert {tuple(r) for r in same_document(docs, "id", "doc").collect()} == {(1, 2), (3, 5)}
