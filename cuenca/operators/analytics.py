@@ -233,14 +233,19 @@ def exact_percentile(df: DataFrame, value: str, p: float, few: int = 10_000) ->
             return at_low + (x["v"] - at_low) * (h - low)
 
 
-def percentiles_from_counts(df: DataFrame, keys, value: str, ps: dict) -> DataFrame:
+def percentiles_from_counts(df: DataFrame, keys, value: str, ps: dict, counted: str | None = None) -> DataFrame:
     """Exact PERCENTILE_CONT per key for a value with a bounded domain
     (days, cents): rows are first counted per (key, value) with partial
     aggregation, then the interpolation runs over the distinct values only.
     Memory is bounded by the value domain, not by the rows of a key.
-    ``ps`` maps output column → fraction."""
+    ``ps`` maps output column → fraction; ``counted`` names a column of
+    counts if ``df`` holds such rows already. Needs a key: for a whole
+    column use ``exact_percentile``."""
     keys = _cols(keys)
-    c = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    if not keys:
+        raise ValueError("a percentile without keys would gather all values: use exact_percentile")
+    one = F.sum(counted) if counted else F.count(F.lit(1))
+    c = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(one.alias("_c"))
     w = Window.partitionBy(*keys).orderBy(value)
     c = (c.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
          .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))

@@ -93,26 +93,41 @@ def _sensors(t):
                            F.round(F.col("value") / 50, 2).alias("temperatura"))
 
 
+def duty_intervals(t):
+    """(vehiculo, conductor, desde, hasta): who drives a vehicle from when to when."""
+    from pyspark.sql import Window
+    starts = m.deliveries(t).groupBy(F.col("customer_id").alias("vehiculo"), F.col("purchase_ts").alias("desde")).agg(
+        F.max_by("status", "order_id").alias("conductor"))
+    after = F.lead("desde").over(Window.partitionBy("vehiculo").orderBy("desde"))
+    return starts.withColumn("hasta", after)
+
+
+def on_duty(readings, duty, ts: str):
+    """Readings (batch or stream) with the driver of their time; readings
+    before a vehicle's first delivery have none and drop."""
+    r, d = readings.alias("r"), duty.withColumnRenamed("vehiculo", "_v").alias("d")
+    at = F.col(f"r.{ts}")
+    return r.join(d, (F.col("r.vehiculo") == F.col("d._v")) & (at >= F.col("d.desde"))
+                  & (F.col("d.hasta").isNull() | (at < F.col("d.hasta")))).drop("_v", "desde", "hasta")
+
+
 @query("joi07_sensor_alert_driver", ctes=("e_deliveries",), sql="""
-    WITH drv AS (SELECT customer_id AS vehiculo,
-                        arg_max(status, (purchase_ts, order_id)) AS conductor
-                 FROM e_deliveries GROUP BY 1)
+    WITH drv AS (SELECT customer_id AS vehiculo, purchase_ts, arg_max(status, order_id) AS conductor
+                 FROM e_deliveries GROUP BY 1, 2)
     SELECT s.vehiculo, s.temperatura, s.timestamp, d.conductor
     FROM (SELECT user_id AS vehiculo, ts AS timestamp, round(value / 50, 2) AS temperatura FROM events) s
-    JOIN drv d ON d.vehiculo = s.vehiculo
+    ASOF JOIN drv d ON d.vehiculo = s.vehiculo AND s.timestamp >= d.purchase_ts
     WHERE s.temperatura > 5""")
 def _(spark, sf):
-    """Critical readings (temperature > 5) with the vehicle's driver.
+    """Critical readings (temperature > 5) with the driver on duty.
 
     The course joins sensors × deliveries on the vehicle only, which pairs
-    every reading with every delivery of that vehicle. Here each vehicle is
-    reduced to its current driver (last delivery) first, so each reading
-    gets exactly one partner and the output never exceeds the readings."""
+    every reading with every delivery of that vehicle. Here a driver is on
+    duty from a delivery's start to the next one of the vehicle, so each
+    reading has one driver at most: the one of its own time."""
     t = Tables(spark, sf)
-    drv = m.deliveries(t).groupBy(F.col("customer_id").alias("vehiculo")).agg(
-        F.max_by("status", F.struct("purchase_ts", "order_id")).alias("conductor"))
     s = _sensors(t).where(F.col("temperatura") > 5)
-    return s.join(drv, "vehiculo").select("vehiculo", "temperatura", "timestamp", "conductor")
+    return on_duty(s, duty_intervals(t), "timestamp").select("vehiculo", "temperatura", "timestamp", "conductor")
 
 
 @query("joi10_anti_join_never_reviewed", sql="""
@@ -216,16 +231,16 @@ def dim_tiempo(spark, df, date_col: str):
     LEFT JOIN dim a ON a.fecha = d.actual_date""")
 def _(spark, sf):
     """One date dimension joined under three roles: purchase, promised and
-    actual delivery (left join: undelivered orders keep NULLs). The
-    dimension is a calendar, one row per day of the span, so it is broadcast."""
+    actual delivery (left join: undelivered orders keep NULLs). The calendar
+    has one row per day of the span, found in one pass over the three dates;
+    Spark broadcasts it from its measured size."""
     d = m.deliveries(Tables(spark, sf)).select(
         "order_id", F.to_date("purchase_ts").alias("purchase_date"),
         F.to_date("estimated_ts").alias("promised_date"),
         F.to_date("delivered_ts").alias("actual_date"))
-    span = (d.select(F.col("purchase_date").alias("x"))
-            .unionByName(d.select(F.col("promised_date").alias("x")))
-            .unionByName(d.where(F.col("actual_date").isNotNull()).select(F.col("actual_date").alias("x"))))
-    dim = F.broadcast(dim_tiempo(spark, span, "x"))
+    dates = ("purchase_date", "promised_date", "actual_date")
+    ends = d.agg(F.min(F.least(*dates)).alias("lo"), F.max(F.greatest(*dates)).alias("hi"))
+    dim = dim_tiempo(spark, ends.select(F.explode(F.array("lo", "hi")).alias("x")), "x")
 
     def role(name, weekday=False):
         cols = [F.col("fecha").alias(f"{name}_date"), F.col("anio").alias(f"{name}_year"),
@@ -265,10 +280,8 @@ def _(spark, sf):
     f = m.fact_sales(Tables(spark, sf))
     shard_a = [f"NATION_{i}" for i in range(10)]
     in_a = F.col("state").isin(shard_a)
-    parts = [f.where(c).groupBy("category").agg(F.sum("revenue").alias("revenue"),
-                                                 F.count(F.lit(1)).alias("n"))
-             for c in (in_a, ~in_a)]
-    u = parts[0].unionByName(parts[1])
+    u = (f.withColumn("shard", in_a).where("shard is not null").groupBy("shard", "category")
+         .agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("n")))   # one pass for both shards
     return u.groupBy("category").agg(m.msum("revenue").alias("revenue"),
                                      F.sum("n").cast("bigint").alias("items"))
 

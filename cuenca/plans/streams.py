@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cuenca.operators.ingest import to_silver
 from cuenca.plans import model as m
+from cuenca.plans.joins import duty_intervals, on_duty
 from cuenca.plans.registry import query
 from cuenca.plans.sources import SILVER_ORDERS_SQL, fresh, raw_orders_entity
 from cuenca.sinks.writers import write_csv
@@ -156,20 +157,18 @@ def _(spark, sf):
 
 
 @query("str05_critical_temperature_alert", ctes=("e_deliveries",), sql="""
-    WITH drv AS (SELECT customer_id AS vehiculo, arg_max(status, (purchase_ts, order_id)) AS conductor
-                 FROM e_deliveries GROUP BY 1)
+    WITH drv AS (SELECT customer_id AS vehiculo, purchase_ts, arg_max(status, order_id) AS conductor
+                 FROM e_deliveries GROUP BY 1, 2)
     SELECT s.vehiculo, s.temperatura, s.timestamp, d.conductor
     FROM (SELECT user_id AS vehiculo, ts AS timestamp, round(value / 50, 2) AS temperatura FROM events) s
-    JOIN drv d ON d.vehiculo = s.vehiculo WHERE s.temperatura > 5""")
+    ASOF JOIN drv d ON d.vehiculo = s.vehiculo AND s.timestamp >= d.purchase_ts WHERE s.temperatura > 5""")
 def _(spark, sf):
     """Sensor stream filtered to critical temperatures and joined to a static
-    vehicle → driver table (stream-static join: no stream state)."""
+    table of who drives a vehicle when (stream-static join: no stream state)."""
     t = Tables(spark, sf)
-    drv = m.deliveries(t).groupBy(F.col("customer_id").alias("vehiculo")).agg(
-        F.max_by("status", F.struct("purchase_ts", "order_id")).alias("conductor"))
     s = _events_stream(spark, sf).select(F.col("user_id").alias("vehiculo"), F.col("ts").alias("timestamp"),
                                          F.round(F.col("value") / 50, 2).alias("temperatura"))
-    alerts = s.where(F.col("temperatura") > 5).join(drv, "vehiculo")
+    alerts = on_duty(s.where(F.col("temperatura") > 5), duty_intervals(t), "timestamp")
     out, ck = fresh(spark, "str05_out"), fresh(spark, "str05_ck")
     ST.run_available(alerts, ck, out)
     return spark.read.parquet(out).select("vehiculo", "temperatura", "timestamp", "conductor")

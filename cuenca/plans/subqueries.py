@@ -64,7 +64,7 @@ def _(spark, sf):
     """Orders whose total (price + freight) exceeds the average freight of
     their state (correlated scalar subquery; Catalyst rewrites it to
     aggregate + join)."""
-    of = _order_freight(Tables(spark, sf)).alias("o")
+    of = materialize(_order_freight(Tables(spark, sf))).alias("o")
     inner = of.alias("o2")
     avg_state = (inner.where(F.col("o2.state") == F.col("o.state").outer())
                  .select(F.avg("o2.freight")).scalar())
@@ -102,7 +102,7 @@ def _(spark, sf):
     WHERE o.order_total > (SELECT avg(o2.freight) FROM of o2 WHERE o2.state = o.state)""")
 def _(spark, sf):
     """SUB03 written by hand as groupBy + join: same rows."""
-    of = _order_freight(Tables(spark, sf))
+    of = materialize(_order_freight(Tables(spark, sf)))
     avg_state = of.groupBy("state").agg(F.avg("freight").alias("avg_freight"))
     return (of.join(avg_state, "state").where(F.col("order_total") > F.col("avg_freight"))
             .select("order_id", "state", "order_total"))
