@@ -200,4 +200,4 @@ def balance_files(spark: SparkSession, ventas: str, stock: str, prior: str, out_
         require_columns(df, cols, name)
         frames.append(df)
     orders = balance(*frames, as_of, window_days, mode, run_ts)
-    return write_single_csv(orders.orderBy("seq").drop("seq"), out_dir, f"ordenes_traslado_netsuite_{run_ts}.csv")
+    return write_single_csv(orders.withColumnRenamed("seq", "_seq"), out_dir, f"ordenes_traslado_netsuite_{run_ts}.csv", order=["_seq"])

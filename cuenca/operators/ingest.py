@@ -12,11 +12,11 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from typing import Iterable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cuenca.operators import quality as Q
 from cuenca.operators.quality import Rule
+from cuenca.session import materialize
 from cuenca.sinks.writers import write_partitioned
 from cuenca.sources.files import all_string_schema, read_csv, require_columns
 
@@ -83,14 +83,11 @@ def raw_to_silver(spark: SparkSession, entity: str, in_path: str, out_path: str,
     if quality_path is None:
         write_partitioned(out, out_path, ["source", "dt"])
         return out
-    # the gate and the write read the typed rows once from the cache (a lost
-    # executor recomputes its part from the raw files)
-    out = out.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        Q.gate(Q.report(out, entity, entity_rules(entity)), quality_path)
-        write_partitioned(out, out_path, ["source", "dt"])
-    finally:
-        out.unpersist()
+    # the raw files are parsed once, into a staged table in the shared folder
+    # that the gate's rules and the write read (a lost executor re-reads it)
+    out = materialize(out)
+    Q.gate(Q.report(out, entity, entity_rules(entity)), quality_path)
+    write_partitioned(out, out_path, ["source", "dt"])
     return out
 
 

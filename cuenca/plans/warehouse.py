@@ -9,6 +9,8 @@ from cuenca.operators import warehouse as WH
 from cuenca.plans import model as m
 from cuenca.plans.joins import dim_tiempo
 from cuenca.plans.registry import query
+from cuenca.plans.sources import fresh
+from cuenca.sinks.writers import publish_together, read_published
 from cuenca.sources.tables import Tables
 
 
@@ -199,9 +201,12 @@ def _cancellations(t):
     UNION ALL SELECT 'audit', 'P->canceled', (SELECT count(*) FROM c), NULL""")
 def _(spark, sf):
     """Status change, payments zeroed and audit rows derived from one
-    cancellations table; the outputs are staged and published together."""
+    cancellations table, published as one unit and read back from it."""
     t = Tables(spark, sf)
-    o, p, a = WH.cancel_orders(m.orders(t), m.payments(t), _cancellations(t))
+    root = fresh(spark, "pip16")
+    frames = dict(zip(("orders", "payments", "audit"), WH.cancel_orders(m.orders(t), m.payments(t), _cancellations(t))))
+    publish_together(spark, frames, root)
+    o, p, a = (read_published(spark, root, n) for n in frames)
     no_amt = F.lit(None).cast("decimal(38,2)")
     s1 = o.groupBy(F.col("status").alias("label")).agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit("orders").alias("output"), "label", "n_rows", no_amt.alias("amount"))

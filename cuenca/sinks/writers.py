@@ -11,9 +11,10 @@ it produces.
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def write_by_day(df: DataFrame, path: str, time_col: str, mode: str = "overwrite") -> None:
@@ -52,15 +53,24 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, se
     d.write.mode(mode).option("header", header).option("sep", sep).csv(path)
 
 
-def write_single_csv(df: DataFrame, directory: str, file_name: str, sep: str = ";") -> str:
-    """One CSV file with a chosen name (the gold transfer-order file).
+def write_single_csv(df: DataFrame, directory: str, file_name: str, sep: str = ";",
+                     order: Sequence[str] = (), max_rows: int = 5_000_000) -> str:
+    """One CSV file with a chosen name (the gold transfer-order file), its rows
+    in ``order`` (those columns, if not of the file, are left out of it).
 
-    Only for small final outputs: the frame is reduced to one partition at
-    the very end (after all heavy work), written to a staging folder, and the
-    single part file is renamed with the Hadoop FileSystem API."""
+    One file is one task's work, so this is for final outputs of a bounded
+    size: the frame is written out once, and more than ``max_rows`` rows are
+    an error (use ``write_csv``). The part file is renamed with the Hadoop
+    FileSystem API."""
+    from cuenca.session import materialize
     spark = df.sparkSession
+    df = materialize(df)
+    if (n := df.count()) > max_rows:
+        raise ValueError(f"{file_name}: {n} rows for one file; the limit is {max_rows}")
     staging = directory.rstrip("/") + "/_staging_" + file_name
-    df.repartition(1).write.mode("overwrite").option("header", True).option("sep", sep).csv(staging)
+    one = df.repartition(1)
+    one = one.sortWithinPartitions(*order).drop(*[c for c in order if c.startswith("_")]) if order else one
+    one.write.mode("overwrite").option("header", True).option("sep", sep).csv(staging)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     src_dir = jvm.org.apache.hadoop.fs.Path(staging)
@@ -73,6 +83,34 @@ def write_single_csv(df: DataFrame, directory: str, file_name: str, sep: str = "
     return directory.rstrip("/") + "/" + file_name
 
 
+def publish_together(spark: SparkSession, frames: dict[str, DataFrame], root: str) -> str:
+    """Publish several tables as one unit: all are written under a new version
+    folder first; then the file ``CURRENT`` is replaced, by a rename, to name
+    that version. Readers (``read_published``) see all of the old tables or all
+    of the new; a job that fails before the rename publishes nothing."""
+    version = uuid.uuid4().hex
+    root = root.rstrip("/")
+    for name, df in frames.items():
+        df.write.parquet(f"{root}/version={version}/{name}")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    staged = path(f"{root}/_CURRENT.{version}")
+    out = fs.create(staged, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    fs.delete(path(f"{root}/CURRENT"), False)
+    fs.rename(staged, path(f"{root}/CURRENT"))
+    return version
+
+
+def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the version that ``CURRENT`` names."""
+    root = root.rstrip("/")
+    version = spark.read.text(f"{root}/CURRENT").first()[0]
+    return spark.read.parquet(f"{root}/version={version}/{name}")
+
+
 def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
     """Replace-table load (pandas ``to_sql(if_exists='replace')``)."""
     w = df.write.mode("overwrite").format("parquet")

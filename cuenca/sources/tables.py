@@ -7,26 +7,24 @@ read until an action, so column pruning and filter pushdown reach the scan.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders",
                "lineitem", "events", "documents", "embeddings", "pages",
                "benchmark", "labels", "conversations")
 
 
-_CACHE: dict[tuple, DataFrame] = {}
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table as a lazy DataFrame. Reading parquet infers the schema from
-    the file footers (a small Spark job); the DataFrame — a plan, no data —
-    is kept per session and path so every query reuses the inferred schema
-    and file listing."""
+    """The table as a lazy DataFrame. Inferring a schema reads file footers (a
+    small Spark job), so the schema is kept per path; files are listed anew
+    each time, so a rewritten table is read as it is now."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    df = _CACHE.get(key)
-    if df is None:
-        df = _CACHE[key] = spark.read.parquet(path)
-    return df
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 class Tables:
