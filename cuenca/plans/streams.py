@@ -120,6 +120,21 @@ def _(spark, sf):
     return spark.read.parquet(out).select(*_window_cols("w"), "event_type", "n")
 
 
+@query("str04_sliding_window_append", sql="""
+    WITH b AS (SELECT event_type, time_bucket(INTERVAL 30 MINUTE, ts) AS b FROM events),
+    w AS (SELECT event_type, b AS ws FROM b UNION ALL SELECT event_type, b - INTERVAL 30 MINUTE FROM b)
+    SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n
+    FROM w GROUP BY 1, 2, 3
+    HAVING ws + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+def _(spark, sf):
+    """The production form: a sliding window is written once, when the
+    watermark passes its end, and its state is dropped."""
+    agg = ST.sliding_counts(_events_stream(spark, sf), "event_type", "1 hour", "30 minutes", "10 minutes")
+    out, ck = fresh(spark, "str04d_out"), fresh(spark, "str04d_ck")
+    ST.run_available(agg, ck, out, mode="append")
+    return spark.read.parquet(out).select(*_window_cols("w"), "event_type", "n")
+
+
 @query("str04_session_window_counts", sql="""
     WITH g AS (SELECT user_id, ts,
                       CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL

@@ -124,8 +124,11 @@ JUMP_OUT = "user_id long, event_id long, ts timestamp, value double, prev_value
 JUMP_STATE = "last_ts timestamp, last_value double"
 
 
-def _jump_fn(threshold: float):
+def _jump_fn(threshold: float, keep_ms: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:      # a silent device: its state goes
+            state.remove()
+            return
         prev = state.get if state.exists else None
         last_val = prev[1] if prev else None
         # one device's rows of this micro-batch (bounded by the trigger's
@@ -140,18 +143,22 @@ def _jump_fn(threshold: float):
         out["prev_value"] = prevs
         out["jump"] = [p is not None and not pd.isna(p) and abs(v - p) > threshold
                        for v, p in zip(vals, prevs)]
-        state.update((pdf["ts"].iloc[-1], vals[-1]))
+        last = pdf["ts"].iloc[-1]
+        state.update((last, vals[-1]))
+        state.setTimeoutTimestamp(max(int(last.timestamp() * 1000), state.getCurrentWatermarkMs()) + keep_ms)
         yield out
     return fn
 
 
-def flag_jumps(events: DataFrame, threshold: float) -> DataFrame:
+def flag_jumps(events: DataFrame, threshold: float, lateness: str = "1 hour",
+               keep: str = "30 days") -> DataFrame:
     """Per device, flag a reading that jumps more than ``threshold`` from the
     device's previous reading. The last reading per device is kept in state
-    across micro-batches (``applyInPandasWithState``); the state is one row
-    per device."""
-    return events.groupBy("user_id").applyInPandasWithState(
-        _jump_fn(threshold), JUMP_OUT, JUMP_STATE, "append", GroupStateTimeout.NoTimeout)
+    across micro-batches (``applyInPandasWithState``): one row per device,
+    dropped when the watermark is ``keep`` past its last reading."""
+    keep_ms = int(pd.Timedelta(keep).total_seconds() * 1000)
+    return events.withWatermark("ts", lateness).groupBy("user_id").applyInPandasWithState(
+        _jump_fn(threshold, keep_ms), JUMP_OUT, JUMP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def run_available(stream_df: DataFrame, checkpoint: str, sink_path: str | None = None,
