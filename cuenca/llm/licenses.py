@@ -3,8 +3,10 @@
 Templates are short public notices. The index holds, for each template, its
 ``RARE`` words of highest inverse document frequency (counted over all
 documents) and the words of its mandatory key phrases, each with its position.
-A document looks up its ``TOP`` highest-IDF licence words; hits of a template
-are intersected by relative position: a hit at document position d of the
+The rarest word of a template's key phrase is its anchor: a document looks up
+the templates whose anchor it holds (no other can be verified in it) with its
+``TOP`` highest-IDF licence words; hits of a template are intersected by
+relative position: a hit at document position d of the
 template's position t votes for the start d - t. A template is found where at
 least ``VOTES`` of its rare words agree on a start and every word of a
 mandatory phrase stands at its place relative to that start.
@@ -92,8 +94,8 @@ def _templates(spark: SparkSession, templates) -> DataFrame:
 
 
 def index(tokens: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """The positional index: (t, label, pos, word, must, rare, idf). Its size
-    depends on the templates only."""
+    """The positional index: (t, label, pos, word, must, rare, idf, anchor). Its
+    size depends on the templates only."""
     spark = tokens.sparkSession
     rows = _templates(spark, templates)
     vocabulary = sorted({w for _, notice, _ in templates for w in notice.split()})
@@ -105,26 +107,32 @@ def index(tokens: DataFrame, templates=TEMPLATES) -> DataFrame:
     by_idf = Window.partitionBy("t").orderBy(F.desc("idf"), "word", "pos")
     return (rows.join(F.broadcast(df), "word", "left").join(F.broadcast(n))
             .withColumn("idf", idf).withColumn("rare", F.row_number().over(by_idf) <= RARE)
-            .where("rare or must").select("t", "label", "pos", "word", "must", "rare", "idf"))
+            .withColumn("anchor", F.first(F.when(F.col("must"), F.col("word")), ignorenulls=True).over(
+                by_idf.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+            .where("rare or must").select("t", "label", "pos", "word", "must", "rare", "idf", "anchor"))
 
 
 def found(tokens: DataFrame, postings: DataFrame) -> DataFrame:
     """(doc_id, _h, labels, score) of the documents in which a template is found."""
     rare = postings.where("rare").select("word", "idf").distinct().collect()  # a few words per template
+    anchors = [r["anchor"] for r in postings.select("anchor").distinct().collect()]
     words = [r["word"] for r in rare]
     if not words:
         return tokens.select("doc_id", "_h", F.lit(None).cast("array<string>").alias("labels"), F.lit(0.0).alias("score")).limit(0)
     weight = F.create_map(*[F.lit(x) for r in rare for x in (r["word"], r["idf"])])
     here = F.array_intersect("words", F.array(*map(F.lit, words)))
     top = F.transform(F.slice(F.sort_array(F.transform(here, lambda w: F.struct(F.element_at(weight, w).alias("idf"), w.alias("word"))), asc=False), 1, TOP), lambda x: x["word"])
-    hits = (tokens.withColumn("_top", top).where(F.size("_top") > 0)
-            .select("doc_id", "_h", "_top", F.posexplode("words").alias("at", "word"))
+    held = tokens.withColumn("_anchors", F.array_intersect("words", F.array(*map(F.lit, sorted(anchors))))).where(F.size("_anchors") > 0)
+    hits = (held.withColumn("_top", top)
+            .select("doc_id", "_h", "_anchors", "_top", F.posexplode("words").alias("at", "word"))
             .join(F.broadcast(postings), "word")
-            .where(F.col("must") | F.array_contains("_top", F.col("word"))))
+            .where(F.array_contains("_anchors", F.col("anchor")) & (F.col("must") | F.array_contains("_top", F.col("word")))))
     need = postings.groupBy("t").agg(F.count(F.when(F.col("rare"), 1)).alias("n_rare"), F.count(F.when(F.col("must"), 1)).alias("n_must"))
+    # template positions that agree on a start, as a bitmap (notices have under 64 words)
+    bit = F.expr("shiftleft(1L, pos)")
+    places = lambda c: F.bit_count(F.coalesce(F.bit_or(F.when(F.col(c), bit)), F.lit(0).cast("long")))
     starts = (hits.groupBy("doc_id", "_h", "t", "label", (F.col("at") - F.col("pos")).alias("start"))
-              .agg(F.count_distinct(F.when(F.col("rare"), F.col("pos"))).alias("votes"),
-                   F.count_distinct(F.when(F.col("must"), F.col("pos"))).alias("musts")))
+              .agg(places("rare").alias("votes"), places("must").alias("musts")))
     return (starts.join(F.broadcast(need), "t")
             .where((F.col("musts") == F.col("n_must")) & (F.col("votes") >= F.lit(VOTES) * F.col("n_rare")))
             .groupBy("doc_id", "_h").agg(F.collect_set("label").alias("labels"), F.max(F.col("votes") / F.col("n_rare")).alias("score")))
