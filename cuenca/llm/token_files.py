@@ -35,7 +35,8 @@ from cuenca.session import scratch_path
 NAME = "op6_token_files"
 SQL = None               # a tokenizer is no SQL; tested by round trips
 ROW_GROUP, PAGE = 32 << 20, 256 << 10
-CACHE = 500_000          # words remembered in a task: a bound on memory only
+CACHE = 600_000          # pieces a worker remembers: a bound on memory only
+SOME_CHARS = 16_000_000  # characters encoded at a time: a bound on memory only
 
 _COLS = "part int, part_start long, n_tokens long, ids array<int>"
 
@@ -45,76 +46,130 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class Encoder:
-    """text -> token ids as little-endian 32-bit bytes.
+#: white space other than the space and the newline
+ODD = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+ODD_WIDE = ODD + "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+STOPS = ".,;:!?"
+
+
+class _Pieces(dict):
+    """piece -> ids. A piece is a word after a space, or a newline with the word
+    that follows it.
 
     Words of letters, with stops after them or not, are one or two pieces of
     the pre-tokenizer and go to the tokenizer's model directly; anything else
     goes through the whole tokenizer. Results are remembered until ``CACHE``
-    words are known; later words are encoded each time they occur.
-    """
+    pieces are known; later ones are encoded each time they occur."""
+
+    def __init__(self, encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, p: str) -> bytes:
+        core = p.rstrip(STOPS)
+        line = p[0] == "\n"
+        w = core[1:] if line else core
+        if not w.isalpha():
+            v = self.encoder.newline + self.encoder.whole(p[1:]) if line else self.encoder.whole(" " + p)
+        elif len(core) == len(p):
+            v = self.encoder.newline + self.encoder.letters("", w) if line else self.encoder.letters(" ", w)
+        else:
+            v = self[core] + self.encoder.stops(p[len(core):])
+        if len(self) < CACHE:
+            self[p] = v
+        return v
+
+
+class Encoder:
+    """Texts -> token ids."""
 
     def __init__(self, spec: bytes):
-        import re
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_buffer(spec)
-        self.model = self.tok.model
-        self.newline = self._ids("\n")
+        self.tokenize = self.tok.model.tokenize
+        self.newline = self.whole("\n")
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.simple = re.compile(r"([^\W\d_]+)([.,;:!?]*)")
         # the byte-level alphabet: printable bytes stand for themselves, the rest for 256 and on
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in own]
         self.letter = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
-        self.first: dict[str, bytes] = {}   # words that start a line
-        self.after: dict[str, bytes] = {}   # words after a space
-        self.stops: dict[str, bytes] = {"": b""}
+        self.pieces = _Pieces(self)
+        self.known_stops: dict[str, bytes] = {}
 
-    def _ids(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
+        """Ids of a text, by the whole tokenizer, as little-endian 32-bit bytes."""
         import numpy as np
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _piece(self, text: str) -> bytes:
-        import numpy as np
-        mapped = "".join(map(self.letter.__getitem__, text.encode()))
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-
-    def _learn(self, w: str, known: dict, prefix: str) -> bytes:
-        m = self.simple.fullmatch(w)
-        if m is None:
-            v = self._ids(prefix + w)
-        else:
-            core, stop = m.groups()
-            if stop not in self.stops:
-                self.stops[stop] = self._ids(stop)
-            v = (known.get(core) if stop else None) or self._piece(prefix + core)
-            if stop and core not in known and len(known) < CACHE:
-                known[core] = v
-            v += self.stops[stop]
-        if len(known) < CACHE:
-            known[w] = v
+    def letters(self, prefix: str, word: str) -> bytes:
+        from struct import pack
+        if not word.isascii():
+            word = "".join(map(self.letter.__getitem__, word.encode()))
+        ids = [t.id for t in self.tokenize(self.letter[32] + word if prefix else word)]
+        return pack(f"<{len(ids)}I", *ids)
+
+    def stops(self, s: str) -> bytes:
+        v = self.known_stops.get(s)
+        if v is None:
+            v = self.whole(s)
+            if len(s) < 9:
+                self.known_stops[s] = v
         return v
 
-    def _line(self, line: str) -> bytes:
-        first, *rest = line.split(" ")
-        ids = list(map(self.after.get, rest))
-        if None in ids:
-            for k, v in enumerate(ids):
-                if v is None:
-                    ids[k] = self.after.get(rest[k]) or self._learn(rest[k], self.after, " ")
-        return (self.first.get(first) or self._learn(first, self.first, "")) + b"".join(ids)
+    def plain(self, text: str) -> bool:
+        """Whether only single spaces and newlines stand between words, and no
+        special token's string is inside."""
+        return not (text == "" or text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text
+                    or " \n" in text or "\n " in text
+                    or any(c in text for c in (ODD if text.isascii() else ODD_WIDE))
+                    or any(s in text for s in self.special))
+
+    def batch(self, texts: list[str]):
+        """(ids of all texts in a row, number of ids of each text)."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        if not texts:
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        plain = [self.plain(t) for t in texts]
+        # a newline joins the word after it; one before each text makes its first word alike
+        cut = pc.split_pattern(pa.array(["\n" + t.replace("\n", " \n") if p else "\n" for t, p in zip(texts, plain)], pa.large_string()), " ")
+        words = cut.flatten()
+        at = np.diff(cut.offsets.to_numpy())
+        first = np.cumsum(at) - at
+        start = np.zeros(len(words), bool)
+        start[first] = True
+        coded = words.dictionary_encode()
+        known = [self.pieces[p] if p != "\n" else b"" for p in coded.dictionary.to_numpy(zero_copy_only=False)]
+        flat = np.frombuffer(b"".join(known), "<u4")
+        size = np.array([len(b) // 4 for b in known], np.int64)
+        begin = np.cumsum(size) - size
+        code = coded.indices.to_numpy()
+        # the newline before a text is not its own
+        skip = start & (size[code] > 0)
+        n = size[code] - skip
+        begin = begin[code] + skip
+        ids = flat[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        per = np.add.reduceat(n, first)
+        if all(plain):
+            return ids, per
+        parts, done = [], np.cumsum(per) - per
+        for k, (t, p) in enumerate(zip(texts, plain)):
+            parts.append(ids[done[k]:done[k] + per[k]] if p else np.frombuffer(self.whole(t), "<u4") if t else ids[:0])
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
 
     def __call__(self, text: str) -> bytes:
-        """Words between single spaces and newlines are looked up; a text with
-        any other white space, or a special token's string, is encoded whole."""
-        if not text:
-            return b""
-        if (text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text
-                or " \n" in text or "\n " in text
-                or len(text.split()) != text.count(" ") + text.count("\n") + 1
-                or any(s in text for s in self.special)):
-            return self._ids(text)
-        return self.newline.join(map(self._line, text.split("\n")))
+        return self.batch([text])[0].tobytes()
+
+
+def _encoder(spec: bytes) -> Encoder:
+    """The Python worker's encoder: its remembered words serve all tasks the worker runs."""
+    import sys
+    from types import SimpleNamespace
+    kept = sys.modules.setdefault("_cuenca_encoder", SimpleNamespace(spec=None, encoder=None))
+    if kept.spec != spec:
+        kept.spec, kept.encoder = spec, Encoder(spec)
+    return kept.encoder
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0,
@@ -122,7 +177,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                  partitions: int | None = None) -> None:
     """Write the token files of ``docs`` (doc_id, text) to ``path``."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 4096)           # and of 16 MB: equal words are looked up once a batch
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     with open(tokenizer or tokenizer_file(), "rb") as f:
         spec = spark.sparkContext.broadcast(f.read())  # the vocabulary file
     by = ["doc_id", "_h"]
@@ -135,21 +191,27 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
-        part, enc, start = TaskContext.get().partitionId(), Encoder(spec.value), 0
-        end = np.array([end_id], "<u4").tobytes()
+        part, enc, start = TaskContext.get().partitionId(), _encoder(spec.value), 0
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for k in range(0, len(texts), 64):  # long texts: a list array stays small
-                raw = [enc(t) + end for t in texts[k:k + 64]]
-                n = np.array([len(b) // 4 for b in raw], np.int64)
+            k = 0
+            while k < len(texts):         # some millions of characters at a time
+                end, chars = k, 0
+                while end < len(texts) and (end == k or chars + len(texts[end]) <= SOME_CHARS):
+                    chars += len(texts[end])
+                    end += 1
+                ids, n = enc.batch(texts[k:end])
+                last = np.cumsum(n)
+                ids = np.insert(ids, last, end_id)
+                n = n + 1
                 before = start + np.cumsum(n) - n
                 start += int(n.sum())
-                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)),
-                                               pa.array(np.frombuffer(b"".join(raw), "<i4")))
-                cols = [batch.column(c).slice(k, 64) for c in ("doc_id", *keep)]
+                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(ids.astype("<i4")))
+                cols = [batch.column(c).slice(k, end - k) for c in ("doc_id", *keep)]
                 yield pa.RecordBatch.from_arrays(
                     cols + [pa.array(np.full(len(n), part, np.int32)), pa.array(before), pa.array(n), ids],
                     names=[f.name for f in schema.fields])
+                k = end
 
     writer = rows.mapInArrow(run, schema).write.mode("overwrite").option("compression", "zstd")
     for k, v in {"parquet.block.size": row_group, "parquet.page.size": page, "parquet.writer.version": "PARQUET_2_0",
