@@ -3,8 +3,9 @@
 Base rules find assignments, access keys and long hex runs. Beside them every
 candidate, a run of ``[A-Za-z0-9+/_=.-]`` of ``SHORTEST`` characters or more
 with a digit, is scored with its surroundings: ``BEFORE`` characters before it,
-its first ``LENGTH`` and ``AFTER`` characters after that. Characters are
-embedded, convolved (width ``WIDTH``), rectified, pooled by maximum and mean and
+``LENGTH`` of it and ``AFTER`` characters after that. A longer candidate is scored
+in overlapping windows, one every ``STRIDE`` characters and the last one ending at
+its end, and has the highest of their scores. Characters are embedded, convolved (width ``WIDTH``), rectified, pooled by maximum and mean and
 read by a logistic layer.
 
 The network is trained in numpy on the driver on labelled findings: candidates
@@ -31,6 +32,7 @@ from cuenca.llm.common import small_batches, table
 NAME = "op8_cnn_secrets"
 SQL = None               # a trained model; base spans tested against the plain rules
 SHORTEST, BEFORE, LENGTH, AFTER, WIDTH = 8, 16, 40, 4, 5
+STRIDE = 20              # between the windows of a candidate longer than LENGTH
 SAMPLE, FINDINGS, GENERATED, RECALL = 2000, 3000, 3000, 0.98
 EMBED, FILTERS, EPOCHS, BATCH, RATE, SEED = 8, 24, 6, 128, 0.01, 11
 
@@ -62,8 +64,21 @@ def candidates(b: bytes, base) -> list[tuple[int, int]]:
     return [m.span() for m in CANDIDATE.finditer(b) if DIGIT.search(m[0])]
 
 
+def windows(s: int, e: int) -> list[tuple[int, int]]:
+    """The candidate itself, or overlapping windows of ``LENGTH`` that cover it."""
+    if e - s <= LENGTH:
+        return [(s, e)]
+    return [(k, k + LENGTH) for k in (*range(s, e - LENGTH, STRIDE), e - LENGTH)]
+
+
+def highest(scores, counts):
+    """The highest score of each candidate, which has ``counts`` windows."""
+    import numpy as np
+    return np.maximum.reduceat(scores, np.cumsum(counts) - counts) if len(counts) else scores
+
+
 def views(b: bytes, spans):
-    """One row of characters per candidate: before, the candidate, after."""
+    """One row of characters per window: before, the window, after."""
     import numpy as np
     out = np.zeros((len(spans), BEFORE + LENGTH + AFTER), np.uint8)
     for k, (s, e) in enumerate(spans):
@@ -121,7 +136,8 @@ class Network:
 
 
 def generated(n: int = GENERATED, seed: int = SEED) -> list[tuple[bytes, int, int, int]]:
-    """(text, start, stop, label) of ``n`` findings of known formats."""
+    """(text, start, stop, label) of ``n`` findings of known formats. Of a secret
+    inside a longer run it is the window that holds most of the secret."""
     import random
     rng = random.Random(seed)
     letters, digits, hexa = "abcdefghijklmnopqrstuvwxyz", "0123456789", "0123456789abcdef"
@@ -138,12 +154,25 @@ def generated(n: int = GENERATED, seed: int = SEED) -> list[tuple[bytes, int, in
              lambda: "555-" + some(digits, 4), lambda: word() + "_" + word() + some(digits, 1), lambda: word() + "/" + word() + "/" + word() + some(digits, 2),
              lambda: "v" + ".".join(some(digits, 1) for _ in range(3)) + "-" + word(), lambda: word().capitalize() + word().capitalize() + some(digits, 2),
              lambda: some(digits, 1) + "." + some(digits, 6), lambda: word() + some(digits, rng.randint(1, 3)) + "-" + word()]
+    part = [word, word, lambda: word() + "-" + word() + "-" + word(), lambda: some("12", 1) + some(digits, 3), lambda: some(digits, 2),
+            lambda: some(letters.upper(), 1) + some(digits, 8), lambda: word() + "=" + some(digits, 2), lambda: word() + "_" + word() + ".html"]
+    path = lambda: "//" + word() + ".example.com/" + "/".join(rng.choice(part)() for _ in range(rng.randint(4, 12)))
     cue = ("key ", "token: ", "use ", "secret is ", "Authorization: Bearer ", "the ", "with ", "password ", "", "api-key ")
     out = []
     for k in range(n):
         label = k % 2
         body = rng.choice(secret if label else plain)()
         before = " ".join(word() for _ in range(3)) + " " + (rng.choice(cue) if label else "")
+        if k % 10 >= 8:          # one in five is, or lies in, a longer run
+            run = path()
+            full = f"{run}/{body}" if label else run
+            if label:
+                at = len(full) - len(body)
+                s, e = max(windows(0, len(full)), key=lambda w: min(w[1], len(full)) - max(w[0], at))
+            else:
+                s, e = 0, len(full)
+            out.append((f"{before}{full} {word()} {word()}".encode(), len(before) + s, len(before) + e, label))
+            continue
         text = f"{before}{body} {word()} {word()}"
         out.append((text.encode(), len(before), len(before) + len(body), label))
     return [x for x in out if x[2] - x[1] >= SHORTEST]
@@ -151,7 +180,8 @@ def generated(n: int = GENERATED, seed: int = SEED) -> list[tuple[bytes, int, in
 
 def findings(docs: DataFrame, bound: int = SAMPLE) -> list[tuple[bytes, int, int, int]]:
     """Labelled candidates of at most ``bound`` documents with a digit, of at most
-    20,000 characters: 1 where a base span covers them, else 0."""
+    20,000 characters: 1 where a base span covers them, else 0. Of a candidate
+    longer than ``LENGTH`` it is the part that the base spans cover."""
     some = (docs.select("doc_id", "text").where((F.length("text") <= 20_000) & F.col("text").rlike("[0-9]"))
             .select("text", F.xxhash64("doc_id", "text").alias("h")))
     # the share of hashes that holds about ``bound`` documents: no task and not
@@ -163,8 +193,10 @@ def findings(docs: DataFrame, bound: int = SAMPLE) -> list[tuple[bytes, int, int
         b = r["text"].encode()
         base = base_spans(b)
         for s, e in candidates(b, base):
-            hit = any(x < e and s < y for x, _, y in base)
-            out.append((b, s, e, int(hit)))
+            hit = [(x, y) for x, _, y in base if x < e and s < y]
+            if hit and e - s > LENGTH:
+                s, e = max(s, hit[0][0]), min(e, max(y for _, y in hit))
+            out.append((b, s, e, int(bool(hit))))
     return out[:FINDINGS]
 
 
@@ -173,10 +205,13 @@ def train(labelled: list[tuple[bytes, int, int, int]], recall: float = RECALL):
     import numpy as np
     from cuenca.llm.toxicity import _logistic, _sigmoid
     rng = np.random.default_rng(SEED)
-    x = np.concatenate([views(b, [(s, e)]) for b, s, e, _ in labelled])
-    y = np.array([l for *_, l in labelled], np.float32)
-    order = rng.permutation(len(x))
-    held, fit = order[:len(x) // 5], order[len(x) // 5:]
+    parts = [views(b, windows(s, e)) for b, s, e, _ in labelled]
+    label = np.array([l for *_, l in labelled], np.float32)
+    order = rng.permutation(len(parts))
+    held, fit = order[:len(parts) // 5], order[len(parts) // 5:]
+    x, y = np.concatenate(parts), np.repeat(label, [len(v) for v in parts])
+    # the fit takes every window of its findings, the held-out findings their highest
+    fit = np.flatnonzero(np.isin(np.repeat(np.arange(len(parts)), [len(v) for v in parts]), fit))
     net, moments, step = Network(), {}, 0
     for _ in range(EPOCHS):
         fit = rng.permutation(fit)
@@ -188,7 +223,8 @@ def train(labelled: list[tuple[bytes, int, int, int]], recall: float = RECALL):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 net.p[name] -= (RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
-    z, t = net.forward(x[held]), y[held]
+    z = highest(net.forward(np.concatenate([parts[k] for k in held])), np.array([len(parts[k]) for k in held]))
+    t = label[held]
     slope, offset = _logistic(z.astype(float), t.astype(float), np.ones(len(t)))
     p = np.sort(_sigmoid(slope * z + offset)[t == 1])
     least = float(p[int((1 - recall) * len(p))]) if len(p) else 0.5
@@ -222,11 +258,11 @@ def scan(docs: DataFrame, labelled: list | None = None) -> DataFrame:
                 b = b or b""
                 base = base_spans(b)
                 free = [(s, e) for s, e in candidates(b, base) if not any(x < e and s < y for x, _, y in base)]
-                more = []
-                for k in range(0, len(free), 512):
-                    some = free[k:k + 512]
-                    p = _sigmoid(slope * net.forward(views(b, some)) + offset)
-                    more += [(s, 3, e) for (s, e), v in zip(some, p) if v >= least]
+                each = [windows(s, e) for s, e in free]
+                some = [w for ws in each for w in ws]
+                z = [net.forward(views(b, some[k:k + 512])) for k in range(0, len(some), 512)]
+                p = _sigmoid(slope * highest(np.concatenate(z), np.array([len(ws) for ws in each])) + offset) if z else []
+                more = [(s, 3, e) for (s, e), v in zip(free, p) if v >= least]
                 rows.append((sum(k == 0 for _, k, _ in base), sum(k == 1 for _, k, _ in base), sum(k == 2 for _, k, _ in base),
                              hashlib.sha256(listed(b, base).encode()).hexdigest(), listed(b, sorted(base + more)), len(more)))
             cols = list(zip(*rows)) if rows else [[]] * 6

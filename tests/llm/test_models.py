@@ -116,3 +116,24 @@ def test_secrets_held_out_findings():
     p = np.array([_sigmoid(slope * net.forward(S.views(b, [(s, e)])) + offset)[0] for b, s, e, _ in new])
     y = np.array([l for *_, l in new])
     assert (p[y == 1] >= least).mean() > 0.94 and (p[y == 0] >= least).mean() < 0.03
+
+
+def test_secret_windows_cover_the_candidate():
+    for n in (8, 40, 41, 59, 60, 61, 71, 100, 500):
+        ws = S.windows(3, 3 + n)
+        assert {i for s, e in ws for i in range(s, e)} == set(range(3, 3 + n))
+        assert ws[-1][1] == 3 + n and all(e - s == min(n, S.LENGTH) for s, e in ws)
+        assert all(b[0] - a[0] <= S.STRIDE for a, b in zip(ws, ws[1:]))
+
+
+def test_secrets_late_in_a_long_run_are_found(spark):
+    rng = random.Random(5)
+    alnum = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    key = lambda k: "".join(rng.choice(alnum) for _ in range(k))
+    hooks = [f"see https://hooks.slack.com/services/T00000000/B00000000/{key(24)} now" for _ in range(40)]
+    paths = [f"see https://www.example.com/{'/'.join(['docs', 'guide', '2024', 'some-page'] * 8)}/{key(32)} now" for _ in range(40)]
+    plain = [f"see https://www.example.com/{'/'.join(['docs', 'guide', '2024', 'some-page'] * k)}/index.html now" for k in range(1, 41)]
+    rows = [(i, t) for i, t in enumerate(hooks + paths + plain)]
+    got = {r.doc_id: r.n_model for r in S.scan(spark.createDataFrame(rows, "doc_id long, text string"), labelled=[]).collect()}
+    assert sum(got[i] > 0 for i in range(40)) >= 36 and sum(got[i] > 0 for i in range(40, 80)) >= 36
+    assert sum(got[i] > 0 for i in range(80, 120)) <= 4
