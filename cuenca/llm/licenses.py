@@ -4,9 +4,9 @@ Templates are short public notices. The index holds, for each template, its
 ``RARE`` words of highest inverse document frequency (counted over all
 documents) and the words of its mandatory key phrases, each with its position.
 The rarest word of a template's key phrase is its anchor: a document looks up
-the templates whose anchor it holds (no other can be verified in it) with its
-``TOP`` highest-IDF licence words; hits of a template are intersected by
-relative position: a hit at document position d of the
+the templates whose anchor it holds (no other can be verified in it) with all
+licence words it holds, whose number the templates bound; hits of a template are
+intersected by relative position: a hit at document position d of the
 template's position t votes for the start d - t. A template is found where at
 least ``VOTES`` of its rare words agree on a start and every word of a
 mandatory phrase stands at its place relative to that start.
@@ -28,7 +28,7 @@ from cuenca.llm.common import table
 from cuenca.session import materialize
 
 NAME = "op9_license_index"
-RARE, TOP, VOTES = 6, 24, 0.6
+RARE, TOP, VOTES = 6, 24, 0.6    # TOP: words that the SQL below looks up in a document
 TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -114,19 +114,13 @@ def index(tokens: DataFrame, templates=TEMPLATES) -> DataFrame:
 
 def found(tokens: DataFrame, postings: DataFrame) -> DataFrame:
     """(doc_id, _h, labels, score) of the documents in which a template is found."""
-    rare = postings.where("rare").select("word", "idf").distinct().collect()  # a few words per template
-    anchors = [r["anchor"] for r in postings.select("anchor").distinct().collect()]
-    words = [r["word"] for r in rare]
-    if not words:
+    anchors = [r["anchor"] for r in postings.select("anchor").distinct().collect()]  # one word per template
+    if not anchors:
         return tokens.select("doc_id", "_h", F.lit(None).cast("array<string>").alias("labels"), F.lit(0.0).alias("score")).limit(0)
-    weight = F.create_map(*[F.lit(x) for r in rare for x in (r["word"], r["idf"])])
-    here = F.array_intersect("words", F.array(*map(F.lit, words)))
-    top = F.transform(F.slice(F.sort_array(F.transform(here, lambda w: F.struct(F.element_at(weight, w).alias("idf"), w.alias("word"))), asc=False), 1, TOP), lambda x: x["word"])
     held = tokens.withColumn("_anchors", F.array_intersect("words", F.array(*map(F.lit, sorted(anchors))))).where(F.size("_anchors") > 0)
-    hits = (held.withColumn("_top", top)
-            .select("doc_id", "_h", "_anchors", "_top", F.posexplode("words").alias("at", "word"))
+    hits = (held.select("doc_id", "_h", "_anchors", F.posexplode("words").alias("at", "word"))
             .join(F.broadcast(postings), "word")
-            .where(F.array_contains("_anchors", F.col("anchor")) & (F.col("must") | F.array_contains("_top", F.col("word")))))
+            .where(F.array_contains("_anchors", F.col("anchor"))))
     need = postings.groupBy("t").agg(F.count(F.when(F.col("rare"), 1)).alias("n_rare"), F.count(F.when(F.col("must"), 1)).alias("n_must"))
     # template positions that agree on a start, as a bitmap (notices have under 64 words)
     bit = F.expr("shiftleft(1L, pos)")

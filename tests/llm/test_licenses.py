@@ -41,6 +41,18 @@ def test_every_template_finds_itself(spark):
         assert label in got[i]
 
 
+def test_every_notice_of_a_joined_file_is_found(spark):
+    import random
+    rng = random.Random(3)
+    files = [L.TEMPLATES] + [rng.sample(L.TEMPLATES, 10) for _ in range(30)]
+    rows = [(i, "\n\n".join(f"{t}." for _, t, _ in ts)) for i, ts in enumerate(files)]
+    rows += [(100 + i, f"some words before. {t}. and after") for i, (_, t, _) in enumerate(L.TEMPLATES)]
+    rows += [(200 + i, f"the word of number {i} and all that it is under") for i in range(40)]
+    got = {r.doc_id: set(r.labels.split(",")) for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, ts in enumerate(files):
+        assert {label for label, _, _ in ts} <= got[i], i
+
+
 def test_nulls_repeats_empty(spark):
     rows = [(None, "All rights reserved", "x"), (None, None, "x"), (1, "MIT License released under the mit license", None)] * 2
     out = L.scan(spark.createDataFrame(rows, "doc_id long, text string, labels string")).collect()
