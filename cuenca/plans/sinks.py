@@ -4,6 +4,7 @@ re-read data (round trip), so the oracle checks what actually landed."""
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 from pyspark.sql import functions as F
@@ -30,29 +31,30 @@ def _(spark, sf):
     return spark.read.parquet(path)
 
 
+def land_orders(orders, path: str) -> None:
+    """Raw→silver landing partitioned by (source, dt = load date) with
+    dynamic overwrite. Load 1 writes the orders of every year, one load date a
+    year (1998 on 2026-01-14, each year before it a day earlier); load 2 re-runs
+    2026-01-14 without P orders and replaces only that partition."""
+    o = orders.select("o_orderkey", "o_orderstatus", F.lit("erp").alias("source"),
+                      F.date_add(F.lit("2026-01-14").cast("date"), F.year("o_orderdate") - 1998).alias("dt"))
+    W.write_partitioned(o, path, ["source", "dt"])
+    rerun = o.where((F.col("dt") == datetime.date(2026, 1, 14)) & (F.col("o_orderstatus") != "P"))
+    W.write_partitioned(rerun, path, ["source", "dt"])
+
+
 @query("snk02_partitioned_rerunnable", sql="""
     SELECT 'erp' AS source, DATE '2026-01-13' AS dt, count(*) AS n FROM orders WHERE year(o_orderdate) = 1997
     UNION ALL
     SELECT 'erp', DATE '2026-01-14', count(*) FROM orders
     WHERE year(o_orderdate) = 1998 AND o_orderstatus <> 'P'""")
 def _(spark, sf):
-    """Raw→silver landing partitioned by (source, dt = load date) with
-    dynamic overwrite. Load 1 writes dt 2026-01-13 (1997 orders) and
-    2026-01-14 (1998 orders); load 2 re-runs 2026-01-14 without P orders and
-    replaces only that partition."""
-    o = Tables(spark, sf).orders.select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("y"))
-
-    def load(df, dt):
-        return df.select("o_orderkey", "o_orderstatus", F.lit("erp").alias("source"),
-                         F.lit(dt).cast("date").alias("dt"))
+    """The landing of ``land_orders``; the oracle names the last two load dates."""
     path = fresh(spark, "snk02")
-    first = load(o.where(F.col("y") == 1997), "2026-01-13").unionByName(
-        load(o.where(F.col("y") == 1998), "2026-01-14"))
-    W.write_partitioned(first, path, ["source", "dt"])
-    rerun = load(o.where((F.col("y") == 1998) & (F.col("o_orderstatus") != "P")), "2026-01-14")
-    W.write_partitioned(rerun, path, ["source", "dt"])
-    return spark.read.parquet(path).groupBy("source", F.col("dt").cast("date").alias("dt")).agg(
-        F.count(F.lit(1)).alias("n"))
+    land_orders(Tables(spark, sf).orders, path)
+    return (spark.read.parquet(path).groupBy("source", F.col("dt").cast("date").alias("dt"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("dt").isin(datetime.date(2026, 1, 13), datetime.date(2026, 1, 14))))
 
 
 @query("snk03_parquet_overwrite", ctes=("e_retail",), sql="""

@@ -331,23 +331,30 @@ def _(spark, sf):
                   F.count(F.lit(1)).alias("rows_read"))
 
 
+RELATIONAL = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+def full_load(t: Tables, base: str) -> None:
+    """Full load of the relational tables into ``parquet_<table>`` folders (the
+    migration task). The source here is the table files; against a database
+    the same loop reads each table with ``files.read_jdbc`` (parallel range
+    reads on the key)."""
+    for name in RELATIONAL:
+        getattr(t, name).write.mode("overwrite").parquet(f"{base}/parquet_{name}")
+
+
 @query("src16_full_load_to_parquet", sql="""
     SELECT * FROM (VALUES ('parquet_customer', (SELECT count(*) FROM customer)),
                           ('parquet_orders', (SELECT count(*) FROM orders)),
                           ('parquet_lineitem', (SELECT count(*) FROM lineitem)))
         AS t(target, row_count)""")
 def _(spark, sf):
-    """Full load of relational tables into ``parquet_<table>`` folders (the
-    migration task). The source here is the table files; against a database
-    the same loop reads each table with ``files.read_jdbc`` (parallel range
-    reads on the key). Counts are taken from the written copies."""
-    t = Tables(spark, sf)
+    """The counts of the written copies of ``full_load`` that the oracle names."""
     base = fresh(spark, "src16")
-    parts = []
-    for name in ("customer", "orders", "lineitem"):
-        getattr(t, name).write.mode("overwrite").parquet(f"{base}/parquet_{name}")
-        parts.append(spark.read.parquet(f"{base}/parquet_{name}").agg(
-            F.lit(f"parquet_{name}").alias("target"), F.count(F.lit(1)).alias("row_count")))
+    full_load(Tables(spark, sf), base)
+    parts = [spark.read.parquet(f"{base}/parquet_{name}").agg(
+        F.lit(f"parquet_{name}").alias("target"), F.count(F.lit(1)).alias("row_count"))
+        for name in ("customer", "orders", "lineitem")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
