@@ -1,13 +1,13 @@
 """Quality rules: hashed n-gram log-likelihood ratio against the raw corpus.
 
 Word unigrams and bigrams are hashed into ``BUCKETS`` buckets. Two multinomials
-over the buckets are counted: the trusted target (a bounded, documented sample
-of documents labelled ``quality = 1`` with even doc_id) and the raw corpus
+over the buckets are counted: the trusted target (the
+documents labelled ``quality = 1`` with even doc_id) and the raw corpus
 (every document, no sample). A document's score is the sum of its n-grams' log
 ratios divided by their number.
 
 The threshold is fixed once per run from labelled documents the target has not
-seen (odd doc_id, the same bound): ``g`` is the score that all but
+seen (odd doc_id, all of them): ``g`` is the score that all but
 ``good_loss`` of the good ones reach, ``b`` the best bad score below it, and
 the threshold lies half way. A document is kept if it reaches the threshold and
 the base rule (50 words or more, at most half of the words in repeated 3-word
@@ -28,11 +28,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cuenca.llm.common import WordHash, small_batches, table
+from cuenca.session import materialize
 
 NAME = "op4_quality_llr"
 BUCKETS = 65536          # 32768 for words, 32749 used of 32768 for word pairs
 MICRO = 1_000_000
-LABELLED = 20_000        # bound of each labelled sample (target, good, bad)
+BITS = 1 << 24           # of the filter before the join with labelled doc_ids
+STEP = 12                # low bits of a score left out of the first counts of ``nth``
 GOOD_LOSS = 0.001        # share of held-out good documents below the threshold
 
 _STATS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -88,13 +90,24 @@ def _texts(batch, col="text"):
     return [b or b"" for b in batch.column(col).cast(pa.binary()).to_pylist()]
 
 
+def members(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text`` of the documents in ``ids``, with its columns. A
+    bitmap of hashed ids, of a fixed size, keeps most other texts out of the
+    shuffle; the join decides."""
+    h = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(BITS))
+    bits = (ids.select(h.alias("_h")).groupBy(F.shiftright("_h", 6).alias("_w"))
+            .agg(F.expr("bit_or(shiftleft(1L, CAST(_h % 64 AS INT)))").alias("_b")))
+    return (docs.select("doc_id", "text", h.alias("_h")).withColumn("_w", F.shiftright("_h", 6))
+            .join(F.broadcast(bits), "_w").where("bit_get(_b, CAST(_h % 64 AS INT)) = 1")
+            .select("doc_id", "text").join(ids, "doc_id"))
+
+
 def count_grams(docs: DataFrame, target: DataFrame) -> DataFrame:
     """(bucket, raw, target) counts over all ``docs``; ``target`` holds the
-    doc_ids of the trusted sample (bounded, so it is broadcast). Each task
-    sends its own sums only: at most ``BUCKETS`` rows."""
-    flagged = (docs.select("doc_id", "text")
-               .join(F.broadcast(target.select("doc_id", F.lit(True).alias("_t"))), "doc_id", "left")
-               .select(F.coalesce("_t", F.lit(False)).alias("t"), "text"))
+    doc_ids of the trusted sample. Each task sends its own sums only: at most
+    ``BUCKETS`` rows."""
+    flagged = (docs.select(F.lit(False).alias("t"), "text")
+               .unionAll(members(docs, target).select(F.lit(True).alias("t"), "text")))
 
     def run(batches):
         import numpy as np
@@ -103,11 +116,10 @@ def count_grams(docs: DataFrame, target: DataFrame) -> DataFrame:
         raw, tgt = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
             doc, bucket = _Words(_texts(batch), hashes).grams()
-            raw += np.bincount(bucket, minlength=BUCKETS)
-            t = batch.column("t").to_numpy(zero_copy_only=False).astype(bool)
-            if t.any():
-                tgt += np.bincount(bucket[t[doc]], minlength=BUCKETS)
-        at = np.flatnonzero(raw)
+            t = batch.column("t").to_numpy(zero_copy_only=False).astype(bool)[doc]
+            raw += np.bincount(bucket[~t], minlength=BUCKETS)
+            tgt += np.bincount(bucket[t], minlength=BUCKETS)
+        at = np.flatnonzero(raw + tgt)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), pa.array(tgt[at])],
                                          names=["bucket", "raw", "target"])
 
@@ -126,11 +138,25 @@ def log_ratios(counts: DataFrame):
     return np.rint(ratio * MICRO).astype(np.int64)
 
 
-def labelled(labels: DataFrame, quality: int, parity: int, limit: int) -> DataFrame:
-    """doc_ids of one label and parity: all, or the ``limit`` first in hash order."""
+def labelled(labels: DataFrame, quality: int, parity: int) -> DataFrame:
+    """doc_ids of one label and parity."""
     return (labels.where((F.col("quality") == quality) & (F.pmod("doc_id", F.lit(2)) == parity))
-            .select("doc_id").distinct()
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
+            .select("doc_id").distinct())
+
+
+def nth(scores: DataFrame, k: int) -> int:
+    """The ``k``-th least ``llr_micro``, from 0. Counts by range find the range that
+    holds it (a log ratio has under 2**26 micro-nats, so there are few), counts
+    by value the value."""
+    def narrow(df, key):
+        nonlocal k
+        for r in sorted(df.groupBy(key.alias("v")).agg(F.count(F.lit(1)).alias("n")).collect()):
+            if k < r["n"]:
+                return r["v"]
+            k -= r["n"]
+
+    by_range = F.shiftright("llr_micro", STEP)
+    return narrow(scores.where(by_range == narrow(scores, by_range)), F.col("llr_micro"))
 
 
 def measure(docs: DataFrame, ratios) -> DataFrame:
@@ -171,30 +197,29 @@ def measure(docs: DataFrame, ratios) -> DataFrame:
     return docs.select(*through).mapInArrow(run, schema)
 
 
-def threshold(docs: DataFrame, labels: DataFrame, ratios, limit: int = LABELLED,
-              good_loss: float = GOOD_LOSS) -> int | None:
+def threshold(docs: DataFrame, labels: DataFrame, ratios, good_loss: float = GOOD_LOSS) -> int | None:
     """The least score kept, in micro-nats per n-gram; None without held-out
     good documents."""
-    known = (labelled(labels, 1, 1, limit).withColumn("_q", F.lit(1))
-             .unionByName(labelled(labels, 0, 1, limit).withColumn("_q", F.lit(0))))
-    rows = (measure(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id"), ratios)
-            .where(~F.col("base_failed")).select("_q", "llr_micro").collect())  # at most 2 * limit documents
-    good = sorted(r["llr_micro"] for r in rows if r["_q"] == 1)
-    if not good:
+    known = (labelled(labels, 1, 1).withColumn("_q", F.lit(1))
+             .unionByName(labelled(labels, 0, 1).withColumn("_q", F.lit(0))))
+    held = materialize(measure(members(docs, known), ratios)
+                       .where(~F.col("base_failed")).select("_q", "llr_micro"))
+    good = held.where("_q = 1")
+    n = good.count()
+    if not n:
         return None
-    g = good[int(good_loss * len(good))]
-    bad = [r["llr_micro"] for r in rows if r["_q"] == 0 and r["llr_micro"] < g]
-    return (g + max(bad)) // 2 if bad else g
+    g = nth(good, int(good_loss * n))
+    bad = held.where((F.col("_q") == 0) & (F.col("llr_micro") < g)).agg(F.max("llr_micro")).first()[0]
+    return g if bad is None else (g + bad) // 2
 
 
-def score(docs: DataFrame, labels: DataFrame, limit: int = LABELLED,
-          good_loss: float = GOOD_LOSS) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, good_loss: float = GOOD_LOSS) -> DataFrame:
     """``docs`` with the base statistics, ``llr`` (nats per n-gram) and ``kept``."""
     spark = docs.sparkSession
     small_batches(spark)
     ratios = spark.sparkContext.broadcast(  # BUCKETS numbers, whatever the input
-        log_ratios(count_grams(docs, labelled(labels, 1, 0, limit))))
-    least = threshold(docs, labels, ratios, limit, good_loss)
+        log_ratios(count_grams(docs, labelled(labels, 1, 0))))
+    least = threshold(docs, labels, ratios, good_loss)
     verdict = F.lit(True) if least is None else F.col("llr_micro") >= F.lit(least)
     return (measure(docs, ratios)
             .withColumn("llr", F.col("llr_micro") / MICRO)

@@ -70,3 +70,19 @@ def test_nulls_empty_tables_clashing_columns(spark):
     out = Q.score(docs, labels).collect()
     assert len(out) == 3 and {r.n_words for r in out} == {0, 60}
     assert Q.score(docs.limit(0), labels).count() == 0
+
+
+def test_threshold_rests_on_all_labelled_documents(spark):
+    import random
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(2 * i + 1, " ".join(rng.choices(words, k=60))) for i in range(24_000)]
+    rows += [(2 * i, " ".join(rng.choices(words[:200], k=60))) for i in range(200)]
+    labels = [(i, int(i % 200 != 1), 0) for i, _ in rows]
+    out = Q.score(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS)).collect()
+    llr = {r.doc_id: round(r.llr * 1e6) for r in out if not r.base_failed}
+    good = sorted(llr[i] for i, q, _ in labels if q and i % 2 and i in llr)
+    g = good[int(0.001 * len(good))]
+    bad = [llr[i] for i, q, _ in labels if not q and i % 2 and i in llr and llr[i] < g]
+    least = (g + max(bad)) // 2 if bad else g
+    assert len(good) > 20_000 and all(r.kept == (llr[r.doc_id] >= least) for r in out if not r.base_failed)
