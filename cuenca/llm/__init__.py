@@ -14,7 +14,7 @@ import cuenca
 cloudpickle.register_pickle_by_value(sys.modules["cuenca"])
 
 MODULES = ("decontaminate", "ngram_join", "html_extract", "quality_llr", "pii", "token_files", "toxicity",
-           "secrets", "licenses", "mixing")
+           "secrets", "licenses", "mixing", "merkle", "fim", "ctph")
 
 
 def load() -> tuple[dict, dict]:
