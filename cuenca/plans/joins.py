@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cuenca.operators import analytics as A
+from cuenca.operators.temporal import asof_join
 from cuenca.plans import model as m
 from cuenca.plans.registry import query
 from cuenca.plans.subqueries import calendar
@@ -93,22 +94,16 @@ def _sensors(t):
                            F.round(F.col("value") / 50, 2).alias("temperatura"))
 
 
-def duty_intervals(t):
-    """(vehiculo, conductor, desde, hasta): who drives a vehicle from when to when."""
-    from pyspark.sql import Window
-    starts = m.deliveries(t).groupBy(F.col("customer_id").alias("vehiculo"), F.col("purchase_ts").alias("desde")).agg(
+def duty_starts(t):
+    """(vehiculo, desde, conductor): who takes over a vehicle, and when."""
+    return m.deliveries(t).groupBy(F.col("customer_id").alias("vehiculo"), F.col("purchase_ts").alias("desde")).agg(
         F.max_by("status", "order_id").alias("conductor"))
-    after = F.lead("desde").over(Window.partitionBy("vehiculo").orderBy("desde"))
-    return starts.withColumn("hasta", after)
 
 
-def on_duty(readings, duty, ts: str):
-    """Readings (batch or stream) with the driver of their time; readings
-    before a vehicle's first delivery have none and drop."""
-    r, d = readings.alias("r"), duty.withColumnRenamed("vehiculo", "_v").alias("d")
-    at = F.col(f"r.{ts}")
-    return r.join(d, (F.col("r.vehiculo") == F.col("d._v")) & (at >= F.col("d.desde"))
-                  & (F.col("d.hasta").isNull() | (at < F.col("d.hasta")))).drop("_v", "desde", "hasta")
+def on_duty(readings, starts, ts: str):
+    """Readings with the driver of their time; readings before a vehicle's
+    first delivery have none and drop."""
+    return asof_join(readings, starts, "vehiculo", ts, "desde", ["conductor"])
 
 
 @query("joi07_sensor_alert_driver", ctes=("e_deliveries",), sql="""
@@ -124,10 +119,11 @@ def _(spark, sf):
     The course joins sensors × deliveries on the vehicle only, which pairs
     every reading with every delivery of that vehicle. Here a driver is on
     duty from a delivery's start to the next one of the vehicle, so each
-    reading has one driver at most: the one of its own time."""
+    reading has one driver at most: the one of its own time (an as-of join
+    without a product per vehicle)."""
     t = Tables(spark, sf)
     s = _sensors(t).where(F.col("temperatura") > 5)
-    return on_duty(s, duty_intervals(t), "timestamp").select("vehiculo", "temperatura", "timestamp", "conductor")
+    return on_duty(s, duty_starts(t), "timestamp").select("vehiculo", "temperatura", "timestamp", "conductor")
 
 
 @query("joi10_anti_join_never_reviewed", sql="""

@@ -5,14 +5,15 @@ compared with the batch SQL of the same data."""
 
 from __future__ import annotations
 
-import json
+import datetime
 
 from pyspark.sql import functions as F
 
 from cuenca.operators.ingest import to_silver
 from cuenca.plans import model as m
-from cuenca.plans.joins import duty_intervals, on_duty
+from cuenca.plans.joins import duty_starts
 from cuenca.plans.registry import query
+from cuenca.session import materialize
 from cuenca.plans.sources import SILVER_ORDERS_SQL, fresh, raw_orders_entity
 from cuenca.sinks.writers import write_csv
 from cuenca.sources.files import all_string_schema
@@ -178,14 +179,15 @@ def _(spark, sf):
     FROM (SELECT user_id AS vehiculo, ts AS timestamp, round(value / 50, 2) AS temperatura FROM events) s
     ASOF JOIN drv d ON d.vehiculo = s.vehiculo AND s.timestamp >= d.purchase_ts WHERE s.temperatura > 5""")
 def _(spark, sf):
-    """Sensor stream filtered to critical temperatures and joined to a static
-    table of who drives a vehicle when (stream-static join: no stream state)."""
+    """Sensor stream filtered to critical temperatures; each micro-batch is
+    joined as of its readings' times with the table of who takes over a vehicle
+    when, and lands exactly once (no stream state, no product per vehicle)."""
     t = Tables(spark, sf)
     s = _events_stream(spark, sf).select(F.col("user_id").alias("vehiculo"), F.col("ts").alias("timestamp"),
                                          F.round(F.col("value") / 50, 2).alias("temperatura"))
-    alerts = on_duty(s.where(F.col("temperatura") > 5), duty_intervals(t), "timestamp")
     out, ck = fresh(spark, "str05_out"), fresh(spark, "str05_ck")
-    ST.run_available(alerts, ck, out)
+    ST.run_available(s.where(F.col("temperatura") > 5), ck, batch_writer=ST.asof_batches(
+        out, materialize(duty_starts(t)), key="vehiculo", ts="timestamp", state_ts="desde", values=["conductor"]))
     return spark.read.parquet(out).select("vehiculo", "temperatura", "timestamp", "conductor")
 
 
@@ -200,13 +202,19 @@ def _(spark, sf):
     """Three files arrive in reverse time order; hourly windows with a 1-hour
     watermark. The second file still counts (a batch is judged by the
     watermark of the batch before it); the third, all behind the watermark, is
-    late and dropped. Returns the windows closed and the number of late
-    rows: input rows that no window, closed or open, holds."""
+    late and dropped. Returns the windows closed and the number of late rows, as
+    the run itself counted them: what the watermark dropped, over all batches."""
     e = Tables(spark, sf).events
-    src = fresh(spark, "str06_in")
     lo, hi = e.select(F.min("ts"), F.max("ts")).first()
     span = (hi - lo) / 3
-    cuts = [lo + span * 2, lo + span, lo]
+    closed, late = reversed_deliveries(spark, e, [lo + span * 2, lo + span, lo])
+    return closed.withColumn("late_rows", F.lit(late).cast("long"))
+
+
+def reversed_deliveries(spark, e, cuts):
+    """(closed windows, late rows) of a stream whose files hold the events from
+    each of the falling ``cuts`` to the one before it."""
+    src = fresh(spark, "str06_in")
     prev = None
     for i, c in enumerate(cuts):
         part = e.where(F.col("ts") >= F.lit(c)) if prev is None else \
@@ -214,12 +222,11 @@ def _(spark, sf):
         part.write.parquet(f"{src}/part{i}")
         prev = c
     stream = ST.event_time(ST.file_stream(spark, src, e.schema, max_files=1, recursiveFileLookup=True))
-    agg = ST.tumbling_counts(stream, "event_type", "value", "1 hour", "1 hour")
+    agg = ST.tumbling_counts_once(stream, "event_id", "event_type", "value", "1 hour", "1 hour")
     out, ck = fresh(spark, "str06_out"), fresh(spark, "str06_ck")
-    ST.run_available(agg, ck, out)
+    run = ST.run_available(agg, ck, out, counted=True)
     closed = spark.read.parquet(out).select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
-    late = e.where(F.col("ts") < F.lit(cuts[1])).agg(F.count(F.lit(1)).alias("late_rows"))   # the third file
-    return closed.withColumn("late_rows", late.scalar())
+    return closed, ST.late_rows(run)
 
 
 @query("str07_dedup_within_watermark", sql="""
@@ -279,15 +286,27 @@ def _(spark, sf):
 def _(spark, sf):
     """Low-accuracy fixes (accuracy figure ``k`` above 80) are dropped, then
     per-device state (last accepted reading) flags readings that jump more
-    than 300 from the previous one (custom state, applyInPandasWithState)."""
-    ev = (_events_stream(spark, sf)
+    than 300 from the previous one (``transformWithState``). The feed comes in
+    four files, a micro-batch each, and ends with a heartbeat whose time
+    moves the watermark past the last reading."""
+    e = Tables(spark, sf).events
+    src = fresh(spark, "str10_in")
+    lo, hi = e.select(F.min("ts"), F.max("ts")).first()
+    step = (hi - lo) / 4
+    for k in range(4):
+        part = e.where(F.col("ts") >= F.lit(lo + step * k))
+        (part if k == 3 else part.where(F.col("ts") < F.lit(lo + step * (k + 1)))).write.parquet(f"{src}/part{k}")
+    beat = {"event_id": F.lit(-1), "user_id": F.lit(-1), "ts": F.lit(hi + datetime.timedelta(hours=2)), "props": F.lit('{"k": 0}')}
+    spark.range(1).select(*[beat.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in e.schema.fields]
+                          ).write.parquet(f"{src}/part4")
+    ev = (ST.event_time(ST.file_stream(spark, src, e.schema, max_files=1, recursiveFileLookup=True))
           .where(F.get_json_object("props", "$.k").cast("int") <= 80)
           .select("user_id", "event_id", F.col("event_time").alias("ts"), "value"))
     out, ck = fresh(spark, "str10_out"), fresh(spark, "str10_ck")
-    ST.run_available(ST.flag_jumps(ev, 300.0), ck, out)
+    ST.run_available(ST.flag_jumps(ev, 300.0), ck, out, conf=ST.STATE_CONF)
     r = spark.read.parquet(out)
-    return r.select("user_id", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value",
-                    "prev_value", "jump")
+    return r.where("user_id <> -1").select("user_id", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
+                                           "value", "prev_value", "jump")
 
 
 @query("str11_incremental_raw_to_silver", sql=f"""

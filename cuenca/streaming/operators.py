@@ -9,11 +9,11 @@ allowed lateness, and every query writes through a checkpoint so a restart
 
 from __future__ import annotations
 
-from typing import Iterator
+import threading
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 
 
@@ -100,6 +100,24 @@ def session_counts(events: DataFrame, key: str, gap: str, lateness: str,
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def tumbling_counts_once(events: DataFrame, id_col: str, key: str, value: str, width: str, lateness: str,
+                         ts: str = "event_time") -> DataFrame:
+    """``tumbling_counts`` over events that may be delivered twice: an id counts
+    once per window. The first stateful operator sees single rows, so its
+    dropped-by-watermark counter (the first of a batch's ``late_rows`` in
+    ``run_available``) is the number of late events, not of partial aggregates."""
+    rows = (events.withWatermark(ts, lateness)
+            .select(F.col(id_col).alias("_id"), F.window(ts, width).alias("w"), key, value)
+            .dropDuplicates(["_id", "w"]))
+    return rows.groupBy("w", key).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
+
+
+def late_rows(run: dict) -> int:
+    """Events that came too late for their window, over all micro-batches of a
+    counted run of ``tumbling_counts_once``."""
+    return sum(b["late_rows"][-1] for b in run["batches"] if b["late_rows"])
+
+
 def dedup_events(events: DataFrame, id_col: str, lateness: str, ts: str = "event_time") -> DataFrame:
     """Drop repeated event ids arriving within the allowed lateness."""
     return events.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([id_col])
@@ -120,53 +138,133 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, lt: str, rt: str,
 
 # --- custom per-key state ----------------------------------------------------
 
-JUMP_OUT = "user_id long, event_id long, ts timestamp, value double, prev_value double, jump boolean"
-JUMP_STATE = "last_ts timestamp, last_value double"
-
-
-def _jump_fn(threshold: float, keep_ms: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:      # a silent device: its state goes
-            state.remove()
-            return
-        prev = state.get if state.exists else None
-        last_val = prev[1] if prev else None
-        # one device's rows of this micro-batch (bounded by the trigger's
-        # maxFilesPerTrigger / maxOffsetsPerTrigger), in time order
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"],
-                                                                     kind="mergesort")
-        if pdf.empty:
-            return
-        vals = pdf["value"].tolist()
-        prevs = [last_val] + vals[:-1]
-        out = pdf[["user_id", "event_id", "ts", "value"]].copy()
-        out["prev_value"] = prevs
-        out["jump"] = [p is not None and not pd.isna(p) and abs(v - p) > threshold
-                       for v, p in zip(vals, prevs)]
-        last = pdf["ts"].iloc[-1]
-        state.update((last, vals[-1]))
-        state.setTimeoutTimestamp(max(int(last.timestamp() * 1000), state.getCurrentWatermarkMs()) + keep_ms)
-        yield out
-    return fn
-
-
-def flag_jumps(events: DataFrame, threshold: float, lateness: str = "1 hour",
-               keep: str = "30 days") -> DataFrame:
+JUMP_OUT = "user_id long, event_id long, us long, value double, prev_value double, jump boolean"
+
+
+def _jump_processor(threshold: float, hold_ms: int, keep_ms: int):
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class Jumps(StatefulProcessor):
+        """Readings wait in state, by slot of ``hold_ms`` of their time, until
+        the watermark has passed the slot; its timer then emits them in
+        order of time. The last reading stays until ``keep_ms`` after it."""
+
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.slots = handle.getMapState("slots", "slot long", "readings string")
+            self.last = handle.getValueState("last", "us long, value double, expires long")
+
+        def handleInputRows(self, key, rows, timerValues):
+            some = []
+            for r in rows:
+                some.append((r["us"], r["event_id"], r["value"]))
+                if len(some) >= 1000:        # a device's rows are never all in memory
+                    self._store(some)
+                    some = []
+            self._store(some)
+            return iter(())
+
+        def _store(self, readings):
+            import json
+            by_slot = {}
+            for x in readings:
+                by_slot.setdefault(x[0] // (hold_ms * 1000), []).append(x)
+            for slot, xs in by_slot.items():
+                if self.slots.containsKey((slot,)):
+                    xs = json.loads(self.slots.getValue((slot,))[0]) + xs
+                else:
+                    self.handle.registerTimer((slot + 1) * hold_ms)
+                self.slots.updateValue((slot,), (json.dumps(xs),))
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            import json
+            from pyspark.sql import Row
+            now = expiredTimerInfo.getExpiryTimeInMs()
+            due = sorted(k[0] for k in self.slots.keys() if (k[0] + 1) * hold_ms <= now)
+            last = self.last.get() if self.last.exists() else None
+            before, seen = (last[1], last[0]) if last else (None, None)
+            for slot in due:
+                for us, event_id, value in sorted(json.loads(self.slots.getValue((slot,))[0])):
+                    jump = before is not None and value is not None and abs(value - before) > threshold
+                    yield Row(user_id=key[0], event_id=event_id, us=us, value=value, prev_value=before, jump=jump)
+                    before, seen = value, us
+                self.slots.removeKey((slot,))
+            if due:
+                if last:
+                    self.handle.deleteTimer(last[2])
+                expires = seen // 1000 + keep_ms
+                self.last.update((seen, before, expires))
+                self.handle.registerTimer(expires)
+            elif last and last[2] <= now:    # a silent device: its state goes
+                self.last.clear()
+
+        def close(self) -> None:
+            pass
+
+    return Jumps()
+
+
+#: custom state lives in RocksDB, outside the heap
+STATE_CONF = {"spark.sql.streaming.stateStore.providerClass":
+              "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+def flag_jumps(events: DataFrame, threshold: float, lateness: str = "1 hour", keep: str = "30 days",
+               hold: str = "10 minutes") -> DataFrame:
     """Per device, flag a reading that jumps more than ``threshold`` from the
-    device's previous reading. The last reading per device is kept in state
-    across micro-batches (``applyInPandasWithState``): one row per device,
-    dropped when the watermark is ``keep`` past its last reading."""
-    keep_ms = int(pd.Timedelta(keep).total_seconds() * 1000)
-    return events.withWatermark("ts", lateness).groupBy("user_id").applyInPandasWithState(
-        _jump_fn(threshold, keep_ms), JUMP_OUT, JUMP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    device's previous reading in order of (ts, event_id), whatever the order
+    of arrival within ``lateness``.
+
+    ``transformWithState`` on event time: a reading is emitted when the
+    watermark passes its slot of ``hold``; state holds the readings of the open
+    slots and one last reading per device, dropped when the watermark is
+    ``keep`` past it. Readings behind the watermark are dropped and counted.
+    Run it with ``STATE_CONF``."""
+    ms = lambda text: int(pd.Timedelta(text).total_seconds() * 1000)
+    rows = events.withWatermark("ts", lateness).withColumn("us", F.unix_micros("ts"))
+    out = rows.groupBy("user_id").transformWithState(
+        _jump_processor(threshold, ms(hold), ms(keep)), JUMP_OUT, "Append", "EventTime")
+    return out.withColumn("ts", F.timestamp_micros("us")).select(
+        "user_id", "event_id", "ts", "value", "prev_value", "jump")
+
+
+# --- running a stream --------------------------------------------------------
+
+class RunCounters(StreamingQueryListener):
+    """Figures of every micro-batch of the streams that run while it is
+    registered, by run id: the query's own ``recentProgress`` forgets old ones."""
+
+    def __init__(self):
+        self.batches: dict[str, list] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def end_of(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.batches.setdefault(str(p.runId), []).append({
+            "batch": p.batchId, "input_rows": p.numInputRows, "watermark": dict(p.eventTime).get("watermark"),
+            "late_rows": [op.numRowsDroppedByWatermark for op in p.stateOperators]})
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.end_of(str(event.runId)).set()
 
 
 def run_available(stream_df: DataFrame, checkpoint: str, sink_path: str | None = None,
                   mode: str = "append", partition_by: list[str] | None = None,
-                  batch_writer=None) -> dict:
+                  batch_writer=None, conf: dict[str, str] | None = None, counted: bool = False) -> dict:
     """Process everything available now, exactly once, then stop. Output
     goes to a parquet folder (file sink, or ``batch_writer`` via foreachBatch
-    for complete/update modes). Returns the last progress (small dict)."""
+    for complete/update modes). ``conf`` holds for this query only. Returns the
+    last progress and, if ``counted``, the figures of every micro-batch."""
+    spark = stream_df.sparkSession
     w = stream_df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if batch_writer is not None:
         w = w.foreachBatch(batch_writer)
@@ -174,10 +272,27 @@ def run_available(stream_df: DataFrame, checkpoint: str, sink_path: str | None =
         w = w.format("parquet").option("path", sink_path)
         if partition_by:
             w = w.partitionBy(*partition_by)
-    q = w.trigger(availableNow=True).start()
-    q.awaitTermination()
-    progress = q.recentProgress
-    return {"progress": progress}
+    before = {k: spark.conf.get(k, None) for k in conf or {}}
+    counters = RunCounters() if counted else None
+    if counters:
+        spark.streams.addListener(counters)
+    try:
+        for k, v in (conf or {}).items():
+            spark.conf.set(k, v)
+        try:
+            q = w.trigger(availableNow=True).start()   # takes a copy of the session's settings
+        finally:
+            for k, v in before.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        q.awaitTermination()
+        out = {"progress": q.recentProgress}
+        if counters:
+            counters.end_of(str(q.runId)).wait(60)     # listeners hear of batches in order, the end last
+            out["batches"] = sorted(counters.batches.get(str(q.runId), []), key=lambda b: b["batch"])
+        return out
+    finally:
+        if counters:
+            spark.streams.removeListener(counters)
 
 
 def overwrite_to(path: str):
@@ -188,6 +303,21 @@ def overwrite_to(path: str):
     return write
 
 
+def asof_batches(path: str, states: DataFrame, **options):
+    """foreachBatch writer of an as-of join: each micro-batch meets ``states``
+    (a batch table) by ``asof_join`` and lands in its own folder ``batch=<id>``, which
+    a repeated batch replaces: exactly once."""
+    from cuenca.operators.temporal import asof_join
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            asof_join(batch, states, **options).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+    return write
+
+
 def enrich(stream: DataFrame, source: str) -> DataFrame:
     """The record transform of the delivery stream (``enrich_records``)."""
     return enrich_records(stream, source)

@@ -1,6 +1,7 @@
 """Streaming: late data, duplicates, and the record transform."""
 
 import base64
+import datetime
 import json
 
 from pyspark.sql import functions as F
@@ -40,3 +41,71 @@ def test_records_keep_types_and_never_fail(spark):
         assert json.loads(base64.b64decode(out[k].data)) == json.loads(v) | {"source": "NEW"}
     for k, v in bad.items():
         assert (out[k].result, out[k].data) == ("ProcessingFailed", v)
+
+
+def test_late_rows_come_from_the_run(spark):
+    """Three cuts against the plain rule: the third file is judged by the
+    watermark of the first (latest event - 1 hour) and late by its window's end."""
+    from cuenca.plans.streams import reversed_deliveries
+    e = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    lo, hi = e.select(F.min("ts"), F.max("ts")).first()
+    span, closes = hi - lo, hi - datetime.timedelta(hours=1)
+    for cuts in ([lo + span * 0.9, lo + span * 0.1, lo], [hi - datetime.timedelta(minutes=20), hi - datetime.timedelta(minutes=50), lo],
+                 [lo + span / 2, lo + span / 2 - datetime.timedelta(hours=9), lo]):
+        closed, late = reversed_deliveries(spark, e, cuts)
+        end = F.date_trunc("hour", "ts").cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR")
+        want = e.where((F.col("ts") < F.lit(cuts[1])) & (end <= F.lit(closes))).count()
+        assert late == want > 0
+        assert (closed.agg(F.sum("n")).first()[0] or 0) <= e.count() - want
+
+
+def _readings(spark, folder, files, schema="user_id long, event_id long, ts timestamp, value double"):
+    import time
+    at = lambda minute: datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minute)
+    for k, rows in enumerate(files):
+        spark.createDataFrame([(u, i, at(m), v) for u, i, m, v in rows], schema).coalesce(1).write.parquet(f"{folder}/f{k}")
+        time.sleep(0.02)
+    return ST.file_stream(spark, folder, schema, max_files=1, recursiveFileLookup=True)
+
+
+def _jumps(spark, tmp_path, files, **options):
+    s = _readings(spark, str(tmp_path / "in"), files)
+    ST.run_available(ST.flag_jumps(s, 10.0, **options), str(tmp_path / "ck"), str(tmp_path / "out"), conf=ST.STATE_CONF)
+    return {r["event_id"]: (r["prev_value"], r["jump"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+
+
+def test_jumps_follow_time_not_arrival(spark, tmp_path):
+    """Three batches, readings out of order within the lateness, a device that
+    holds a third of them."""
+    import random
+    rng = random.Random(1)
+    # the time of a reading is unique per device; device 7 has many
+    rows = [(7 if i % 3 == 0 else rng.randrange(5), i, i * 2, float(rng.randrange(40))) for i in range(240)]
+    arrived = sorted(rows, key=lambda r: r[2] + rng.uniform(0, 40))
+    beat = [(-1, -1, 10_000, 0.0)]
+    got = _jumps(spark, tmp_path, [arrived[:80], arrived[80:160], arrived[160:], beat], lateness="2 hours", hold="7 minutes")
+    before, want = {}, {}
+    for u, i, _, v in rows:
+        p = before.get(u)
+        want[i] = (p, p is not None and abs(v - p) > 10)
+        before[u] = v
+    assert got == want
+
+
+def test_silent_device_state_expires(spark, tmp_path):
+    files = [[(1, 10, 0, 5.0), (2, 20, 0, 5.0)], [(2, 21, 30, 50.0)], [(2, 22, 300, 50.0)],
+             [(1, 11, 310, 90.0), (2, 23, 310, 90.0)], [(-1, -1, 10_000, 0.0)]]
+    got = _jumps(spark, tmp_path, files, lateness="10 minutes", keep="1 hour", hold="5 minutes")
+    # device 1 was silent for five hours: its reading is a first one again
+    assert got[11] == (None, False) and got[10] == (None, False)
+    assert got[21] == (5.0, True) and got[23] == (50.0, True)
+
+
+def test_counters_and_settings_of_a_run(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    s = ST.event_time(_readings(spark, str(tmp_path / "in"), [[(1, k, k, 1.0)] for k in range(3)]))
+    run = ST.run_available(ST.dedup_events(s, "event_id", "10 minutes"), str(tmp_path / "ck"), str(tmp_path / "out"),
+                           conf=ST.STATE_CONF, counted=True)
+    assert spark.conf.get(key) == before
+    assert sum(b["input_rows"] for b in run["batches"]) == 3 and [b["batch"] for b in run["batches"]] == sorted(b["batch"] for b in run["batches"])
