@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cuenca.operators import quality as Q
 from cuenca.operators.quality import Rule
 from cuenca.session import materialize
-from cuenca.sinks.writers import write_partitioned
+from cuenca.sinks import manifest
 from cuenca.sources.files import all_string_schema, read_csv, require_columns
 
 # Silver types per entity (fixed values of the raw→silver job).
@@ -76,18 +76,20 @@ def raw_to_silver(spark: SparkSession, entity: str, in_path: str, out_path: str,
                   source: str, dt: str, quality_path: str | None = None) -> DataFrame:
     """One entity: read raw, type, add ``source``/``dt``, optionally run the
     quality gate (report written before failing, nothing written on
-    failure), then write parquet partitioned by (source, dt) with dynamic
-    overwrite so a re-run replaces only that partition."""
+    failure), then publish it as the (source, dt) partition of the silver table:
+    a re-run replaces that partition in one step, also by nothing. Read the
+    table with ``manifest.read_table``."""
     silver = to_silver(read_raw(spark, entity, in_path), entity)
     out = silver.withColumns({"source": F.lit(source), "dt": F.lit(dt)})
+    scope = spark.range(1).select(F.lit(source).alias("source"), F.lit(dt).alias("dt"))
     if quality_path is None:
-        write_partitioned(out, out_path, ["source", "dt"])
+        manifest.replace_partitions(out, out_path, ["source", "dt"], replaces=scope)
         return out
     # the raw files are parsed once, into a staged table in the shared folder
     # that the gate's rules and the write read (a lost executor re-reads it)
     out = materialize(out)
     Q.gate(Q.report(out, entity, entity_rules(entity)), quality_path)
-    write_partitioned(out, out_path, ["source", "dt"])
+    manifest.replace_partitions(out, out_path, ["source", "dt"], replaces=scope)
     return out
 
 

@@ -13,6 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cuenca.operators.analytics import exact_percentile, global_sequence
+from cuenca.sinks import keyed, manifest
 
 OPEN_END = "9999-12-31"
 
@@ -30,8 +31,9 @@ def scd2(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str],
     """Type-2 dimension update.
 
     ``dim`` has ``key, tracked…, effective_date, expiration_date, is_current``;
-    ``incoming`` is the new snapshot (``key, tracked…``). Result = history
-    rows + current rows unchanged + current rows closed at ``as_of`` + new
+    ``incoming`` is the new snapshot (``key, tracked…``); of a key that it
+    repeats, the greatest row by ``tracked`` counts. NULL is a key like any
+    other. Result = history rows + current rows unchanged + current rows closed at ``as_of`` + new
     versions opened at ``as_of`` + brand-new keys. One full outer join of the
     current rows with the snapshot; each joined row emits its one or two
     output versions through an array + explode, so the join runs once (no
@@ -39,12 +41,15 @@ def scd2(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str],
     as_of = F.lit(as_of).cast("date")
     open_end = F.lit(OPEN_END).cast("date")
     history = dim.where(~F.col("is_current"))
-    cur = dim.where(F.col("is_current")).alias("c")
-    new = incoming.alias("n")
-    j = cur.join(new, F.col(f"c.{key}") == F.col(f"n.{key}"), "full_outer")
-    has_c, has_n = F.col(f"c.{key}").isNotNull(), F.col(f"n.{key}").isNotNull()
-    changed = has_c & has_n & _differs(tracked)
     cols = [key] + list(tracked)
+    cur = dim.where(F.col("is_current")).withColumn("_there", F.lit(True)).alias("c")
+    versions = F.struct(*[F.struct(F.col(c).isNotNull(), F.col(c)) for c in tracked])   # NULL is least
+    one = incoming.groupBy(key).agg(F.max_by(F.struct(*tracked), versions).alias("_v")).select(
+        key, *[F.col("_v")[c].alias(c) for c in tracked])
+    new = one.withColumn("_there", F.lit(True)).alias("n")
+    j = cur.join(new, F.col(f"c.{key}").eqNullSafe(F.col(f"n.{key}")), "full_outer")
+    has_c, has_n = F.col("c._there").isNotNull(), F.col("n._there").isNotNull()
+    changed = has_c & has_n & _differs(tracked)
 
     def version(side, eff, exp, current):
         return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in cols], eff.alias("effective_date"),
@@ -100,18 +105,13 @@ def lookup_sk(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk:
 
 def cdc_apply(table: DataFrame, changes: DataFrame, key: str, op_col: str = "op",
               seq_col: str = "seq") -> DataFrame:
-    """Apply an ordered change feed (I/U/D) to a table in one aggregation:
-    the current rows enter as the oldest version of their key, the changes
-    with their sequence; ``max_by`` keeps the last version per key (partial
-    aggregation, no sort window) and deleted keys are dropped."""
-    data_cols = [c for c in table.columns if c != key]
-    base = table.select(key, *data_cols, F.lit("T").alias(op_col),
-                        F.lit(None).cast("long").alias(seq_col))
-    ch = changes.select(key, *data_cols, op_col, F.col(seq_col).cast("long").alias(seq_col))
-    last = (base.unionByName(ch).groupBy(key)
-            .agg(F.max_by(F.struct(op_col, *data_cols),
-                          F.coalesce(F.col(seq_col), F.lit(-(2 ** 62)))).alias("_v")))
-    return last.where(F.col("_v")[op_col] != "D").select(key, *[F.col("_v")[c].alias(c) for c in data_cols])
+    """Apply an ordered change feed (I/U/D) to a table in one aggregation: the
+    last change of a key is its row, or its end if it is a D. Stored rows are
+    older than any change; changes without a number are older than numbered
+    ones; of equal numbers the greater by (op, columns) counts. Rows without a
+    key stay as they are, changes without one are left out.
+    ``keyed.apply_changes`` does it to a stored table, bucket by bucket."""
+    return keyed.apply_last_change(table, changes, [key], op_col, seq_col)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
@@ -184,13 +184,11 @@ def cancel_orders(orders: DataFrame, payments: DataFrame, cancellations: DataFra
 def refresh_partitions(source: DataFrame, aggregate, path: str, partition_col: str,
                        changed: DataFrame) -> None:
     """Incremental refresh of a partitioned aggregate table (the continuous
-    aggregate / "delete the day range and reload" of the course): only the
+    aggregate / "delete the day range and reload" of the course): the
     partitions listed in ``changed`` (one column ``partition_col``) are
-    recomputed from ``source`` and replaced with dynamic partition
-    overwrite; every other partition is left as it is."""
-    spark = source.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    part = source.join(F.broadcast(changed.select(partition_col).distinct()), partition_col, "left_semi")
-    out = aggregate(part)
-    (out.hint("rebalance", partition_col).write.mode("overwrite")
-     .partitionBy(partition_col).parquet(path))
+    recomputed from ``source`` and take the place of the old ones in one step; a
+    listed partition without source rows any more is gone. Every other one
+    keeps its files. Read it with ``manifest.read_table``."""
+    listed = changed.select(partition_col).distinct()
+    part = source.join(listed, partition_col, "left_semi")
+    manifest.replace_partitions(aggregate(part), path, [partition_col], replaces=listed)

@@ -687,9 +687,10 @@ def _(spark, sf):
     """Continuous aggregate kept fresh incrementally: the hourly table is
     built from the first half of the month, then the days touched by the
     newly arrived events are recomputed and only those day partitions are
-    replaced (dynamic overwrite). The result equals a full rebuild."""
+    replaced, in one step. The result equals a full rebuild."""
     from cuenca.operators.warehouse import refresh_partitions
     from cuenca.plans.sources import fresh
+    from cuenca.sinks.manifest import read_table
     e = Tables(spark, sf).events.withColumn("day", F.to_date("ts"))
     path = fresh(spark, "agg45")
     cut = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
@@ -697,8 +698,7 @@ def _(spark, sf):
     refresh_partitions(early, _hourly, path, "day", early.select("day").distinct())
     arrived = e.where(F.col("ts") >= cut)
     refresh_partitions(e, _hourly, path, "day", arrived.select("day").distinct())
-    back = spark.read.parquet(path)
-    return back.select("bucket", "region", "n", "demand", F.col("day").cast("date"))
+    return read_table(spark, path).select("bucket", "region", "n", "demand", "day")
 
 
 @query("agg46_clickstream_counts", sql="""

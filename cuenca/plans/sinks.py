@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cuenca.plans import model as m
 from cuenca.plans.registry import query
 from cuenca.plans.sources import fresh, raw_orders_entity
-from cuenca.sinks import writers as W
+from cuenca.sinks import keyed, manifest as M, writers as W
 from cuenca.sources import files as S
 from cuenca.sources.tables import Tables
 
@@ -32,29 +32,26 @@ def _(spark, sf):
 
 
 def land_orders(orders, path: str) -> None:
-    """Raw→silver landing partitioned by (source, dt = load date) with
-    dynamic overwrite. Load 1 writes the orders of every year, one load date a
+    """Raw→silver landing partitioned by (source, dt = load date), the live
+    partitions named by a manifest. Load 1 writes the orders of every year, one load date a
     year (1998 on 2026-01-14, each year before it a day earlier); load 2 re-runs
     2026-01-14 without P orders and replaces only that partition."""
     o = orders.select("o_orderkey", "o_orderstatus", F.lit("erp").alias("source"),
                       F.date_add(F.lit("2026-01-14").cast("date"), F.year("o_orderdate") - 1998).alias("dt"))
-    W.write_partitioned(o, path, ["source", "dt"])
-    rerun = o.where((F.col("dt") == datetime.date(2026, 1, 14)) & (F.col("o_orderstatus") != "P"))
-    W.write_partitioned(rerun, path, ["source", "dt"])
+    M.replace_partitions(o, path, ["source", "dt"])
+    again = (F.col("source") == "erp") & (F.col("dt") == datetime.date(2026, 1, 14))
+    scope = orders.sparkSession.range(1).select(F.lit("erp").alias("source"), F.lit("2026-01-14").cast("date").alias("dt"))
+    M.replace_partitions(o.where(again & (F.col("o_orderstatus") != "P")), path, ["source", "dt"], replaces=scope)
 
 
 @query("snk02_partitioned_rerunnable", sql="""
-    SELECT 'erp' AS source, DATE '2026-01-13' AS dt, count(*) AS n FROM orders WHERE year(o_orderdate) = 1997
-    UNION ALL
-    SELECT 'erp', DATE '2026-01-14', count(*) FROM orders
-    WHERE year(o_orderdate) = 1998 AND o_orderstatus <> 'P'""")
+    SELECT 'erp' AS source, CAST(DATE '2026-01-14' + CAST(year(o_orderdate) - 1998 AS INTEGER) AS DATE) AS dt, count(*) AS n
+    FROM orders WHERE year(o_orderdate) <> 1998 OR o_orderstatus <> 'P' GROUP BY 1, 2""")
 def _(spark, sf):
-    """The landing of ``land_orders``; the oracle names the last two load dates."""
+    """The landing of ``land_orders``: rows per load date, all of them."""
     path = fresh(spark, "snk02")
     land_orders(Tables(spark, sf).orders, path)
-    return (spark.read.parquet(path).groupBy("source", F.col("dt").cast("date").alias("dt"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("dt").isin(datetime.date(2026, 1, 13), datetime.date(2026, 1, 14))))
+    return M.read_table(spark, path).groupBy("source", "dt").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("snk03_parquet_overwrite", ctes=("e_retail",), sql="""
@@ -164,14 +161,15 @@ def _(spark, sf):
 def _(spark, sf):
     """Merge: the target holds orders up to 1998, the delivery brings orders
     from 1998 on (1998 overlaps, with a new status). Matched keys are
-    replaced, new keys inserted; the result goes to a new version folder."""
+    replaced, new keys inserted; only the buckets they touch are rewritten."""
     o = m.orders(Tables(spark, sf)).select("order_id", "status", "order_total", "purchase_date")
     target = o.where(F.col("purchase_date") < F.lit("1999-01-01").cast("date")).drop("purchase_date")
     source = (o.where(F.col("purchase_date") >= F.lit("1998-01-01").cast("date")).drop("purchase_date")
               .withColumn("status", F.lit("F")))
     path = fresh(spark, "snk12")
-    W.upsert(target, source, ["order_id"]).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    keyed.create(target, path, ["order_id"], buckets=16)
+    keyed.upsert(path, source, ["order_id"], buckets=16)
+    return keyed.read(spark, path)
 
 
 @query("snk13_create_table_as_select", ctes=("fact",), sql="""
@@ -237,19 +235,28 @@ def _(spark, sf):
 
 
 def refresh_materialized(spark, name: str, query_df, unique_key: list[str], path: str) -> None:
-    """Materialised view: the query result is stored as a table and replaced
-    on refresh; the unique key (the index of the original) is checked first."""
-    dups = query_df.groupBy(*unique_key).count().where(F.col("count") > 1).limit(1).count()
+    """Materialised view: the query runs once, into a folder of its own; its
+    unique key (the index of the original) is checked there, then the table
+    is moved to that folder in one step, so readers see the old or the new rows."""
+    version = f"{path}/version={uuid.uuid4().hex}"
+    query_df.write.parquet(version)
+    dups = spark.read.parquet(version).groupBy(*unique_key).count().where(F.col("count") > 1).limit(1).count()
     if dups:
         raise ValueError(f"materialised view {name}: key {unique_key} is not unique")
-    W.replace_table(query_df, name, path)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, path=version, source="parquet")
 
 
 @query("snk16_materialized_view_refresh", ctes=("e_payments", "e_orders"), sql=_DAILY_SQL)
 def _(spark, sf):
     t = Tables(spark, sf)
     name = _tname("mv_daily_revenue")
-    refresh_materialized(spark, name, _daily_revenue(t), ["order_date"], fresh(spark, "snk16"))
+    path = fresh(spark, "snk16")
+    refresh_materialized(spark, name, _daily_revenue(t).limit(0), ["order_date"], path)
+    refresh_materialized(spark, name, _daily_revenue(t), ["order_date"], path)
     return spark.table(name)
 
 
@@ -268,17 +275,20 @@ def _(spark, sf):
            CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 1 END AS version
     FROM orders""")
 def _(spark, sf):
-    """The same file delivered twice (v2 changes open orders) and appended:
-    duplicates are resolved to the latest version per key."""
+    """The same file delivered twice (v2 changes open orders). Appended, both
+    versions stand side by side; the keyed table merges them to the latest
+    version per key as they come."""
     o = Tables(spark, sf).orders.select(F.col("o_orderkey").alias("order_id"),
                                         F.col("o_orderstatus").alias("status"))
     v1 = o.withColumn("version", F.lit(1))
     v2 = (o.where(F.col("status") == "O").withColumn("status", F.lit("F"))
           .withColumn("version", F.lit(2)))
     path = fresh(spark, "snk18")
-    v1.write.mode("append").parquet(path)
-    v2.write.mode("append").parquet(path)
-    return W.latest_wins(spark.read.parquet(path), ["order_id"], "version")
+    for delivery in (v1, v2):
+        delivery.write.mode("append").parquet(f"{path}/raw")
+    keyed.create(v1, f"{path}/table", ["order_id"], "version", buckets=16)
+    keyed.upsert(f"{path}/table", v2, ["order_id"], "version", buckets=16)
+    return keyed.read(spark, f"{path}/table")
 
 
 @query("snk19_range_partitioned_pruning", sql="""

@@ -5,9 +5,10 @@ oracle compares the round trip with the tables."""
 
 from __future__ import annotations
 
+import functools
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
@@ -344,18 +345,22 @@ def full_load(t: Tables, base: str) -> None:
 
 
 @query("src16_full_load_to_parquet", sql="""
-    SELECT * FROM (VALUES ('parquet_customer', (SELECT count(*) FROM customer)),
-                          ('parquet_orders', (SELECT count(*) FROM orders)),
-                          ('parquet_lineitem', (SELECT count(*) FROM lineitem)))
-        AS t(target, row_count)""")
+    SELECT * FROM (VALUES ('parquet_region', (SELECT count(*) FROM region), (SELECT CAST(sum(r_regionkey) AS BIGINT) FROM region)),
+                          ('parquet_nation', (SELECT count(*) FROM nation), (SELECT CAST(sum(n_nationkey) AS BIGINT) FROM nation)),
+                          ('parquet_customer', (SELECT count(*) FROM customer), (SELECT CAST(sum(c_custkey) AS BIGINT) FROM customer)),
+                          ('parquet_supplier', (SELECT count(*) FROM supplier), (SELECT CAST(sum(s_suppkey) AS BIGINT) FROM supplier)),
+                          ('parquet_part', (SELECT count(*) FROM part), (SELECT CAST(sum(p_partkey) AS BIGINT) FROM part)),
+                          ('parquet_orders', (SELECT count(*) FROM orders), (SELECT CAST(sum(o_orderkey) AS BIGINT) FROM orders)),
+                          ('parquet_lineitem', (SELECT count(*) FROM lineitem), (SELECT CAST(sum(l_orderkey) AS BIGINT) FROM lineitem)))
+        AS t(target, row_count, key_sum)""")
 def _(spark, sf):
-    """The counts of the written copies of ``full_load`` that the oracle names."""
+    """Rows and key totals of the written copies of all relational tables."""
     base = fresh(spark, "src16")
     full_load(Tables(spark, sf), base)
-    parts = [spark.read.parquet(f"{base}/parquet_{name}").agg(
-        F.lit(f"parquet_{name}").alias("target"), F.count(F.lit(1)).alias("row_count"))
-        for name in ("customer", "orders", "lineitem")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    copies = [(name, spark.read.parquet(f"{base}/parquet_{name}")) for name in RELATIONAL]
+    parts = [c.agg(F.lit(f"parquet_{name}").alias("target"), F.count(F.lit(1)).alias("row_count"),
+                   F.sum(c.columns[0]).alias("key_sum")) for name, c in copies]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @query("src09_range_generated_rows", sql="""

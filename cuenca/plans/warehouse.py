@@ -10,6 +10,7 @@ from cuenca.plans import model as m
 from cuenca.plans.joins import dim_tiempo
 from cuenca.plans.registry import query
 from cuenca.plans.sources import fresh
+from cuenca.sinks import keyed
 from cuenca.sinks.writers import publish_together, read_published
 from cuenca.sources.tables import Tables
 
@@ -127,10 +128,13 @@ def _(spark, sf):
     SELECT customer_id, city, segment FROM v1 WHERE customer_id NOT IN (SELECT customer_id FROM v2)
     UNION ALL SELECT customer_id, city, segment FROM v2""")
 def _(spark, sf):
-    """SCD type 1: attributes overwritten in place (upsert by key)."""
-    from cuenca.sinks.writers import upsert
+    """SCD type 1: attributes overwritten by key; the buckets of the keyed
+    table that the snapshot touches are rewritten."""
     v1, v2 = _customer_snapshots(Tables(spark, sf))
-    return upsert(v1, v2, ["customer_id"])
+    path = fresh(spark, "pip10")
+    keyed.create(v1, path, ["customer_id"], buckets=16)
+    keyed.upsert(path, v2, ["customer_id"], buckets=16)
+    return keyed.read(spark, path)
 
 
 @query("pip11_surrogate_keys_unknown_member", sql="""
@@ -277,7 +281,10 @@ def _(spark, sf):
     t = Tables(spark, sf)
     table = t.orders.where(F.col("o_orderkey") % 2 == 0).select(
         F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"))
-    return WH.cdc_apply(table, _change_feed(t), "order_id")
+    path = fresh(spark, "pip19")
+    keyed.create(table, path, ["order_id"], buckets=16)
+    keyed.apply_changes(path, _change_feed(t), ["order_id"], buckets=16)
+    return keyed.read(spark, path)
 
 
 @query("pip20_retention", ctes=("e_orders",), sql="""

@@ -16,6 +16,8 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cuenca.sinks import keyed, manifest
+
 
 def write_by_day(df: DataFrame, path: str, time_col: str, mode: str = "overwrite") -> None:
     """Parquet under ``year=/month=/day=`` of ``time_col``; rows without a
@@ -77,8 +79,7 @@ def write_single_csv(df: DataFrame, directory: str, file_name: str, sep: str = "
     fs = src_dir.getFileSystem(conf)
     part = [s.getPath() for s in fs.listStatus(src_dir) if s.getPath().getName().startswith("part-")][0]
     target = jvm.org.apache.hadoop.fs.Path(directory.rstrip("/") + "/" + file_name)
-    fs.delete(target, False)
-    fs.rename(part, target)
+    manifest.rename_over(spark, part.toString(), target.toString())
     fs.delete(src_dir, True)
     return directory.rstrip("/") + "/" + file_name
 
@@ -92,22 +93,14 @@ def publish_together(spark: SparkSession, frames: dict[str, DataFrame], root: st
     root = root.rstrip("/")
     for name, df in frames.items():
         df.write.parquet(f"{root}/version={version}/{name}")
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    staged = path(f"{root}/_CURRENT.{version}")
-    out = fs.create(staged, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    fs.delete(path(f"{root}/CURRENT"), False)
-    fs.rename(staged, path(f"{root}/CURRENT"))
+    manifest.put_small(spark, f"{root}/CURRENT", version)
     return version
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table of the version that ``CURRENT`` names."""
     root = root.rstrip("/")
-    version = spark.read.text(f"{root}/CURRENT").first()[0]
+    version = manifest.read_small(spark, f"{root}/CURRENT")
     return spark.read.parquet(f"{root}/version={version}/{name}")
 
 
@@ -151,21 +144,23 @@ def write_documents(docs: DataFrame, sink, batch_size: int = 1000) -> None:
     docs.foreachPartition(send)
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], version_col: str | None = None) -> DataFrame:
     """Merge by key: source rows replace matching target rows, new keys are
     inserted, other target rows stay (``$merge`` / MERGE without a table
-    format). One anti join + union; the caller writes the result to a new
-    location (never over the path being read)."""
-    kept = target.join(source.select(*keys).distinct(), list(keys), "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True)
+    format). Of repeated keys in the source the latest row counts (see
+    ``keyed.version_order``); rows without a key match none and are all kept.
+    The caller writes the result to a new location; ``keyed.upsert`` merges
+    into a table and rewrites the touched buckets only."""
+    one = keyed.latest(source, keys, version_col)
+    kept = target.join(one.select(*keys), list(keys), "left_anti")
+    return kept.unionByName(one, allowMissingColumns=True)
 
 
 def latest_wins(df: DataFrame, keys: Sequence[str], version_col: str) -> DataFrame:
     """Second delivery of a file appended: keep the newest version of each key
-    (the max_by aggregate keeps one row per key without a sort window)."""
-    other = [c for c in df.columns if c not in keys]
-    g = df.groupBy(*keys).agg(F.max_by(F.struct(*other), F.col(version_col)).alias("_r"))
-    return g.select(*keys, "_r.*")
+    (one partial aggregate, no sort window). NULL versions are the oldest, equal
+    ones are ordered by their columns; rows without a key are all kept."""
+    return keyed.latest(df, keys, version_col)
 
 
 def daily_items(df: DataFrame, time_col: str, region_col: str | None = None) -> DataFrame:
