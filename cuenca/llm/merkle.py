@@ -161,12 +161,18 @@ def _members_of(runs: DataFrame, arity: int) -> DataFrame:
                     F.concat(F.array(step), F.col("up")).alias("up")))
 
 
-def descend(levels: list[DataFrame], tops: DataFrame, arity: int) -> DataFrame | None:
+def _nothing() -> Column:
+    return F.array().cast("array<struct<before:string,after:string>>")
+
+
+def descend(levels: list[DataFrame], tops: DataFrame | None, arity: int) -> DataFrame | None:
     """Paths of the lowest level's nodes. ``tops``: (tree, subroot, up), the
-    path above each tree's root."""
+    path above each tree's root; None for the tree over the sources, above
+    which there is nothing."""
     below = None
     for runs in reversed(levels):
-        known = runs.where("left = 1").join(tops, "tree")
+        known = runs.where("left = 1")
+        known = known.join(tops, "tree") if tops is not None else known.withColumns({"subroot": F.lit(""), "up": _nothing()})
         if below is not None:
             known = known.unionByName(runs.where("left > 1").join(
                 below.select("tree", F.col("idx").alias("parent"), "subroot", "up"), ["tree", "parent"]))
@@ -178,11 +184,9 @@ def verify(m: Manifest) -> DataFrame:
     """A row per document: ``doc_id``, ``leaf``, ``subroot``, ``root``,
     ``path`` (siblings before and after, level by level), ``folded_root`` (the
     leaf as found, folded along the path) and ``verified``."""
-    spark = m.members.sparkSession
-    none = F.array().cast("array<struct<before:string,after:string>>")
     start = m.subroots.withColumn("subroot", F.col("digest"))
-    lone = start.select(F.col("tree").alias("idx"), "subroot", none.alias("up"))
-    sources = descend(m.top, spark.range(1).select(F.lit(TOP).cast("long").alias("tree"), F.lit("").alias("subroot"), none.alias("up")), m.arity)
+    lone = start.select(F.col("tree").alias("idx"), "subroot", _nothing().alias("up"))
+    sources = descend(m.top, None, m.arity)
     tops = lone if sources is None else sources.select("idx", F.col("kid.digest").alias("subroot"), "up")
     tops = materialize(tops.withColumnRenamed("idx", "tree"))
     alone = m.members.where("n = 1").join(tops, "tree").select("subroot", "up", "member", F.col("digest").alias("leaf"))
