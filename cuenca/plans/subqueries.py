@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cuenca.operators.hierarchy import levels, rollup
 from cuenca.plans import model as m
 from cuenca.plans.registry import query
 from cuenca.session import materialize
@@ -259,17 +260,6 @@ _NODES_SQL = """nodes AS (
         UNION ALL
         SELECT n_nationkey, 1000 + n_regionkey, n_name FROM nation)"""
 
-_TREE_SPARK = """
-    WITH RECURSIVE tree AS (
-        SELECT category_id, parent_category_id, category_name, 0 AS level,
-               array(category_id) AS path
-        FROM {nodes} WHERE parent_category_id IS NULL
-        UNION ALL
-        SELECT c.category_id, c.parent_category_id, c.category_name, t.level + 1,
-               concat(t.path, array(c.category_id))
-        FROM {nodes} c JOIN tree t ON c.parent_category_id = t.category_id)
-    SELECT * FROM tree"""
-
 _TREE_SQL = f"""WITH RECURSIVE {_NODES_SQL},
     tree AS (
         SELECT category_id, parent_category_id, category_name, 0 AS level, [category_id] AS path
@@ -280,15 +270,19 @@ _TREE_SQL = f"""WITH RECURSIVE {_NODES_SQL},
         FROM nodes c JOIN tree t ON c.parent_category_id = t.category_id)"""
 
 
-def category_tree(spark, t: Tables):
-    """Recursive CTE (Spark ≥ 4.1 runs WITH RECURSIVE natively)."""
-    return spark.sql(_TREE_SPARK, nodes=category_tree_nodes(t))
+def category_tree(t: Tables):
+    """The nodes below a root with their level (nodes on a cycle or without a
+    way to a root are in no tree, as in the recursive query)."""
+    nodes = category_tree_nodes(t)
+    found = levels(nodes, "category_id", "parent_category_id").where("status = 'ok'")
+    return nodes.join(found.select("category_id", "level"), "category_id")
 
 
 @query("sub12_recursive_tree_levels", sql=f"""{_TREE_SQL}
     SELECT category_id, parent_category_id, category_name, level FROM tree""")
 def _(spark, sf):
-    return category_tree(spark, Tables(spark, sf)).drop("path")
+    """Levels by pointer jumping instead of one step of recursion per level."""
+    return category_tree(Tables(spark, sf)).select("category_id", "parent_category_id", "category_name", "level")
 
 
 _LEAF_SQL = """leaf AS (SELECT n_nationkey AS category_id, sum(revenue) AS leaf_revenue
@@ -310,7 +304,7 @@ def _leaf_sales(t: Tables):
 def _(spark, sf):
     """As written in the course: each node sums its *own* sales (roots: NULL)."""
     t = Tables(spark, sf)
-    tree = category_tree(spark, t)
+    tree = category_tree(t)
     return (tree.join(_leaf_sales(t), "category_id", "left")
             .groupBy("category_name", "level")
             .agg(m.msum("leaf_revenue").alias("revenue_rollup")))
@@ -325,12 +319,10 @@ def _(spark, sf):
     GROUP BY t.category_name, t.level""")
 def _(spark, sf):
     """True roll-up: every node sums the sales of itself and all descendants,
-    by exploding each node's root path into (node, ancestor) pairs — one row
-    per tree level, not per pair of nodes."""
+    by doubling reach (``hierarchy.rollup``), not by (node, ancestor) pairs."""
     t = Tables(spark, sf)
-    tree = category_tree(spark, t)
-    anc = tree.select("category_id", F.explode("path").alias("ancestor_id"))
-    sums = (anc.join(_leaf_sales(t), "category_id", "left")
-            .groupBy("ancestor_id").agg(m.msum("leaf_revenue").alias("revenue_rollup")))
-    return (tree.join(sums, tree.category_id == sums.ancestor_id)
-            .select("category_name", "level", "revenue_rollup"))
+    tree = materialize(category_tree(t))
+    own = tree.join(_leaf_sales(t), "category_id", "left")
+    depth = tree.agg(F.max("level")).first()[0] or 0
+    return (rollup(own, "category_id", "parent_category_id", ["leaf_revenue"], depth)
+            .select("category_name", "level", F.col("leaf_revenue").cast("decimal(38,2)").alias("revenue_rollup")))
