@@ -12,19 +12,18 @@ code, priority), ``side`` being need or source. Two rules work on it:
   need of the SKU.
 * ``greedy`` — the golden file's rule: needs in priority order take from
   sources in priority order, *skipping* the own store, until the need or the
-  stock runs out. It is sequential inside a SKU, so it runs in pandas
-  batches over SKU-partitioned, SKU-sorted rows (SKUs in parallel; a SKU
-  holds one row per store and season after aggregation, so it is bounded by
-  the store count).
+  stock runs out. It is sequential inside a SKU, so a SKU's needs are folded
+  over the array of its remaining stock (SKUs in parallel; a SKU holds one
+  row per store and season after aggregation, so its arrays are bounded).
 
-A store without a priorities row has priority 9999 and no short code. Entries
+A quantity that is no number counts as NULL, as in the course's job; such rows
+take no part and ``rejects`` counts them. A store without a priorities row has priority 9999 and no short code. Entries
 without a store keep their place in the cumulative ranges, as in the formula,
 but nothing is shipped to or from them.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cuenca.functions.columns import clean_id, zero_pad
@@ -35,20 +34,35 @@ UNKNOWN_PRIORITY = 9999
 SIDES = {"need": "prioridad_reposicion", "source": "prioridad_retiro"}
 
 
+def _number(col: str):
+    """The column as a double; NULL where it is no number."""
+    return F.col(col).cast("string").try_cast("double")
+
+
+def rejects(ventas: DataFrame, stock: DataFrame) -> DataFrame:
+    """(input, column, rejected): quantities that are there but are no numbers."""
+    out = None
+    for name, df, col in (("ventas", ventas, "Cantidad Vendida"), ("stock", stock, "Stock disponible para la venta")):
+        bad = df.agg(F.lit(name).alias("input"), F.lit(col).alias("column"),
+                     F.count_if(F.col(col).isNotNull() & _number(col).isNull()).alias("rejected"))
+        out = bad if out is None else out.unionByName(bad)
+    return out
+
+
 def entries(ventas: DataFrame, stock: DataFrame, prior: DataFrame, as_of: str, window_days: int) -> DataFrame:
     """Demand (sales of the window, per store, SKU and season) and supply (stock
     above zero, per store and SKU) with the priority of their side."""
-    sold = F.col("Cantidad Vendida").cast("double")
+    sold = _number("Cantidad Vendida")
     recent = F.try_to_date(F.col("Fecha").cast("string")) >= F.date_sub(F.lit(as_of).cast("date"), window_days)
     need = (ventas.where(recent)
             .groupBy(clean_id(SKU).alias("sku"), F.col("Sucursal").alias("store"), F.col("Temporada").alias("season"))
             .agg(F.sum(sold).alias("qty")).withColumn("side", F.lit("need")))
     source = stock.select(clean_id(SKU).alias("sku"), F.col("Sucursal").alias("store"), F.lit(None).cast("string").alias("season"),
-                          F.col("Stock disponible para la venta").cast("double").alias("qty"), F.lit("source").alias("side"))
+                          _number("Stock disponible para la venta").alias("qty"), F.lit("source").alias("side"))
     both = need.unionByName(source).where((F.col("qty") > 0) & (F.length("sku") > 0))
     # one priorities row per store and side; the join is left to Spark's measured sizes
     ranks = prior.select(F.col("Sucursal").alias("store"), F.col("codigo_corto").alias("code"), F.explode(F.create_map(
-        *[x for side, c in SIDES.items() for x in (F.lit(side), F.col(c).cast("int"))])).alias("side", "priority"))
+        *[x for side, c in SIDES.items() for x in (F.lit(side), F.col(c).cast("string").try_cast("int"))])).alias("side", "priority"))
     return (both.join(ranks, ["store", "side"], "left")
             .withColumn("priority", F.coalesce("priority", F.lit(UNKNOWN_PRIORITY))))
 
@@ -68,21 +82,21 @@ def allocate_interval(rows: DataFrame, keep_self: bool = False) -> DataFrame:
     start carries its entry as ONE struct, so the sweep carries whole
     entries and a NULL attribute stays that entry's. Summing the elementary
     segments per (source, need) equals max(0, min(ends) − max(starts)) for
-    every pair, without forming the pairs."""
-    r = _ranged(rows)
+    every pair, without forming the pairs. The rows are shuffled once, by SKU;
+    ranking, sweep and sums all run inside that partitioning."""
+    r = _ranged(rows.repartition("sku"))
     entry = F.struct("idx", "store", "season", "code")
-    start = r.select("sku", F.col("lo").alias("pos"), F.when(F.col("side") == "source", entry).alias("source"),
-                     F.when(F.col("side") == "need", entry).alias("need"))
-    ends = r.groupBy("sku").agg(F.max(F.when(F.col("side") == "source", F.col("hi"))).alias("supply"),
-                                F.max(F.when(F.col("side") == "need", F.col("hi"))).alias("demand"))
-    last = ends.select("sku", F.explode(F.array(F.coalesce("supply", F.lit(0.0)), F.coalesce("demand", F.lit(0.0)))).alias("pos"))
-    points = start.unionByName(last, allowMissingColumns=True)
-    w = Window.partitionBy("sku").orderBy("pos", F.col("source.idx").asc_nulls_first(), F.col("need.idx").asc_nulls_first())
+    is_source = F.col("side") == "source"
+    whole = Window.partitionBy("sku")
+    w = whole.orderBy("lo", F.when(is_source, F.col("idx")).asc_nulls_first(), F.when(~is_source, F.col("idx")).asc_nulls_first())
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    swept = (points.withColumns({"source": F.last("source", ignorenulls=True).over(upto),
-                                 "need": F.last("need", ignorenulls=True).over(upto), "next": F.lead("pos").over(w)})
-             .join(ends, "sku"))
-    length = F.least("next", "supply", "demand") - F.col("pos")
+    ends = whole.orderBy("lo").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    swept = r.withColumns({
+        "source": F.last(F.when(is_source, entry), ignorenulls=True).over(upto),
+        "need": F.last(F.when(~is_source, entry), ignorenulls=True).over(upto), "next": F.lead("lo").over(w),
+        "supply": F.max(F.when(is_source, F.col("hi"))).over(ends), "demand": F.max(F.when(~is_source, F.col("hi"))).over(ends)})
+    # the last segment has no next start: ``least`` passes over the NULL
+    length = F.least("next", "supply", "demand") - F.col("lo")
     alloc = (swept.where(F.col("source").isNotNull() & F.col("need").isNotNull() & (length > 0))
              .groupBy("sku", "source", "need").agg(F.sum(length).alias("CANTIDAD")))
     out = alloc.select(F.col("sku").alias(SKU), F.col("source.idx").alias("src_idx"), F.col("need.idx").alias("need_idx"),
@@ -92,75 +106,39 @@ def allocate_interval(rows: DataFrame, keep_self: bool = False) -> DataFrame:
     return out if keep_self else out.where(F.col("DESDE") != F.col("HACIA"))
 
 
-GREEDY_SCHEMA = ("`ID interno` string, need_rank int, src_rank int, Temporada string, HACIA string, "
-                 "DESDE string, dest_corto string, orig_corto string, CANTIDAD double")
-_OUT_COLS = [SKU, "need_rank", "src_rank", "Temporada", "HACIA", "DESDE", "dest_corto",
-             "orig_corto", "CANTIDAD"]
-
-
-def _greedy_block(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Allocate every SKU of a block. Rows arrive sorted by (SKU, kind,
-    priority, store, season): a SKU's needs, then its sources, in order."""
-    sku = pdf[SKU].tolist()
-    kind = pdf["kind"].tolist()
-    store = pdf["Sucursal"].tolist()
-    season = pdf["Temporada"].tolist()
-    qty = pdf["qty"].astype(float).tolist()
-    code = pdf["codigo_corto"].tolist()
-    out = []
-    i, n = 0, len(sku)
-    while i < n:
-        j = i
-        while j < n and sku[j] == sku[i]:
-            j += 1
-        needs = [k for k in range(i, j) if kind[k] == "need"]
-        srcs = [k for k in range(i, j) if kind[k] == "src"]
-        left = [qty[k] for k in srcs]
-        for ni, k in enumerate(needs):
-            want = qty[k]
-            for si, sk in enumerate(srcs):
-                if want <= 0:
-                    break
-                if left[si] <= 0 or store[sk] == store[k]:
-                    continue
-                take = min(want, left[si])
-                left[si] -= take
-                want -= take
-                out.append((sku[k], ni, si, season[k], store[k], store[sk], code[k], code[sk], take))
-        i = j
-    return pd.DataFrame(out, columns=_OUT_COLS).astype({"need_rank": "int32", "src_rank": "int32"})
-
-
-def _greedy_partition(batches):
-    """A partition's rows are sorted by SKU; an Arrow batch may end inside a
-    SKU, so the last SKU of each batch is carried into the next one."""
-    carry = None
-    for pdf in batches:
-        if carry is not None and len(carry):
-            pdf = pd.concat([carry, pdf], ignore_index=True)
-        if pdf.empty:
-            continue
-        last = pdf[SKU].iloc[-1]
-        tail = (pdf[SKU] == last).to_numpy()
-        carry = pdf[tail]
-        head = pdf[~tail]
-        if len(head):
-            yield _greedy_block(head)
-    if carry is not None and len(carry):
-        yield _greedy_block(carry)
-
-
 def allocate_greedy(rows: DataFrame) -> DataFrame:
-    """Greedy skip-self allocation. SKUs are hash-partitioned and each
-    partition is sorted so a SKU's needs and sources are contiguous and in
-    priority order; ``mapInPandas`` then walks them with plain Python lists
-    (no per-SKU pandas object). A SKU is bounded by stores × seasons rows."""
-    ordered = (rows.where(F.col("store").isNotNull())
-               .select(F.when(F.col("side") == "need", "need").otherwise("src").alias("kind"), F.col("sku").alias(SKU),
-                       F.col("store").alias("Sucursal"), F.col("season").alias("Temporada"), "qty",
-                       F.col("code").alias("codigo_corto"), F.col("priority").alias("prio"))
-               .repartition(SKU).sortWithinPartitions(SKU, "kind", "prio", "Sucursal", "Temporada"))
-    return ordered.mapInPandas(_greedy_partition, GREEDY_SCHEMA)
+    """Greedy skip-self allocation: a fold over a SKU's needs whose state is the
+    stock that each source has left; for each need an inner fold over the
+    sources carries what is still wanted. Built-in expressions only."""
+    entry = F.struct("priority", "store", "season", "qty", "code")
+    by_side = lambda side: F.array_sort(F.collect_list(F.when(F.col("side") == side, entry)))  # noqa: E731  NULLs are left out
+    skus = rows.where(F.col("store").isNotNull()).groupBy("sku").agg(by_side("need").alias("needs"), by_side("source").alias("sources"))
+
+    def take_from(need, left):
+        """What a need takes from each source, in order."""
+        offers = F.zip_with("sources", left, lambda s, q: F.when(s.store == need.store, F.lit(0.0)).otherwise(q))
+        start = F.struct(need.qty.alias("want"), F.array().cast("array<double>").alias("takes"))
+
+        def step(acc, offer):
+            take = F.greatest(F.lit(0.0), F.least(offer, acc.want))
+            return F.struct((acc.want - take).alias("want"), F.concat(acc.takes, F.array(take)).alias("takes"))
+        return F.aggregate(offers, start, step, lambda acc: acc.takes)
+
+    def fold(acc, need):
+        takes = take_from(need, acc.left)
+        # ``takes`` is used twice: it goes through a one-element array to be computed once
+        return F.element_at(F.transform(F.array(takes), lambda t: F.struct(
+            F.zip_with(acc.left, t, lambda q, x: q - x).alias("left"), F.concat(acc.all, F.array(t)).alias("all"))), 1)
+
+    start = F.struct(F.transform("sources", lambda s: s.qty).alias("left"), F.array().cast("array<array<double>>").alias("all"))
+    taken = skus.withColumn("takes", F.aggregate("needs", start, fold, lambda acc: acc.all))
+    by_need = taken.select("sku", "needs", "sources", F.posexplode("takes").alias("need_rank", "row"))
+    each = by_need.select("sku", "sources", "need_rank", F.element_at("needs", F.col("need_rank") + 1).alias("need"),
+                          F.posexplode("row").alias("src_rank", "CANTIDAD")).where("CANTIDAD > 0")
+    source = F.element_at("sources", F.col("src_rank") + 1)
+    return each.select(F.col("sku").alias(SKU), "need_rank", "src_rank", F.col("need.season").alias("Temporada"),
+                       F.col("need.store").alias("HACIA"), source.store.alias("DESDE"), F.col("need.code").alias("dest_corto"),
+                       source.code.alias("orig_corto"), "CANTIDAD")
 
 
 def transfer_orders(alloc: DataFrame, run_ts: str, order_cols: list[str]) -> DataFrame:

@@ -155,9 +155,8 @@ _GREEDY_SQL = f"""
            desde AS "DESDE", dest_corto, orig_corto, cantidad AS "CANTIDAD"
     FROM alloc""")
 def _(spark, sf):
-    """The per-SKU sequential allocation on its own (SKUs hashed to
-    partitions, each SKU's rows contiguous, processed by ``mapInPandas``);
-    raw allocations before numbering. The oracle replays the same greedy
+    """The per-SKU sequential allocation on its own (a fold over each SKU's
+    needs); raw allocations before numbering. The oracle replays the same greedy
     rule as a recursive query over a list of remaining stock per SKU."""
     v, s, p = silver_inputs(Tables(spark, sf))
     return B.allocate_greedy(B.entries(v, s, p, AS_OF, WINDOW_DAYS))

@@ -110,3 +110,55 @@ def test_greedy_never_over_allocates(spark):
         F.sum("CANTIDAD").alias("g"))
     j2 = got.join(rows.where("side = 'need'"), ["sku", "store", "season"])
     assert j2.count() and j2.where(F.col("g") > F.col("qty")).count() == 0
+
+
+def _walk(rows):
+    """The greedy rule step by step."""
+    first = lambda x: (x is not None, x or "")
+    out = []
+    for sku in {r["sku"] for r in rows}:
+        side = {k: sorted((r for r in rows if r["sku"] == sku and r["side"] == k and r["store"] is not None),
+                          key=lambda r: (r["priority"], first(r["store"]), first(r["season"]))) for k in ("need", "source")}
+        left = [s["qty"] for s in side["source"]]
+        for i, n in enumerate(side["need"]):
+            want = n["qty"]
+            for k, s in enumerate(side["source"]):
+                take = 0 if s["store"] == n["store"] else min(want, left[k])
+                if take > 0:
+                    left[k] -= take
+                    want -= take
+                    out.append((sku, i, k, n["season"], n["store"], s["store"], n["code"], s["code"], take))
+    return sorted(out, key=repr)
+
+
+def test_native_greedy_equals_the_walk(spark):
+    import random
+    rng = random.Random(2)
+    rows = [(rng.choice(["hot", "hot", "a", "b", "only needs"]), side, rng.choice(["S1", "S2", "S3", None]), season, float(rng.randint(1, 9)))
+            for season in ("x", "y", None) for side in ("need", "source") for _ in range(40)]
+    rows = list({(r[0], r[1], r[2], r[3] if r[1] == "need" else None): r for r in rows if r[0] != "only needs" or r[1] == "need"}.values())
+    rows = [(s, side, st, se if side == "need" else None, q, st and st[0] + st[-1], {"S1": 1, "S2": 2}.get(st, 9999)) for s, side, st, se, q in rows]
+    df = spark.createDataFrame(rows, "sku string, side string, store string, season string, qty double, code string, priority int")
+    out = B.allocate_greedy(df)
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == _walk([r.asDict() for r in df.collect()])
+    assert B.allocate_greedy(df.limit(0)).count() == 0
+
+
+def test_dirty_numbers_are_counted_not_fatal(spark):
+    v = spark.createDataFrame([("2026-01-10", "S1", "1", "A", "5"), ("2026-01-10", "S1", "1", "A", "abc"), ("2026-01-10", "S2", "1", "A", None)],
+                              "Fecha string, Sucursal string, `ID interno` string, Temporada string, `Cantidad Vendida` string")
+    st = spark.createDataFrame([("S2", "1", "9"), ("S3", "1", "n/a")], "Sucursal string, `ID interno` string, `Stock disponible para la venta` string")
+    p = spark.createDataFrame([("S1", "AAA", "1", "x"), ("S2", "BBB", "2", "1")],
+                              "Sucursal string, codigo_corto string, prioridad_reposicion string, prioridad_retiro string")
+    for mode in ("greedy", "interval"):
+        got = B.balance(v, st, p, "2026-01-14", mode=mode).collect()
+        assert [(r["DESDE"], r["HACIA"], r["CANTIDAD"]) for r in got] == [("S2", "S1", 5)]
+    assert {(r["input"], r["rejected"]) for r in B.rejects(v, st).collect()} == {("ventas", 1), ("stock", 1)}
+
+
+def test_interval_shuffles_its_entries_once(spark):
+    rows = spark.createDataFrame([("1", "need", "S1", "A", 5.0, "a", 1), ("1", "source", "S2", None, 5.0, "b", 1)],
+                                 "sku string, side string, store string, season string, qty double, code string, priority int")
+    plan = B.allocate_interval(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 1
