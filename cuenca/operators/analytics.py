@@ -132,45 +132,58 @@ def global_sequence(df: DataFrame, order: Sequence[str], out: str = "seq",
             .drop("_pid", "_mid", "_off"))
 
 
-def _value_buckets(df: DataFrame, keys: list, value: str, n_buckets: int) -> DataFrame:
-    """Bucket rows by value quantiles of their key: ``_b`` = number of the
-    key's approximate quantile boundaries below the value. Equal values share
-    a bucket, and a higher bucket only holds strictly greater values. The
-    boundary table (one row per key) is joined back on the key; AQE's skew
-    join splits a hot key's partition."""
-    ps = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.groupBy(*keys).agg(F.percentile_approx(value, ps, 10000).alias("_bounds"))
-    j = join_null_safe(df, bounds, keys)
-    v = F.col(value)
-    below = F.size(F.filter(F.coalesce("_bounds", F.array()), lambda x: x < v))
-    return j.withColumn("_b", below).drop("_bounds")
+def join_hot(rows: DataFrame, table: DataFrame, on: Sequence[str], count: str, total: int) -> DataFrame:
+    """Inner null-safe join of ``rows`` with ``table``, which has one row per key
+    ``on`` and in ``count`` the number of rows that have that key; ``total`` is
+    the number of ``rows``.
+
+    Keys that hold more than a quarter of a partition's share of the rows are
+    few (four times the partitions at most): those are broadcast, so a hot
+    key's rows stay where they are; the others are shuffled, none of them hot."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.col(count) * 4 * parts > total
+    more = [c for c in table.columns if c not in on]
+    right = table.select(*[F.col(c).alias(f"_on_{c}") for c in on], F.struct(*more).alias("_m"), hot.alias("_hot"))
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & rows[c].eqNullSafe(F.col(f"_on_{c}"))
+    few = F.broadcast(right.where("_hot"))          # 4 * parts rows at most
+    # the rows without a hot key go on to a plain join with the other keys
+    found = rows.join(few, cond).select(*[rows[c] for c in rows.columns], "_m.*")
+    others = rows.join(few, cond, "left_anti")
+    cold = others.join(right.where(~F.col("_hot")), cond).select(*[rows[c] for c in rows.columns], "_m.*")
+    return found.unionByName(cold)
 
 
 def rank_within(df: DataFrame, keys, value: str, out: str = "rnk", dense_out: str | None = None,
-                n_buckets: int = 16) -> DataFrame:
+                n_buckets: int | None = None) -> DataFrame:
     """RANK (and DENSE_RANK) by ``value`` descending within ``keys``, without
-    putting a whole key in one window partition.
-
-    Rows are split into value-quantile buckets per key; a window per
-    (key, bucket) ranks locally; per-bucket row counts (and distinct-value
-    counts) prefix-summed from the top bucket give the offset of each
-    bucket. rank = offset + local rank (ties stay in one bucket)."""
+    putting a key, or the rows of one value, in one task.
+
+    The distinct (key, value) pairs are counted (partial aggregation), range-
+    partitioned into ``n_buckets`` ranges and prefix-summed inside each; a key that
+    spans ranges takes over the sums of its earlier ranges (one row per
+    range and key). A value's rank is one more than the rows above it, its dense rank
+    one more than the values above it. The ranks are joined to the rows with
+    ``join_hot``, so a value that holds a third of the rows is not moved at all."""
     keys = _cols(keys)
-    d = _value_buckets(df, keys, value, n_buckets)
-    w = Window.partitionBy(*keys, "_b").orderBy(F.col(value).desc())
-    d = d.withColumn("_lr", F.rank().over(w))
-    if dense_out:
-        d = d.withColumn("_ldr", F.dense_rank().over(w))
-    cnt = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"),
-                                     F.countDistinct(value).alias("_nd"))
-    above = Window.partitionBy(*keys).orderBy(F.col("_b").desc()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    off = cnt.select(*keys, "_b", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_off"),
-                     F.coalesce(F.sum("_nd").over(above), F.lit(0)).alias("_doff"))
-    r = join_null_safe(d, off, keys + ["_b"]).withColumn(out, (F.col("_off") + F.col("_lr")).cast("int"))
-    if dense_out:
-        r = r.withColumn(dense_out, (F.col("_doff") + F.col("_ldr")).cast("int"))
-    return r.drop("_b", "_lr", "_ldr", "_off", "_doff")
+    spark = df.sparkSession
+    n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(k).asc_nulls_first() for k in keys] + [F.col(value).desc_nulls_last()]
+    counts = materialize(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))   # read by the sample and the shuffle
+    placed = materialize(counts.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
+    inside = Window.partitionBy("_part", *keys).orderBy(F.col(value).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumns({"_above": F.coalesce(F.sum("_n").over(inside), F.lit(0)),
+                                "_values": F.coalesce(F.count(F.lit(1)).over(inside), F.lit(0))})
+    pieces = placed.groupBy("_part", *keys).agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_distinct"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(pieces.select("_part", *keys, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_off"),
+                                        F.coalesce(F.sum("_distinct").over(earlier), F.lit(0)).alias("_doff")))
+    ranks = join_null_safe(local, offsets, ["_part", *keys]).select(
+        *keys, value, F.col("_n").alias("_n"), (F.col("_off") + F.col("_above") + 1).cast("int").alias(out),
+        *([(F.col("_doff") + F.col("_values") + 1).cast("int").alias(dense_out)] if dense_out else []))
+    total = placed.agg(F.sum("_n")).first()[0] or 0
+    return join_hot(df, ranks, [*keys, value], "_n", total).drop("_n")
 
 
 def previous_within(df: DataFrame, keys, order: Sequence[str], col: str, bucket: Column,
@@ -192,45 +205,64 @@ def previous_within(df: DataFrame, keys, order: Sequence[str], col: str, bucket:
             .drop("_bkt", "_lag", "_prev_bucket_last"))
 
 
-def exact_percentile(df: DataFrame, value: str, p: float, few: int = 10_000) -> float | None:
-    """Exact PERCENTILE_CONT of a whole column, without gathering its values.
+def exact_percentile(df: DataFrame, value: str, p: float, few: int = 10_000, k: int = 1024,
+                     error: float = 0.01) -> float | None:
+    """Exact PERCENTILE_CONT of a whole column in two reads of ``df``, without
+    gathering its values. NULL without values.
 
-    The range that holds the wanted rank is narrowed by counts between 64
-    approximate quantiles (one aggregate each round) until at most ``few``
-    distinct values are left; their counts decide. NULL without values."""
+    The first read builds a mergeable KLL sketch, whose quantiles a little below
+    and above ``p`` (by ``error``, several times the error of a sketch of size ``k``)
+    bracket the wanted ranks. The second one counts the values below the bracket
+    and each value inside it; these counts settle the ranks exactly. Should the
+    bracket miss (a sketch is right with high probability only), the second
+    read is made once more without bounds."""
     d = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
-    r = d.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    at = lambda x: F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("s", F.lit(min(max(x, 0.0), 1.0))))
+    r = (d.agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("v", F.lit(k)).alias("s"))
+         .select("n", at(p - error).alias("lo"), at(p + error).alias("hi")).first())
     if not r["n"]:
         return None
     h = p * (r["n"] - 1)
-    low, high, lo, hi, below = int(h), min(int(h) + 1, r["n"] - 1), r["lo"], r["hi"], 0
-    while True:
-        part = d.where(F.col("v").between(lo, hi))
-        if part.agg(F.count_distinct("v")).first()[0] <= few:
-            break
-        edges = sorted({lo, hi, *part.agg(F.percentile_approx("v", [k / 64 for k in range(1, 64)], 1000)).first()[0]})
-        at = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e < F.col("v")))   # values in (edge before, edge]
-        counts = {x["b"]: x["n"] for x in part.groupBy(at.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        run, first, last, before = below, None, None, below
-        for b in sorted(counts):
-            if first is None and run + counts[b] > low:
-                first, before = b, run
-            run += counts[b]
-            if last is None and run > high:
-                last = b
-        new_lo, new_hi = edges[max(first - 1, 0)], edges[min(last, len(edges) - 1)]
-        if (new_lo, new_hi) == (lo, hi):
-            break
-        # values equal to the lower edge belong to the bucket before
-        below = before - (counts.get(first - 1, 0) and part.where(F.col("v") == new_lo).count()) if first else below
-        lo, hi = new_lo, new_hi
-    run, at_low = below, None
-    for x in part.groupBy("v").agg(F.count(F.lit(1)).alias("n")).orderBy("v").collect():   # at most ``few`` rows
-        run += x["n"]
-        if at_low is None and run > low:
-            at_low = x["v"]
-        if run > high:
-            return at_low + (x["v"] - at_low) * (h - low)
+    low, high = int(h), min(int(h) + 1, r["n"] - 1)
+    # 0 and 1 are the extremes themselves in the sketch, too
+    lo, hi = (None if p <= error else r["lo"]), (None if p >= 1 - error else r["hi"])
+    found = _at_ranks(d, lo, hi, (low, high), few)
+    if found is None:
+        found = _at_ranks(d, None, None, (low, high), few)
+    return found[0] + (found[1] - found[0]) * (h - low)
+
+
+def _at_ranks(d: DataFrame, lo: float | None, hi: float | None, ranks: Sequence[int], few: int):
+    """The values at ``ranks`` (from 0) of the column ``v``; None if they are not
+    between ``lo`` and ``hi``."""
+    v = F.col("v")
+    side = F.when(v < lo, -1) if lo is not None else F.when(F.lit(False), -1)
+    side = (side.when(v > hi, 1) if hi is not None else side).otherwise(0)
+    counts = materialize(d.groupBy(side.alias("side"), F.when(side == 0, v).alias("v")).agg(F.count(F.lit(1)).alias("n")))
+    ends = {x["side"]: x for x in counts.groupBy("side").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("values")).collect()}
+    below = ends[-1]["n"] if -1 in ends else 0
+    inside = ends.get(0)
+    if inside is None or ranks[0] < below or ranks[-1] >= below + inside["n"]:
+        return None
+    part = counts.where("side = 0")
+    if inside["values"] > few:
+        # prefix sums over ranges of the counted values; the wanted ranks' rows alone go to the driver
+        placed = materialize(part.repartitionByRange("v").withColumn("part", F.spark_partition_id()))
+        sums = placed.groupBy("part").agg(F.sum("n").alias("rows"))                      # a row per range
+        before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("off"))
+        upto = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ended = placed.join(sums, "part").withColumn("upto", F.sum("n").over(upto) + F.col("off") + below)
+        wanted = F.lit(False)
+        for r in ranks:
+            wanted = wanted | ((F.col("upto") > r) & (F.col("upto") - F.col("n") <= r))
+        rows = [(x["v"], x["upto"]) for x in ended.where(wanted).orderBy("v").collect()]  # a row per rank
+    else:
+        rows, run = [], below
+        for x in part.orderBy("v").collect():   # at most ``few`` rows
+            run += x["n"]
+            rows.append((x["v"], run))
+    return [next(v for v, upto in rows if upto > r) for r in ranks]
 
 
 def percentiles_from_counts(df: DataFrame, keys, value: str, ps: dict, counted: str | None = None) -> DataFrame:

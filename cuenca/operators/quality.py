@@ -101,6 +101,51 @@ def evaluate(df: DataFrame, entity: str, rules: Sequence[Rule],
                       F.col("violations").cast("bigint").alias("violations"))
 
 
+@dataclass(frozen=True)
+class Relation:
+    """Rows of ``child`` whose key ``child_columns`` is in no row of ``parent``
+    (both names of tables) are violations of the rule ``name``."""
+
+    name: str
+    entity: str
+    child: str
+    child_columns: Sequence[str]
+    parent: str
+    parent_columns: Sequence[str]
+
+
+def foreign_keys(tables: dict[str, DataFrame], relations: Sequence[Relation]) -> DataFrame:
+    """Report of ``(rule, entity, violations)`` for many relations at once, each
+    table read once: a row emits a tagged key for every part it plays, child or
+    parent, in any relation; the keys are united, counted per (relation, key)
+    with partial aggregation, and a key without a parent's tag is a violation of
+    its child rows. Keys with a NULL in any column are ignored. Keys are
+    compared as text, so the columns of a relation should have alike types."""
+    width = max(len(r.child_columns) for r in relations)
+    united = None
+    for name, df in tables.items():
+        parts = []
+        for i, r in enumerate(relations):
+            for table, columns, is_parent in ((r.child, r.child_columns, 0), (r.parent, r.parent_columns, 1)):
+                if table == name:
+                    whole = F.col(columns[0]).isNotNull()
+                    for c in columns[1:]:
+                        whole = whole & F.col(c).isNotNull()
+                    padded = F.array(*[F.col(c).cast("string") for c in columns], *[F.lit("")] * (width - len(columns)))
+                    parts.append(F.when(whole, F.struct(F.lit(i).alias("relation"), padded.alias("key"),
+                                                        F.lit(is_parent).alias("is_parent"))))
+        if not parts:
+            continue
+        tagged = df.select(F.explode(F.filter(F.array(*parts), lambda p: p.isNotNull())).alias("t")).select("t.*")
+        united = tagged if united is None else united.unionByName(tagged)
+    keys = united.groupBy("relation", "key").agg(F.bit_or("is_parent").alias("found"), F.count_if(F.col("is_parent") == 0).alias("rows"))
+    missing = keys.where("found = 0").groupBy("relation").agg(F.sum("rows").alias("violations"))
+    names = united.sparkSession.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("relation"), F.lit(r.name).alias("rule"), F.lit(r.entity).alias("entity"))
+        for i, r in enumerate(relations)])).alias("r")).select("r.*")
+    return names.join(missing, "relation", "left").select("rule", "entity", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))
+
+
 def report(df: DataFrame, entity: str, rules: Sequence[Rule]) -> DataFrame:
     """One-row report: row_count, total violations and the number of failed
     rules (written as JSON before the gate decides; per-rule counts are

@@ -149,11 +149,12 @@ def retain(df: DataFrame, ts_col: str, ref_date: str, days: int | None = None,
     return df.where(F.col(ts_col) >= cutoff)
 
 
-def treat_outliers(df: DataFrame, col: str, p: float = 0.99, how: str = "flag") -> DataFrame:
+def treat_outliers(df: DataFrame, col: str, p: float = 0.99, how: str = "flag", threshold: float | None = None) -> DataFrame:
     """drop / flag / cap values above the p-th percentile; a NULL is no outlier:
-    it is kept, its flag and cap are NULL. The exact
-    percentile is computed once, before the frame is built."""
-    thr = F.lit(exact_percentile(df, col, p)).cast("double")
+    it is kept, its flag and cap are NULL. The exact percentile is computed
+    before the frame is built, unless a ``threshold`` from an earlier call of
+    ``exact_percentile`` is given."""
+    thr = F.lit(exact_percentile(df, col, p) if threshold is None else threshold).cast("double")
     v = F.col(col).cast("double")
     if how == "drop":
         return df.where(v.isNull() | (v <= thr))

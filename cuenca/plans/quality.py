@@ -136,23 +136,16 @@ def _(spark, sf):
     SELECT 'fk_reviews_customers', 'reviews', count(*)
     FROM events WHERE user_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = user_id)""")
 def _(spark, sf):
-    """Child rows without a parent (left anti join per relation)."""
+    """Child rows without a parent, all relations at once: every table is read
+    once and tags its keys (``quality.foreign_keys``)."""
     t = Tables(spark, sf)
-    li = t.lineitem
-    items = Q.evaluate(li, "order_items", [
-        Rule("fk_items_orders", "foreign_key", ["l_orderkey"], parent=t.orders.select("o_orderkey"),
-             parent_columns=["o_orderkey"]),
-        Rule("fk_items_products", "foreign_key", ["l_partkey"], parent=t.part.select("p_partkey"),
-             parent_columns=["p_partkey"]),
-        Rule("fk_items_sellers", "foreign_key", ["l_suppkey"], parent=t.supplier.select("s_suppkey"),
-             parent_columns=["s_suppkey"])])
-    orders = Q.evaluate(t.orders, "orders", [
-        Rule("fk_orders_customers", "foreign_key", ["o_custkey"],
-             parent=t.customer.select("c_custkey"), parent_columns=["c_custkey"])])
-    reviews = Q.evaluate(t.events, "reviews", [
-        Rule("fk_reviews_customers", "foreign_key", ["user_id"],
-             parent=t.customer.select("c_custkey"), parent_columns=["c_custkey"])])
-    return items.unionByName(orders).unionByName(reviews)
+    tables = {n: getattr(t, n) for n in ("lineitem", "orders", "part", "supplier", "customer", "events")}
+    return Q.foreign_keys(tables, [
+        Q.Relation("fk_items_orders", "order_items", "lineitem", ["l_orderkey"], "orders", ["o_orderkey"]),
+        Q.Relation("fk_items_products", "order_items", "lineitem", ["l_partkey"], "part", ["p_partkey"]),
+        Q.Relation("fk_items_sellers", "order_items", "lineitem", ["l_suppkey"], "supplier", ["s_suppkey"]),
+        Q.Relation("fk_orders_customers", "orders", "orders", ["o_custkey"], "customer", ["c_custkey"]),
+        Q.Relation("fk_reviews_customers", "reviews", "events", ["user_id"], "customer", ["c_custkey"])])
 
 
 @query("dq09_composite_key_unique", sql="""

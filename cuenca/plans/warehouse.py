@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cuenca.functions import columns as C
 from cuenca.operators import warehouse as WH
+from cuenca.operators.analytics import exact_percentile
 from cuenca.plans import model as m
 from cuenca.plans.joins import dim_tiempo
 from cuenca.plans.registry import query
@@ -246,8 +247,8 @@ def _(spark, sf):
     FROM e_items, p""")
 def _(spark, sf):
     i = m.items(Tables(spark, sf)).select("order_id", "item_id", "price")
-    i = WH.treat_outliers(i, "price", 0.99, "flag")
-    return WH.treat_outliers(i, "price", 0.99, "cap")
+    p99 = exact_percentile(i, "price", 0.99)
+    return WH.treat_outliers(WH.treat_outliers(i, "price", how="flag", threshold=p99), "price", how="cap", threshold=p99)
 
 
 @query("pip18_outliers_drop", ctes=("e_items",), sql="""

@@ -84,9 +84,8 @@ def _(spark, sf):
     FROM pr""")
 def _(spark, sf):
     """RANK and DENSE_RANK of products inside their category. A category
-    holds a sixth of all products, so the ranking is two-level (value
-    buckets per category + bucket offsets) instead of one window per
-    category."""
+    holds a sixth of all products, so the ranks come from prefix sums over
+    ranges of the distinct values instead of one window per category."""
     pr = materialize(_product_revenue(Tables(spark, sf)))
     return A.rank_within(pr, "category", "revenue", "rnk", "dense_rnk")
 

@@ -151,3 +151,45 @@ def test_money_average_rounds_half_away_from_zero(spark):
     con.execute("CREATE TABLE t (g INT, m DECIMAL(12,2))")
     con.executemany("INSERT INTO t VALUES (?, ?)", rows)
     assert dict(con.sql(f"SELECT g, {avg_money_sql('m')} FROM t GROUP BY g").fetchall()) == got
+
+
+def test_rank_of_a_value_that_holds_a_third_of_the_rows(spark):
+    df = spark.range(9000).select((F.col("id") % 2).alias("k"), F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") * 7 % 1000).alias("v"),
+                                  F.col("id").alias("eid"))
+    got = A.rank_within(df, "k", "v", "r", "dr", n_buckets=5)
+    by = Window.partitionBy("k").orderBy(F.desc("v"))
+    want = df.withColumn("r", F.rank().over(by)).withColumn("dr", F.dense_rank().over(by))
+    cols = ["k", "v", "eid", "r", "dr"]
+    assert got.select(cols).exceptAll(want.select(cols)).count() == 0 and got.count() == 9000
+    # the hot value's rows meet a broadcast table, before any shuffle
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_percentile_reads_its_input_twice(spark):
+    import numpy as np
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+    rng = np.random.default_rng(3)
+    v = np.concatenate([rng.normal(0, 100, 20_000), np.repeat(3.25, 11_000), [np.inf, -np.inf]])
+    df = spark.createDataFrame([(float(x),) for x in v], "v double").mapInArrow(seen, "v double")
+    for p in (0.003, 0.5, 0.63, 0.995):
+        for few in (10_000, 5):                     # 5: settled by prefix sums, not by collecting
+            reads.value = 0
+            assert abs(A.exact_percentile(df, "v", p, few=few) - np.quantile(v, p)) < 1e-9
+            assert reads.value == 2 * len(v)
+
+
+def test_percentile_when_the_sketch_misses(spark, monkeypatch):
+    df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
+    real, asked = A._at_ranks, []
+
+    def missed(d, lo, hi, ranks, few):
+        asked.append((lo, hi))
+        return real(d, 900.0, hi, ranks, few) if lo is not None else real(d, lo, hi, ranks, few)
+    monkeypatch.setattr(A, "_at_ranks", missed)
+    assert A.exact_percentile(df, "v", 0.5) == 499.5 and asked[-1] == (None, None)

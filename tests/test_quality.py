@@ -58,3 +58,28 @@ def test_foreign_key_ignores_null_keys(spark):
     parent = spark.createDataFrame([("a",)], "pk string")
     r = Q.evaluate(child, "c", [Rule("fk", "foreign_key", ["p"], parent=parent, parent_columns=["pk"])])
     assert r.first().violations == 1
+
+
+def test_foreign_keys_read_each_table_once(spark):
+    from pyspark.sql import functions as F
+
+    from cuenca.operators import quality as Q
+    items = spark.createDataFrame([(1, 1, "a")] * 5 + [(2, 9, "a"), (None, 1, "b"), (3, None, "b"), (9, 1, None)], "o int, p int, s string")
+    orders = spark.createDataFrame([(1, 7), (2, 8), (2, 8), (3, None)], "o int, c int")
+    parts, customers = spark.createDataFrame([(1,)], "p int"), spark.createDataFrame([(7,), (None,)], "c int")
+    rel = [Q.Relation("io", "items", "items", ["o"], "orders", ["o"]), Q.Relation("ip", "items", "items", ["p"], "parts", ["p"]),
+           Q.Relation("oc", "orders", "orders", ["c"], "customers", ["c"]), Q.Relation("self", "items", "items", ["o", "p"], "items", ["o", "p"]),
+           Q.Relation("two", "items", "items", ["o", "s"], "orders", ["o", "c"])]
+    tables = {"items": items, "orders": orders, "parts": parts, "customers": customers}
+    got = {r["rule"]: r["violations"] for r in Q.foreign_keys(tables, rel).collect()}
+    assert got == {"io": 1, "ip": 1, "oc": 2, "self": 0, "two": 7}
+    empty = {k: df.limit(0) for k, df in tables.items()}
+    assert {r["violations"] for r in Q.foreign_keys(empty, rel).collect()} == {0}
+
+
+def test_dq08_scans_each_table_once(spark):
+    from cuenca.plans.registry import load_all
+
+    from conftest import SF_SMALL
+    plan = load_all()["dq08_foreign_keys"].build(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 6
