@@ -101,11 +101,17 @@ def _(spark, sf):
 
 
 @query("flt09_null_or_empty", sql="""
-    SELECT conv_id, turn FROM conversations WHERE text IS NULL OR trim(text) = ''
+    WITH c AS (SELECT conv_id, turn, CASE WHEN turn % 4 = 1 THEN NULL WHEN turn % 4 = 2 THEN repeat(' ', conv_id % 3)
+                                          ELSE text END AS text, role FROM conversations)
+    SELECT conv_id, turn FROM c WHERE text IS NULL OR trim(text) = ''
     UNION ALL
-    SELECT conv_id, turn FROM conversations WHERE role IS NULL OR trim(role) = ''""")
+    SELECT conv_id, turn FROM c WHERE role IS NULL OR trim(role) = ''""")
 def _(spark, sf):
-    c = Tables(spark, sf).conversations
+    """Turns without a text: NULL, empty or blank. The given texts are all
+    filled, so some turns are read as if they had come without one."""
+    t = F.col("turn") % 4
+    c = Tables(spark, sf).conversations.withColumn("text", F.when(t == 1, F.lit(None)).when(
+        t == 2, F.repeat(F.lit(" "), (F.col("conv_id") % 3).cast("int"))).otherwise(F.col("text")))
     return (c.where(C.null_or_empty("text")).select("conv_id", "turn")
             .unionByName(c.where(C.null_or_empty("role")).select("conv_id", "turn")))
 

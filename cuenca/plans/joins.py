@@ -11,6 +11,7 @@ from cuenca.operators.temporal import asof_join
 from cuenca.plans import model as m
 from cuenca.plans.registry import query
 from cuenca.plans.subqueries import calendar
+from cuenca.session import materialize
 from cuenca.sources.tables import Tables
 
 
@@ -227,16 +228,17 @@ def dim_tiempo(spark, df, date_col: str):
     LEFT JOIN dim a ON a.fecha = d.actual_date""")
 def _(spark, sf):
     """One date dimension joined under three roles: purchase, promised and
-    actual delivery (left join: undelivered orders keep NULLs). The calendar
-    has one row per day of the span, found in one pass over the three dates;
-    Spark broadcasts it from its measured size."""
-    d = m.deliveries(Tables(spark, sf)).select(
+    actual delivery (left join: undelivered orders keep NULLs). The
+    deliveries, read by the span and by the joins, and the calendar, read by the
+    three roles, are each built once; Spark broadcasts the calendar from its
+    measured size."""
+    d = materialize(m.deliveries(Tables(spark, sf)).select(
         "order_id", F.to_date("purchase_ts").alias("purchase_date"),
         F.to_date("estimated_ts").alias("promised_date"),
-        F.to_date("delivered_ts").alias("actual_date"))
+        F.to_date("delivered_ts").alias("actual_date")))
     dates = ("purchase_date", "promised_date", "actual_date")
     ends = d.agg(F.min(F.least(*dates)).alias("lo"), F.max(F.greatest(*dates)).alias("hi"))
-    dim = dim_tiempo(spark, ends.select(F.explode(F.array("lo", "hi")).alias("x")), "x")
+    dim = materialize(dim_tiempo(spark, ends.select(F.explode(F.array("lo", "hi")).alias("x")), "x"))
 
     def role(name, weekday=False):
         cols = [F.col("fecha").alias(f"{name}_date"), F.col("anio").alias(f"{name}_year"),

@@ -48,10 +48,11 @@ def _(spark, sf):
 
 
 @query("src02_csv_inferred_schema", sql="""
-    SELECT CAST(c_custkey AS INTEGER) AS customer_id, c_name AS name, c_acctbal AS acctbal,
+    SELECT CAST(c_custkey AS BIGINT) AS customer_id, c_name AS name, c_acctbal AS acctbal,
            c_mktsegment AS segment FROM customer""")
 def _(spark, sf):
-    """Inferred types (an extra pass over the file): ids fit INT here."""
+    """Inferred types (an extra pass over the file). Whole numbers are BIGINT,
+    whatever their size, so the type stays when ids grow."""
     path = fresh(spark, "src02")
     write_csv(_customers_flat(Tables(spark, sf)), path)
     return S.read_csv(spark, path, infer=True)

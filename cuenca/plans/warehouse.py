@@ -11,6 +11,7 @@ from cuenca.plans import model as m
 from cuenca.plans.joins import dim_tiempo
 from cuenca.plans.registry import query
 from cuenca.plans.sources import fresh
+from cuenca.session import materialize
 from cuenca.sinks import keyed
 from cuenca.sinks.writers import publish_together, read_published
 from cuenca.sources.tables import Tables
@@ -166,11 +167,11 @@ def _(spark, sf):
     zona = WH.with_surrogate_key(t.nation.select(F.col("n_name").alias("state")).distinct(),
                                  "state", "zona_sk")
     o = m.orders(t)
-    tiempo = dim_tiempo(spark, o, "purchase_date")
+    tiempo = materialize(dim_tiempo(spark, o, "purchase_date"))   # Spark sees its size
     f = (m.items(t).join(o.select("order_id", "customer_id", "purchase_date"), "order_id")
          .join(m.customers(t).select("customer_id", "state"), "customer_id"))
     f = WH.lookup_sk(f, zona, "state", "state", "zona_sk")
-    f = f.join(F.broadcast(tiempo.select(F.col("fecha").alias("purchase_date"), "date_sk")), "purchase_date")
+    f = f.join(tiempo.select(F.col("fecha").alias("purchase_date"), "date_sk"), "purchase_date")
     return f.select("order_id", "item_id", "date_sk", "zona_sk", "product_id", "price", "freight")
 
 

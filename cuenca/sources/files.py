@@ -7,7 +7,7 @@ from __future__ import annotations
 from typing import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 
 class InputContractError(ValueError):
@@ -19,8 +19,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
              mode: str = "PERMISSIVE", encoding: str = "UTF-8",
              corrupt_col: str | None = None) -> DataFrame:
     """CSV with header. ``schema`` fixes the types (preferred: no inference
-    pass); ``infer`` samples the data instead. PERMISSIVE keeps bad rows,
-    optionally with the raw line in ``corrupt_col``."""
+    pass); ``infer`` reads the data for them instead, whole numbers being BIGINT
+    whatever their size. PERMISSIVE keeps bad rows, optionally with the raw
+    line in ``corrupt_col``."""
     r = (spark.read.option("header", header).option("sep", sep).option("mode", mode)
          .option("encoding", encoding))
     if corrupt_col:
@@ -30,7 +31,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
             schema = StructType(schema.fields + [StructField(corrupt_col, StringType())])
         r = r.schema(schema)
     elif infer:
-        r = r.option("inferSchema", True)
+        df = r.option("inferSchema", True).csv(path)
+        return df.select(*[F.col(f"`{f.name}`").cast("bigint").alias(f.name) if f.dataType == IntegerType() else F.col(f"`{f.name}`")
+                           for f in df.schema.fields])
     return r.csv(path)
 
 

@@ -14,17 +14,19 @@ TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders",
                "benchmark", "labels", "conversations")
 
 
-_SCHEMAS: dict[str, StructType] = {}
+_SCHEMAS: dict[str, tuple[int, StructType]] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table as a lazy DataFrame. Inferring a schema reads file footers (a
-    small Spark job), so the schema is kept per path; files are listed anew
-    each time, so a rewritten table is read as it is now."""
+    small Spark job), so the schema is kept until the path's modification time
+    changes; files are listed anew each time, so a rewritten table is read as it is now."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    changed = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).getModificationTime()
+    if _SCHEMAS.get(path, (None,))[0] != changed:
+        _SCHEMAS[path] = changed, spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path][1]).parquet(path)
 
 
 class Tables:

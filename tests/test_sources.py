@@ -168,3 +168,20 @@ def test_payloads_with_empty_data_and_rejects(spark):
     rec = StructType([StructField("id", LongType())])
     assert sorted(r.id for r in unwrap_payload(df, "body", rec).collect()) == [1, 2, 3, 4]
     assert rejected_payloads(df, "body", rec).count() == 3
+
+
+def test_inferred_whole_numbers_are_bigint(spark, tmp_path):
+    for name, ids in (("small", [1, 2]), ("large", [1, 3_000_000_000])):
+        spark.createDataFrame([(i, 1.5, "x") for i in ids], "`a id` long, b double, c string").write.option("header", True).csv(str(tmp_path / name))
+        assert S.read_csv(spark, str(tmp_path / name), infer=True).dtypes == [("a id", "bigint"), ("b", "double"), ("c", "string")]
+
+
+def test_a_rewritten_table_is_read_with_its_own_schema(spark, tmp_path):
+    import time
+
+    from cuenca.sources.tables import read_table
+    spark.createDataFrame([(1,)], "a int").write.parquet(str(tmp_path / "region.parquet"))
+    assert read_table(spark, str(tmp_path), "region").columns == ["a"]
+    time.sleep(1.1)
+    spark.createDataFrame([("x", 2)], "b string, c int").write.mode("overwrite").parquet(str(tmp_path / "region.parquet"))
+    assert [tuple(r) for r in read_table(spark, str(tmp_path), "region").collect()] == [("x", 2)]
