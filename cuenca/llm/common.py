@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,6 +20,21 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int, size: int):
+    """Arrow batches of so many rows and bytes for the jobs that run inside; the
+    session's own settings come back afterwards."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def text_or_empty(df: DataFrame, col: str = "text") -> DataFrame:
     return df.withColumn(col, F.coalesce(F.col(col).cast("string"), F.lit("")))
 

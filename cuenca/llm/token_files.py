@@ -29,14 +29,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from cuenca.llm.common import small_batches, table
-from cuenca.session import scratch_path
+from cuenca.llm.common import arrow_batches, slices, table
+from cuenca.session import materialize, scratch_path
 
 NAME = "op6_token_files"
 SQL = None               # a tokenizer is no SQL; tested by round trips
 ROW_GROUP, PAGE = 32 << 20, 256 << 10
-CACHE = 600_000          # pieces a worker remembers: a bound on memory only
-SOME_CHARS = 16_000_000  # characters encoded at a time: a bound on memory only
+CACHE = 32 << 20         # bytes of the pieces a worker remembers: a bound on memory only
+SOME_CHARS = 2_000_000   # bytes of text encoded at a time: a bound on memory only
+BATCH = 4096, 4 << 20    # rows and bytes of an Arrow batch
 
 _COLS = "part int, part_start long, n_tokens long, ids array<int>"
 
@@ -58,12 +59,12 @@ class _Pieces(dict):
 
     Words of letters, with stops after them or not, are one or two pieces of
     the pre-tokenizer and go to the tokenizer's model directly; anything else
-    goes through the whole tokenizer. Results are remembered until ``CACHE``
-    pieces are known; later ones are encoded each time they occur."""
+    goes through the whole tokenizer. Results are remembered until they take
+    ``CACHE`` bytes; later ones are encoded once a batch."""
 
     def __init__(self, encoder):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.size = encoder, 0
 
     def __missing__(self, p: str) -> bytes:
         core = p.rstrip(STOPS)
@@ -75,8 +76,9 @@ class _Pieces(dict):
             v = self.encoder.newline + self.encoder.letters("", w) if line else self.encoder.letters(" ", w)
         else:
             v = self[core] + self.encoder.stops(p[len(core):])
-        if len(self) < CACHE:
+        if self.size < CACHE:
             self[p] = v
+            self.size += len(p.encode()) + len(v) + 200   # with the two objects and their entry
         return v
 
 
@@ -124,8 +126,9 @@ class Encoder:
                     or any(c in text for c in (ODD if text.isascii() else ODD_WIDE))
                     or any(s in text for s in self.special))
 
-    def batch(self, texts: list[str]):
-        """(ids of all texts in a row, number of ids of each text)."""
+    def batch(self, texts: list[str], end_id: int):
+        """(ids of all texts in a row, each text's followed by ``end_id``; number
+        of ids of each text, with the end id)."""
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -141,7 +144,7 @@ class Encoder:
         start[first] = True
         coded = words.dictionary_encode()
         known = [self.pieces[p] if p != "\n" else b"" for p in coded.dictionary.to_numpy(zero_copy_only=False)]
-        flat = np.frombuffer(b"".join(known), "<u4")
+        flat = np.frombuffer(b"".join(known) + bytes(4), "<u4")
         size = np.array([len(b) // 4 for b in known], np.int64)
         begin = np.cumsum(size) - size
         code = coded.indices.to_numpy()
@@ -149,17 +152,22 @@ class Encoder:
         skip = start & (size[code] > 0)
         n = size[code] - skip
         begin = begin[code] + skip
-        ids = flat[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        n[first + at - 1] += 1              # a place for the end id after each text's last word
+        where = np.repeat(begin - (np.cumsum(n) - n), n)
+        where += np.arange(len(where))
+        ids = flat[where]
         per = np.add.reduceat(n, first)
+        ids[np.cumsum(per) - 1] = end_id
         if all(plain):
             return ids, per
-        parts, done = [], np.cumsum(per) - per
+        parts, done, end = [], np.cumsum(per) - per, np.array([end_id], "<u4").tobytes()
         for k, (t, p) in enumerate(zip(texts, plain)):
-            parts.append(ids[done[k]:done[k] + per[k]] if p else np.frombuffer(self.whole(t), "<u4") if t else ids[:0])
+            parts.append(ids[done[k]:done[k] + per[k]] if p else np.frombuffer((self.whole(t) if t else b"") + end, "<u4"))
         return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
 
     def __call__(self, text: str) -> bytes:
-        return self.batch([text])[0].tobytes()
+        """Ids of one text, without an end id."""
+        return self.batch([text], 0)[0][:-1].tobytes()
 
 
 def _encoder(spec: bytes) -> Encoder:
@@ -177,8 +185,6 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                  partitions: int | None = None) -> None:
     """Write the token files of ``docs`` (doc_id, text) to ``path``."""
     spark = docs.sparkSession
-    small_batches(spark, 4096)           # and of 16 MB: equal words are looked up once a batch
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     with open(tokenizer or tokenizer_file(), "rb") as f:
         spec = spark.sparkContext.broadcast(f.read())  # the vocabulary file
     by = ["doc_id", "_h"]
@@ -192,33 +198,23 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
         import pyarrow as pa
         from pyspark import TaskContext
         part, enc, start = TaskContext.get().partitionId(), _encoder(spec.value), 0
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            k = 0
-            while k < len(texts):         # some millions of characters at a time
-                end, chars = k, 0
-                while end < len(texts) and (end == k or chars + len(texts[end]) <= SOME_CHARS):
-                    chars += len(texts[end])
-                    end += 1
-                ids, n = enc.batch(texts[k:end])
-                last = np.cumsum(n)
-                ids = np.insert(ids, last, end_id)
-                n = n + 1
-                before = start + np.cumsum(n) - n
-                start += int(n.sum())
-                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(ids.astype("<i4")))
-                cols = [batch.column(c).slice(k, end - k) for c in ("doc_id", *keep)]
-                yield pa.RecordBatch.from_arrays(
-                    cols + [pa.array(np.full(len(n), part, np.int32)), pa.array(before), pa.array(n), ids],
-                    names=[f.name for f in schema.fields])
-                k = end
+        for batch in (s for b in batches for s in slices(b, SOME_CHARS)):
+            ids, n = enc.batch(batch.column("text").to_pylist(), end_id)
+            before = start + np.cumsum(n) - n
+            start += int(n.sum())
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(ids.view("<i4")))
+            cols = [batch.column(c) for c in ("doc_id", *keep)]
+            yield pa.RecordBatch.from_arrays(
+                cols + [pa.array(np.full(len(n), part, np.int32)), pa.array(before), pa.array(n), lists],
+                names=[f.name for f in schema.fields])
 
     writer = rows.mapInArrow(run, schema).write.mode("overwrite").option("compression", "zstd")
     for k, v in {"parquet.block.size": row_group, "parquet.page.size": page, "parquet.writer.version": "PARQUET_2_0",
                  "parquet.dictionary.page.size": 4 << 20, "parquet.enable.dictionary": "false",
                  "parquet.enable.dictionary#ids.list.element": "true"}.items():
         writer = writer.option(k, str(v))
-    writer.parquet(path)
+    with arrow_batches(spark, *BATCH):
+        writer.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -255,7 +251,8 @@ def encode(docs: DataFrame, path: str | None = None, **options) -> DataFrame:
     spark = docs.sparkSession
     path = path or scratch_path(spark, f"tokens-{uuid.uuid4().hex}")
     write_tokens(docs, path, **options)
-    return digest(read_tokens(spark, path))
+    with arrow_batches(spark, *BATCH):
+        return materialize(digest(read_tokens(spark, path)))   # four numbers a document
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
