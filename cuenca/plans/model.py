@@ -70,8 +70,15 @@ def orders(t: Tables) -> DataFrame:
     )
 
 
-def items(t: Tables) -> DataFrame:
-    """olist_order_items: one row per order line."""
+def _payment_value():
+    """What is paid for a line: its price less the discount."""
+    return money(F.round(money("l_extendedprice") * (1 - money("l_discount")), 2)).alias("payment_value")
+
+
+def items(t: Tables, *more: str) -> DataFrame:
+    """olist_order_items: one row per order line; ``more`` names columns that the
+    line has in another role (``payment_value``)."""
+    other = {"payment_value": _payment_value()}
     return t.lineitem.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("item_id"),
@@ -81,6 +88,7 @@ def items(t: Tables) -> DataFrame:
         money("l_extendedprice").alias("price"),
         money(F.round(money("l_extendedprice") * money("l_tax"), 2)).alias("freight"),
         F.col("l_shipdate").alias("ship_ts"),
+        *[other[c] for c in more],
     )
 
 
@@ -119,8 +127,7 @@ def payments(t: Tables) -> DataFrame:
             .select(F.col("l_orderkey").alias("order_id"),
                     F.col("l_linenumber").alias("payment_sequential"),
                     F.col("o_orderpriority").alias("payment_type"),
-                    money(F.round(money("l_extendedprice") * (1 - money("l_discount")), 2))
-                    .alias("payment_value")))
+                    _payment_value()))
 
 
 def reviews(t: Tables) -> DataFrame:

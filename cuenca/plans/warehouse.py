@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from cuenca.functions import columns as C
 from cuenca.operators import warehouse as WH
@@ -33,26 +33,29 @@ from cuenca.sources.tables import Tables
     LEFT JOIN pay ON pay.order_id = i.order_id
     LEFT JOIN rev ON rev.customer_id = o.customer_id""")
 def _(spark, sf):
-    """Denormalised order-item table. Payments and reviews are aggregated to
-    the join key before the left joins, so the item grain is kept. Everything
-    at order grain (customer, payments, reviews) is attached to the orders
-    first, so the item-grain rows are shuffled three times (order, product,
-    seller) instead of six. As in the course, review score, time and kind
-    are each a MAX: one row may mix values of different reviews."""
+    """Denormalised order-item table. Reviews are aggregated to the join key
+    before the left join, so the item grain is kept; what is at order grain
+    (customer, reviews) is attached to the orders first. A line is an item and a
+    payment: the lines are read and shuffled by order once, and an order's
+    payments are summed over its lines in that partitioning. So the item-grain
+    rows are shuffled three times (order, product, seller). As in the course,
+    review score, time and kind are each a MAX: one row may mix values of
+    different reviews."""
     t = Tables(spark, sf)
-    pay = m.payments(t).groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n_payments"), m.msum("payment_value").alias("paid"),
-        F.max("payment_value").alias("max_payment"))
+    order = Window.partitionBy("order_id")              # the lines of an order
+    lines = m.items(t, "payment_value").withColumns({
+        "n_payments": F.count(F.lit(1)).over(order), "paid": F.sum("payment_value").over(order).cast("decimal(38,2)"),
+        "max_payment": F.max("payment_value").over(order)})
     rev = m.reviews(t).groupBy("customer_id").agg(
         F.max("score").alias("review_score"), F.max("review_ts").alias("review_ts"),
         F.max("review_kind").alias("review_kind"))
     order_grain = (m.orders(t).join(m.customers(t), "customer_id")
-                   .join(rev, "customer_id", "left").join(pay, "order_id", "left"))
-    w = (m.items(t).join(order_grain, "order_id")
+                   .join(rev, "customer_id", "left"))
+    w = (lines.join(order_grain, "order_id")
          .join(m.products(t), "product_id").join(m.sellers(t), "seller_id"))
     return w.select("order_id", "item_id", "purchase_ts", "status", "state", "segment", "category",
                     "seller_state", "price", "freight",
-                    F.coalesce("n_payments", F.lit(0)).alias("n_payments"), "paid", "max_payment",
+                    "n_payments", "paid", "max_payment",
                     "review_score", "review_ts", "review_kind")
 
 
