@@ -27,13 +27,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from cuenca.llm.common import WordHash, small_batches, table
+from cuenca.llm.common import WordHash, slices, table
 from cuenca.session import materialize
 
 NAME = "op4_quality_llr"
 BUCKETS = 65536          # 32768 for words, 32749 used of 32768 for word pairs
 MICRO = 1_000_000
-BITS = 1 << 24           # of the filter before the join with labelled doc_ids
+BITS = 1 << 26           # at most (8 MB) of the filter before the join with labelled doc_ids
 STEP = 12                # low bits of a score left out of the first counts of ``nth``
 GOOD_LOSS = 0.001        # share of held-out good documents below the threshold
 
@@ -90,16 +90,18 @@ def _texts(batch, col="text"):
     return [b or b"" for b in batch.column(col).cast(pa.binary()).to_pylist()]
 
 
-def members(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``doc_id`` and ``text`` of the documents in ``ids``, with its columns. A
-    bitmap of hashed ids, of a fixed size, keeps most other texts out of the
-    shuffle; the join decides."""
-    h = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(BITS))
-    bits = (ids.select(h.alias("_h")).groupBy(F.shiftright("_h", 6).alias("_w"))
-            .agg(F.expr("bit_or(shiftleft(1L, CAST(_h % 64 AS INT)))").alias("_b")))
+def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text`` of the documents in ``ids`` and a few others: a
+    bitmap of hashed ids, 16 bits an id and ``BITS`` at most, decides in the
+    scan. An exact join on ``doc_id`` has to follow."""
+    bits = 1 << 16
+    while bits < min(16 * ids.count(), BITS):
+        bits *= 2
+    h = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(bits))
+    known = (ids.select(h.alias("_h")).groupBy(F.shiftright("_h", 6).alias("_w"))
+             .agg(F.expr("bit_or(shiftleft(1L, CAST(_h % 64 AS INT)))").alias("_b")))
     return (docs.select("doc_id", "text", h.alias("_h")).withColumn("_w", F.shiftright("_h", 6))
-            .join(F.broadcast(bits), "_w").where("bit_get(_b, CAST(_h % 64 AS INT)) = 1")
-            .select("doc_id", "text").join(ids, "doc_id"))
+            .join(F.broadcast(known), "_w").where("bit_get(_b, CAST(_h % 64 AS INT)) = 1").select("doc_id", "text"))
 
 
 def count_grams(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -107,14 +109,15 @@ def count_grams(docs: DataFrame, target: DataFrame) -> DataFrame:
     doc_ids of the trusted sample. Each task sends its own sums only: at most
     ``BUCKETS`` rows."""
     flagged = (docs.select(F.lit(False).alias("t"), "text")
-               .unionAll(members(docs, target).select(F.lit(True).alias("t"), "text")))
+               # an inner join: Spark would move a semi join in front of the bitmap
+               .unionAll(likely(docs, target).join(target, "doc_id").select(F.lit(True).alias("t"), "text")))
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
         hashes = WordHash()
         raw, tgt = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for batch in batches:
+        for batch in (s for b in batches for s in slices(b)):
             doc, bucket = _Words(_texts(batch), hashes).grams()
             t = batch.column("t").to_numpy(zero_copy_only=False).astype(bool)[doc]
             raw += np.bincount(bucket[~t], minlength=BUCKETS)
@@ -173,7 +176,7 @@ def measure(docs: DataFrame, ratios) -> DataFrame:
         symbol = np.zeros(256, np.int64)
         symbol[list(b"#*$%&|<>")] = 1
         char = np.array([0 if 0x80 <= i < 0xC0 or i == 32 or 9 <= i <= 13 else 1 for i in range(256)])
-        for batch in batches:
+        for batch in (s for b in batches for s in slices(b)):
             texts = _texts(batch)
             words = _Words(texts, hashes)
             n = words.count
@@ -197,13 +200,17 @@ def measure(docs: DataFrame, ratios) -> DataFrame:
     return docs.select(*through).mapInArrow(run, schema)
 
 
-def threshold(docs: DataFrame, labels: DataFrame, ratios, good_loss: float = GOOD_LOSS) -> int | None:
-    """The least score kept, in micro-nats per n-gram; None without held-out
-    good documents."""
-    known = (labelled(labels, 1, 1).withColumn("_q", F.lit(1))
-             .unionByName(labelled(labels, 0, 1).withColumn("_q", F.lit(0))))
-    held = materialize(measure(members(docs, known), ratios)
-                       .where(~F.col("base_failed")).select("_q", "llr_micro"))
+def held_out(labels: DataFrame) -> DataFrame:
+    """(doc_id, _q) of the labelled documents that fix the threshold."""
+    return (labelled(labels, 1, 1).withColumn("_q", F.lit(1))
+            .unionByName(labelled(labels, 0, 1).withColumn("_q", F.lit(0))))
+
+
+def threshold(measured: DataFrame, labels: DataFrame, good_loss: float = GOOD_LOSS) -> int | None:
+    """The least score kept, in micro-nats per n-gram, from measured rows; None
+    without held-out good documents. Only numbers are joined with the labels."""
+    held = materialize(measured.where(~F.col("base_failed")).select("doc_id", "llr_micro")
+                       .join(held_out(labels), "doc_id").select("_q", "llr_micro"))
     good = held.where("_q = 1")
     n = good.count()
     if not n:
@@ -213,21 +220,36 @@ def threshold(docs: DataFrame, labels: DataFrame, ratios, good_loss: float = GOO
     return g if bad is None else (g + bad) // 2
 
 
-def score(docs: DataFrame, labels: DataFrame, good_loss: float = GOOD_LOSS) -> DataFrame:
-    """``docs`` with the base statistics, ``llr`` (nats per n-gram) and ``kept``."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    ratios = spark.sparkContext.broadcast(  # BUCKETS numbers, whatever the input
+def _ratios(docs: DataFrame, labels: DataFrame):
+    return docs.sparkSession.sparkContext.broadcast(  # BUCKETS numbers, whatever the input
         log_ratios(count_grams(docs, labelled(labels, 1, 0))))
-    least = threshold(docs, labels, ratios, good_loss)
+
+
+def _judged(measured: DataFrame, least: int | None) -> DataFrame:
     verdict = F.lit(True) if least is None else F.col("llr_micro") >= F.lit(least)
-    return (measure(docs, ratios)
-            .withColumn("llr", F.col("llr_micro") / MICRO)
+    return (measured.withColumn("llr", F.col("llr_micro") / MICRO)
             .withColumn("kept", ~F.col("base_failed") & verdict).drop("llr_micro"))
 
 
+def verdicts(docs: DataFrame, labels: DataFrame, good_loss: float = GOOD_LOSS) -> DataFrame:
+    """``doc_id``, base statistics, ``llr`` and ``kept`` of every document, which is
+    measured once: the numbers are written, the threshold is taken from
+    them and the verdicts are a filter on the same rows."""
+    rows = materialize(measure(docs.select("doc_id", "text"), _ratios(docs, labels)).drop("text"))
+    return _judged(rows, threshold(rows, labels, good_loss))
+
+
+def score(docs: DataFrame, labels: DataFrame, good_loss: float = GOOD_LOSS) -> DataFrame:
+    """``docs`` with the base statistics, ``llr`` (nats per n-gram) and ``kept``. The
+    threshold comes from the labelled documents, measured first, so that the
+    texts that pass through are neither written nor shuffled."""
+    ratios = _ratios(docs, labels)
+    known = measure(likely(docs, held_out(labels).select("doc_id").distinct()), ratios)
+    return _judged(measure(docs, ratios), threshold(known, labels, good_loss))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    out = verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                       "n_repeat_words", "base_failed", "kept")
 
@@ -237,7 +259,6 @@ WITH w AS (
   SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
   FROM documents),
--- the bound of the labelled samples is far above this table's labelled rows
 tgt AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id % 2 = 0),
 hw AS (
   SELECT rid, doc_id, list_transform(ws, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT) AS h, ws FROM w),

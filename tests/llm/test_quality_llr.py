@@ -1,5 +1,7 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from cuenca.llm import quality_llr as Q
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -86,3 +88,31 @@ def test_threshold_rests_on_all_labelled_documents(spark):
     bad = [llr[i] for i, q, _ in labels if not q and i % 2 and i in llr and llr[i] < g]
     least = (g + max(bad)) // 2 if bad else g
     assert len(good) > 20_000 and all(r.kept == (llr[r.doc_id] >= least) for r in out if not r.base_failed)
+
+
+def test_verdicts_equal_scores_and_measure_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    cols = ["doc_id", "n_words", "llr", "base_failed", "kept"]
+    one = Q.verdicts(docs, labels)
+    assert sorted(map(tuple, one.select(cols).collect())) == sorted(map(tuple, Q.score(docs, labels).select(cols).collect()))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Exchange" not in plan      # a filter on written numbers
+
+
+def test_bitmap_keeps_every_known_document(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    ids = spark.range(0, 3000, 7).select(F.col("id").alias("doc_id"))
+    found = Q.likely(docs, ids)
+    assert ids.exceptAll(found.select("doc_id")).count() == 0 and found.count() < 600
+    assert Q.likely(docs, ids.limit(0)).count() == 0
+
+
+def test_session_settings_stay(spark):
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = [spark.conf.get(k) for k in keys]
+    from cuenca.llm import token_files
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    token_files.encode(docs).collect()
+    Q.score(docs, spark.createDataFrame([], LABELS)).collect()
+    assert [spark.conf.get(k) for k in keys] == before
