@@ -1,8 +1,8 @@
 """Secret scans with a character convolutional network.
 
 Base rules find assignments, access keys and long hex runs. Beside them every
-candidate, a run of ``[A-Za-z0-9+/_=.-]`` of ``SHORTEST`` characters or more
-with a digit, is scored with its surroundings: ``BEFORE`` characters before it,
+candidate, a run of ``[A-Za-z0-9+/_=.-]`` of ``SHORTEST`` characters or more,
+is scored with its surroundings: ``BEFORE`` characters before it,
 ``LENGTH`` of it and ``AFTER`` characters after that. A longer candidate is scored
 in overlapping windows, one every ``STRIDE`` characters and the last one ending at
 its end, and has the highest of their scores. Characters are embedded, convolved (width ``WIDTH``), rectified, pooled by maximum and mean and
@@ -13,7 +13,7 @@ of a bounded sample of documents (``SAMPLE``, first in hash order), labelled by
 the base rules, and generated findings of known formats (keys, tokens, dates,
 numbers, identifiers, paths). A part of them is held out for a logistic
 calibration and for the threshold: the highest that still finds ``RECALL`` of
-the held-out secrets, but no lower than 0.5. Candidates at or above it that touch no base span are
+the held-out secrets. Candidates at or above it that touch no base span are
 added as spans of kind ``model``. Random numbers have a fixed seed.
 
 Defined results: a null or empty text has no spans; repeated rows are reported
@@ -27,13 +27,14 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cuenca.llm.common import small_batches, table
+from cuenca.llm.common import slices, table
+from cuenca.llm.toxicity import _logistic, _sigmoid
 
 NAME = "op8_cnn_secrets"
 SQL = None               # a trained model; base spans tested against the plain rules
 SHORTEST, BEFORE, LENGTH, AFTER, WIDTH = 8, 16, 40, 4, 5
 STRIDE = 20              # between the windows of a candidate longer than LENGTH
-SAMPLE, FINDINGS, GENERATED, RECALL = 2000, 3000, 3000, 0.98
+SAMPLE, FINDINGS, GENERATED, RECALL = 2000, 9000, 4000, 0.98
 EMBED, FILTERS, EPOCHS, BATCH, RATE, SEED = 8, 24, 6, 128, 0.01, 11
 
 #: fixed values of the contract; byte patterns, so only ASCII letters fold
@@ -42,7 +43,6 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "model")
 CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=.-]{%d,}" % SHORTEST)
-DIGIT = re.compile(rb"[0-9]")
 
 
 def base_spans(b: bytes) -> list[tuple[int, int, int]]:
@@ -59,9 +59,7 @@ def base_spans(b: bytes) -> list[tuple[int, int, int]]:
 
 def candidates(b: bytes, base) -> list[tuple[int, int]]:
     """(start, stop) in bytes of the candidates, those inside base spans too."""
-    if not DIGIT.search(b):
-        return []
-    return [m.span() for m in CANDIDATE.finditer(b) if DIGIT.search(m[0])]
+    return [m.span() for m in CANDIDATE.finditer(b)]
 
 
 def windows(s: int, e: int) -> list[tuple[int, int]]:
@@ -78,24 +76,25 @@ def highest(scores, counts):
 
 
 def views(b: bytes, spans):
-    """One row of characters per window: before, the window, after."""
+    """One row of characters per window: before, the window, after; 0 beyond
+    the text and after a short window."""
     import numpy as np
-    out = np.zeros((len(spans), BEFORE + LENGTH + AFTER), np.uint8)
-    for k, (s, e) in enumerate(spans):
-        before = b[max(0, s - BEFORE):s]
-        out[k, BEFORE - len(before):BEFORE] = np.frombuffer(before, np.uint8)
-        body = b[s:min(e, s + LENGTH)]
-        out[k, BEFORE:BEFORE + len(body)] = np.frombuffer(body, np.uint8)
-        after = b[e:e + AFTER]
-        out[k, BEFORE + LENGTH:BEFORE + LENGTH + len(after)] = np.frombuffer(after, np.uint8)
-    return np.minimum(out, 128)
+    s, e = np.array(spans, np.int64).reshape(-1, 2).T[:, :, None]
+    at = np.concatenate([s - BEFORE + np.arange(BEFORE), s + np.arange(LENGTH), e + np.arange(AFTER)], axis=1)
+    there = (at >= 0) & (at < len(b))
+    there[:, BEFORE:BEFORE + LENGTH] &= at[:, BEFORE:BEFORE + LENGTH] < e
+    text = np.minimum(np.frombuffer(b, np.uint8), 128)
+    return np.where(there, text[np.clip(at, 0, max(len(b) - 1, 0))], 0).astype(np.uint8) if len(b) else np.zeros(at.shape, np.uint8)
 
 
 class Network:
     """Parameters, forward pass and gradients of the convolutional network."""
 
-    def __init__(self, seed: int = SEED):
+    def __init__(self, seed: int = SEED, parameters: dict | None = None):
         import numpy as np
+        if parameters is not None:
+            self.p = parameters
+            return
         rng = np.random.default_rng(seed)
         f = lambda *s, k: (rng.standard_normal(s) * k).astype(np.float32)
         self.p = {"e": f(129, EMBED, k=0.3), "w": f(WIDTH * EMBED, FILTERS, k=0.15),
@@ -108,10 +107,12 @@ class Network:
         n, length, _ = e.shape
         cols = np.concatenate([e[:, k:length - WIDTH + 1 + k] for k in range(WIDTH)], axis=2)
         a = np.maximum(cols @ p["w"] + p["b"], 0)
+        if not keep:
+            return np.concatenate([a.max(axis=1), a.mean(axis=1)], axis=1) @ p["o"] + p["c"][0]
         top = a.argmax(axis=1)
         pooled = np.concatenate([np.take_along_axis(a, top[:, None], 1)[:, 0], a.mean(axis=1)], axis=1)
         z = pooled @ p["o"] + p["c"][0]
-        return (z, (cols, a, top, pooled)) if keep else z
+        return z, (cols, a, top, pooled)
 
     def gradients(self, x, y):
         import numpy as np
@@ -144,16 +145,20 @@ def generated(n: int = GENERATED, seed: int = SEED) -> list[tuple[bytes, int, in
     alnum = letters + letters.upper() + digits
     some = lambda chars, k: "".join(rng.choice(chars) for _ in range(k))
     word = lambda: some(letters, rng.randint(2, 9))
+    # words of prose: consonants and vowels by turns
+    long_word = lambda: "".join(some("bcdfghklmnprstvz", 1) + some("aeiou", 1) + some(("", "n", "r", "s", "l"), 1) for _ in range(rng.randint(4, 7)))
     secret = [lambda: "ghp_" + some(alnum, 36), lambda: "xoxb-" + some(digits, 11) + "-" + some(alnum, 24),
               lambda: "AIza" + some(alnum + "_-", 35), lambda: "sk_live_" + some(alnum, 24), lambda: "glpat-" + some(alnum, 20),
               lambda: "eyJ" + some(alnum, 17) + "." + some(alnum + "_-", 40) + "." + some(alnum + "_-", 30),
               lambda: "AKIA" + some(letters.upper() + digits, 16), lambda: some(hexa, rng.choice((32, 40, 64))),
-              lambda: some(alnum + "+/", 40), lambda: some(alnum, rng.randint(20, 32)), lambda: some(hexa, rng.randint(16, 24))]
+              lambda: some(alnum + "+/", 40), lambda: some(alnum, rng.randint(20, 32)), lambda: some(hexa, rng.randint(16, 24)),
+              lambda: some(letters + letters.upper(), rng.randint(20, 32)), lambda: some(letters.upper(), rng.randint(24, 32))]
     plain = [lambda: word() + "." + some(digits, 2), lambda: "mail" + some(digits, 1) + ".example.com", lambda: some(digits, rng.randint(8, 19)),
              lambda: ".".join(str(rng.randint(0, 255)) for _ in range(4)), lambda: "-".join((some("12", 1) + some(digits, 3), some("01", 1) + some(digits, 1), some("012", 1) + some(digits, 1))),
              lambda: "555-" + some(digits, 4), lambda: word() + "_" + word() + some(digits, 1), lambda: word() + "/" + word() + "/" + word() + some(digits, 2),
              lambda: "v" + ".".join(some(digits, 1) for _ in range(3)) + "-" + word(), lambda: word().capitalize() + word().capitalize() + some(digits, 2),
-             lambda: some(digits, 1) + "." + some(digits, 6), lambda: word() + some(digits, rng.randint(1, 3)) + "-" + word()]
+             lambda: some(digits, 1) + "." + some(digits, 6), lambda: word() + some(digits, rng.randint(1, 3)) + "-" + word(),
+             lambda: long_word(), lambda: long_word().capitalize(), lambda: long_word().upper(), lambda: word() + "-" + long_word() + "." + word()]
     part = [word, word, lambda: word() + "-" + word() + "-" + word(), lambda: some("12", 1) + some(digits, 3), lambda: some(digits, 2),
             lambda: some(letters.upper(), 1) + some(digits, 8), lambda: word() + "=" + some(digits, 2), lambda: word() + "_" + word() + ".html"]
     path = lambda: "//" + word() + ".example.com/" + "/".join(rng.choice(part)() for _ in range(rng.randint(4, 12)))
@@ -179,16 +184,15 @@ def generated(n: int = GENERATED, seed: int = SEED) -> list[tuple[bytes, int, in
 
 
 def findings(docs: DataFrame, bound: int = SAMPLE) -> list[tuple[bytes, int, int, int]]:
-    """Labelled candidates of at most ``bound`` documents with a digit, of at most
-    20,000 characters: 1 where a base span covers them, else 0. Of a candidate
+    """Labelled candidates of at most ``bound`` documents of at most 20,000 characters: 1 where a base span covers them, else 0. Of a candidate
     longer than ``LENGTH`` it is the part that the base spans cover."""
-    some = (docs.select("doc_id", "text").where((F.length("text") <= 20_000) & F.col("text").rlike("[0-9]"))
+    some = (docs.select("doc_id", "text").where(F.length("text") <= 20_000)
             .select("text", F.xxhash64("doc_id", "text").alias("h")))
     # the share of hashes that holds about ``bound`` documents: no task and not
     # the driver gets more than its part of them, whatever the input
     share = min(1.0, 1.2 * bound / max(some.count(), 1))
     rows = sorted(some.where(F.pmod("h", F.lit(1 << 32)) < F.lit(int(share * (1 << 32)))).collect(), key=lambda r: (r["h"], r["text"]))
-    out = []
+    hits, others = [], []
     for r in rows[:bound]:
         b = r["text"].encode()
         base = base_spans(b)
@@ -196,14 +200,15 @@ def findings(docs: DataFrame, bound: int = SAMPLE) -> list[tuple[bytes, int, int
             hit = [(x, y) for x, _, y in base if x < e and s < y]
             if hit and e - s > LENGTH:
                 s, e = max(s, hit[0][0]), min(e, max(y for _, y in hit))
-            out.append((b, s, e, int(bool(hit))))
-    return out[:FINDINGS]
+            (hits if hit else others).append((b, s, e, int(bool(hit))))
+    # words without a secret abound: an even share of them, in the order of the hashes
+    step = max(1, len(others) // FINDINGS)
+    return hits[:FINDINGS // 3] + others[::step][:FINDINGS]
 
 
 def train(labelled: list[tuple[bytes, int, int, int]], recall: float = RECALL):
     """(network, slope, offset, threshold) of labelled findings."""
     import numpy as np
-    from cuenca.llm.toxicity import _logistic, _sigmoid
     rng = np.random.default_rng(SEED)
     parts = [views(b, windows(s, e)) for b, s, e, _ in labelled]
     label = np.array([l for *_, l in labelled], np.float32)
@@ -228,22 +233,21 @@ def train(labelled: list[tuple[bytes, int, int, int]], recall: float = RECALL):
     slope, offset = _logistic(z.astype(float), t.astype(float), np.ones(len(t)))
     p = np.sort(_sigmoid(slope * z + offset)[t == 1])
     least = float(p[int((1 - recall) * len(p))]) if len(p) else 0.5
-    return net, slope, offset, max(least, 0.5)
+    return net, slope, offset, least
 
 
 def scan(docs: DataFrame, labelled: list | None = None) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_model) of every document."""
     spark = docs.sparkSession
-    small_batches(spark)
-    model = spark.sparkContext.broadcast(  # of a fixed size
-        train((labelled if labelled is not None else findings(docs)) + generated()))
+    net, *rest = train((labelled if labelled is not None else findings(docs)) + generated())
+    model = spark.sparkContext.broadcast((net.p, *rest))  # arrays of a fixed size
 
     def run(batches):
         import hashlib
         import numpy as np
         import pyarrow as pa
-        from cuenca.llm.toxicity import _sigmoid
-        net, slope, offset, least = model.value
+        parameters, slope, offset, least = model.value
+        net = Network(parameters=parameters)
 
         def listed(b, spans):
             if not b.isascii():      # bytes to code points
@@ -252,12 +256,14 @@ def scan(docs: DataFrame, labelled: list | None = None) -> DataFrame:
                 spans = [(at[s], k, at[e]) for s, k, e in spans]
             return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
-        for batch in batches:
+        for batch in (s for b in batches for s in slices(b)):
             rows = []
             for b in batch.column("text").cast(pa.binary()).to_pylist():
                 b = b or b""
                 base = base_spans(b)
-                free = [(s, e) for s, e in candidates(b, base) if not any(x < e and s < y for x, _, y in base)]
+                free = candidates(b, base)
+                if base:
+                    free = [(s, e) for s, e in free if not any(x < e and s < y for x, _, y in base)]
                 each = [windows(s, e) for s, e in free]
                 some = [w for ws in each for w in ws]
                 z = [net.forward(views(b, some[k:k + 512])) for k in range(0, len(some), 512)]

@@ -137,3 +137,48 @@ def test_secrets_late_in_a_long_run_are_found(spark):
     got = {r.doc_id: r.n_model for r in S.scan(spark.createDataFrame(rows, "doc_id long, text string"), labelled=[]).collect()}
     assert sum(got[i] > 0 for i in range(40)) >= 36 and sum(got[i] > 0 for i in range(40, 80)) >= 36
     assert sum(got[i] > 0 for i in range(80, 120)) <= 4
+
+
+def test_secrets_of_letters_alone_are_found_and_words_are_not(spark):
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    bearer = ["Authorization: Bearer AbCdEfGhIjKlMnOpQrStUvWx"] + [
+        "Authorization: Bearer " + "".join(rng.choice(letters) for _ in range(24)) for _ in range(49)]
+    syllable = lambda: rng.choice("bcdfglmnprst") + rng.choice("aeiou") + rng.choice(["", "n", "r", "s"])
+    prose = [" ".join("".join(syllable() for _ in range(rng.randint(1, 6))) for _ in range(80)) for _ in range(50)]
+    rows = list(enumerate(bearer + prose))
+    got = {r.doc_id: r.n_model for r in S.scan(spark.createDataFrame(rows, "doc_id long, text string"), labelled=[]).collect()}
+    assert got[0] == 1 and sum(got[i] > 0 for i in range(50)) >= 47
+    assert sum(got[i] for i in range(50, 100)) <= 20        # of some 2,000 long words
+
+
+def test_secret_views_equal_a_plain_copy():
+    b = b"ab " + b"x" * 90 + " é end".encode()
+    for spans in ([(3, 13)], [(3, 43), (53, 93)], [(0, 2), (94, len(b))], []):
+        got = S.views(b, spans)
+        for row, (s, e) in zip(got, spans):
+            before, body, after = b[max(0, s - S.BEFORE):s], b[s:min(e, s + S.LENGTH)], b[e:e + S.AFTER]
+            want = bytes(S.BEFORE - len(before)) + before + body + bytes(S.LENGTH - len(body)) + after + bytes(S.AFTER - len(after))
+            assert row.tolist() == [min(c, 128) for c in want]
+        assert len(got) == len(spans)
+
+
+def test_scan_runs_from_another_folder(tmp_path):
+    """Workers get the functions by value: the package is not on their path."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import sys; sys.path.insert(0, {repo!r})
+from cuenca.session import get_session
+spark = get_session("local[2]", shuffle_partitions=2)
+from cuenca.llm import secrets, ctph, fim, html_extract, merkle
+docs = spark.createDataFrame([(1, "Bearer ghp_12345abcdefgh12345abcdefgh", "s", "en", 5)], "doc_id long, text string, source string, lang string, n_chars int")
+assert secrets.scan(docs, labelled=[]).count() == 1 and fim.transform(docs).count() == 1
+assert ctph.edited(docs).count() == 1 and merkle.verify(merkle.build(docs)).count() == 1
+print("done")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "done" in out.stdout, out.stderr[-2000:]
