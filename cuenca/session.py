@@ -12,6 +12,8 @@ import atexit
 import os
 import shutil
 import tempfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -79,6 +81,43 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"
 
 
+class Scratch:
+    """The tables that ``materialize`` has written inside a ``scratch_scope``."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+        self.kept: set[str] = set()
+
+    def keep_last(self) -> str:
+        """Keep the table written last; returns its path."""
+        self.kept.add(self.paths[-1])
+        return self.paths[-1]
+
+
+_SCOPE: ContextVar[Scratch | None] = ContextVar("cuenca_scratch", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete, at the end, the tables that ``materialize`` writes inside, but for
+    those kept. For a step whose result is itself written: what it
+    leaves behind is read by nobody then."""
+    scope = Scratch()
+    token = _SCOPE.set(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPE.reset(token)
+        for path in scope.paths:
+            if path not in scope.kept:
+                delete_table(spark, path)
+
+
+def delete_table(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df):
     """Write an intermediate that several branches of a plan consume as a
     parquet table in the shared checkpoint folder and continue from it: the
@@ -89,6 +128,8 @@ def materialize(df):
     spark = df.sparkSession
     path = scratch_path(spark, f"mat-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    if scope := _SCOPE.get():
+        scope.paths.append(path)
     return spark.read.parquet(path)
 
 
