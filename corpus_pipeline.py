@@ -4,7 +4,8 @@ decontamination, mixing, token files.
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage
 before it kept; all but the last return the columns of ``documents``. ``run``
 writes each stage's result as Parquet in the shared folder and reads it back,
-so a lost executor re-reads a finished stage and never redoes one.
+so a lost executor re-reads a finished stage and never redoes one; a stage's
+scratch tables, and the result before, are deleted when its own is written.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cuenca.llm import decontaminate, mixing, ngram_join, quality_llr, token_files
 from cuenca.llm.common import table
-from cuenca.session import materialize
+from cuenca.session import delete_table, materialize, scratch_scope
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir))
+        with scratch_scope(spark) as scope:      # a stage's own tables go with it
+            docs = materialize(stage(spark, docs, sf_dir))
+            here = scope.keep_last()
+        if before:                               # the next stage's result is written
+            delete_table(spark, before)
+        before = here
     return docs
