@@ -5,7 +5,9 @@ Templates are short public notices. The index holds, for each template, its
 documents) and the words of its mandatory key phrases, each with its position.
 The rarest word of a template's key phrase is its anchor: a document looks up
 the templates whose anchor it holds (no other can be verified in it) with all
-licence words it holds, whose number the templates bound; hits of a template are
+licence words it holds, whose number the templates bound. Texts are split into
+words once; the frequencies, the base phrases and the licence words' places come
+out of that pass as short rows, from which all else follows. Hits of a template are
 intersected by relative position: a hit at document position d of the
 template's position t votes for the start d - t. A template is found where at
 least ``VOTES`` of its rare words agree on a start and every word of a
@@ -28,7 +30,7 @@ from cuenca.llm.common import table
 from cuenca.session import materialize
 
 NAME = "op9_license_index"
-RARE, TOP, VOTES = 6, 24, 0.6    # TOP: words that the SQL below looks up in a document
+RARE, VOTES = 6, 0.6
 TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -60,11 +62,32 @@ TEMPLATES = (
 )
 
 
-def tokenized(docs: DataFrame) -> DataFrame:
-    """(doc_id, _h, words): words of the text with A-Z in lower case."""
-    lower = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return (docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_h"), lower.alias("_low"))
-            .withColumn("words", F.regexp_extract_all("_low", F.lit(TOKEN), F.lit(0))))
+def lowered(text: Column) -> Column:
+    """``text`` with A-Z in lower case, as far as ASCII words can tell. ``lower``
+    does that many times faster than ``translate``; beyond ASCII it changes
+    letters into letters, except two signs that it turns into ASCII letters."""
+    ascii_only = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.when(text.contains("\u0130") | text.contains("\u212a"), ascii_only).otherwise(F.lower(text))
+
+
+def short_rows(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
+    """All that the scan needs of the texts, in one pass:
+    (doc_id, _h, n_words, _p0.., held, at). ``held`` are the licence words of a
+    document; ``at`` their places (at, word), for documents that hold all
+    words of some template's mandatory phrase, as no other can have one found."""
+    text = F.coalesce("text", F.lit(""))
+    vocabulary = F.array(*[F.lit(w) for w in sorted({w for _, notice, _ in templates for w in notice.split()})])
+    tokens = docs.select("doc_id", F.xxhash64(text).alias("_h"), lowered(text).alias("_low")).withColumn(
+        "words", F.regexp_extract_all("_low", F.lit(TOKEN), F.lit(0)))
+    held = tokens.withColumn("held", F.array_intersect("words", vocabulary.cast("array<string>")))
+    whole = F.lit(False)
+    for key in sorted({key for _, _, key in templates}):
+        whole = whole | _all(F.array_contains("held", w) for w in sorted(set(key.split())))
+    at = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("word"))),
+                  lambda x: F.array_contains("held", x.word))
+    return held.select("doc_id", "_h", F.size("words").cast("long").alias("n_words"),
+                       *[F.coalesce(_places(p), F.array().cast("array<int>")).alias(f"_p{k}") for k, (p, _) in enumerate(BASE)],
+                       "held", F.when(whole, at).alias("at"))
 
 
 def _places(phrase: str) -> Column:
@@ -93,34 +116,26 @@ def _templates(spark: SparkSession, templates) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS v(t, label, pos, word, must)")
 
 
-def index(tokens: DataFrame, templates=TEMPLATES) -> DataFrame:
+def index(rows: DataFrame, templates=TEMPLATES) -> DataFrame:
     """The positional index: (t, label, pos, word, must, rare, idf, anchor). Its
     size depends on the templates only."""
-    spark = tokens.sparkSession
-    rows = _templates(spark, templates)
-    vocabulary = sorted({w for _, notice, _ in templates for w in notice.split()})
-    df = (tokens.select(F.explode(F.array_intersect("words", F.array(*map(F.lit, vocabulary)))).alias("word"))
-          .groupBy("word").agg(F.count(F.lit(1)).alias("df")))
-    n = tokens.select(F.count(F.lit(1)).alias("n"))
-    idf = F.round(F.ln((F.col("n") + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)), 9)
+    words = _templates(rows.sparkSession, templates)
+    df = rows.select(F.explode("held").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    n = rows.count()
+    idf = F.round(F.ln((F.lit(n) + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)), 9)
     from pyspark.sql import Window
     by_idf = Window.partitionBy("t").orderBy(F.desc("idf"), "word", "pos")
-    return (rows.join(F.broadcast(df), "word", "left").join(F.broadcast(n))
+    return (words.join(F.broadcast(df), "word", "left")     # a row per licence word
             .withColumn("idf", idf).withColumn("rare", F.row_number().over(by_idf) <= RARE)
             .withColumn("anchor", F.first(F.when(F.col("must"), F.col("word")), ignorenulls=True).over(
                 by_idf.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
             .where("rare or must").select("t", "label", "pos", "word", "must", "rare", "idf", "anchor"))
 
 
-def found(tokens: DataFrame, postings: DataFrame) -> DataFrame:
+def found(rows: DataFrame, postings: DataFrame) -> DataFrame:
     """(doc_id, _h, labels, score) of the documents in which a template is found."""
-    anchors = [r["anchor"] for r in postings.select("anchor").distinct().collect()]  # one word per template
-    if not anchors:
-        return tokens.select("doc_id", "_h", F.lit(None).cast("array<string>").alias("labels"), F.lit(0.0).alias("score")).limit(0)
-    held = tokens.withColumn("_anchors", F.array_intersect("words", F.array(*map(F.lit, sorted(anchors))))).where(F.size("_anchors") > 0)
-    hits = (held.select("doc_id", "_h", "_anchors", F.posexplode("words").alias("at", "word"))
-            .join(F.broadcast(postings), "word")
-            .where(F.array_contains("_anchors", F.col("anchor"))))
+    hits = (rows.where(F.col("at").isNotNull()).select("doc_id", "_h", "held", F.inline("at"))
+            .join(F.broadcast(postings), "word").where(F.array_contains("held", F.col("anchor"))))
     need = postings.groupBy("t").agg(F.count(F.when(F.col("rare"), 1)).alias("n_rare"), F.count(F.when(F.col("must"), 1)).alias("n_must"))
     # template positions that agree on a start, as a bitmap (notices have under 64 words)
     bit = F.expr("shiftleft(1L, pos)")
@@ -134,17 +149,14 @@ def found(tokens: DataFrame, postings: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """A row per document: doc_id, n_words, n_base, first_word, last_word,
-    base_labels, labels, score."""
-    tokens = tokenized(docs)
-    postings = materialize(index(tokens, templates))
-    base = tokens.select("doc_id", "_h", F.size("words").cast("long").alias("n_words"),
-                         *[F.coalesce(_places(p), F.array().cast("array<int>")).alias(f"_p{k}") for k, (p, _) in enumerate(BASE)])
+    base_labels, labels, score. The texts are read once, into a table of short rows."""
+    rows = materialize(short_rows(docs, templates))
     places = F.concat(*[F.col(f"_p{k}") for k in range(len(BASE))])
     names = F.filter(F.array(*[F.when(F.size(f"_p{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(BASE)]), lambda x: x.isNotNull())
-    base = base.select("doc_id", "_h", "n_words", F.size(places).cast("long").alias("n_base"),
+    base = rows.select("doc_id", "_h", "n_words", F.size(places).cast("long").alias("n_base"),
                        F.array_min(places).cast("long").alias("first_word"), F.array_max(places).cast("long").alias("last_word"),
                        names.alias("_base"))
-    extra = found(tokens, postings).withColumnsRenamed({"doc_id": "_d", "_h": "_g"})
+    extra = found(rows, materialize(index(rows, templates))).withColumnsRenamed({"doc_id": "_d", "_h": "_g"})
     both = F.array_sort(F.array_distinct(F.concat("_base", F.coalesce("labels", F.array().cast("array<string>")))))
     return (base.join(extra, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_g")), "left")
             .select("doc_id", "n_words", "n_base", "first_word", "last_word",
@@ -183,15 +195,7 @@ idf AS (
 idx AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY idf DESC, word, pos) <= {RARE} AS rare FROM idf)
   WHERE rare OR must),
-rare AS (SELECT DISTINCT word, idf FROM idx WHERE rare),
-top AS (
-  SELECT rid, word FROM (
-    SELECT rid, word, row_number() OVER (PARTITION BY rid ORDER BY idf DESC, word DESC) AS k
-    FROM (SELECT DISTINCT rid, word FROM tok) JOIN rare USING (word)) WHERE k <= {TOP}),
-hits AS (
-  SELECT tok.rid, t, label, pos, must, rare, here - pos AS start
-  FROM tok JOIN idx USING (word) LEFT JOIN top ON top.rid = tok.rid AND top.word = tok.word
-  WHERE tok.rid IN (SELECT rid FROM top) AND (must OR top.word IS NOT NULL)),
+hits AS (SELECT tok.rid, t, label, pos, must, rare, here - pos AS start FROM tok JOIN idx USING (word)),
 need AS (SELECT t, count(*) FILTER (rare) AS n_rare, count(*) FILTER (must) AS n_must FROM idx GROUP BY t),
 starts AS (
   SELECT rid, t, label, count(DISTINCT pos) FILTER (rare) AS votes, count(DISTINCT pos) FILTER (must) AS musts

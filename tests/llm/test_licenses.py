@@ -63,6 +63,15 @@ def test_nulls_repeats_empty(spark):
 @pytest.mark.parametrize("part", ["base", "found"])
 def test_no_python_in_the_plan(spark, part):
     df = spark.createDataFrame(list(TEXTS.items()), "doc_id long, text string").cache()
-    out = L.scan(df) if part == "base" else L.found(L.tokenized(df), L.index(L.tokenized(df)))
+    out = L.scan(df) if part == "base" else L.found(L.short_rows(df), L.index(L.short_rows(df)))
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_lower_case_is_that_of_ascii(spark):
+    """Signs whose lower case is an ASCII letter stay letters of their own."""
+    rows = [(1, "MIT LICENSE released under the"), (2, "released under the mİt license"), (3, "K released UNDER the MIT license É"),
+            (4, "all rİghts reserved"), (5, "ALL RIGHTS RESERVED K")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.n_base) for r in L.scan(df).collect()}
+    assert got[2] == ("", 0) and got[3][0] == "mit" and got[4] == ("", 0) and got[5] == ("reserved", 1)
