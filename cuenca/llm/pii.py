@@ -3,9 +3,10 @@
 Base rules find e-mail and IP addresses, card and phone numbers; these spans are
 the seed instances. Their contexts induce lexical patterns: the word before
 (``L:word``) and the word after (``R:word``). Other identifier-like tokens (with
-a digit, ``MIN_LENGTH`` characters or more, outside base spans) are candidate
-instances. On the bipartite graph of patterns and instances, scores are passed
-to and fro for ``ROUNDS`` rounds, as joins and aggregates:
+a digit, ``MIN_LENGTH`` characters or more, outside base spans) and groups of
+short ones (``QQ 12 34 56 C``) are candidate instances. On the bipartite graph of
+patterns and instances, scores are passed to and fro, as joins and aggregates,
+until no score grows by ``SETTLED`` any more (scores never fall, so this ends):
 
 * a pattern's score is the sum of its instances' scores over all places where
   its word occurs in the corpus, identifiers or not, so a common word is a weak
@@ -35,7 +36,8 @@ from cuenca.session import materialize
 
 NAME = "op5_pii_bootstrap"
 SQL = None
-ROUNDS, SUPPORT, CONFIDENT, ACCEPT, MIN_LENGTH = 3, 3, 0.5, 0.6, 5
+SUPPORT, CONFIDENT, ACCEPT, MIN_LENGTH, SETTLED = 3, 0.5, 0.6, 5, 0.001
+BESIDE = 100             # characters looked at for the word beside; all, if it is longer
 
 # The contract's rules. Possessive quantifiers keep the matches and need no
 # stack; a match starts where the last one ended or where a run begins, which
@@ -45,6 +47,8 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IDENTIFIER = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
+# two to eight pieces of four capitals or digits at most, with spaces between
+GROUP = r"(?<!\S)(?=[A-Z ]{0,39}[0-9])[A-Z0-9]{1,4}(?:\x20[A-Z0-9]{1,4}){1,7}(?!\S)"
 KINDS = ("email", "ip", "card", "phone", "context")
 BYTE = r"0*(?:[0-9]{1,2}|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 
@@ -82,12 +86,13 @@ def base_spans(docs: DataFrame) -> DataFrame:
         matches(F.col("text"), IP, 1, F.col("_digit") & F.col("text").rlike(r"[0-9]\.[0-9]++\.[0-9]")).alias("_i"),
         matches(F.col("text"), CARD, 2, F.col("_digit")).alias("_c"),
         matches(F.col("text"), PHONE, 3, F.col("_digit") & F.contains("text", F.lit("+"))).alias("_p"),
-        matches(F.col("text"), IDENTIFIER, 4, F.col("_digit")).alias("_x"))
+        matches(F.col("text"), IDENTIFIER, 4, F.col("_digit")).alias("_x"),
+        matches(F.col("text"), GROUP, 4, F.col("_digit")).alias("_g"))
     digits = lambda v: F.regexp_replace(v, "[^0-9]", "")
     ip = F.filter("_i", lambda m: m["value"].rlike(rf"^{BYTE}\.{BYTE}\.{BYTE}\.{BYTE}$"))
     card = F.filter("_c", lambda m: F.length(digits(m["value"])).between(14, 19) & _luhn(digits(m["value"])))
     phone = F.filter("_p", lambda m: F.length(digits(m["value"])).between(10, 15))
-    d = d.select("doc_id", "text", F.array_sort(F.concat("_e", ip, card, phone)).alias("base"), "_x")
+    d = d.select("doc_id", "text", F.array_sort(F.concat("_e", ip, card, phone)).alias("base"), F.concat("_x", "_g").alias("_x"))
     free = F.filter("_x", lambda c: (F.length(c["value"]) >= MIN_LENGTH) & ~F.exists(
         "base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
     return d.select("doc_id", "text", "base", free.alias("cand"))
@@ -99,8 +104,15 @@ def graph(spans: DataFrame) -> DataFrame:
     word = r"[^\x20\x09-\x0D]+"
     rows = (spans.where((F.size("base") > 0) | (F.size("cand") > 0))
             .select("doc_id", F.xxhash64("text").alias("_h"), "text", F.explode(F.concat("base", "cand")).alias("s")))
-    before = F.regexp_extract(F.substring("text", F.greatest(F.lit(1), F.col("s.start") - 99), F.least(F.lit(100), F.col("s.start"))), rf"({word})[\x20\x09-\x0D]+$", 1)
-    after = F.regexp_extract(F.substring("text", F.col("s.stop") + 1, F.lit(100)), rf"^[^\x20\x09-\x0D]*[\x20\x09-\x0D]+({word})", 1)
+    left, right = rf"({word})[\x20\x09-\x0D]+$", rf"^[^\x20\x09-\x0D]*[\x20\x09-\x0D]+({word})"
+    near = F.substring("text", F.greatest(F.lit(1), F.col("s.start") - BESIDE + 1), F.least(F.lit(BESIDE), F.col("s.start")))
+    # a piece that is one long word, or ends inside one, is too short: then the whole text decides
+    before = F.when(near.rlike(rf"[\x20\x09-\x0D]{word}[\x20\x09-\x0D]+$") | (F.col("s.start") <= BESIDE), F.regexp_extract(near, left, 1)
+                    ).otherwise(F.regexp_extract(F.substring("text", F.lit(1), F.col("s.start")), rf"(?:^|[\x20\x09-\x0D]){left}", 1))
+    near = F.substring("text", F.col("s.stop") + 1, F.lit(BESIDE))
+    rest = F.substring("text", F.col("s.stop") + 1, F.length("text"))
+    after = F.when(near.rlike(rf"{right}[\x20\x09-\x0D]") | (F.length("text") - F.col("s.stop") <= BESIDE), F.regexp_extract(near, right, 1)
+                   ).otherwise(F.regexp_extract(rest, right, 1))
     return (rows.select("doc_id", "_h", F.col("s.start").alias("start"), F.col("s.stop").alias("stop"), (F.col("s.rank") < 4).alias("seed"),
                         F.col("s.value").alias("value"),
                         F.explode(F.array(F.concat(F.lit("L:"), F.lower(before)), F.concat(F.lit("R:"), F.lower(after)))).alias("pattern"))
@@ -117,15 +129,17 @@ def occurrences(docs: DataFrame, edges: DataFrame) -> DataFrame:
     return wanted.join(count, "word").select("pattern", "total")
 
 
-def discovered(docs: DataFrame, spans: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, _h, start, stop, value, score) of the candidates accepted."""
+def discovered(docs: DataFrame, spans: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(doc_id, _h, start, stop, value, score) of the candidates accepted; after
+    ``rounds`` rounds at most, if given."""
     key = ["doc_id", "_h", "start", "stop"]
     edges = materialize(graph(spans))
     totals = materialize(occurrences(docs, edges))
     # patterns with too few instances can never be confident
     edges = materialize(edges.join(totals, "pattern"))
     scores = edges.select(*key, "value", "pattern", "total", "seed", F.when(F.col("seed"), 1.0).otherwise(0.0).alias("score"))
-    for _ in range(rounds):
+    done, grown = 0, 1.0
+    while grown >= SETTLED and (rounds is None or done < rounds):
         patterns = (scores.groupBy("pattern").agg(
             F.round(F.sum("score") / F.max("total"), 9).alias("p"),
             F.count_distinct(F.when(F.col("score") >= ACCEPT, F.col("value"))).alias("n"))
@@ -134,14 +148,16 @@ def discovered(docs: DataFrame, spans: DataFrame, rounds: int = ROUNDS) -> DataF
                   .agg(F.collect_set(F.struct("pattern", "p")).alias("_ps"))
                   .select("value", (1.0 - F.aggregate(F.array_sort("_ps"), F.lit(1.0), lambda a, x: a * (1.0 - x["p"]))).alias("by_pattern")))
         scores = materialize(
-            edges.join(linked, "value", "left").select(
-                *key, "value", "pattern", "total", "seed",
+            scores.join(linked, "value", "left").select(
+                *key, "value", "pattern", "total", "seed", F.col("score").alias("before"),
                 F.when(F.col("seed"), 1.0).otherwise(F.coalesce("by_pattern", F.lit(0.0))).alias("score")))
+        done += 1
+        grown = scores.agg(F.max(F.col("score") - F.col("before"))).first()[0] or 0.0
     return (scores.where((~F.col("seed")) & (F.col("score") >= ACCEPT))
             .groupBy(*key).agg(F.max("value").alias("value"), F.max("score").alias("score")))
 
 
-def extract(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def extract(docs: DataFrame, rounds: int | None = None) -> DataFrame:
     """(doc_id, text, spans): ``spans`` holds start, rank of the kind, stop and value."""
     spans = base_spans(docs)
     more = (discovered(docs, spans, rounds).groupBy("doc_id", "_h")
