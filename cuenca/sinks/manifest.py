@@ -120,6 +120,8 @@ def replace_partitions(df: DataFrame, root: str, cols: Sequence[str], replaces:
     base = base or current(spark, root)
     if base["partition_cols"] not in (None, cols):
         raise ValueError(f"{root} is partitioned by {base['partition_cols']}, not {cols}")
+    if "run" in df.columns:
+        raise ValueError("a manifest table cannot have a column 'run': its folders do")
     scope = _keys(replaces, cols) if replaces is not None else set()
     run = uuid.uuid4().hex
     (df.withColumn("run", F.lit(run)).hint("rebalance", *cols).write.mode("append").option("compression", compression)
