@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cuenca.llm.common import small_batches, table
+from cuenca.llm.common import slices, table
 
 NAME = "op1_string_tiling"
 SQL = None               # greedy and iterative; tested against a plain tiling
@@ -95,22 +95,23 @@ def tile(doc, item, min_match: int = MIN_MATCH):
         while lo <= hi:
             k = (lo + hi) // 2
             got = _common(doc, item, free_d, free_i, k)
-            if len(got[0]):
+            if got is not None:
                 lo, found, at = k + 1, got, k
             else:
                 hi = k - 1
         if found is None:
             break
-        for i, d in zip(*found):
-            if free_i[i:i + at].all() and free_d[d:d + at].all():
-                free_i[i:i + at] = free_d[d:d + at] = False
-                tiles.append((int(i), int(d), at))
+        for i, d in _matches(doc, item, free_d, free_i, at, found):
+            free_i[i:i + at] = free_d[d:d + at] = False
+            tiles.append((i, d, at))
         longest = at
     return tiles
 
 
 def _common(doc, item, free_d, free_i, k):
-    """(item positions, document positions) of equal free windows of ``k`` tokens."""
+    """The free windows of ``k`` tokens, None if no document window equals one of
+    the item: (item positions, first and last place of the equal windows among
+    the document's, document positions in that order)."""
     import numpy as np
 
     def free(mask):
@@ -119,14 +120,35 @@ def _common(doc, item, free_d, free_i, k):
 
     pi, pd = free(free_i), free(free_d)
     wi, wd = windows(item, k)[pi], windows(doc, k)[pd]
-    order = np.argsort(wi, kind="stable")
-    left = np.searchsorted(wi[order], wd, "left")
-    right = np.searchsorted(wi[order], wd, "right")
-    n = right - left
-    d = np.repeat(pd, n)
-    i = pi[order][np.repeat(left - np.cumsum(n) + n, n) + np.arange(n.sum())]
-    by = np.lexsort((d, i))
-    return i[by], d[by]
+    order = np.argsort(wd, kind="stable")
+    wd = wd[order]
+    left, right = np.searchsorted(wd, wi, "left"), np.searchsorted(wd, wi, "right")
+    there = left < right
+    return (pi[there], left[there], right[there], pd[order]) if there.any() else None
+
+
+def _matches(doc, item, free_d, free_i, k, found):
+    """Matches to be marked: for each item window that is still free, in order, the
+    first equal document window that is still free. A window that is taken
+    stays so, and the places of equal windows are passed once: the work grows
+    with the windows, not with the pairs of equal ones."""
+    import numpy as np
+    passed: dict[int, int] = {}
+    pi, left, right, places = found
+    for i, a, b in zip(pi.tolist(), left.tolist(), right.tolist()):
+        if not free_i[i:i + k].all():
+            continue
+        x = passed.get(a, a)
+        while x < b and not free_d[places[x]:places[x] + k].all():
+            x += 1
+        passed[a] = x
+        # equal hashes of windows are checked token by token
+        while x < b:
+            d = int(places[x])
+            if free_d[d:d + k].all() and np.array_equal(doc[d:d + k], item[i:i + k]):
+                yield i, d
+                break
+            x += 1
 
 
 def blocks(benchmark: DataFrame, chars: int):
@@ -150,7 +172,8 @@ class _Finder:
         import numpy as np
         self.min_match, self.coverage, self.hashes = min_match, coverage, _Hash()
         self.ids = [i for i, _ in block]
-        self.items = [self.hashes.of(tokens(t)) for _, t in block]
+        self.texts = [t for _, t in block]
+        self.items = [self.hashes.of(tokens(t)) for t in self.texts]
         self.seeds = {}                  # by window length, as short items have shorter seeds
         for k in sorted({min(min_match, len(h)) for h in self.items} - {0}):
             w = [(windows(h, k), n) for n, h in enumerate(self.items) if min(min_match, len(h)) == k]
@@ -178,12 +201,17 @@ class _Finder:
 
     def __call__(self, text: bytes | None) -> list[tuple]:
         """(item_id, item tokens, tiled tokens, tiles, coverage) of each leak."""
-        doc = self.hashes.of(tokens(text)) if text else ()
+        words = tokens(text) if text else []
+        doc = self.hashes.of(words) if words else ()
         rows = []
         for n in sorted(self.candidates(doc)):
             item = self.items[n]
             tiles = tile(doc, item, self.min_match)
             covered = sum(t[2] for t in tiles)
+            if covered >= self.coverage * len(item):    # token hashes do not decide: the tokens do
+                own = tokens(self.texts[n])
+                tiles = [t for t in tiles if own[t[0]:t[0] + t[2]] == words[t[1]:t[1] + t[2]]]
+                covered = sum(t[2] for t in tiles)
             if covered >= self.coverage * len(item):
                 rows.append((self.ids[n], len(item), covered, len(tiles), covered / len(item)))
         return rows
@@ -193,7 +221,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
           coverage: float = COVERAGE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """A row for each (document, item) pair whose tiles cover ``coverage`` of the item."""
     spark = docs.sparkSession
-    small_batches(spark)
     out = None
     for b in blocks(benchmark, block_chars):
         more = _leaks(docs, spark.sparkContext.broadcast(b), min_match, coverage)
@@ -205,7 +232,7 @@ def _leaks(docs, block, min_match, coverage):
     def run(batches):
         import pyarrow as pa
         find = _Finder(block.value, min_match, coverage)
-        for batch in batches:
+        for batch in (s for b in batches for s in slices(b)):
             rows = [(doc_id, *r) for doc_id, text in zip(batch.column("doc_id").to_pylist(),
                                                          batch.column("text").cast(pa.binary()).to_pylist())
                     for r in find(text)]
@@ -221,7 +248,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
           coverage: float = COVERAGE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without those that leak an item; all columns stay."""
     spark = docs.sparkSession
-    small_batches(spark)
     for b in blocks(benchmark, block_chars):
         docs = _clean(docs, spark.sparkContext.broadcast(b), min_match, coverage)
     return docs
@@ -231,7 +257,7 @@ def _clean(docs, block, min_match, coverage):
     def run(batches):
         import pyarrow as pa
         find = _Finder(block.value, min_match, coverage)
-        for batch in batches:
+        for batch in (s for b in batches for s in slices(b)):
             yield batch.filter(pa.array([not find(t) for t in batch.column("text").cast(pa.binary()).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -75,3 +75,20 @@ def test_clean_keeps_columns_and_empty_tables(spark):
     assert out.columns == docs.columns and [r.doc_id for r in out.collect()] == [2, 2]
     assert D.clean(docs, bench.limit(0)).count() == 3 and D.leaks(docs, bench.limit(0)).count() == 0
     assert D.leaks(docs.limit(0), bench).count() == 0
+
+
+def test_repetitive_texts_take_no_product_of_positions():
+    import time
+    h = D._Hash()
+    t = time.time()
+    for doc, item, covered in (([b"a"] * 20_000, [b"a"] * 20_000, 20_000), ([b"a"] * 8000, [b"a"] * 500, 500),
+                               (([b"a"] * 5 + [b"x"]) * 3000, [b"a"] * 500, 500), ([b"a", b"b"] * 10_000, [b"b", b"a"] * 300, 600)):
+        assert sum(x[2] for x in D.tile(h.of(doc), h.of(item), 5)) == covered
+    assert time.time() - t < 60
+
+
+def test_equal_hashes_of_other_tokens_are_no_match(monkeypatch):
+    real = D._Hash.__missing__
+    monkeypatch.setattr(D._Hash, "__missing__", lambda self, w: real(self, b"w" if w.startswith(b"w") else w))
+    find = D._Finder([(1, b"w1 w2 w3 w4 w5 w6 w7 w8")], 5, 0.6)
+    assert find(b"w9 w9 w9 w9 w9 w9 w9 w9") == [] and len(find(b"x w1 w2 w3 w4 w5 w6 w7 w8 y")) == 1
