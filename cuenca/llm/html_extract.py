@@ -30,7 +30,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cuenca.llm.common import small_batches, table
+from cuenca.llm.common import slices, table
 
 NAME = "op3_tree_extract"
 SQL = None               # a graphical model; tested by brute-force marginals and labelled pages
@@ -38,22 +38,26 @@ CUT = 0.5
 
 #: fixed values of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math xmp noembed noframes".split())
+RAW = frozenset("script style textarea title noscript template iframe svg xmp noembed noframes".split())
 SKIPPED = RAW | frozenset("head select button option datalist canvas object audio video".split())
 BLOCK = frozenset(("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
                    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary "
                    "table tbody td tfoot th thead tr ul caption").split())
+#: open items that a new one ends, unless one of ``AROUND`` is open inside
+ITEMS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+AROUND = ("ul", "ol", "menu", "dl", "table", "tbody", "thead", "tfoot", "select")
 ENDS_P = BLOCK - frozenset("td th tr tbody thead tfoot caption li dd dt html body".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|aria-label|itemprop|data-y)\s*=\s*(?:\"([^\"]*)|'([^']*)|([^\s\"'>]+))", re.I)
+ATTRIBUTE = re.compile(r"(?<![^\s\"'/])(class|id|role|aria-label|itemprop|data-y)\s*=\s*(?:\"([^\"]*)|'([^']*)|([^\s\"'>]+))", re.I)
 
 GROUPS = {t: g for g, ts in {
     "article": "article main", "nav": "nav menu", "footer": "footer", "header": "header", "aside": "aside dialog",
     "form": "form fieldset label input", "list": "ul ol dl", "item": "li dd dt", "head": "h1 h2 h3 h4 h5 h6 hgroup",
     "para": "p blockquote pre figcaption", "table": "table tbody thead tfoot tr td th caption", "div": "div section center figure details summary",
-    "link": "a", "inline": "b i em strong span u s small sub sup code q cite abbr time mark font kbd samp var dfn bdi bdo ins del tt",
+    "link": "a", "inline": "b i em strong span u s small sub sup code q cite abbr time mark font kbd samp var dfn bdi bdo ins del tt "
+              "math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot munder mover",
     "page": "html body"}.items() for t in ts.split()}
 
 #: words of class, id and role attributes, by what they say
@@ -80,12 +84,13 @@ class Node:
 def parse(html: str) -> Node:
     """The element tree of a page; scripts, styles and comments are left out."""
     from html import unescape
-    root = node = Node("html", None)
+    root = Node("html", None)
+    tree = _Open(root)
     at, n = 0, len(html)
 
     def text(s):
         if s:
-            node.items.append(unescape(s))
+            tree.path[-1].items.append(unescape(s))
 
     while at < n:
         m = TOKEN.search(html, at)
@@ -101,36 +106,39 @@ def parse(html: str) -> Node:
             continue
         tag = tag.lower()
         if m[1]:
-            node = _close(node, tag)
+            tree.close(tag)
             continue
         if not m[4]:                      # the page ends inside a tag
             break
         if tag in RAW and not m[3].endswith("/"):
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, at)
+            if tag == "xmp":              # shown as it stands
+                text((html[at:end.start() if end else n]).replace("&", "&amp;"))
             at = end.end() if end else n
             continue
         if tag in ("html", "body"):
-            if tag == "body" or node is root:
+            if tag == "body" or tree.path[-1] is root:
                 cues, label = _attributes(m[3])
                 root.cues, root.label = root.cues or cues, root.label if label is None else label
             continue
         if tag == "br":
-            node.items.append(" ")
+            tree.path[-1].items.append(" ")
             continue
         if tag in VOID:
             if tag == "hr":
-                node = _close_p(node)
+                tree.close_p()
             continue
         if tag in ENDS_P:
-            node = _close_p(node)
-        elif tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
-            node = _close_item(node, tag)
+            tree.close_p()
+        elif tag in ITEMS:
+            tree.close_item(tag)
         cues, label = _attributes(m[3])
+        node = tree.path[-1]
         child = Node(tag, node, cues, label)
         node.children.append(child)
         node.items.append(child)
         if not m[3].endswith("/") or tag in BLOCK:
-            node = child
+            tree.push(child)
     return root
 
 
@@ -138,8 +146,8 @@ def _attributes(s: str):
     cues, label = set(), None
     for m in ATTRIBUTE.finditer(s) if "=" in s else ():
         value = m[2] or m[3] or m[4] or ""
-        if m[1].lower() == "data-y":
-            label = int(value)
+        if m[1].lower() == "data-y":      # of the labelled pages; ``learn`` alone looks at it
+            label = {"0": 0, "1": 1}.get(value)
             continue
         for w in value.lower().split():
             for part in (w, *re.split(r"[-_:]+", w)):
@@ -148,37 +156,45 @@ def _attributes(s: str):
     return tuple(sorted(cues)), label
 
 
-def _close(node: Node, tag: str) -> Node:
-    """Close the nearest open ``tag``; a closing inline tag crosses no block."""
-    up = node
-    while up.parent is not None:
-        if up.tag == tag:
-            return up.parent
-        if tag not in BLOCK and up.tag in BLOCK:
-            return node
-        up = up.parent
-    return node
+class _Open:
+    """The open elements, innermost last, with the places of each tag and of the
+    blocks among them, so closing never climbs over elements that stay open."""
 
+    def __init__(self, root: Node):
+        self.path, self.at, self.blocks = [root], {}, [0]
 
-def _close_p(node: Node) -> Node:
-    """Close an open paragraph, with what is open inside it."""
-    up = node
-    while up.parent is not None and (up.tag == "p" or up.tag not in BLOCK):
-        if up.tag == "p":
-            return up.parent
-        up = up.parent
-    return node
+    def push(self, node: Node) -> None:
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.path))
+        self.at.setdefault(node.tag, []).append(len(self.path))
+        self.path.append(node)
 
+    def _cut(self, k: int) -> None:
+        while len(self.path) > k:
+            self.at[self.path.pop().tag].pop()
+            if self.blocks[-1] == len(self.path):
+                self.blocks.pop()
 
-def _close_item(node: Node, tag: str) -> Node:
-    same = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}[tag]
-    stop = ("ul", "ol", "menu", "dl", "table", "tbody", "thead", "tfoot", "select") + (("tr",) if tag in ("td", "th") else ())
-    up = node
-    while up.parent is not None and up.tag not in stop:
-        if up.tag in same and (tag != "tr" or up.tag == "tr"):
-            return up.parent
-        up = up.parent
-    return node
+    def _last(self, tags) -> int:
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def close(self, tag: str) -> None:
+        """Close the nearest open ``tag``; a closing inline tag crosses no block."""
+        k = self._last((tag,))
+        if k and (tag in BLOCK or self.blocks[-1] < k):
+            self._cut(k)
+
+    def close_p(self) -> None:
+        """Close an open paragraph, with what is open inside it."""
+        k = self.blocks[-1]
+        if k and self.path[k].tag == "p":
+            self._cut(k)
+
+    def close_item(self, tag: str) -> None:
+        """Close an open item that one of ``tag`` ends, within its list or table."""
+        k = self._last(ITEMS[tag])
+        if k > self._last(AROUND + (("tr",) if tag in ("td", "th") else ())):
+            self._cut(k)
 
 
 def ordered(root: Node) -> list[Node]:
@@ -391,13 +407,11 @@ def main_text(html: str, model: dict, cut: float = CUT) -> str:
 
 def extract(pages: DataFrame, labelled=None) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    spark = pages.sparkSession
-    small_batches(spark)
     model = learn(labelled)                   # a few hundred numbers
 
     def run(batches):
         import pyarrow as pa
-        for batch in batches:
+        for batch in (s for b in batches for s in slices(b, col="html")):
             texts = [main_text(h or "", model) for h in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])

@@ -83,3 +83,37 @@ def test_nulls_deep_pages_empty_tables(spark, model):
     assert len(out) == 7 and [r.text for r in out if r.page_id == 2] == [TEXT, TEXT]
     assert all(r.n_chars == len(r.text) for r in out) and [r.text for r in out if r.page_id in (1, None)] == ["", ""]
     assert X.extract(df.limit(0)).count() == 0
+
+
+def test_attribute_values_of_real_pages_are_no_labels(spark):
+    page = '<div data-y="12.5" my-data-y="x" data-class="nav"><article><p>%s</p></article></div>' % ("The text of an article, with sentences. " * 5)
+    rows = [(k, "u", page.replace("12.5", v)) for k, v in enumerate(["12.5", "0", "1", "", "abc"])]
+    got = {r["text"] for r in X.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {("The text of an article, with sentences. " * 5).strip()}
+
+
+def test_formulas_and_listings_stay():
+    model = X.learn()
+    long = "This is the text of the article, which is long enough to be one. It has sentences."
+    assert X.main_text(f"<article><p>If <math><mi>x</mi></math> then {long}</p><p>{long} <xmp>a < b &amp; c</xmp></p></article>", model) == \
+        f"If x then {long}\n{long} a < b &amp; c"
+
+
+def test_unclosed_and_needless_tags_take_linear_time():
+    import time
+    model = X.learn()
+    for page in ("<article><p>" + "<b>w " * 100_000 + "</i>" * 100_000, "<i><div>" + "<b>w " * 50_000 + "</i>" * 50_000,
+                 "<article>" + "<li>w " * 50_000 + "</p>" * 50_000):
+        t = time.time()
+        X.main_text(page, model)
+        assert time.time() - t < 30
+
+
+def test_closing_rules():
+    def shape(node):
+        return [node.tag, *(x if isinstance(x, str) else shape(x) for x in node.items)]
+    assert shape(X.parse("<p>a<b>c<p>d</b>e")) == ["html", ["p", "a", ["b", "c"]], ["p", "d", "e"]]
+    assert shape(X.parse("<ul><li>a<ul><li>b</ul><li>c</ul>d")) == ["html", ["ul", ["li", "a", ["ul", ["li", "b"]]], ["li", "c"]], "d"]
+    assert shape(X.parse("<table><tr><td>a<td>b<tr><th>c</table>")) == ["html", ["table", ["tr", ["td", "a"], ["td", "b"]], ["tr", ["th", "c"]]]]
+    assert shape(X.parse("<i>a<div>b</i>c</div>d</i>e")) == ["html", ["i", "a", ["div", "b", "c"], "d"], "e"]
+    assert shape(X.parse("<dl><dt>a<dd>b<dt>c</dl></dl>")) == ["html", ["dl", ["dt", "a"], ["dd", "b"], ["dt", "c"]]]
