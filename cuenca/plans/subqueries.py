@@ -321,8 +321,8 @@ def _(spark, sf):
     """True roll-up: every node sums the sales of itself and all descendants,
     by doubling reach (``hierarchy.rollup``), not by (node, ancestor) pairs."""
     t = Tables(spark, sf)
-    tree = materialize(category_tree(t))
-    own = tree.join(_leaf_sales(t), "category_id", "left")
-    depth = tree.agg(F.max("level")).first()[0] or 0
+    # the star join behind the sales runs once; the rounds read its few rows
+    own = materialize(category_tree(t).join(_leaf_sales(t), "category_id", "left"))
+    depth = own.agg(F.max("level")).first()[0] or 0
     return (rollup(own, "category_id", "parent_category_id", ["leaf_revenue"], depth)
             .select("category_name", "level", F.col("leaf_revenue").cast("decimal(38,2)").alias("revenue_rollup")))
