@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cuenca.llm.common import small_batches, table
+from cuenca.llm.common import slices, table
 from cuenca.llm.decontaminate import tokens
 
 NAME = "op7_gru_toxicity"
@@ -333,7 +333,6 @@ def sample(docs: DataFrame, labels: DataFrame, bound: int = FIT + CALIBRATE) ->
 def score(docs: DataFrame, labels: DataFrame, fit: int = FIT, calibrate: int = CALIBRATE) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
     spark = docs.sparkSession
-    small_batches(spark, 256)
     count = {r["toxic"]: r["n"] for r in labels.where(fold() != 0).groupBy("toxic").agg(F.count(F.lit(1)).alias("n"))
              .where(F.col("toxic").isin(0, 1)).collect()}
     n0, n1 = count.get(0, 0), count.get(1, 0)
@@ -345,17 +344,19 @@ def score(docs: DataFrame, labels: DataFrame, fit: int = FIT, calibrate: int = C
     else:
         model = None
     share = n1 / (n0 + n1) if n0 + n1 else 0.0
-    sent = spark.sparkContext.broadcast(model)  # of a fixed size
+    # arrays of a fixed size; a class would have to be importable in the workers
+    sent = spark.sparkContext.broadcast(model and (model[0].p, *model[1:]))
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        for batch in batches:
+        net = object.__new__(Model)
+        for batch in (s for b in batches for s in slices(b, 4_000_000)):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             if sent.value is None:
                 p = np.full(len(texts), share)
             else:
-                net, slope, offset = sent.value
+                net.p, slope, offset = sent.value
                 z = np.concatenate([_highest(net, [tokens(t or b"") for t in texts[k:k + 128]])
                                     for k in range(0, len(texts), 128)] or [np.zeros(0)])
                 p = _sigmoid(slope * z + offset)
