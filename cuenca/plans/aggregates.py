@@ -138,7 +138,8 @@ def _(spark, sf):
     FROM fact GROUP BY category""")
 def _(spark, sf):
     """Orders, revenue (sum of item prices) and revenue per order by category."""
-    f = m.fact_sales(Tables(spark, sf))
+    t = Tables(spark, sf)
+    f = m.by_order(t, m.fact_sales(t).select("order_id", "category", "price"))
     return f.groupBy("category").agg(
         F.countDistinct("order_id").alias("orders"), m.msum("price").alias("revenue"),
         m.avg_money("price", "count(DISTINCT order_id)").alias("revenue_per_order"))

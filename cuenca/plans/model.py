@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cuenca.sources.tables import Tables
+from cuenca.sources.tables import Tables, table_bytes
 
 
 def money(c) -> "F.Column":
@@ -166,6 +166,19 @@ def fact_sales(t: Tables) -> DataFrame:
                     (F.col("price") + F.col("freight")).alias("revenue")))
 
 
+#: bytes of the line table's files for each partition of a grouping by order
+ORDER_BYTES = 8 << 20
+
+
+def by_order(t: Tables, lines: DataFrame) -> DataFrame:
+    """``lines`` dealt by order over partitions whose number follows the line
+    table's size. A task of a grouping finer than the order (distinct orders by
+    something) then holds a bounded number of groups, whatever the input; with
+    a fixed number of partitions its hash maps grow with the table."""
+    n = max(int(t.spark.conf.get("spark.sql.shuffle.partitions")), -(-table_bytes(t.spark, t.sf_dir, "lineitem") // ORDER_BYTES))
+    return lines.repartition(n, "order_id")
+
+
 def deliveries(t: Tables) -> DataFrame:
     """Order delivery facts: delivered = last ship time of a non-P order,
     estimated = purchase + 60 days. Lines are aggregated per order before the

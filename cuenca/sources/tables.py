@@ -29,6 +29,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path][1]).parquet(path)
 
 
+def table_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Bytes of the table's files."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 class Tables:
     """Attribute access to the tables of one folder: ``t.orders``."""
 

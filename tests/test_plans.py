@@ -80,3 +80,15 @@ def test_two_level_windows_partition_by_key_and_bucket(spark):
         assert len(specs) > len(alone) <= 1
         below = re.search(r"Window \[[^\n]*?\], \[[^\],]*\], \[[^\n]*\n(.*)", plan, re.S)
         assert not alone or "HashAggregate" in below[1].split("Scan")[0].split("Range")[0]
+
+
+def test_groups_by_order_get_more_partitions_as_the_lines_grow(spark, monkeypatch):
+    from cuenca.plans import model as m
+    from cuenca.sources.tables import Tables
+    t = Tables(spark, SF_SMALL)
+    lines = m.items(t)
+    few = m.by_order(t, lines).rdd.getNumPartitions()
+    monkeypatch.setattr(m, "ORDER_BYTES", m.table_bytes(spark, SF_SMALL, "lineitem") // 16)
+    many = m.by_order(t, lines)
+    assert few == int(spark.conf.get("spark.sql.shuffle.partitions")) and many.rdd.getNumPartitions() in (16, 17)
+    assert many.exceptAll(lines).isEmpty() and many.count() == lines.count()
