@@ -17,9 +17,11 @@ of ``THRESHOLD`` or more.
    decide each pair. The result has every class's number of links and the
    connected groups of linked classes.
 
-Buckets and clusters are worked on in pairs of blocks of ``BLOCK`` classes, each
-a task-sized unit, so neither is ever gathered whole and none is capped; a block
-pair reports link counts and a spanning forest, never its pairs. Only
+Buckets and clusters are worked on in blocks of ``BLOCK`` classes and pairs of
+them, each a task-sized unit, so neither is ever gathered whole and none is
+capped; a unit reports link counts and a spanning forest, never its pairs. Two
+blocks of a bucket meet only where step 3 has not yet connected their members.
+In a cluster all blocks meet, as links are counted. Only
 members of candidate clusters are read again for their sets; a bitmap of fixed
 size keeps most other texts out of that shuffle.
 
@@ -134,13 +136,10 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return classes.select("member", "sig").mapInArrow(run, "band int, bucket long, member binary")
 
 
-def block_pairs(rows: DataFrame, keys: list[str], block: int = BLOCK) -> DataFrame:
-    """The members of each key numbered in blocks, and each member in a row for
-    every pair of blocks (``i`` <= ``j``) that its block ``b`` is part of. Keys with
-    one member are left out. Members are numbered while a sorted partition
-    streams by, so a key of any size needs no memory."""
-    schema = rows.select(*keys, "member").schema
-
+def _blocks(rows: DataFrame, keys: list[str], order: list, block: int) -> DataFrame:
+    """The rows of each key numbered in ``order`` by blocks (``b``). Keys with one
+    row are left out. Rows are numbered while a sorted partition streams by, so a
+    key of any size needs no memory."""
     def stream(batches):
         import pyarrow as pa
         last, count, first, here = None, 0, None, None
@@ -170,10 +169,14 @@ def block_pairs(rows: DataFrame, keys: list[str], block: int = BLOCK) -> DataFra
             yield from out.combine_chunks().to_batches()
 
     from pyspark.sql import types as T
-    out_schema = T.StructType(schema.fields + [T.StructField("b", T.IntegerType())])
-    numbered = (rows.select(*keys, "member").repartition(*keys).sortWithinPartitions(*keys, "member")
-                .mapInArrow(stream, out_schema))
-    numbered = materialize(numbered)
+    out_schema = T.StructType(rows.schema.fields + [T.StructField("b", T.IntegerType())])
+    return materialize(rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(stream, out_schema))
+
+
+def block_pairs(rows: DataFrame, keys: list[str], block: int = BLOCK) -> DataFrame:
+    """The members of each key numbered in blocks, and each member in a row for
+    every pair of blocks (``i`` <= ``j``) that its block ``b`` is part of."""
+    numbered = _blocks(rows.select(*keys, "member"), keys, ["member"], block)
     many = numbered.where("b > 0").groupBy(*keys).agg((F.max("b") + 1).alias("_m"))
     m = F.coalesce("_m", F.lit(1))
     other = F.explode(F.sequence(F.lit(0), m - 1))
@@ -181,6 +184,25 @@ def block_pairs(rows: DataFrame, keys: list[str], block: int = BLOCK) -> DataFra
             .select(*keys, "member", "b", F.least("b", "_o").cast("int").alias("i"), F.greatest("b", "_o").cast("int").alias("j")))
 
 
+def _open_pairs(rows: DataFrame, keys: list[str], block: int) -> DataFrame:
+    """(keys, member, root, b, i, j): ``block_pairs`` without the pairs of blocks
+    whose members all have one ``root``. Members are numbered by root, so all
+    blocks but the first and last of a large root are of that root alone and meet
+    only the blocks of others."""
+    numbered = _blocks(rows.select(*keys, "root", "member"), keys, ["root", "member"], block)
+    spans = numbered.groupBy(*keys, "b").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"))
+    size = spans.groupBy(*keys).agg(F.max("b").alias("_last"))
+    alone = (spans.where("_lo = _hi").groupBy(*keys, F.col("_lo").alias("_alone"))
+             .agg(F.min("b").alias("_from"), F.max("b").alias("_to")))
+    spans = spans.withColumn("_alone", F.expr("if(_lo = _hi, _lo, null)")).join(size, keys).join(alone, [*keys, "_alone"], "left")
+    none = "cast(array() as array<int>)"
+    others = F.expr(f"""if(_from is null, sequence(0, _last), concat(
+        if(_from > 0, sequence(0, _from - 1), {none}), if(_to < _last, sequence(_to + 1, _last), {none})))""")
+    meets = spans.select(*keys, "b", F.explode(others).alias("_o"))
+    return numbered.join(meets, [*keys, "b"]).select(
+        *keys, "member", "root", "b", F.least("b", "_o").cast("int").alias("i"), F.greatest("b", "_o").cast("int").alias("j"))
+
+
 def _units(batches, keys):
     """The rows of each (key, i, j) unit of a sorted stream, as an Arrow table."""
     import pyarrow as pa
@@ -239,13 +261,32 @@ def _forest(n, x, y):
     return at, lab[at]
 
 
-def candidates(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Edges (u, v) that connect classes into candidate clusters: a spanning
-    forest of each bucket's pairs that survive the pruning."""
-    least = least_matches(threshold)
+def candidates(classes: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """Edges (u, v) that connect classes into candidate clusters: spanning
+    forests of the pairs in a common bucket that survive the pruning.
+
+    First every block of a bucket is compared within itself; blocks are drawn
+    anew in each band, so large groups of near texts grow together. Pairs across
+    the blocks of a bucket are then compared only where the first round has not
+    connected them: those between members of one group add no connection."""
     keys = ["band", "bucket"]
-    units = (block_pairs(_buckets(classes), keys).join(classes.select("member", "sig"), "member")
-             .repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j", "member"))
+    first = _blocks(_buckets(classes), keys, [F.xxhash64("band", "member"), "member"], block)
+    found = materialize(_surviving(first.withColumns({"i": F.col("b"), "j": F.col("b")}), classes, keys, threshold, block))
+    large = first.where("b > 0").select(*keys).distinct()
+    if large.isEmpty():
+        return found
+    members = (first.join(large, keys, "left_semi").select(*keys, "member").join(components(found), "member", "left")
+               .withColumn("root", F.coalesce("root", "member")))
+    parted = members.groupBy(*keys).agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi")
+    pairs = _open_pairs(members.join(parted, keys, "left_semi"), keys, block)
+    return found.unionByName(_surviving(pairs, classes, keys, threshold, block)).distinct()
+
+
+def _surviving(units: DataFrame, classes: DataFrame, keys: list[str], threshold: float, block: int) -> DataFrame:
+    """A spanning forest (u, v) of each unit's pairs that survive the pruning; of
+    units with a ``root``, pairs of different roots alone."""
+    least = least_matches(threshold)
+    again = "root" in units.columns
 
     def run(batches):
         import numpy as np
@@ -256,9 +297,14 @@ def candidates(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             x, y = _pairs(t.column("b").to_numpy(), i, j)
             sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), "<u2").reshape(-1, HASHES)
             whole = sig.view("<u8")
-            for k in range(band):        # a pair is compared in its first common bucket
-                apart = whole[x, k] != whole[y, k]
+            if again:
+                root = pa.array(t.column("root").to_pylist(), pa.binary()).dictionary_encode().indices.to_numpy()
+                apart = root[x] != root[y]
                 x, y = x[apart], y[apart]
+            if again or (i == 0 and len(sig) < block):
+                for k in range(band):        # a pair is compared in its first common bucket
+                    apart = whole[x, k] != whole[y, k]
+                    x, y = x[apart], y[apart]
             x, y = prune(sig, x, y, least)
             if len(x):
                 member = t.column("member").to_pylist()
@@ -270,8 +316,10 @@ def candidates(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 us, vs = [], []
         yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], names=["u", "v"])
 
-    cols = [*keys, "i", "j", "b", "member", "sig"]
-    return units.select(*cols).mapInArrow(run, "u binary, v binary").distinct()
+    cols = [*keys, "i", "j", "b", "member", "sig", *(["root"] if again else [])]
+    return (units.join(classes.select("member", "sig"), "member")
+            .repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j", "member")
+            .select(*cols).mapInArrow(run, "u binary, v binary").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:

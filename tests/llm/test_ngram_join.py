@@ -93,3 +93,46 @@ def test_components(spark, edges):
         for a, b in edges:
             up[a] = up[b] = min(up[a], up[b])
     assert got == set(up.items())
+
+
+def _group(n, others, seed=5):
+    """(member, sig) of ``n`` near copies, and of others that share one band with them and
+    among which every second is near the one before."""
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 1 << 16, N.HASHES).astype("<u2")
+    sigs = []
+    for _ in range(n):
+        s = base.copy()
+        s[rng.integers(0, N.HASHES, 6)] = rng.integers(0, 1 << 16, 6)
+        sigs.append(s)
+    for k in range(others):
+        s = rng.integers(0, 1 << 16, N.HASHES).astype("<u2") if k % 2 == 0 else sigs[-1].copy()
+        s[-1] = k
+        s[:N.BAND] = base[:N.BAND]
+        sigs.append(s)
+    return [(k.to_bytes(4, "big"), s.tobytes()) for k, s in enumerate(sigs)]
+
+
+def test_large_buckets_connect_what_all_their_pairs_do(spark, monkeypatch):
+    import numpy as np
+    rows = _group(150, 60)
+    classes = spark.createDataFrame(rows, "member binary, sig binary")
+    sig = np.frombuffer(b"".join(s for _, s in rows), "<u2").reshape(-1, N.HASHES)
+    x, y = np.triu_indices(len(rows), 1)
+    shared = (sig.view("<u8")[x] == sig.view("<u8")[y]).any(axis=1)
+    x, y = N.prune(sig, x[shared], y[shared], N.least_matches(N.THRESHOLD))
+    want = {rows[a][0]: rows[r][0] for a, r in zip(*N._forest(len(rows), x, y))}
+    want |= {r: r for r in want.values()}
+    made = []
+    real = N._surviving
+    monkeypatch.setattr(N, "_surviving", lambda units, *a: (made.append(units.count()), real(units, *a))[1])
+    got = {bytes(r["member"]): bytes(r["root"]) for r in N.components(N.candidates(classes, block=8)).collect()}
+    assert got == want and len(set(want.values())) == 31
+
+    # twice the near copies: the rows compared grow like the copies, not like their square
+    few = sum(made)
+    made.clear()
+    classes = spark.createDataFrame(_group(300, 60), "member binary, sig binary")
+    assert len({r["root"] for r in N.components(N.candidates(classes, block=8)).collect()}) == 31
+    assert sum(made) < 2.5 * few
