@@ -35,7 +35,7 @@ from cuenca.session import materialize, scratch_path
 NAME = "op6_token_files"
 SQL = None               # a tokenizer is no SQL; tested by round trips
 ROW_GROUP, PAGE = 32 << 20, 256 << 10
-CACHE = 32 << 20         # bytes of the pieces a worker remembers: a bound on memory only
+CACHE = 96 << 20         # bytes of the pieces a worker remembers: a bound on memory only
 SOME_CHARS = 2_000_000   # bytes of text encoded at a time: a bound on memory only
 BATCH = 4096, 4 << 20    # rows and bytes of an Arrow batch
 
@@ -75,7 +75,7 @@ class _Pieces(dict):
         elif len(core) == len(p):
             v = self.encoder.newline + self.encoder.letters("", w) if line else self.encoder.letters(" ", w)
         else:
-            v = self[core] + self.encoder.stops(p[len(core):])
+            return self[core] + self.encoder.stops(p[len(core):])   # put together anew: the word alone is remembered
         if self.size < CACHE:
             self[p] = v
             self.size += len(p.encode()) + len(v) + 200   # with the two objects and their entry
@@ -107,8 +107,10 @@ class Encoder:
         from struct import pack
         if not word.isascii():
             word = "".join(map(self.letter.__getitem__, word.encode()))
-        ids = [t.id for t in self.tokenize(self.letter[32] + word if prefix else word)]
-        return pack(f"<{len(ids)}I", *ids)
+        found = self.tokenize(self.letter[32] + word if prefix else word)
+        if len(found) == 1:
+            return found[0].id.to_bytes(4, "little")
+        return pack(f"<{len(found)}I", *[t.id for t in found])
 
     def stops(self, s: str) -> bytes:
         v = self.known_stops.get(s)

@@ -66,3 +66,12 @@ def test_memory_bound_changes_nothing(monkeypatch, tokenizer):
         enc = K.Encoder(f.read())
     for t in [x or "" for x in TEXTS] * 2:
         assert np.frombuffer(enc(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_a_word_is_remembered_once_whatever_stops_follow(tokenizer):
+    with open(K.tokenizer_file(), "rb") as f:
+        enc = K.Encoder(f.read())
+    text = "aa bb, bb. bb; bb?! cc\nbb, bb"
+    ids = enc.batch([text], 0)[0][:-1].tolist()
+    assert ids == enc.tok.encode(text, add_special_tokens=False).ids
+    assert sorted(enc.pieces) == ["\naa", "\nbb", "bb", "cc"]
