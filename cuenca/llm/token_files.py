@@ -64,7 +64,7 @@ class _Pieces(dict):
 
     def __init__(self, encoder):
         super().__init__()
-        self.encoder, self.size = encoder, 0
+        self.encoder, self.stops, self.size = encoder, encoder.known_stops, 0
 
     def __missing__(self, p: str) -> bytes:
         core = p.rstrip(STOPS)
@@ -72,13 +72,16 @@ class _Pieces(dict):
         w = core[1:] if line else core
         if not w.isalpha():
             v = self.encoder.newline + self.encoder.whole(p[1:]) if line else self.encoder.whole(" " + p)
-        elif len(core) == len(p):
-            v = self.encoder.newline + self.encoder.letters("", w) if line else self.encoder.letters(" ", w)
+        elif len(core) != len(p):
+            s = p[len(core):]
+            return self[core] + (self.stops.get(s) or self.encoder.stops(s))   # put together anew: the word alone is remembered
+        elif line:
+            v = self.encoder.newline + self.encoder.letters("", w)
         else:
-            return self[core] + self.encoder.stops(p[len(core):])   # put together anew: the word alone is remembered
+            v = self.encoder.letters(" ", w)
         if self.size < CACHE:
             self[p] = v
-            self.size += len(p.encode()) + len(v) + 200   # with the two objects and their entry
+            self.size += (len(p) if p.isascii() else 4 * len(p)) + len(v) + 130   # with the two objects and their entry
         return v
 
 
@@ -95,8 +98,8 @@ class Encoder:
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in own]
         self.letter = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
-        self.pieces = _Pieces(self)
         self.known_stops: dict[str, bytes] = {}
+        self.pieces = _Pieces(self)
 
     def whole(self, text: str) -> bytes:
         """Ids of a text, by the whole tokenizer, as little-endian 32-bit bytes."""
